@@ -113,19 +113,24 @@ def insert_ignore(existing: DataFrame | None, new: DataFrame, keys: Sequence[str
 
 # ---------------------------------------------------------------- contracts
 
+def stage_contracts_raw(staging: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
+    """Typed, outlier-filtered contract rows with warehouse names and lineage."""
+    extra = _extra(staging, tiebreak)
+    typed = typed_projection(staging, "contracts", keep=("source_table", *extra))
+    return (typed
+            .where((F.coalesce("usage", F.lit(0)) <= USAGE_OUTLIER_BOUND)
+                   & (F.coalesce("usagenet", F.lit(0)) <= USAGE_OUTLIER_BOUND))
+            .select(F.col("id").alias("contract_id"), F.col("productid").alias("product_id"),
+                    "type", "energy", "usage", "usagenet", "createdat", "startdate", "enddate",
+                    "filingdatecancellation", "cancellationreason", "city", "status",
+                    "modificationdate", snapshot_date("source_table").alias("snapshot_date"),
+                    "source_table", *extra))
+
+
 def stage_contracts(staging: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Outlier filter, lineage, newest staged copy per (contract, date), hash."""
     extra = _extra(staging, tiebreak)
-    typed = typed_projection(staging, "contracts", keep=("source_table", *extra))
-    s = (typed
-         .where((F.coalesce("usage", F.lit(0)) <= USAGE_OUTLIER_BOUND)
-                & (F.coalesce("usagenet", F.lit(0)) <= USAGE_OUTLIER_BOUND))
-         .select(F.col("id").alias("contract_id"), F.col("productid").alias("product_id"),
-                 "type", "energy", "usage", "usagenet", "createdat", "startdate", "enddate",
-                 "filingdatecancellation", "cancellationreason", "city", "status",
-                 "modificationdate", snapshot_date("source_table").alias("snapshot_date"),
-                 "source_table", *extra)
-         .withColumn("hash_value", row_hash(*CONTRACT_HASHED)))
+    s = stage_contracts_raw(staging, tiebreak).withColumn("hash_value", row_hash(*CONTRACT_HASHED))
     order = ["source_table", *extra, "hash_value"]
     return latest_per_key(s, ["contract_id", "modificationdate"], order).drop(*extra)
 
