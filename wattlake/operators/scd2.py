@@ -25,6 +25,7 @@ from ..functions.hashing import row_hash, surrogate_key
 from ..functions.lineage import extracted_at, snapshot_date
 from ..schema import INVALID_STATUSES, NO_DATA, OPEN_END, USAGE_OUTLIER_BOUND, typed_projection
 from .dedup import latest_per_key
+from .filters import sentinel_map, validity_flag, within_bound
 
 PRODUCT_COLUMNS = ["product_sk", "product_id", "productcode", "productname", "energy",
                    "consumptiontype", "deleted", "releasedversion", "valid_from", "valid_until",
@@ -118,8 +119,7 @@ def stage_contracts_raw(staging: DataFrame, tiebreak: Sequence[str] | None = Non
     extra = _extra(staging, tiebreak)
     typed = typed_projection(staging, "contracts", keep=("source_table", *extra))
     return (typed
-            .where((F.coalesce("usage", F.lit(0)) <= USAGE_OUTLIER_BOUND)
-                   & (F.coalesce("usagenet", F.lit(0)) <= USAGE_OUTLIER_BOUND))
+            .where(within_bound(["usage", "usagenet"], USAGE_OUTLIER_BOUND))
             .select(F.col("id").alias("contract_id"), F.col("productid").alias("product_id"),
                     "type", "energy", "usage", "usagenet", "createdat", "startdate", "enddate",
                     "filingdatecancellation", "cancellationreason", "city", "status",
@@ -150,8 +150,7 @@ def scd2_contracts(staging: DataFrame, history: DataFrame | None = None,
         surrogate_key("contract_id", "modificationdate").alias("contract_sk"),
         *[c for c in CONTRACT_COLUMNS if c in new.columns and c != "hash_value"],
         F.lit(True).alias("is_current"),
-        F.when(F.col("status").isin(*INVALID_STATUSES), F.lit(False)).otherwise(F.lit(True))
-         .alias("is_valid"),
+        validity_flag("status", INVALID_STATUSES).alias("is_valid"),
         F.col("modificationdate").alias("valid_from"),
         F.lit(OPEN_END).alias("valid_until"),
         _ts(run_ts).alias("inserted_at"),
@@ -203,8 +202,7 @@ def stage_products(staging: DataFrame) -> DataFrame:
     raw = typed.select(
         F.col("id").alias("product_id"), "productcode", "productname", "energy",
         "consumptiontype", "deleted",
-        F.when(F.col("releasedversion") == NO_DATA, F.lit(-1).cast("bigint"))
-         .otherwise(F.col("releasedversion").cast("int").cast("bigint")).alias("releasedversion"),
+        sentinel_map("releasedversion", NO_DATA, -1).alias("releasedversion"),
         "modificationdate", "source_table")
     business = [c for c in raw.columns if c != "source_table"]
     dedup = raw.groupBy(*business).agg(F.max("source_table").alias("source_table"))

@@ -107,6 +107,52 @@ CTE["c_raw"] = _C_RAW.format(src="x_contracts")
 CTE["c_stage"] = _C_STAGE.format(raw="c_raw")
 CTE["c_hist"] = _C_HIST.format(stage="c_stage")
 
+# Incremental cases: loads before July 2001 are the existing history, July
+# and August the new load (the feed's source_table carries the month).
+CTE["c_raw_early"] = _C_RAW.format(src="x_contracts") + " AND source_table < '20010701'"
+CTE["c_raw_late"] = _C_RAW.format(src="x_contracts") + " AND source_table >= '20010701'"
+CTE["c_stage_early"] = _C_STAGE.format(raw="c_raw_early")
+CTE["c_stage_late"] = _C_STAGE.format(raw="c_raw_late")
+CTE["c_hist_early"] = _C_HIST.format(stage="c_stage_early")
+
+# ------------------------------------------------------------------ products history
+# The product merge splits the feed by modification date (1998-01-01):
+# each product's copies all sit in one monthly file, so a month split would
+# never match an existing product.
+_PR_SRC = """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY product_id
+                               ORDER BY modificationdate DESC, source_table DESC NULLS LAST,
+                                        hash_value DESC) AS rn
+  FROM (SELECT *,
+               CASE WHEN regexp_matches(source_table, '^.*_(\\d{{8}})_(\\d{{6}})$')
+                    THEN try_strptime(regexp_replace(source_table, '^.*_(\\d{{8}})_(\\d{{6}})$', '\\1\\2'), '%Y%m%d%H%M%S')
+                    ELSE try_strptime(substr(source_table, 1, 14), '%Y%m%d%H%M%S') END AS extracted_at,
+               md5(concat_ws('::', productcode, productname, energy, consumptiontype, deleted,
+                             releasedversion)) AS hash_value
+        FROM (SELECT product_id, productcode, productname, energy, consumptiontype, deleted,
+                     releasedversion, modificationdate, max(source_table) AS source_table
+              FROM (SELECT id AS product_id, cast(NULL AS varchar) AS productcode, productname, energy,
+                           consumptiontype, cast(deleted AS smallint) AS deleted,
+                           cast(CASE WHEN releasedversion = 'no_data' THEN -1
+                                     ELSE cast(releasedversion AS int) END AS bigint) AS releasedversion,
+                           modificationdate, source_table
+                    FROM x_products {where}) r
+              GROUP BY ALL) d) p) t
+WHERE rn = 1"""
+
+_PR_ROWS = """
+SELECT product_id, productcode, productname, energy, consumptiontype, deleted, releasedversion,
+       modificationdate AS valid_from, DATE '9999-12-31' AS valid_until, true AS is_current,
+       modificationdate, extracted_at, source_table, hash_value
+FROM {src}"""
+
+CTE["pr_src"] = _PR_SRC.format(where="")
+CTE["pr_src_early"] = _PR_SRC.format(where="WHERE modificationdate < DATE '1998-01-01'")
+CTE["pr_src_late"] = _PR_SRC.format(where="WHERE modificationdate >= DATE '1998-01-01'")
+CTE["pr_hist"] = _PR_ROWS.format(src="pr_src")
+CTE["pr_hist_early"] = _PR_ROWS.format(src="pr_src_early")
+
 # ------------------------------------------------------------------ prices history (clean feed)
 _P_RAW = """
 SELECT id AS price_id, cast(productid AS int) AS product_id, pricecomponentid,

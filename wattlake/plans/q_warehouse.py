@@ -16,53 +16,15 @@ from .common import (AS_OF, NEWEST_EXTRACT, SPLIT_TABLE, clean_price_history,
                      clean_price_periods, comparable, contracts_history, mart, products_history,
                      raw_price_history, raw_price_periods, register)
 from .oracle import AS_OF as AS_OF_SQL
-from .oracle import CTE, _C_HIST, _C_RAW, _C_STAGE, _P_PERIODS
+from .oracle import CTE, _P_PERIODS
 
 # Each product's copies all sit in one monthly file of the feed, so the
 # product merge splits by modification date: versions dated before 1998 are
 # the existing history, later ones the new load.
-PRODUCT_SPLIT = _dt.date(1998, 1, 1)
+PRODUCT_SPLIT = _dt.date(1998, 1, 1)  # the oracle CTEs split on the same date
 
 # ------------------------------------------------------------------ oracle CTEs for incremental cases
-CTE["c_raw_early"] = _C_RAW.format(src="x_contracts") + f" AND source_table < '{SPLIT_TABLE}'"
-CTE["c_raw_late"] = _C_RAW.format(src="x_contracts") + f" AND source_table >= '{SPLIT_TABLE}'"
-CTE["c_stage_early"] = _C_STAGE.format(raw="c_raw_early")
-CTE["c_stage_late"] = _C_STAGE.format(raw="c_raw_late")
-CTE["c_hist_early"] = _C_HIST.format(stage="c_stage_early")
-
-_PR_SRC = """
-SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY product_id
-                               ORDER BY modificationdate DESC, source_table DESC NULLS LAST,
-                                        hash_value DESC) AS rn
-  FROM (SELECT *,
-               CASE WHEN regexp_matches(source_table, '^.*_(\\d{{8}})_(\\d{{6}})$')
-                    THEN try_strptime(regexp_replace(source_table, '^.*_(\\d{{8}})_(\\d{{6}})$', '\\1\\2'), '%Y%m%d%H%M%S')
-                    ELSE try_strptime(substr(source_table, 1, 14), '%Y%m%d%H%M%S') END AS extracted_at,
-               md5(concat_ws('::', productcode, productname, energy, consumptiontype, deleted,
-                             releasedversion)) AS hash_value
-        FROM (SELECT product_id, productcode, productname, energy, consumptiontype, deleted,
-                     releasedversion, modificationdate, max(source_table) AS source_table
-              FROM (SELECT id AS product_id, cast(NULL AS varchar) AS productcode, productname, energy,
-                           consumptiontype, cast(deleted AS smallint) AS deleted,
-                           cast(CASE WHEN releasedversion = 'no_data' THEN -1
-                                     ELSE cast(releasedversion AS int) END AS bigint) AS releasedversion,
-                           modificationdate, source_table
-                    FROM x_products {where}) r
-              GROUP BY ALL) d) p) t
-WHERE rn = 1"""
-
-_PR_ROWS = """
-SELECT product_id, productcode, productname, energy, consumptiontype, deleted, releasedversion,
-       modificationdate AS valid_from, DATE '9999-12-31' AS valid_until, true AS is_current,
-       modificationdate, extracted_at, source_table, hash_value
-FROM {src}"""
-
-CTE["pr_src"] = _PR_SRC.format(where="")
-CTE["pr_src_early"] = _PR_SRC.format(where=f"WHERE modificationdate < DATE '{PRODUCT_SPLIT}'")
-CTE["pr_src_late"] = _PR_SRC.format(where=f"WHERE modificationdate >= DATE '{PRODUCT_SPLIT}'")
-CTE["pr_hist"] = _PR_ROWS.format(src="pr_src")
-CTE["pr_hist_early"] = _PR_ROWS.format(src="pr_src_early")
+
 
 
 def _products_early(df: DataFrame) -> DataFrame:

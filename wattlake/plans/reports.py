@@ -12,7 +12,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import IN_DELIVERY, OPEN_END
+from ..operators.filters import active_on, month_before_matches
+from ..schema import IN_DELIVERY
 
 
 def _date(d: _dt.date | Column) -> Column:
@@ -62,9 +63,8 @@ def first_last_change(series: DataFrame, day_col: str, value_col: str) -> DataFr
 
 def count_in_delivery(history: DataFrame, on: _dt.date | Column) -> DataFrame:
     """COUNT(DISTINCT contract_id) in delivery on a date."""
-    d = _date(on)
-    return (history.where((F.col("status") == IN_DELIVERY) & (F.col("startdate") <= d)
-                          & (F.coalesce(F.col("enddate"), F.lit(OPEN_END)) >= d))
+    return (history.where((F.col("status") == IN_DELIVERY)
+                          & active_on("startdate", "enddate", _date(on)))
                    .agg(F.countDistinct("contract_id").alias("contracts_in_delivery")))
 
 
@@ -73,7 +73,7 @@ def new_contracts(history: DataFrame) -> DataFrame:
 
     As coded the year is ignored; ``new_contracts_in_month`` keeps it.
     """
-    return history.where(F.month(F.add_months("snapshot_date", -1)) == F.month("createdat"))
+    return history.where(month_before_matches("snapshot_date", "createdat"))
 
 
 def new_contracts_in_month(history: DataFrame) -> DataFrame:
