@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import q_relational, q_warehouse  # noqa: F401  (register on import)
+from . import q_landing, q_relational, q_warehouse  # noqa: F401  (register on import)
 from .common import NOTES, QUERIES, SQL
 
 

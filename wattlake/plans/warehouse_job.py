@@ -66,7 +66,8 @@ def publish(df: DataFrame, base: str, table: str, version: str, check: bool = Tr
 
 def run(spark: SparkSession, staging: dict[str, DataFrame], warehouse: str, version: str,
         as_of: _dt.date, run_ts: _dt.datetime, previous: dict[str, DataFrame] | None = None,
-        newest_extract: _dt.date | None = None, check: bool = True) -> dict[str, DataFrame]:
+        newest_extract: _dt.date | None = None, check: bool = True,
+        contract_tiebreak: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Build and publish every table; each stage reads its inputs back from storage."""
     previous = previous or {}
     out: dict[str, DataFrame] = {}
@@ -76,7 +77,8 @@ def run(spark: SparkSession, staging: dict[str, DataFrame], warehouse: str, vers
     out["prices"] = publish(scd2.scd2_prices(staging["prices"], previous.get("prices"), run_ts),
                             warehouse, "prices", version, check)
     out["contracts"] = publish(scd2.scd2_contracts(staging["contracts"], previous.get("contracts"),
-                                                   run_ts), warehouse, "contracts", version, check)
+                                                   run_ts, tiebreak=contract_tiebreak),
+                               warehouse, "contracts", version, check)
     pieces = intervals.price_period_split(out["prices"], max_date=newest_extract)
     out["price_periods"] = publish(intervals.price_periods(pieces, run_ts), warehouse,
                                    "price_periods", version, check)

@@ -101,10 +101,11 @@ def typed_projection(df: DataFrame, entity: str, keep: tuple[str, ...] = ("sourc
             continue
         src = F.col(name)
         current = df.schema[name].dataType
+        text = F.nullif(F.trim(src), F.lit(""))  # blank landing cells are missing values
         if isinstance(dtype, T.DateType) and isinstance(current, T.StringType):
-            cols.append(F.to_date(F.trim(src)).alias(name))
+            cols.append(F.to_date(F.substring(text, 1, 10)).alias(name))
         elif isinstance(current, T.StringType) and not isinstance(dtype, T.StringType):
-            cols.append(F.trim(src).cast(dtype).alias(name))
+            cols.append(text.cast(dtype).alias(name))
         else:
             cols.append(src.cast(dtype).alias(name))
     for extra in keep:
