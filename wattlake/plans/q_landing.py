@@ -282,7 +282,8 @@ _D7_FROM, _D7_TO = _dt.date(1995, 3, 1), _dt.date(1995, 6, 1)
 @register("report_csv", f"""
 WITH s AS (SELECT createdat, sum(u_revenue) AS u FROM mart
            WHERE createdat BETWEEN DATE '{_D7_FROM}' AND DATE '{_D7_TO}' GROUP BY createdat),
-     fl AS (SELECT min(createdat) AS fd, arg_min(u, createdat) AS fu, arg_max(u, createdat) AS lu FROM s),
+     fl AS (SELECT min(createdat) AS fd, arg_min_null(u, createdat) AS fu,
+                   arg_max_null(u, createdat) AS lu FROM s),
      c AS (SELECT s.createdat, (s.u + 5000) // 10000 AS cents, (fl.lu + 5000) // 10000 AS last_cents,
                   s.createdat = fl.fd AS is_first,
                   CASE WHEN fl.fu - fl.lu >= 0 THEN (2 * (fl.fu - fl.lu) * 100 + fl.fu) // (2 * fl.fu)
@@ -290,11 +291,12 @@ WITH s AS (SELECT createdat, sum(u_revenue) AS u FROM mart
            FROM s, fl)
 SELECT 'createdat;sum_revenue;;' AS line
 UNION ALL
-SELECT strftime(createdat, '%d.%m.%Y') || ';' || cast(cents // 100 AS varchar) || ','
-       || lpad(cast(cents % 100 AS varchar), 2, '0') || ';'
-       || CASE WHEN is_first THEN cast(last_cents // 100 AS varchar) || ','
-                                  || lpad(cast(last_cents % 100 AS varchar), 2, '0') ELSE '' END || ';'
-       || CASE WHEN is_first THEN cast(pct AS varchar) || '%' ELSE '' END
+SELECT strftime(createdat, '%d.%m.%Y') || ';'
+       || coalesce(cast(cents // 100 AS varchar) || ',' || lpad(cast(cents % 100 AS varchar), 2, '0'), '')
+       || ';'
+       || CASE WHEN is_first THEN coalesce(cast(last_cents // 100 AS varchar) || ','
+                                  || lpad(cast(last_cents % 100 AS varchar), 2, '0'), '') ELSE '' END
+       || ';' || CASE WHEN is_first THEN coalesce(cast(pct AS varchar) || '%', '') ELSE '' END
 FROM c""")
 def q_report_csv(spark: SparkSession, d: str) -> DataFrame:
     """The published report file, written and read back line by line."""

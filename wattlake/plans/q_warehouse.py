@@ -366,7 +366,7 @@ def q_revenue_by_created(spark: SparkSession, d: str) -> DataFrame:
 WITH s AS (SELECT createdat, sum(u_revenue) AS u FROM mart
            WHERE createdat BETWEEN DATE '{_D7_FROM}' AND DATE '{_D7_TO}' GROUP BY createdat),
      fl AS (SELECT min(createdat) AS first_day, max(createdat) AS last_day,
-                   arg_min(u, createdat) AS fu, arg_max(u, createdat) AS lu FROM s)
+                   arg_min_null(u, createdat) AS fu, arg_max_null(u, createdat) AS lu FROM s)
 SELECT first_day, last_day, cast(fu AS double) / 1000000 AS first_value,
        cast(lu AS double) / 1000000 AS last_value,
        cast(CASE WHEN lu - fu >= 0 THEN (2 * (lu - fu) * 1000000 + fu) // (2 * fu)

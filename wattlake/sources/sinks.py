@@ -32,10 +32,13 @@ def report_lines(series: DataFrame, day_col: str = "createdat",
                       / F.nullif(F.col("first_value"), F.lit(0)), 0).cast("int")
     one = summary.select("first_day", "last_value", decline.alias("decline_pct"))
     first = F.col(day_col) == F.col("first_day")
+    blank = F.lit("")
     line = F.concat_ws(
-        ";", F.date_format(day_col, "dd.MM.yyyy"), decimal_comma(F.col(value_col)),
-        F.when(first, decimal_comma(F.col("last_value"))).otherwise(F.lit("")),
-        F.when(first, F.concat(F.col("decline_pct").cast("string"), F.lit("%"))).otherwise(F.lit("")))
+        ";", F.date_format(day_col, "dd.MM.yyyy"),
+        F.coalesce(decimal_comma(F.col(value_col)), blank),
+        F.when(first, F.coalesce(decimal_comma(F.col("last_value")), blank)).otherwise(blank),
+        F.when(first, F.coalesce(F.concat(F.col("decline_pct").cast("string"), F.lit("%")), blank))
+         .otherwise(blank))
     rows = series.crossJoin(F.broadcast(one)).select(F.col(day_col).alias("__day"), line.alias("line"))
     header = series.sparkSession.createDataFrame([(None, HEADER)], "__day date, line string")
     return header.unionByName(rows)
