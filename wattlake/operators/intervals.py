@@ -168,26 +168,34 @@ def price_dedup(periods: DataFrame) -> DataFrame:
                  F.max("workingprice").alias("workingprice")))
 
 
-def contract_breakpoints(contract_input: DataFrame, periods: DataFrame) -> DataFrame:
+def product_price_dates(periods: DataFrame) -> DataFrame:
+    """Per product, the distinct bounds of its newest price periods (one row
+    per product; the array is bounded by that product's price periods)."""
+    bounds = latest_snapshot(periods).select(
+        F.col("product_id").alias("productid"), F.array("valid_from", "valid_until").alias("d"))
+    return bounds.groupBy("productid").agg(
+        F.array_distinct(F.flatten(F.collect_list("d"))).alias("price_dates"))
+
+
+def contract_breakpoints(contract_input: DataFrame, periods: DataFrame,
+                         extra: Sequence[str] = ()) -> DataFrame:
     """Distinct breakpoint dates per (contract, product).
 
-    The correlated LATERAL union is decorrelated: the contract's own dates
-    come from an explode, the price dates from an equi-join of the distinct
-    (contract, product) pairs with the product's period bounds.
+    The correlated LATERAL union is decorrelated into one pass: each
+    contract row is equi-joined to its product's price-date array (a
+    catalogue-sized side that AQE broadcasts once measured) and the own
+    dates plus price dates are exploded, then made distinct.  No union, so
+    the contract distribution carries through.
     """
-    own = contract_input.select(
-        "contract_id", "productid",
-        F.explode(F.array("startdate", "createdat", "enddate")).alias("date_value"))
-    bounds = (latest_snapshot(periods)
-              .select(F.col("product_id").alias("productid"),
-                      F.explode(F.array("valid_from", "valid_until")).alias("date_value"))
-              .distinct())
-    pairs = contract_input.select("contract_id", "productid").distinct()
-    priced = pairs.join(bounds, "productid").select("contract_id", "productid", "date_value")
-    return own.unionByName(priced).where(F.col("date_value").isNotNull()).distinct()
-
-
-def contract_periods(breakpoints: DataFrame) -> DataFrame:
+    dates = F.concat(F.array("startdate", "createdat", "enddate"),
+                     F.coalesce(F.col("price_dates"), F.array().cast("array<date>")))
+    x = contract_input.join(product_price_dates(periods), "productid", "left")
+    return (x.select("contract_id", "productid", *extra, F.explode(dates).alias("date_value"))
+             .where(F.col("date_value").isNotNull())
+             .distinct())
+
+
+def contract_periods(breakpoints: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Consecutive breakpoints of a contract -> [period_start, period_end).
 
     The lead runs per contract only, so products of one contract interleave
@@ -196,7 +204,7 @@ def contract_periods(breakpoints: DataFrame) -> DataFrame:
     """
     w = Window.partitionBy("contract_id").orderBy("date_value", "productid")
     return (breakpoints
-            .select("contract_id", "productid", F.col("date_value").alias("period_start"),
+            .select("contract_id", "productid", *extra, F.col("date_value").alias("period_start"),
                     F.lead("date_value").over(w).alias("period_end"))
             .where(F.col("period_end").isNotNull()
                    & (F.col("period_start") != F.col("period_end"))))

@@ -45,9 +45,14 @@ def contract_input(history: DataFrame) -> DataFrame:
 
     Drops in-delivery rows (and null status), takes usagenet else usage and
     closes open versions at the newest snapshot of (contract, product).
+    That maximum is taken over the peers of the product inside a window on
+    the contract alone (``rangeBetween(0, 0)`` on product_id), so this step
+    and every later one share one hash distribution on contract_id.
     """
     h = history.where(F.col("status") != IN_DELIVERY)
-    newest = F.max("snapshot_date").over(Window.partitionBy("contract_id", "product_id"))
+    same_product = (Window.partitionBy("contract_id").orderBy("product_id")
+                    .rangeBetween(Window.currentRow, Window.currentRow))
+    newest = F.max("snapshot_date").over(same_product)
     return h.select(
         "contract_id", F.col("product_id").alias("productid"), "status",
         F.coalesce("usagenet", "usage").alias("consumption"),
@@ -58,24 +63,44 @@ def contract_input(history: DataFrame) -> DataFrame:
     ).distinct()
 
 
+_HEAD_FIELDS = ["status", "consumption", "startdate", "enddate", "createdat"]
+_HEAD_ORDER = ["createdat", "startdate", "productid", "enddate", "status", "consumption"]
+
+
 def latest_contract(ci: DataFrame) -> DataFrame:
     """The newest-created version of each contract, full tie-break."""
-    return latest_per_key(ci, ["contract_id"],
-                          ["createdat", "startdate", "productid", "enddate", "status",
-                           "consumption"])
+    return latest_per_key(ci, ["contract_id"], _HEAD_ORDER)
+
+
+def with_latest_version(ci: DataFrame, alias: str = "__head") -> DataFrame:
+    """Attach the contract's newest-created version to each of its rows.
+
+    A partition-only window aggregate on contract_id: the same answer as
+    joining :func:`latest_contract` back, without a second pass over ``ci``.
+    """
+    w = Window.partitionBy("contract_id")
+    head = F.max_by(F.struct(*_HEAD_FIELDS), F.struct(*_HEAD_ORDER)).over(w)
+    return ci.withColumn(alias, head)
 
 
 def contract_price_periods(ci: DataFrame, periods_table: DataFrame, as_of: _dt.date | Column,
                            yearly_pieces: bool = True) -> DataFrame:
     """Periods inside the newest version of each contract, priced at their
-    start (I9, C3, C6, B14)."""
-    bp = contract_breakpoints(ci, periods_table)
-    periods = contract_periods(bp)
-    head = latest_contract(ci).drop("productid")
-    inside = (periods.join(head, "contract_id")
-              .where((F.col("period_start") >= F.col("startdate"))
-                     & (F.col("enddate").isNull() | (F.col("period_start") < F.col("enddate")))
-                     & (F.col("period_start") < _date(as_of))))
+    start (I9, C3, C6, B14).
+
+    One linear chain on the contract distribution: latest version attached
+    by window, breakpoints exploded (own dates + the product's price dates),
+    distinct, lead, filter, range join to the (small) price side.
+    """
+    bp = contract_breakpoints(with_latest_version(ci), periods_table, extra=["__head"])
+    periods = contract_periods(bp, extra=["__head"])
+    h = F.col("__head")
+    inside = (periods
+              .where((F.col("period_start") >= h.startdate)
+                     & (h.enddate.isNull() | (F.col("period_start") < h.enddate))
+                     & (F.col("period_start") < _date(as_of)))
+              .select("contract_id", "productid", "period_start", "period_end",
+                      *[h[c].alias(c) for c in _HEAD_FIELDS]))
     priced = range_join_prices(inside, price_dedup(periods_table), yearly_pieces=yearly_pieces)
     return resolve_overlaps(priced, ["contract_id", "productid", "period_start"])
 

@@ -80,25 +80,32 @@ def close_superseded(df: DataFrame, key: str, version: str, current_col: str = "
 
     ``valid_until`` becomes the next version date minus one day.  By default
     only rows still current take part (a late old version is closed against
-    the current one); ``recompute=True`` runs the lead over all versions.
-    Requires (key, version) to be unique.
+    the next *current* one and may overlap closed rows, as coded);
+    ``recompute=True`` runs the lead over all versions.  Requires (key,
+    version) to be unique.
+
+    One window, no split and union: the next current version is the last
+    non-null "current version" among the rows after this one, computed as a
+    running frame in descending order (incremental, not quadratic), so the
+    key's hash distribution survives for the operators downstream.
     """
-    w = Window.partitionBy(key).orderBy(F.col(version))
-    nxt = F.lead(version).over(w)
+    after = (Window.partitionBy(key).orderBy(F.col(version).desc())
+             .rowsBetween(Window.unboundedPreceding, -1))
     if recompute:
+        nxt = F.last(F.col(version), ignorenulls=True).over(after)
         return (df.withColumn("__next", nxt)
                   .withColumn(until_col, F.when(F.col("__next").isNull(), F.lit(OPEN_END))
                               .otherwise(F.date_sub(F.col("__next"), 1)))
                   .withColumn(current_col, F.col("__next").isNull())
                   .drop("__next"))
-    current = df.where(F.col(current_col))
-    closed = df.where(~F.col(current_col))
-    updated = (current.withColumn("__next", nxt)
-               .withColumn(until_col, F.when(F.col("__next").isNull(), F.col(until_col))
-                           .otherwise(F.date_sub(F.col("__next"), 1)))
-               .withColumn(current_col, F.col("__next").isNull())
-               .drop("__next"))
-    return closed.unionByName(updated)
+    cur = F.col(current_col)
+    nxt = F.last(F.when(cur, F.col(version)), ignorenulls=True).over(after)
+    hit = cur & F.col("__next").isNotNull()
+    return (df.withColumn("__next", nxt)
+              .withColumn(until_col, F.when(hit, F.date_sub(F.col("__next"), 1))
+                          .otherwise(F.col(until_col)))
+              .withColumn(current_col, F.when(hit, F.lit(False)).otherwise(cur))
+              .drop("__next"))
 
 
 def insert_ignore(existing: DataFrame | None, new: DataFrame, keys: Sequence[str],
