@@ -150,6 +150,48 @@ def price_periods(pieces: DataFrame, run_ts: _dt.datetime | Column | None = None
         ts.cast("timestamp_ntz").alias("inserted_at"))
 
 
+def price_periods_aligned(pieces: DataFrame,
+                          run_ts: _dt.datetime | Column | None = None) -> DataFrame:
+    """``align=True`` (Q12): base and working pieces intersected.
+
+    Per product the bounds of all pieces cut the timeline into elementary
+    segments [b_i, b_{i+1} - 1]; each segment covered by any piece gets the
+    base and the working price valid on its first day (largest price_id if
+    several).  Works on the catalogue-sized price side only.
+    """
+    ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
+    cuts = (pieces.select("snapshot_date", "product_id",
+                          F.explode(F.array(F.col("period_start"),
+                                            F.date_add("period_end", 1))).alias("cut"))
+                  .distinct())
+    w = Window.partitionBy("snapshot_date", "product_id").orderBy("cut")
+    segs = (cuts.withColumn("__next", F.lead("cut").over(w))
+                .where(F.col("__next").isNotNull())
+                .select("snapshot_date", "product_id", F.col("cut").alias("valid_from"),
+                        F.date_sub("__next", 1).alias("valid_until")))
+    p = pieces.select(F.col("snapshot_date").alias("__s"), F.col("product_id").alias("__p"),
+                      "pricecomponentid", "price_id", "price", "period_start", "period_end")
+    cover = segs.join(p, (F.col("__s") == F.col("snapshot_date")) & (F.col("__p") == F.col("product_id"))
+                      & F.col("valid_from").between(F.col("period_start"), F.col("period_end")))
+    comp = F.col("pricecomponentid")
+
+    def best(component: int) -> Column:
+        hit = comp == component
+        row = F.struct(F.col("price_id").alias("id"), comp.alias("cid"), F.col("price").alias("p"))
+        return F.max_by(F.when(hit, row), F.when(hit, F.col("price_id")))
+
+    g = (cover.groupBy("snapshot_date", "product_id", "valid_from", "valid_until")
+              .agg(best(BASE_COMPONENT).alias("__b"), best(WORKING_COMPONENT).alias("__w")))
+    return g.select(
+        "snapshot_date", F.col("product_id").cast("int").alias("product_id"),
+        F.col("__b.cid").alias("base_pricecomponentid"),
+        F.col("__w.cid").alias("working_pricecomponentid"),
+        F.col("__b.id").alias("base_id"), F.col("__w.id").alias("working_id"),
+        "valid_from", "valid_until",
+        F.col("__b.p").alias("baseprice"), F.col("__w.p").alias("workingprice"),
+        ts.cast("timestamp_ntz").alias("inserted_at"))
+
+
 def latest_snapshot(periods: DataFrame) -> DataFrame:
     """Rows of the newest ``snapshot_date`` (scalar subquery, C8).
 

@@ -471,3 +471,60 @@ def q_column_defaults(spark: SparkSession, d: str) -> DataFrame:
          .cast("bigint").alias("n_open_end"),
         F.sum(F.when(F.col("valid_from") == F.col("modificationdate"), 1).otherwise(0))
          .cast("bigint").alias("n_from_version"))
+
+
+# ------------------------------------------------------------------ options of SURVEY §8
+@register("temp_tables", """
+SELECT contract_id, productid, status, consumption, startdate, enddate, createdat FROM ci_head""")
+def q_temp_tables(spark: SparkSession, d: str) -> DataFrame:
+    """A materialised intermediate used twice (A19): contract_input is
+    checkpointed to the shared checkpoint dir, then read by two consumers."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    ci = revenue.contract_input(contracts_history(spark, d)).checkpoint()
+    head = revenue.latest_contract(ci)
+    return head.join(ci.select("contract_id").distinct(), "contract_id", "left_semi")
+
+
+@register("price_periods_aligned", """
+WITH cuts AS (SELECT DISTINCT snapshot_date, product_id, c AS cut
+              FROM px_pieces, unnest([period_start, cast(period_end + 1 AS date)]) t(c)),
+segs AS (SELECT snapshot_date, product_id, cut AS valid_from, cast(nxt - 1 AS date) AS valid_until
+         FROM (SELECT *, lead(cut) OVER (PARTITION BY snapshot_date, product_id ORDER BY cut) AS nxt
+               FROM cuts) z WHERE nxt IS NOT NULL),
+cover AS (SELECT s.*, p.pricecomponentid, p.price_id, p.price FROM segs s
+          JOIN px_pieces p ON s.product_id = p.product_id AND s.snapshot_date = p.snapshot_date
+                          AND s.valid_from BETWEEN p.period_start AND p.period_end)
+SELECT snapshot_date, product_id,
+       CASE WHEN max(price_id) FILTER (WHERE pricecomponentid = 1) IS NOT NULL THEN 1 END AS base_pricecomponentid,
+       CASE WHEN max(price_id) FILTER (WHERE pricecomponentid = 2) IS NOT NULL THEN 2 END AS working_pricecomponentid,
+       max(price_id) FILTER (WHERE pricecomponentid = 1) AS base_id,
+       max(price_id) FILTER (WHERE pricecomponentid = 2) AS working_id,
+       valid_from, valid_until,
+       cast(arg_max(price, price_id) FILTER (WHERE pricecomponentid = 1) AS double) AS baseprice,
+       cast(arg_max(price, price_id) FILTER (WHERE pricecomponentid = 2) AS double) AS workingprice
+FROM cover GROUP BY snapshot_date, product_id, valid_from, valid_until""")
+def q_price_periods_aligned(spark: SparkSession, d: str) -> DataFrame:
+    """``align=True``: unaligned base and working pieces intersected (Q12)."""
+    pieces = intervals.price_period_split(raw_price_history(spark, d), max_date=NEWEST_EXTRACT)
+    return comparable(intervals.price_periods_aligned(pieces))
+
+
+@register("average_revenue_by_created", f"""
+SELECT createdat,
+       cast((2 * sum(u_revenue) + count(u_revenue)) // (2 * count(u_revenue)) AS double) / 1000000 AS avg_revenue,
+       avg(consumption) AS avg_consumption
+FROM mart WHERE createdat BETWEEN DATE '{_D7_FROM}' AND DATE '{_D7_TO}'
+GROUP BY createdat""")
+def q_average_revenue_by_created(spark: SparkSession, d: str) -> DataFrame:
+    """The README question read literally: average, not sum (Q24)."""
+    return comparable(reports.average_revenue_by_created(mart(spark, d), _D7_FROM, _D7_TO))
+
+
+@register("new_contracts_in_month", f"""
+SELECT {_HIST_COLS} FROM c_hist
+WHERE month(snapshot_date - INTERVAL 1 MONTH) = month(createdat)
+  AND year(snapshot_date - INTERVAL 1 MONTH) = year(createdat)""")
+def q_new_contracts_in_month(spark: SparkSession, d: str) -> DataFrame:
+    """Year-aware variant of new_contracts (Q24)."""
+    return comparable(reports.new_contracts_in_month(contracts_history(spark, d)))

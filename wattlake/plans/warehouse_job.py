@@ -14,6 +14,7 @@ import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import checks, intervals, revenue, scd2
 from ..schema import NOT_NULL, TABLE_KEYS
@@ -59,7 +60,8 @@ def publish(df: DataFrame, base: str, table: str, version: str, check: bool = Tr
     path = f"{base.rstrip('/')}/{table}/v={version}"
     writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        # Only the partitions present in df are replaced (Q32 keep_snapshots).
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -67,8 +69,14 @@ def publish(df: DataFrame, base: str, table: str, version: str, check: bool = Tr
 def run(spark: SparkSession, staging: dict[str, DataFrame], warehouse: str, version: str,
         as_of: _dt.date, run_ts: _dt.datetime, previous: dict[str, DataFrame] | None = None,
         newest_extract: _dt.date | None = None, check: bool = True,
-        contract_tiebreak: Sequence[str] | None = None) -> dict[str, DataFrame]:
-    """Build and publish every table; each stage reads its inputs back from storage."""
+        contract_tiebreak: Sequence[str] | None = None,
+        keep_snapshots: bool = False) -> dict[str, DataFrame]:
+    """Build and publish every table; each stage reads its inputs back from storage.
+
+    ``keep_snapshots=True`` (Q32) keeps earlier snapshots of price periods and
+    the mart: both are partitioned by snapshot date and only the current
+    snapshot's partition is replaced (the mart by its as-of date).
+    """
     previous = previous or {}
     out: dict[str, DataFrame] = {}
     if "products" in staging:
@@ -80,9 +88,14 @@ def run(spark: SparkSession, staging: dict[str, DataFrame], warehouse: str, vers
                                                    run_ts, tiebreak=contract_tiebreak),
                                warehouse, "contracts", version, check)
     pieces = intervals.price_period_split(out["prices"], max_date=newest_extract)
+    by_snapshot = ["snapshot_date"] if keep_snapshots else None
     out["price_periods"] = publish(intervals.price_periods(pieces, run_ts), warehouse,
-                                   "price_periods", version, check)
+                                   "price_periods", "all" if keep_snapshots else version, check,
+                                   partition_by=by_snapshot)
+    mart = revenue.contract_revenue(out["contracts"], out["price_periods"], as_of, run_ts)
+    if keep_snapshots:
+        mart = mart.withColumn("as_of_date", F.lit(as_of))
     out["contract_price_enriched"] = publish(
-        revenue.contract_revenue(out["contracts"], out["price_periods"], as_of, run_ts),
-        warehouse, "contract_price_enriched", version, check)
+        mart, warehouse, "contract_price_enriched", "all" if keep_snapshots else version, check,
+        partition_by=["as_of_date"] if keep_snapshots else None)
     return out

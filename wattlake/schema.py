@@ -87,11 +87,14 @@ def staging_struct(entity: str) -> T.StructType:
                         + [T.StructField("source_table", T.StringType(), True)])
 
 
-def typed_projection(df: DataFrame, entity: str, keep: tuple[str, ...] = ("source_table",)) -> DataFrame:
+def typed_projection(df: DataFrame, entity: str, keep: tuple[str, ...] = ("source_table",),
+                     missing_as_null: bool = False) -> DataFrame:
     """Cast every contract column; absent optional columns become typed nulls.
 
     Text timestamps such as ``2020-08-27`` or ``2020-08-27 00:00:00`` are both
     accepted for dates (the staging view casts through TIMESTAMP first).
+    A ``no_data`` fill in a non-text column fails the cast, as coded;
+    ``missing_as_null=True`` (Q28) reads it as null instead.
     """
     present = set(df.columns)
     cols: list[Column] = []
@@ -102,6 +105,8 @@ def typed_projection(df: DataFrame, entity: str, keep: tuple[str, ...] = ("sourc
         src = F.col(name)
         current = df.schema[name].dataType
         text = F.nullif(F.trim(src), F.lit(""))  # blank landing cells are missing values
+        if missing_as_null and not isinstance(dtype, T.StringType):
+            text = F.when(text == NO_DATA, F.lit(None).cast("string")).otherwise(text)
         if isinstance(dtype, T.DateType) and isinstance(current, T.StringType):
             cols.append(F.to_date(F.substring(text, 1, 10)).alias(name))
         elif isinstance(current, T.StringType) and not isinstance(dtype, T.StringType):

@@ -94,7 +94,8 @@ def write_staging(staged: DataFrame, root: str, entity: str) -> None:
            .partitionBy("load_id", "source_table").parquet(f"{root.rstrip('/')}/{entity}"))
 
 
-def staging_view(spark: SparkSession, root: str, entity: str, load_id: str) -> DataFrame:
+def staging_view(spark: SparkSession, root: str, entity: str, load_id: str,
+                 missing_as_null: bool = False) -> DataFrame:
     """Typed rows of one load (A13): a pruned read of the load's partitions.
 
     The schema is given (contract columns as text), so extra columns of
@@ -109,7 +110,7 @@ def staging_view(spark: SparkSession, root: str, entity: str, load_id: str) -> D
     except Exception:  # noqa: BLE001 - no partition of this entity yet: empty typed load (Q31)
         raw = spark.createDataFrame([], schema)
     raw = raw.where(F.col("load_id") == load_id)
-    return typed_projection(raw, entity)
+    return typed_projection(raw, entity, missing_as_null=missing_as_null)
 
 
 def load_log(plan: DataFrame, staging_root: str, spark: SparkSession, load_id: str) -> DataFrame:
