@@ -58,7 +58,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc_dir:
         spark.conf.set("spark.checkpoint.dir", sc_dir)
         return sc_dir
-    local = tempfile.mkdtemp(prefix="wattlake-ckpt-")
+    master = spark.sparkContext.master or ""
+    if not master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: point it at shared storage "
+                           "(scratch tables and checkpoints must survive executor loss)")
+    local = tempfile.mkdtemp(prefix="wattlake-ckpt-")  # local mode only (tests, bench)
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
