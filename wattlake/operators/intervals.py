@@ -210,6 +210,37 @@ def price_dedup(periods: DataFrame) -> DataFrame:
                  F.max("workingprice").alias("workingprice")))
 
 
+def effective_prices(dedup: DataFrame) -> DataFrame:
+    """Non-overlapping price segments with the overlap rule applied (Q19).
+
+    Each product's timeline is cut at every period bound; a segment lies
+    wholly inside or outside each period, and takes the prices of the
+    covering period with the latest valid_from, then valid_until - the
+    row the mart keeps when several periods match one start.  Done on the
+    catalogue-sized price side, so the contract side's range join matches
+    at most one row and needs no dedup.  Keeps ``__pf``/``__pu``, the chosen
+    period's bounds.
+    """
+    cuts = (dedup.select("product_id", F.explode(F.array(
+                F.col("valid_from"), F.date_add("valid_until", 1))).alias("cut"))
+                 .distinct())
+    w = Window.partitionBy("product_id").orderBy("cut")
+    segs = (cuts.withColumn("__next", F.lead("cut").over(w)).where(F.col("__next").isNotNull())
+                .select(F.col("product_id").alias("__sp"), F.col("cut").alias("seg_from"),
+                        F.date_sub("__next", 1).alias("seg_until")))
+    cover = segs.join(dedup, (F.col("__sp") == F.col("product_id"))
+                      & F.col("seg_from").between(F.col("valid_from"), F.col("valid_until"))
+                      & (F.year("seg_from") == F.year("valid_from")))
+    best = (cover.groupBy("product_id", "seg_from", "seg_until")
+                 .agg(F.max_by(F.struct("baseprice", "workingprice", "valid_from", "valid_until"),
+                               F.struct("valid_from", "valid_until")).alias("b")))
+    return best.select("product_id", F.col("seg_from").alias("valid_from"),
+                       F.col("seg_until").alias("valid_until"),
+                       F.col("b.baseprice").alias("baseprice"),
+                       F.col("b.workingprice").alias("workingprice"),
+                       F.col("b.valid_from").alias("__pf"), F.col("b.valid_until").alias("__pu"))
+
+
 def product_price_dates(periods: DataFrame) -> DataFrame:
     """Per product, the distinct bounds of its newest price periods (one row
     per product; the array is bounded by that product's price periods)."""
@@ -259,22 +290,23 @@ def range_join_prices(periods: DataFrame, prices: DataFrame, yearly_pieces: bool
     ``product = product AND start BETWEEN valid_from AND valid_until``.  With
     ``yearly_pieces`` the year of the start must equal the year of
     valid_from, which holds for pieces from :func:`split_yearly` and turns the
-    range into an equi key plus a small residual.  Adds ``__pf``/``__pu``
-    (the matched bounds) for overlap resolution.
+    range into an equi key plus a small residual.  With non-overlapping
+    prices (:func:`effective_prices`) each period matches at most one row.
     """
-    p = prices.select(F.col("product_id").alias("__pid"), F.col("valid_from").alias("__pf"),
-                      F.col("valid_until").alias("__pu"), "baseprice", "workingprice")
+    p = prices.select(F.col("product_id").alias("__pid"), F.col("valid_from").alias("__vf"),
+                      F.col("valid_until").alias("__vu"), "baseprice", "workingprice")
     cond = ((F.col("productid") == F.col("__pid"))
-            & F.col(start_col).between(F.col("__pf"), F.col("__pu")))
+            & F.col(start_col).between(F.col("__vf"), F.col("__vu")))
     if yearly_pieces:
-        p = p.withColumn("__py", F.year("__pf"))
+        p = p.withColumn("__py", F.year("__vf"))
         periods = periods.withColumn("__sy", F.year(start_col))
         cond = cond & (F.col("__sy") == F.col("__py"))
     joined = periods.join(p, cond, "left")
-    return joined.drop("__pid", "__py", "__sy")
+    return joined.drop("__pid", "__py", "__sy", "__vf", "__vu")
 
 
-def resolve_overlaps(joined: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keep one match per key: latest valid_from, then latest valid_until (Q19)."""
-    return latest_per_key(joined, keys, ["__pf", "__pu"]).drop("__pf", "__pu")
+def resolve_overlaps(joined: DataFrame, keys: Sequence[str], from_col: str, until_col: str) -> DataFrame:
+    """Keep one match per key: latest valid_from, then latest valid_until (Q19),
+    for joins against prices that may overlap."""
+    return latest_per_key(joined, keys, [from_col, until_col])
 

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from ..functions.dates import add_years, days_between
 from ..schema import IN_DELIVERY, OPEN_END
 from .dedup import latest_per_key
-from .intervals import (contract_breakpoints, contract_periods, price_dedup, range_join_prices,
-                        resolve_overlaps)
+from .intervals import (contract_breakpoints, contract_periods, effective_prices, price_dedup,
+                        range_join_prices)
 
 MART_COLUMNS = ["contract_id", "productid", "period_start", "period_end", "status", "consumption",
                 "startdate", "enddate", "createdat", "baseprice", "workingprice",
@@ -90,7 +90,8 @@ def contract_price_periods(ci: DataFrame, periods_table: DataFrame, as_of: _dt.d
 
     One linear chain on the contract distribution: latest version attached
     by window, breakpoints exploded (own dates + the product's price dates),
-    distinct, lead, filter, range join to the (small) price side.
+    distinct, lead, filter, range join to the (small) price side, whose
+    overlaps were resolved beforehand so each period gets at most one price.
     """
     bp = contract_breakpoints(with_latest_version(ci), periods_table, extra=["__head"])
     periods = contract_periods(bp, extra=["__head"])
@@ -101,8 +102,8 @@ def contract_price_periods(ci: DataFrame, periods_table: DataFrame, as_of: _dt.d
                      & (F.col("period_start") < _date(as_of)))
               .select("contract_id", "productid", "period_start", "period_end",
                       *[h[c].alias(c) for c in _HEAD_FIELDS]))
-    priced = range_join_prices(inside, price_dedup(periods_table), yearly_pieces=yearly_pieces)
-    return resolve_overlaps(priced, ["contract_id", "productid", "period_start"])
+    prices = effective_prices(price_dedup(periods_table)).drop("__pf", "__pu")
+    return range_join_prices(inside, prices, yearly_pieces=yearly_pieces)
 
 
 def prorate(cpp: DataFrame, as_of: _dt.date | Column,
