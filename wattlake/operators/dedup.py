@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _ORD = "__ord"
@@ -46,8 +46,21 @@ def dedup_max_lineage(df: DataFrame, business_cols: Sequence[str],
 
 
 def window_max(df: DataFrame, partition: Sequence[str], col: str, alias: str) -> DataFrame:
-    """``MAX(col) OVER (PARTITION BY partition)`` with no ordering."""
-    return df.withColumn(alias, F.max(col).over(Window.partitionBy(*partition)))
+    """``MAX(col) OVER (PARTITION BY partition)`` with no ordering.
+
+    Computed as a partial aggregate joined back (null keys match null keys,
+    as window partitions do): a key holding a large share of the rows is
+    combined map-side, and the join back is one AQE can split or broadcast,
+    where a window would hand the whole group to one task.
+    """
+    keys = list(partition)
+    agg = df.groupBy(*keys).agg(F.max(col).alias(alias))
+    agg = agg.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], alias)
+    cond = None
+    for i, k in enumerate(keys):
+        c = df[k].eqNullSafe(agg[f"__k{i}"])
+        cond = c if cond is None else cond & c
+    return df.join(agg, cond, "left").drop(*[f"__k{i}" for i in range(len(keys))])
 
 
 def any_per_key(df: DataFrame, keys: Sequence[str], lineage_col: str = "source_table",

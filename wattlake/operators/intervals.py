@@ -242,12 +242,17 @@ def effective_prices(dedup: DataFrame) -> DataFrame:
 
 
 def product_price_dates(periods: DataFrame) -> DataFrame:
-    """Per product, the distinct bounds of its newest price periods (one row
-    per product; the array is bounded by that product's price periods)."""
-    bounds = latest_snapshot(periods).select(
-        F.col("product_id").alias("productid"), F.array("valid_from", "valid_until").alias("d"))
-    return bounds.groupBy("productid").agg(
-        F.array_distinct(F.flatten(F.collect_list("d"))).alias("price_dates"))
+    """Per product, the distinct bounds of its newest price periods.
+
+    (product, date) pairs are made distinct first (a partial aggregate), so
+    the array collected per product holds distinct days only: bounded by the
+    calendar even for a product owning a large share of the price table.
+    """
+    bounds = (latest_snapshot(periods)
+              .select(F.col("product_id").alias("productid"),
+                      F.explode(F.array("valid_from", "valid_until")).alias("d"))
+              .distinct())
+    return bounds.groupBy("productid").agg(F.collect_list("d").alias("price_dates"))
 
 
 def contract_breakpoints(contract_input: DataFrame, periods: DataFrame,
