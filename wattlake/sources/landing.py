@@ -220,8 +220,9 @@ def read_rules(spark: SparkSession, rules_dir: str) -> DataFrame:
     pass_as_null.  A document holding only a delimiter gives one row with a
     null target.
     """
-    raw = (spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-           .text(rules_dir).select(F.col("_metadata.file_name").alias("rules_file"), "value"))
+    raw = (spark.read.option("recursiveFileLookup", "true")
+           .text(rules_dir, wholetext=True)
+           .select(F.col("_metadata.file_name").alias("rules_file"), "value"))
     single = F.col("rules_file").rlike(r"^matching_.*\.json$")
     per_file = raw.where(single).select(
         F.concat(F.regexp_extract("rules_file", r"^matching_(.*)\.json$", 1), F.lit(".csv"))
