@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import year_end, yearly_step
 from ..schema import BASE_COMPONENT, OPEN_END, WORKING_COMPONENT
 from .dedup import latest_per_key
+from .joins import maybe_broadcast, rows_at_most
 
 PRICE_PERIOD_COLUMNS = ["snapshot_date", "product_id", "base_pricecomponentid",
                         "working_pricecomponentid", "base_id", "working_id", "valid_from",
@@ -256,18 +257,22 @@ def product_price_dates(periods: DataFrame) -> DataFrame:
 
 
 def contract_breakpoints(contract_input: DataFrame, periods: DataFrame,
-                         extra: Sequence[str] = ()) -> DataFrame:
+                         extra: Sequence[str] = (), small_prices: bool | None = None) -> DataFrame:
     """Distinct breakpoint dates per (contract, product).
 
     The correlated LATERAL union is decorrelated into one pass: each
-    contract row is equi-joined to its product's price-date array (a
-    catalogue-sized side that AQE broadcasts once measured) and the own
-    dates plus price dates are exploded, then made distinct.  No union, so
-    the contract distribution carries through.
+    contract row is equi-joined to its product's price-date array (one row
+    per product; broadcast when the price periods pass a bounded row count,
+    which bounds the lookup too, else a shuffle join) and the own dates plus price
+    dates are exploded, then made distinct.  No union, so the contract
+    distribution carries through.
     """
     dates = F.concat(F.array("startdate", "createdat", "enddate"),
                      F.coalesce(F.col("price_dates"), F.array().cast("array<date>")))
-    x = contract_input.join(product_price_dates(periods), "productid", "left")
+    if small_prices is None:
+        small_prices = rows_at_most(periods)
+    lookup = maybe_broadcast(product_price_dates(periods), small_prices)
+    x = contract_input.join(lookup, "productid", "left")
     return (x.select("contract_id", "productid", *extra, F.explode(dates).alias("date_value"))
              .where(F.col("date_value").isNotNull())
              .distinct())
@@ -289,7 +294,7 @@ def contract_periods(breakpoints: DataFrame, extra: Sequence[str] = ()) -> DataF
 
 
 def range_join_prices(periods: DataFrame, prices: DataFrame, yearly_pieces: bool = True,
-                      start_col: str = "period_start") -> DataFrame:
+                      start_col: str = "period_start", small_prices: bool | None = None) -> DataFrame:
     """Left join each period to the price valid at its start.
 
     ``product = product AND start BETWEEN valid_from AND valid_until``.  With
@@ -306,7 +311,8 @@ def range_join_prices(periods: DataFrame, prices: DataFrame, yearly_pieces: bool
         p = p.withColumn("__py", F.year("__vf"))
         periods = periods.withColumn("__sy", F.year(start_col))
         cond = cond & (F.col("__sy") == F.col("__py"))
-    joined = periods.join(p, cond, "left")
+    small = rows_at_most(prices) if small_prices is None else small_prices
+    joined = periods.join(maybe_broadcast(p, small), cond, "left")
     return joined.drop("__pid", "__py", "__sy", "__vf", "__vu")
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import add_years, days_between
 from ..schema import IN_DELIVERY, OPEN_END
 from .dedup import latest_per_key
+from .joins import DEFAULT_MAX_ROWS, rows_at_most
 from .intervals import (contract_breakpoints, contract_periods, effective_prices, price_dedup,
                         range_join_prices)
 
@@ -93,7 +94,12 @@ def contract_price_periods(ci: DataFrame, periods_table: DataFrame, as_of: _dt.d
     distinct, lead, filter, range join to the (small) price side, whose
     overlaps were resolved beforehand so each period gets at most one price.
     """
-    bp = contract_breakpoints(with_latest_version(ci), periods_table, extra=["__head"])
+    # One bounded count of the price periods bounds both price-side lookups
+    # (one row per product; at most two segments per period), so both are
+    # broadcast behind this single check or both stay shuffle joins.
+    small = rows_at_most(periods_table, DEFAULT_MAX_ROWS // 2)
+    bp = contract_breakpoints(with_latest_version(ci), periods_table, extra=["__head"],
+                              small_prices=small)
     periods = contract_periods(bp, extra=["__head"])
     h = F.col("__head")
     inside = (periods
@@ -103,7 +109,7 @@ def contract_price_periods(ci: DataFrame, periods_table: DataFrame, as_of: _dt.d
               .select("contract_id", "productid", "period_start", "period_end",
                       *[h[c].alias(c) for c in _HEAD_FIELDS]))
     prices = effective_prices(price_dedup(periods_table)).drop("__pf", "__pu")
-    return range_join_prices(inside, prices, yearly_pieces=yearly_pieces)
+    return range_join_prices(inside, prices, yearly_pieces=yearly_pieces, small_prices=small)
 
 
 def prorate(cpp: DataFrame, as_of: _dt.date | Column,

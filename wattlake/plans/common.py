@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import intervals, revenue, scd2
+from ..session import scratch_path
 from ..sources.adapters import x_contracts, x_prices, x_prices_clean, x_products
 from .oracle import with_ctes
 
@@ -65,14 +66,23 @@ def raw_price_history(spark: SparkSession, d: str) -> DataFrame:
     return scd2.scd2_prices(x_prices(spark, d))
 
 
+def published(df: DataFrame) -> DataFrame:
+    """Write to a fresh folder under the shared checkpoint dir and read back,
+    as the warehouse job publishes a table: consumers scan the files instead
+    of recomputing the plan per branch, and lineage is cut."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def clean_price_periods(spark: SparkSession, d: str) -> DataFrame:
     pieces = intervals.price_period_split(clean_price_history(spark, d), max_date=NEWEST_EXTRACT)
-    return intervals.price_periods(pieces)
+    return published(intervals.price_periods(pieces))
 
 
 def raw_price_periods(spark: SparkSession, d: str) -> DataFrame:
     pieces = intervals.price_period_split(raw_price_history(spark, d), max_date=NEWEST_EXTRACT)
-    return intervals.price_periods(pieces)
+    return published(intervals.price_periods(pieces))
 
 
 def mart(spark: SparkSession, d: str) -> DataFrame:
