@@ -126,3 +126,12 @@ def test_load_run_twice_adds_nothing(spark):
     h2 = scd2.scd2_contracts(c, history=h1)
     keep = ["contract_id", "modificationdate", "valid_until", "is_current"]
     assert sorted(h1.select(keep).collect()) == sorted(h2.select(keep).collect())
+
+
+def test_text_dates_are_month_first(spark):
+    from wattlake.plans import reports
+    df = spark.createDataFrame([(dt.date(2020, 10, 1), 1), (dt.date(2020, 1, 10), 2)],
+                               "createdat date, revenue int")
+    df = df.withColumn("consumption", F.lit(1))
+    got = [r.createdat for r in reports.revenue_by_created(df, "10.01.2020", "01.01.2021").collect()]
+    assert got == [dt.date(2020, 10, 1)]

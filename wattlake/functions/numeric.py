@@ -1,10 +1,12 @@
 """Exact decimal arithmetic for proration.
 
-Spark decimal division keeps at least 6 fractional digits, and with wide
-operands it drops scale before the caller rounds.  Inputs are therefore
-narrowed first (prices to ``decimal(28,10)``, day counts to
-``decimal(7,0)``, which holds any date difference), products are taken
-before quotients, and every result is rounded once, half away from zero.
+Spark keeps at least 6 fractional digits in a decimal quotient and, when
+operands are wide, drops scale before the caller rounds.  So inputs are
+narrowed first - prices to ``decimal(18,10)`` (prices below 10^8 with up to
+ten decimals), day counts to ``decimal(6,0)`` or ``decimal(7,0)`` for sums,
+quantities (INT) to ``decimal(10,0)`` - products are taken before quotients, and
+each quotient keeps at least 12 digits before the single final rounding,
+half away from zero.
 """
 
 from __future__ import annotations
@@ -12,33 +14,36 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PRICE_ARITH = "decimal(28,10)"
-DAYS = "decimal(7,0)"
-QTY = "decimal(12,0)"
+PRICE = "decimal(18,10)"
+DAYS = "decimal(6,0)"
+TOTAL_DAYS = "decimal(7,0)"
+QTY = "decimal(10,0)"  # consumption is an INT
 
 
 def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def nullif_zero(c: str | Column) -> Column:
-    return F.nullif(col_(c), F.lit(0))
+def nullif_zero(c: Column) -> Column:
+    return F.nullif(c, F.lit(0))
 
 
-def ratio(num: str | Column, den: str | Column, scale: int = 6) -> Column:
-    """round(num / nullif(den, 0), scale) on exact decimals."""
-    n = col_(num).cast(DAYS)
-    d = nullif_zero(col_(den).cast(DAYS))
-    return F.round(n / d, scale)
+def day_share(days: str | Column, total: str | Column, scale: int = 6) -> Column:
+    """round(days / nullif(total, 0), scale): a quotient of two day counts."""
+    return F.round(col_(days).cast(DAYS).cast("decimal(16,10)")
+                   / nullif_zero(col_(total).cast(TOTAL_DAYS)), scale)
 
 
-def scaled_share(amount: str | Column, part: str | Column, whole: str | Column,
+def amount_share(amount: str | Column, days: str | Column, total: str | Column,
                  scale: int = 6) -> Column:
-    """round(amount * part / nullif(whole, 0), scale), multiplying first."""
-    a = col_(amount).cast(PRICE_ARITH)
-    return F.round(a * col_(part).cast(DAYS) / nullif_zero(col_(whole).cast(DAYS)), scale)
+    """round(amount * days / nullif(total, 0), scale), multiplying first."""
+    return F.round(col_(amount).cast(PRICE) * col_(days).cast(DAYS)
+                   / nullif_zero(col_(total).cast(TOTAL_DAYS)), scale)
 
 
-def to_double(c: str | Column) -> Column:
-    """Decimal -> DOUBLE (nearest double of the exact decimal)."""
-    return col_(c).cast("double")
+def per_year_of_days(qty_days: Column, scale: int = 6, amount: Column | None = None,
+                     divisor: int = 365) -> Column:
+    """round([amount *] qty_days / divisor, scale); qty_days is an exact integer."""
+    if amount is None:
+        return F.round(qty_days.cast("decimal(26,10)") / F.lit(divisor).cast("decimal(5,0)"), scale)
+    return F.round(amount.cast(PRICE) * qty_days / F.lit(divisor).cast("decimal(5,0)"), scale)

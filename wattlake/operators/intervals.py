@@ -23,15 +23,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import year_end, yearly_step
-from ..schema import BASE_COMPONENT, OPEN_END, WORKING_COMPONENT
+from ..schema import BASE_COMPONENT, WORKING_COMPONENT
 from .dedup import latest_per_key
 from .joins import maybe_broadcast, rows_at_most
 
-PRICE_PERIOD_COLUMNS = ["snapshot_date", "product_id", "base_pricecomponentid",
-                        "working_pricecomponentid", "base_id", "working_id", "valid_from",
-                        "valid_until", "baseprice", "workingprice", "inserted_at"]
-
-
 def _date_value(d: _dt.date | Column | None) -> Column | None:
     if d is None:
         return None
@@ -314,10 +309,3 @@ def range_join_prices(periods: DataFrame, prices: DataFrame, yearly_pieces: bool
     small = rows_at_most(prices) if small_prices is None else small_prices
     joined = periods.join(maybe_broadcast(p, small), cond, "left")
     return joined.drop("__pid", "__py", "__sy", "__vf", "__vu")
-
-
-def resolve_overlaps(joined: DataFrame, keys: Sequence[str], from_col: str, until_col: str) -> DataFrame:
-    """Keep one match per key: latest valid_from, then latest valid_until (Q19),
-    for joins against prices that may overlap."""
-    return latest_per_key(joined, keys, [from_col, until_col])
-

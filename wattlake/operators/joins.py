@@ -17,16 +17,6 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
-
-    The check runs at most ``max_rows + 1`` rows through the plan, so a large
-    side costs a bounded scan before falling back to a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def rows_at_most(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (bounded count)."""
     return df.limit(max_rows + 1).count() <= max_rows

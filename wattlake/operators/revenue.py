@@ -15,6 +15,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import numeric as N
 from ..functions.dates import add_years, days_between
 from ..schema import IN_DELIVERY, OPEN_END
 from .dedup import latest_per_key
@@ -29,14 +30,6 @@ MART_COLUMNS = ["contract_id", "productid", "period_start", "period_end", "statu
                 "base_cost", "variable_cost", "weighted_consumption", "consumption_share",
                 "revenue", "baseprice_total_due", "inserted_at"]
 
-# Arithmetic types: prices narrowed from decimal(38,10) so that products fit
-# without Spark dropping scale, day counts as small integers.
-_PRICE = "decimal(18,10)"
-_DAYS = "decimal(6,0)"
-_TOTAL = "decimal(7,0)"
-_QTY = "decimal(16,0)"
-
-
 def _date(d: _dt.date | Column) -> Column:
     return d if isinstance(d, Column) else F.lit(d)
 
@@ -140,32 +133,25 @@ def prorate(cpp: DataFrame, as_of: _dt.date | Column,
     y = (b.withColumn("total_days_in_year", F.sum("days_in_period").over(year))
           .withColumn("__year_bp", F.max("baseprice").over(year)))
 
-    days = F.col("days_in_period").cast(_DAYS)
-    total = F.nullif(F.col("total_days_in_year").cast(_TOTAL), F.lit(0))
-    qty = F.col("consumption").cast(_QTY)
-    wp = F.coalesce(F.col("workingprice"), F.lit(0)).cast(_PRICE)
-    usage_days = qty * days  # exact integer product
+    days = F.col("days_in_period")
+    total = F.col("total_days_in_year")
+    qty = F.col("consumption").cast(N.QTY)
+    usage_days = qty * days.cast(N.DAYS)  # exact integer product
+    wp = F.coalesce(F.col("workingprice"), F.lit(0))
     out = (y
-           .withColumn("period_share",
-                       F.round(days.cast("decimal(16,10)") / total, 6).cast("decimal(12,6)"))
-           .withColumn("base_cost",
-                       F.round(F.col("__year_bp").cast(_PRICE) * days / total, 6)
-                       .cast("decimal(18,6)"))
+           .withColumn("period_share", N.day_share(days, total).cast("decimal(12,6)"))
+           .withColumn("base_cost", N.amount_share("__year_bp", days, total).cast("decimal(18,6)"))
            .withColumn("variable_cost",
-                       F.round(wp * usage_days / F.lit(36500).cast("decimal(5,0)"), 6)
-                       .cast("decimal(18,6)"))
-           .withColumn("weighted_consumption",
-                       F.round(usage_days.cast("decimal(26,10)") / F.lit(365).cast("decimal(3,0)"), 6)
+                       N.per_year_of_days(usage_days, amount=wp, divisor=36500)
                        .cast("decimal(18,6)"))
+           .withColumn("weighted_consumption", N.per_year_of_days(usage_days).cast("decimal(18,6)"))
            .withColumn("consumption_share",
-                       F.when(qty != 0, F.round(days.cast("decimal(16,10)")
-                                                / F.lit(365).cast("decimal(3,0)"), 6))
-                       .cast("decimal(12,6)"))
+                       F.when(qty != 0, N.day_share(days, F.lit(365))).cast("decimal(12,6)"))
            .withColumn("revenue", F.round(F.col("base_cost") + F.col("variable_cost"), 6)
                        .cast("decimal(18,6)"))
            .withColumn("baseprice_total_due",
                        F.round(F.col("total_contract_years").cast("decimal(10,0)")
-                               * F.col("baseprice").cast(_PRICE), 2).cast("decimal(18,2)"))
+                               * F.col("baseprice").cast(N.PRICE), 2).cast("decimal(18,2)"))
            .withColumn("inserted_at", (run_ts if isinstance(run_ts, Column) else F.lit(run_ts))
                        .cast("timestamp_ntz")))
     return out.select(*MART_COLUMNS)

@@ -17,7 +17,6 @@ from __future__ import annotations
 import re
 
 AS_OF = "DATE '2001-08-01'"
-OPEN = "DATE '9999-12-31'"
 
 CTE: dict[str, str] = {}
 

@@ -12,12 +12,18 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import parse_month_first
 from ..operators.filters import active_on, month_before_matches
 from ..schema import IN_DELIVERY
 
 
-def _date(d: _dt.date | Column) -> Column:
-    return d if isinstance(d, Column) else F.lit(d)
+def _date(d: _dt.date | str | Column) -> Column:
+    """A date parameter; text is read month first, ``10.01.2020`` = 1 Oct (Q25)."""
+    if isinstance(d, Column):
+        return d
+    if isinstance(d, str):
+        return parse_month_first(F.lit(d))
+    return F.lit(d)
 
 
 def revenue_by_created_product(mart: DataFrame, ordered: bool = True) -> DataFrame:

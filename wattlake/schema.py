@@ -82,11 +82,6 @@ NOT_NULL = {
 }
 
 
-def staging_struct(entity: str) -> T.StructType:
-    return T.StructType([T.StructField(n, t, True) for n, t in STAGING_TYPES[entity]]
-                        + [T.StructField("source_table", T.StringType(), True)])
-
-
 def typed_projection(df: DataFrame, entity: str, keep: tuple[str, ...] = ("source_table",),
                      missing_as_null: bool = False) -> DataFrame:
     """Cast every contract column; absent optional columns become typed nulls.

@@ -119,11 +119,3 @@ def x_prices_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
                 _day(_dt.date(1994, 12, 1), k % 28).alias("modificationdate"),
             ))
 
-
-ADAPTERS = {
-    "x_files": x_files,
-    "x_products": x_products,
-    "x_prices": x_prices,
-    "x_contracts": x_contracts,
-    "x_prices_clean": x_prices_clean,
-}

@@ -18,11 +18,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.lineage import load_id as _load_id_expr
 from ..schema import EXPECTED_COLUMNS, NO_DATA, typed_projection
 from . import landing
 
-LOG_SCHEMA = "load_id string, entity string, file string, status string, rows_loaded bigint, error string"
 _UNIT_OF_PATH = r"(?:^|/)(?:[A-Za-z_]+=)?(\d{14}_[A-Za-z0-9]+\.csv)(?:/[^/]*)?$"
 
 
@@ -181,6 +179,3 @@ def run_landing(spark: SparkSession, landing_root: str, staging_root: str, load_
         append_log(log, log_dir)
     return LandingResult(plan=plan, drafts=drafts, log=log)
 
-
-def load_id_column(ts: Column) -> Column:
-    return _load_id_expr(ts)
