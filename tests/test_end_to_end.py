@@ -16,9 +16,11 @@ def _q(v):
     return v if isinstance(v, int) else f'"{v}"'
 
 
-def _write_landing(root):
-    root.mkdir()
+def _write_landing(root, months=None):
+    root.mkdir(exist_ok=True)
     for stamp, rows in PRICE_FILES.items():
+        if months and stamp[:6] not in months:
+            continue
         lines = ['"id";"productid";"pricecomponentid";"productcomponent";"price";"unit";'
                  '"valid_from";"valid_until";"modificationdate"']
         for r in rows:
@@ -26,6 +28,8 @@ def _write_landing(root):
             lines.append(";".join(str(v) for v in vals))
         (root / f"{stamp}_prices.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
     for stamp, rows in PRODUCT_FILES.items():
+        if months and stamp[:6] not in months:
+            continue
         lines = ['\ufeff"id";"productcode";"productname";"energy";"consumptiontype";"deleted";'
                  '"modificationdate"']
         for r in rows:

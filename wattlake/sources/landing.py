@@ -48,15 +48,19 @@ def list_landing(spark: SparkSession, root: str) -> DataFrame:
                  .where((F.col("file_name") != "") & ~F.col("path").rlike(r"/(_|\.)[^/]*$")))
 
 
-def select_files(df: DataFrame, entities: str | Sequence[str], start: str, end: str | None = None,
-                 name_col: str = "file_name") -> DataFrame:
+def select_files(df: DataFrame, entities: str | Sequence[str], start: str | None = None,
+                 end: str | None = None, name_col: str = "file_name") -> DataFrame:
     """Keep names matching ``^(\\d{6})\\d{8}_<entity>\\.csv$`` with start <= yyyymm <= end.
 
-    ``entities`` may be comma-separated; the month bounds compare as text
-    (``end`` defaults to ``start``).  Adds ``entity`` and ``yyyymm``.
+    ``entities`` may be comma-separated; the month bounds compare as text.
+    A missing start means the end month only (the loader's default), a
+    missing end the start month only.  Adds ``entity`` and ``yyyymm``.
     """
     if isinstance(entities, str):
         entities = [e.strip() for e in entities.split(",") if e.strip()]
+    if start is None and end is None:
+        raise ValueError("give at least one of start, end (yyyymm)")
+    start = start or end
     end = end or start
     name = F.col(name_col)
     m = name.rlike(f"^{NAME_MASK}$")
