@@ -39,3 +39,15 @@ def test_stream_stages_each_file_once_and_resumes(spark, tmp_path):
     view = staging.staging_view(spark, str(tmp_path / "staging"), "prices",
                                 [lid for lid in loads if lid.startswith("L2")][0])
     assert view.count() == 18
+
+
+def test_replayed_load_keeps_one_log(spark, tmp_path):
+    _write_landing(tmp_path / "landing", months={"202010"})
+    _write_rules(tmp_path / "rules")
+    for _ in range(2):  # the same load run twice, as a retried batch would
+        staging.run_landing(spark, str(tmp_path / "landing"), str(tmp_path / "staging"), "L1",
+                            start="202010", end="202010", rules_dir=str(tmp_path / "rules"),
+                            log_dir=str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    assert log.count() == 2
+    assert staging.staging_view(spark, str(tmp_path / "staging"), "prices", "L1").count() == 14

@@ -141,10 +141,21 @@ def load_log(plan: DataFrame, staging_root: str, spark: SparkSession, load_id: s
 
 
 def append_log(log: DataFrame, path: str) -> None:
-    """Append-only load log, partitioned by load."""
+    """Append rows to the load log, partitioned by load (A18: insert-select)."""
     log.write.mode("append").partitionBy("load_id").parquet(path)
 
 
+def write_log(log: DataFrame, path: str) -> None:
+    """Record one load's log rows (A11), replacing that load's partition only.
+
+    A load id names one run over a fixed set of files, so a replayed run (a
+    stream batch retried after a failure, a job restarted) leaves exactly one
+    set of rows; other loads' rows are untouched.
+    """
+    (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("load_id").parquet(path))
+
+
 @dataclass
 class LandingResult:
     plan: DataFrame
@@ -176,6 +187,6 @@ def run_landing(spark: SparkSession, landing_root: str, staging_root: str, load_
         write_staging(stage(rows, load_id), staging_root, entity)
     log = load_log(plan, staging_root, spark, load_id)
     if log_dir:
-        append_log(log, log_dir)
+        write_log(log, log_dir)
     return LandingResult(plan=plan, drafts=drafts, log=log)
 
