@@ -273,14 +273,20 @@ def contract_breakpoints(contract_input: DataFrame, periods: DataFrame,
              .distinct())
 
 
-def contract_periods(breakpoints: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+def contract_periods(breakpoints: DataFrame, extra: Sequence[str] = (),
+                     constant_per_contract: Sequence[Column] = ()) -> DataFrame:
     """Consecutive breakpoints of a contract -> [period_start, period_end).
 
     The lead runs per contract only, so products of one contract interleave
     (as coded); ties on a date are ordered by product.  Open-ended and
-    zero-length periods are dropped.
+    zero-length periods are dropped.  ``constant_per_contract`` may name
+    expressions that are functions of the contract (e.g. its newest
+    version's creation date).
     """
-    w = Window.partitionBy("contract_id").orderBy("date_value", "productid")
+    # Columns constant within a contract may join the partition key: the
+    # groups stay the same, and filters on them can be pushed below the lead.
+    w = (Window.partitionBy(F.col("contract_id"), *constant_per_contract)
+         .orderBy("date_value", "productid"))
     return (breakpoints
             .select("contract_id", "productid", *extra, F.col("date_value").alias("period_start"),
                     F.lead("date_value").over(w).alias("period_end"))

@@ -91,16 +91,20 @@ def contract_price_periods(ci: DataFrame, periods_table: DataFrame, as_of: _dt.d
     # (one row per product; at most two segments per period), so both are
     # broadcast behind this single check or both stay shuffle joins.
     small = rows_at_most(periods_table, DEFAULT_MAX_ROWS // 2)
-    bp = contract_breakpoints(with_latest_version(ci), periods_table, extra=["__head"],
-                              small_prices=small)
-    periods = contract_periods(bp, extra=["__head"])
-    h = F.col("__head")
+    head = [f"__h_{c}" for c in _HEAD_FIELDS]
+    ci_h = with_latest_version(ci).select(
+        *ci.columns, *[F.col(f"__head.{c}").alias(f"__h_{c}") for c in _HEAD_FIELDS])
+    bp = contract_breakpoints(ci_h, periods_table, extra=head, small_prices=small)
+    # The head's creation date is constant per contract; carrying it as a
+    # window key lets report filters on createdat skip whole contracts early.
+    periods = contract_periods(bp, extra=head, constant_per_contract=[F.col("__h_createdat")])
     inside = (periods
-              .where((F.col("period_start") >= h.startdate)
-                     & (h.enddate.isNull() | (F.col("period_start") < h.enddate))
+              .where((F.col("period_start") >= F.col("__h_startdate"))
+                     & (F.col("__h_enddate").isNull()
+                        | (F.col("period_start") < F.col("__h_enddate")))
                      & (F.col("period_start") < _date(as_of)))
               .select("contract_id", "productid", "period_start", "period_end",
-                      *[h[c].alias(c) for c in _HEAD_FIELDS]))
+                      *[F.col(f"__h_{c}").alias(c) for c in _HEAD_FIELDS]))
     prices = effective_prices(price_dedup(periods_table)).drop("__pf", "__pu")
     return range_join_prices(inside, prices, yearly_pieces=yearly_pieces, small_prices=small)
 
@@ -129,7 +133,9 @@ def prorate(cpp: DataFrame, as_of: _dt.date | Column,
                      F.ceil(days_between(final_end, "startdate") / F.lit(365)).cast("int"))
          .withColumn("terminated_mid_year",
                      F.col("final_end") < add_years("startdate", F.col("total_contract_years"))))
-    year = Window.partitionBy("contract_id", "contract_year")
+    # createdat is the contract's own (one value per contract): as a partition
+    # key it changes no group, but lets report filters on it pass this window.
+    year = Window.partitionBy("contract_id", "createdat", "contract_year")
     y = (b.withColumn("total_days_in_year", F.sum("days_in_period").over(year))
           .withColumn("__year_bp", F.max("baseprice").over(year)))
 
