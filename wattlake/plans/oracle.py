@@ -61,15 +61,14 @@ SELECT o_custkey AS id, o_custkey % 50 AS productid,
 FROM orders"""
 
 CTE["x_prices_clean"] = """
-SELECT cast(p_partkey * 3 + k AS bigint) AS id, p_partkey % 50 AS productid, k AS pricecomponentid,
+SELECT cast((p_partkey % 350) * 3 + k AS bigint) AS id, p_partkey % 50 AS productid, k AS pricecomponentid,
        cast(CASE WHEN k = 2 THEN p_size + 4 ELSE p_retailprice / 100 END AS decimal(18,4)) AS price,
-       make_date(cast(1995 + floor(p_partkey / 50) AS int), CASE WHEN p_partkey % 5 = 0 THEN 7 ELSE 1 END, 1) AS valid_from,
-       CASE WHEN floor(p_partkey / 50) = 6 THEN date '9999-12-31'
-            WHEN p_partkey % 5 = 0 THEN make_date(cast(1996 + floor(p_partkey / 50) AS int), 6, 30)
-            ELSE make_date(cast(1995 + floor(p_partkey / 50) AS int), 12, 31) END AS valid_until,
-       date '1994-12-01' + cast(p_partkey % 28 AS int) AS modificationdate
-FROM part CROSS JOIN (SELECT 1 AS k UNION ALL SELECT 2 UNION ALL SELECT 3) c
-WHERE p_partkey < 350"""
+       make_date(cast(1995 + floor((p_partkey % 350) / 50) AS int), CASE WHEN p_partkey % 5 = 0 THEN 7 ELSE 1 END, 1) AS valid_from,
+       CASE WHEN floor((p_partkey % 350) / 50) = 6 THEN date '9999-12-31'
+            WHEN p_partkey % 5 = 0 THEN make_date(cast(1996 + floor((p_partkey % 350) / 50) AS int), 6, 30)
+            ELSE make_date(cast(1995 + floor((p_partkey % 350) / 50) AS int), 12, 31) END AS valid_until,
+       date '1994-12-01' + cast(floor(p_partkey / 350) AS int) AS modificationdate
+FROM part CROSS JOIN (SELECT 1 AS k UNION ALL SELECT 2 UNION ALL SELECT 3) c"""
 
 # ------------------------------------------------------------------ contracts history
 _C_RAW = """

@@ -97,15 +97,22 @@ def x_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def x_prices_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One price per product, component and year; base and working aligned."""
-    p = _table(spark, sf_dir, "part").where(F.col("p_partkey") < 350)
+    """One price per product, component and year; base and working aligned.
+
+    Every part row is a version of the price ``(p_partkey % 350, k)``: the
+    validity depends on that id only, later parts carry later modification
+    dates, so the feed grows with the table while the periods stay one per
+    product and year (every fifth product starts in July).
+    """
+    p = _table(spark, sf_dir, "part")
     k = F.col("p_partkey")
+    slot = k % 350
     comp = F.col("k")
-    year = F.floor(k / 50)
+    year = F.floor(slot / 50)
     july = k % 5 == 0
     return (p.select("*", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("k"))
             .select(
-                (k * 3 + comp).cast("bigint").alias("id"),
+                (slot * 3 + comp).cast("bigint").alias("id"),
                 (k % 50).alias("productid"),
                 comp.alias("pricecomponentid"),
                 F.when(comp == 2, F.col("p_size") + 4)
@@ -116,6 +123,5 @@ def x_prices_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .when(july, F.make_date((1996 + year).cast("int"), F.lit(6), F.lit(30)))
                  .otherwise(F.make_date((1995 + year).cast("int"), F.lit(12), F.lit(31)))
                  .alias("valid_until"),
-                _day(_dt.date(1994, 12, 1), k % 28).alias("modificationdate"),
+                _day(_dt.date(1994, 12, 1), F.floor(k / 350)).alias("modificationdate"),
             ))
-
