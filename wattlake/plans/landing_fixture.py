@@ -151,7 +151,7 @@ _RUNS: dict[tuple[str, str], tuple[LandingPaths, staging.LandingResult]] = {}
 
 def landed(spark: SparkSession, sf_dir: str) -> tuple[LandingPaths, staging.LandingResult]:
     """Write the landing files and rules, run the landing job once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.conf.get("spark.app.id", None) or str(id(spark)), sf_dir)
     if key in _RUNS:
         return _RUNS[key]
     root = scratch_path(spark, "landing")

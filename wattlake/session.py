@@ -38,33 +38,50 @@ def build_session(master: str | None = None, app: str = "wattlake",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions expose no SparkContext
+        return None
+
+
+def _is_local(spark: SparkSession) -> bool:
+    sc = _context(spark)
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    return (master or "").startswith("local")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting points at shared storage and is only read.  Only
-    when it is unset (local tests) do we set one ourselves.
+    when it is unset on a local master (tests, bench) do we set one ourselves.
     """
+    sc = _context(spark)
     current = spark.conf.get("spark.checkpoint.dir", None)
-    sc_dir = spark.sparkContext.getCheckpointDir()
+    sc_dir = sc.getCheckpointDir() if sc is not None else None
     if current:
-        if not sc_dir:
-            spark.sparkContext.setCheckpointDir(current)
+        if sc is not None and not sc_dir:
+            sc.setCheckpointDir(current)
         return current
     if sc_dir:
         spark.conf.set("spark.checkpoint.dir", sc_dir)
         return sc_dir
-    master = spark.sparkContext.master or ""
-    if not master.startswith("local"):
+    if not _is_local(spark):
         raise RuntimeError("spark.checkpoint.dir is not set: point it at shared storage "
                            "(scratch tables and checkpoints must survive executor loss)")
     local = tempfile.mkdtemp(prefix="wattlake-ckpt-")  # local mode only (tests, bench)
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
 
 
