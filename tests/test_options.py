@@ -35,3 +35,18 @@ def test_keep_snapshots_keeps_earlier_runs(spark, tmp_path):
         dt.date(2020, 12, 1), dt.date(2021, 1, 1)]
     mart = spark.read.parquet(f"{base}/contract_price_enriched/v=all")
     assert mart.select("as_of_date").distinct().count() == 2
+
+
+def test_report_files_are_ordered_with_header_first(spark, tmp_path):
+    import glob
+
+    from wattlake.sources import sinks
+    df = spark.createDataFrame(
+        [(dt.date(2020, 10, 2), 2, 5.5, 7), (dt.date(2020, 10, 1), 9, 1.005, 3),
+         (dt.date(2020, 10, 1), 1, None, None)],
+        "createdat date, productid int, sum_revenue double, sum_consumption long")
+    sinks.write_table_csv(df, str(tmp_path / "r"), ["createdat", "productid"])
+    (part,) = glob.glob(str(tmp_path / "r" / "part-*"))
+    lines = open(part, encoding="utf-8").read().splitlines()
+    assert lines == ["createdat;productid;sum_revenue;sum_consumption",
+                     "01.10.2020;1;;", "01.10.2020;9;1,01;3", "02.10.2020;2;5,50;7"]

@@ -317,3 +317,22 @@ def q_full_refresh(spark: SparkSession, d: str) -> DataFrame:
         out = warehouse_job.run(spark, feeds, base, "20260101", AS_OF, ts,
                                 newest_extract=NEWEST_EXTRACT, contract_tiebreak=["seq"])
     return comparable(out["contracts"])
+
+
+@register("report_csv_by_product", """
+WITH s AS (SELECT createdat, productid, sum(u_revenue) AS u, cast(sum(consumption) AS bigint) AS q
+           FROM mart GROUP BY createdat, productid),
+     c AS (SELECT createdat, productid, q, (u + 5000) // 10000 AS cents FROM s)
+SELECT 'createdat;productid;sum_revenue;sum_consumption' AS line
+UNION ALL
+SELECT strftime(createdat, '%d.%m.%Y') || ';' || cast(productid AS varchar) || ';'
+       || coalesce(cast(cents // 100 AS varchar) || ',' || lpad(cast(cents % 100 AS varchar), 2, '0'), '')
+       || ';' || coalesce(cast(q AS varchar), '')
+FROM c""")
+def q_report_csv_by_product(spark: SparkSession, d: str) -> DataFrame:
+    """Consumption and revenue by creation date and product as the published
+    CSV export (D6 + A20 conventions), written and read back line by line."""
+    table = reports.revenue_by_created_product(mart(spark, d), ordered=False)
+    target = scratch_path(spark, "report-by-product")
+    sinks.write_table_csv(table, target, ["createdat", "productid"])
+    return spark.read.text(target).select(F.col("value").alias("line"))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans.reports import first_last_change
 
@@ -54,3 +55,38 @@ def write_report_csv(series: DataFrame, path: str, day_col: str = "createdat",
     lines = report_lines(series, day_col, value_col)
     (lines.orderBy(F.col("__day").asc_nulls_first()).select("line").coalesce(1)
           .write.mode("overwrite").text(path))
+
+
+def csv_lines(df: DataFrame, order: list[str]) -> DataFrame:
+    """Any table as lines in the published conventions: ``;`` separated,
+    dates ``dd.MM.yyyy``, decimals and doubles with a decimal comma and two
+    decimals, integers and text as they are, nulls empty.  Returns
+    (__order..., line) rows plus the header with null order keys."""
+    cells = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.DateType):
+            cell = F.date_format(c, "dd.MM.yyyy")
+        elif isinstance(f.dataType, (T.DecimalType, T.DoubleType, T.FloatType)):
+            cell = decimal_comma(c)
+        else:
+            cell = c.cast("string")
+        cells.append(F.coalesce(cell, F.lit("")))
+    rows = df.select(*[F.col(k).alias(f"__o{i}") for i, k in enumerate(order)],
+                     F.concat_ws(";", *cells).alias("line"))
+    header = df.sparkSession.createDataFrame(
+        [tuple([None] * len(order)) + (";".join(df.columns),)],
+        T.StructType([T.StructField(f"__o{i}", df.schema[k].dataType, True)
+                      for i, k in enumerate(order)] + [T.StructField("line", T.StringType())]))
+    return header.unionByName(rows)
+
+
+def write_table_csv(df: DataFrame, path: str, order: list[str]) -> None:
+    """Write a report table as one CSV text file, header first, rows ordered.
+
+    For aggregated reports (one row per day and product here): the single
+    output file is bounded by the report's grouping, not by the data.
+    """
+    lines = csv_lines(df, order)
+    keys = [F.col(f"__o{i}").asc_nulls_first() for i in range(len(order))]
+    lines.orderBy(*keys).select("line").coalesce(1).write.mode("overwrite").text(path)
