@@ -26,6 +26,7 @@ from ..functions.lineage import extracted_at, snapshot_date
 from ..schema import INVALID_STATUSES, NO_DATA, OPEN_END, USAGE_OUTLIER_BOUND, typed_projection
 from .dedup import latest_per_key
 from .filters import sentinel_map, validity_flag, within_bound
+from .joins import DEFAULT_MAX_ROWS, rows_at_most
 
 PRODUCT_COLUMNS = ["product_sk", "product_id", "productcode", "productname", "energy",
                    "consumptiontype", "deleted", "releasedversion", "valid_from", "valid_until",
@@ -142,6 +143,23 @@ def stage_contracts(staging: DataFrame, tiebreak: Sequence[str] | None = None) -
     return latest_per_key(s, ["contract_id", "modificationdate"], order).drop(*extra)
 
 
+def split_touched(history: DataFrame, new_keys: DataFrame, key: str,
+                  max_rows: int = DEFAULT_MAX_ROWS) -> tuple[DataFrame, DataFrame] | None:
+    """(history rows of keys in the new load, all other history rows).
+
+    Only keys present in a load can change, so an incremental load needs to
+    reprocess those alone.  When the load's distinct keys pass a bounded row
+    count they are broadcast and the stored history is split by a semi and
+    an anti join without being shuffled; beyond the bound ``None`` tells the
+    caller to process the whole history (one shuffle, no broadcast).
+    """
+    keys = new_keys.select(key).distinct()
+    if not rows_at_most(keys, max_rows):
+        return None
+    k = F.broadcast(keys)
+    return history.join(k, key, "left_semi"), history.join(k, key, "left_anti")
+
+
 def scd2_contracts(staging: DataFrame, history: DataFrame | None = None,
                    run_ts: _dt.datetime | Column | None = None, recompute: bool = False,
                    tiebreak: Sequence[str] | None = None) -> DataFrame:
@@ -150,8 +168,15 @@ def scd2_contracts(staging: DataFrame, history: DataFrame | None = None,
     New (contract_id, modificationdate) versions are appended; every current
     version but the newest per contract is closed with the next version date
     minus one day.  ``is_valid`` is false for cancelled or terminated rows.
+    Incremental loads only reprocess the contracts present in the load.
     """
     staged = stage_contracts(staging, tiebreak)
+    untouched = None
+    if history is not None:
+        history = history.select(*CONTRACT_COLUMNS)
+        parts = split_touched(history, staged, "contract_id")
+        if parts is not None:
+            history, untouched = parts
     new = anti_join_new_rows(staged, history, ["contract_id", "modificationdate"])
     inserted = new.select(
         surrogate_key("contract_id", "modificationdate").alias("contract_sk"),
@@ -163,9 +188,10 @@ def scd2_contracts(staging: DataFrame, history: DataFrame | None = None,
         _ts(run_ts).alias("inserted_at"),
         "hash_value",
     ).select(*CONTRACT_COLUMNS)
-    rows = inserted if history is None else history.select(*CONTRACT_COLUMNS).unionByName(inserted)
-    return close_superseded(rows, "contract_id", "modificationdate", recompute=recompute) \
+    rows = inserted if history is None else history.unionByName(inserted)
+    out = close_superseded(rows, "contract_id", "modificationdate", recompute=recompute) \
         .select(*CONTRACT_COLUMNS)
+    return out if untouched is None else untouched.unionByName(out)
 
 
 # ---------------------------------------------------------------- prices
@@ -189,16 +215,26 @@ def stage_prices(staging: DataFrame, tiebreak: Sequence[str] | None = None) -> D
 def scd2_prices(staging: DataFrame, history: DataFrame | None = None,
                 run_ts: _dt.datetime | Column | None = None,
                 tiebreak: Sequence[str] | None = None) -> DataFrame:
-    """Prices history load (I2): append unseen versions, flag the newest."""
+    """Prices history load (I2): append unseen versions, flag the newest.
+
+    Incremental loads only re-flag the price ids present in the load.
+    """
     staged = stage_prices(staging, tiebreak)
+    untouched = None
+    if history is not None:
+        history = history.select(*PRICE_COLUMNS)
+        parts = split_touched(history, staged, "price_id")
+        if parts is not None:
+            history, untouched = parts
     new = anti_join_new_rows(staged, history, ["price_id", "modificationdate"])
     inserted = new.select(
         surrogate_key("price_id", "modificationdate").alias("price_sk"),
         "price_id", "product_id", "pricecomponentid", "pricecomponent", "price", "unit",
         "valid_from", "valid_until", "modificationdate", F.lit(True).alias("is_current"),
         "extracted_at", "source_table", _ts(run_ts).alias("inserted_at"))
-    rows = inserted if history is None else history.select(*PRICE_COLUMNS).unionByName(inserted)
-    return newest_flag(rows, "price_id", "modificationdate").select(*PRICE_COLUMNS)
+    rows = inserted if history is None else history.unionByName(inserted)
+    out = newest_flag(rows, "price_id", "modificationdate").select(*PRICE_COLUMNS)
+    return out if untouched is None else untouched.unionByName(out)
 
 
 # ---------------------------------------------------------------- products
