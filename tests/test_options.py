@@ -50,3 +50,17 @@ def test_report_files_are_ordered_with_header_first(spark, tmp_path):
     lines = open(part, encoding="utf-8").read().splitlines()
     assert lines == ["createdat;productid;sum_revenue;sum_consumption",
                      "01.10.2020;1;;", "01.10.2020;9;1,01;3", "02.10.2020;2;5,50;7"]
+
+
+def test_publish_refuses_a_table_breaking_its_key(spark, tmp_path):
+    from wattlake.operators.checks import ConstraintViolation
+    from wattlake.plans import sql_views
+    df = spark.createDataFrame([(1, dt.date(2020, 1, 1)), (1, dt.date(2020, 1, 1))],
+                               "price_id long, modificationdate date")
+    df = df.selectExpr("price_id", "1L AS product_id", "1 AS pricecomponentid", "modificationdate",
+                       "modificationdate AS valid_from", "modificationdate AS valid_until")
+    with pytest.raises(ConstraintViolation):
+        warehouse_job.publish(df, str(tmp_path), "prices", "v1")
+    assert "prices" not in sql_views.read_published(spark, str(tmp_path), "v1")
+    warehouse_job.publish(df.limit(1), str(tmp_path), "prices", "v2")
+    assert sql_views.read_published(spark, str(tmp_path), "v2")["prices"].count() == 1

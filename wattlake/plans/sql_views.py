@@ -46,12 +46,18 @@ def register_views(tables: dict[str, DataFrame]) -> None:
 
 
 def read_published(spark: SparkSession, warehouse: str, version: str) -> dict[str, DataFrame]:
-    """The tables of one published version (``warehouse_job.run``)."""
+    """The checked tables of one published version (``warehouse_job.run``).
+
+    A table folder without its ``_checked`` marker (a failed or interrupted
+    run) is not returned.
+    """
     out = {}
     for name in TABLES:
+        path = f"{warehouse.rstrip('/')}/{name}/v={version}"
         try:
-            out[name] = spark.read.parquet(f"{warehouse.rstrip('/')}/{name}/v={version}")
-        except Exception:  # noqa: BLE001 - table not part of this run (e.g. products)
+            spark.read.json(f"{path}/_checked").first()
+            out[name] = spark.read.parquet(path)
+        except Exception:  # noqa: BLE001 - not part of this run, or not checked
             continue
     return out
 
