@@ -135,3 +135,26 @@ def test_text_dates_are_month_first(spark):
     df = df.withColumn("consumption", F.lit(1))
     got = [r.createdat for r in reports.revenue_by_created(df, "10.01.2020", "01.01.2021").collect()]
     assert got == [dt.date(2020, 10, 1)]
+
+
+def test_extracted_at_reads_the_file_stamp_unless_the_tail_has_six_digits(spark):
+    from wattlake.functions.lineage import extracted_at, snapshot_date
+    df = spark.createDataFrame([("20201001220039_prices_staging_20250101_120000123",),
+                                ("20201001220039_prices_staging_20250101_120000",)], "s string")
+    got = [(r.ts, r.d) for r in df.select(extracted_at("s").alias("ts"),
+                                          snapshot_date("s").alias("d")).collect()]
+    assert got == [(dt.datetime(2020, 10, 1, 22, 0, 39), D(2020, 10, 1)),
+                   (dt.datetime(2025, 1, 1, 12, 0, 0), D(2020, 10, 1))]
+
+
+def test_suggestions_can_skip_expected_names(spark):
+    from wattlake.sources import landing
+    header = "id;productid;pricecomponentid;productcomponent;price;valid_from;valid_until;modificationdate"
+    units = spark.createDataFrame([("u.csv", "prices", header)],
+                                  "file_name string, entity string, header string")
+    det = landing.detect_delimiter(units)
+    as_coded = {r.target: r.suggested for r in landing.suggest_columns(det).collect()}
+    skipped = {r.target: r.suggested
+               for r in landing.suggest_columns(det, exclude_expected=True).collect()}
+    assert as_coded["pricecomponent"] == "pricecomponentid"
+    assert skipped["pricecomponent"] == "productcomponent"
