@@ -255,22 +255,26 @@ def contract_breakpoints(contract_input: DataFrame, periods: DataFrame,
                          extra: Sequence[str] = (), small_prices: bool | None = None) -> DataFrame:
     """Distinct breakpoint dates per (contract, product).
 
-    The correlated LATERAL union is decorrelated into one pass: each
-    contract row is equi-joined to its product's price-date array (one row
-    per product; broadcast when the price periods pass a bounded row count,
-    which bounds the lookup too, else a shuffle join) and the own dates plus price
-    dates are exploded, then made distinct.  No union, so the contract
-    distribution carries through.
+    The correlated LATERAL union is decorrelated into one pass.  Each
+    (contract, product) first gathers its own dates (start, created, end of
+    every version: bounded by its versions, and grouped under the contract
+    distribution, so no shuffle), then meets its product's price-date array
+    (one row per product; broadcast when the price periods pass a bounded
+    row count, which bounds the lookup too, else a shuffle join).  The union
+    of the two arrays is exploded once per pair and is already distinct.
     """
-    dates = F.concat(F.array("startdate", "createdat", "enddate"),
-                     F.coalesce(F.col("price_dates"), F.array().cast("array<date>")))
+    own = (contract_input
+           .groupBy("contract_id", "productid", *extra)
+           .agg(F.array_distinct(F.flatten(F.collect_list(
+               F.array("startdate", "createdat", "enddate")))).alias("__own")))
     if small_prices is None:
         small_prices = rows_at_most(periods)
     lookup = maybe_broadcast(product_price_dates(periods), small_prices)
-    x = contract_input.join(lookup, "productid", "left")
+    x = own.join(lookup, "productid", "left")
+    dates = F.array_union(F.col("__own"),
+                          F.coalesce(F.col("price_dates"), F.array().cast("array<date>")))
     return (x.select("contract_id", "productid", *extra, F.explode(dates).alias("date_value"))
-             .where(F.col("date_value").isNotNull())
-             .distinct())
+             .where(F.col("date_value").isNotNull()))
 
 
 def contract_periods(breakpoints: DataFrame, extra: Sequence[str] = (),
