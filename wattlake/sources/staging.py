@@ -161,6 +161,13 @@ class LandingResult:
     plan: DataFrame
     drafts: DataFrame
     log: DataFrame
+    units: DataFrame | None = None
+
+    def release(self) -> None:
+        """Drop the cached per-unit frames (call once the result is used)."""
+        for df in (self.plan, self.units):
+            if df is not None:
+                df.unpersist()
 
 
 def run_landing(spark: SparkSession, landing_root: str, staging_root: str, load_id: str,
@@ -188,5 +195,5 @@ def run_landing(spark: SparkSession, landing_root: str, staging_root: str, load_
     log = load_log(plan, staging_root, spark, load_id)
     if log_dir:
         write_log(log, log_dir)
-    return LandingResult(plan=plan, drafts=drafts, log=log)
+    return LandingResult(plan=plan, drafts=drafts, log=log, units=units)
 

@@ -38,10 +38,11 @@ def start_landing_stream(spark: SparkSession, landing_root: str, staging_root: s
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         unit = F.regexp_extract("path", landing._UNIT, 1)
         listed = batch.withColumn("file_name", unit).where(F.col("file_name") != "")
-        staging.run_landing(batch.sparkSession, landing_root, staging_root,
-                            load_id_for(batch_id), entities=entities, start=start, end=end,
-                            rules_dir=rules_dir, drafts_dir=drafts_dir, log_dir=log_dir,
-                            files=listed)
+        result = staging.run_landing(batch.sparkSession, landing_root, staging_root,
+                                     load_id_for(batch_id), entities=entities, start=start,
+                                     end=end, rules_dir=rules_dir, drafts_dir=drafts_dir,
+                                     log_dir=log_dir, files=listed)
+        result.release()  # a long-running stream must not accumulate cached batches
 
     writer = files.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     if available_now:
