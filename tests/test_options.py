@@ -46,8 +46,9 @@ def test_report_files_are_ordered_with_header_first(spark, tmp_path):
          (dt.date(2020, 10, 1), 1, None, None)],
         "createdat date, productid int, sum_revenue double, sum_consumption long")
     sinks.write_table_csv(df, str(tmp_path / "r"), ["createdat", "productid"])
-    (part,) = glob.glob(str(tmp_path / "r" / "part-*"))
-    lines = open(part, encoding="utf-8").read().splitlines()
+    lines = []
+    for part in sorted(glob.glob(str(tmp_path / "r" / "part-*"))):  # parts concatenate in order
+        lines += open(part, encoding="utf-8").read().splitlines()
     assert lines == ["createdat;productid;sum_revenue;sum_consumption",
                      "01.10.2020;1;;", "01.10.2020;9;1,01;3", "02.10.2020;2;5,50;7"]
 
@@ -64,3 +65,19 @@ def test_publish_refuses_a_table_breaking_its_key(spark, tmp_path):
     assert "prices" not in sql_views.read_published(spark, str(tmp_path), "v1")
     warehouse_job.publish(df.limit(1), str(tmp_path), "prices", "v2")
     assert sql_views.read_published(spark, str(tmp_path), "v2")["prices"].count() == 1
+
+
+def test_report_parts_concatenate_in_order(spark, tmp_path):
+    import glob
+
+    from wattlake.sources import sinks
+    rows = [(dt.date(2000, 1, 1) + dt.timedelta(days=i % 500), i, float(i), i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "createdat date, productid int, sum_revenue double, "
+                                     "sum_consumption long").repartition(7)
+    sinks.write_table_csv(df, str(tmp_path / "r"), ["createdat", "productid"])
+    parts = sorted(glob.glob(str(tmp_path / "r" / "part-*")))
+    lines = [ln for p in parts for ln in open(p, encoding="utf-8").read().splitlines()]
+    assert len(parts) > 1 and lines[0].startswith("createdat;") and len(lines) == 5001
+    keys = [(dt.datetime.strptime(ln.split(";")[0], "%d.%m.%Y"), int(ln.split(";")[1]))
+            for ln in lines[1:]]
+    assert keys == sorted(keys)
