@@ -74,7 +74,13 @@ def test_report_parts_concatenate_in_order(spark, tmp_path):
     rows = [(dt.date(2000, 1, 1) + dt.timedelta(days=i % 500), i, float(i), i) for i in range(5000)]
     df = spark.createDataFrame(rows, "createdat date, productid int, sum_revenue double, "
                                      "sum_consumption long").repartition(7)
-    sinks.write_table_csv(df, str(tmp_path / "r"), ["createdat", "productid"])
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")  # small data: keep several parts to check their order
+    try:
+        sinks.write_table_csv(df, str(tmp_path / "r"), ["createdat", "productid"])
+    finally:
+        spark.conf.set(key, old)
     parts = sorted(glob.glob(str(tmp_path / "r" / "part-*")))
     lines = [ln for p in parts for ln in open(p, encoding="utf-8").read().splitlines()]
     assert len(parts) > 1 and lines[0].startswith("createdat;") and len(lines) == 5001
