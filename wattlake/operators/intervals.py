@@ -4,13 +4,15 @@ and contract periods (I4, I5, I7, I8, C5, C6, C9, C10, G2).
 Scale notes
 -----------
 * The price side (prices, price periods) grows with the product catalogue,
-  not with contracts.  Joins against it are plain equi-joins (plus a range
-  residual); AQE turns them into broadcast joins after measuring the price
-  side at runtime, and keeps a shuffle join when it is large.
+  not with contracts.  Lookups built from it are broadcast only after a
+  bounded row count of the price periods; beyond the bound the same
+  equi-joins run as shuffle joins.
 * Price pieces never cross 31 December, so the range join also matches on
   the year of the period start: an equi key that keeps the residual small
   when the price side is shuffled instead of broadcast.
-* Windows on contracts run after a distinct on (contract, product, date):
+* Overlapping price periods are resolved on the price side
+  (:func:`effective_prices`), so each contract period meets at most one.
+* Windows on contracts run on rows unique per (contract, product, date):
   a contract's group is bounded by the calendar, not by copies.
 """
 
@@ -27,6 +29,7 @@ from ..schema import BASE_COMPONENT, WORKING_COMPONENT
 from .dedup import latest_per_key
 from .joins import maybe_broadcast, rows_at_most
 
+
 def _date_value(d: _dt.date | Column | None) -> Column | None:
     if d is None:
         return None
