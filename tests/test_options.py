@@ -87,3 +87,18 @@ def test_report_parts_concatenate_in_order(spark, tmp_path):
     keys = [(dt.datetime.strptime(ln.split(";")[0], "%d.%m.%Y"), int(ln.split(";")[1]))
             for ln in lines[1:]]
     assert keys == sorted(keys)
+
+
+def test_publish_check_levels(spark, tmp_path):
+    from wattlake.operators.checks import ConstraintViolation
+    df = spark.createDataFrame([(1, dt.date(2020, 1, 1)), (1, dt.date(2020, 1, 1))],
+                               "price_id long, modificationdate date")
+    df = df.selectExpr("price_id", "1L AS product_id", "1 AS pricecomponentid", "modificationdate",
+                       "modificationdate AS valid_from", "modificationdate AS valid_until")
+    warehouse_job.publish(df, str(tmp_path), "prices", "n", check="nulls")  # duplicates not looked at
+    nulls = df.selectExpr("CAST(NULL AS BIGINT) AS price_id", "product_id", "pricecomponentid",
+                          "modificationdate", "valid_from", "valid_until")
+    with pytest.raises(ConstraintViolation):
+        warehouse_job.publish(nulls, str(tmp_path), "prices", "m", check="nulls")
+    with pytest.raises(ValueError):
+        warehouse_job.publish(df, str(tmp_path), "prices", "x", check="some")

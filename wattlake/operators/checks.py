@@ -40,7 +40,11 @@ def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def constraint_report(df: DataFrame, unique_key: Sequence[str],
                       not_null: Sequence[str]) -> DataFrame:
-    return duplicate_keys(df, unique_key).unionByName(null_counts(df, not_null))
+    """Duplicate keys (skipped when ``unique_key`` is empty) and null counts."""
+    nulls = null_counts(df, not_null)
+    if not unique_key:
+        return nulls
+    return duplicate_keys(df, unique_key).unionByName(nulls)
 
 
 class ConstraintViolation(RuntimeError):
