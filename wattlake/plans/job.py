@@ -27,7 +27,8 @@ from . import warehouse_job
 def run_load(spark: SparkSession, landing: str, staging_root: str, warehouse: str,
              start: str | None, end: str, as_of: _dt.date, rules: str | None = None,
              entities: str = "products,prices,contracts", run_ts: _dt.datetime | None = None,
-             previous_version: str | None = None, keep_snapshots: bool = False) -> dict:
+             previous_version: str | None = None, keep_snapshots: bool = False,
+             check: str = "full") -> dict:
     """Stage one load and publish every warehouse table built from it."""
     ensure_checkpoint_dir(spark)
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -44,7 +45,7 @@ def run_load(spark: SparkSession, landing: str, staging_root: str, warehouse: st
         previous = {k: v for k, v in read_published(spark, warehouse, previous_version).items()
                     if k in ("products", "prices", "contracts")}
     tables = warehouse_job.run(spark, views, warehouse, load_id, as_of, run_ts,
-                               previous=previous, keep_snapshots=keep_snapshots)
+                               previous=previous, keep_snapshots=keep_snapshots, check=check)
     return {"load_id": load_id, "log": result.log, "tables": tables}
 
 
@@ -61,11 +62,14 @@ def main(argv: list[str] | None = None) -> int:
                     help="the date that stands for CURRENT_DATE")
     ap.add_argument("--previous-version", help="incremental: merge into this published version")
     ap.add_argument("--keep-snapshots", action="store_true")
+    ap.add_argument("--check", default="full", choices=["full", "nulls", "none"],
+                    help="constraint report on each published table")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("wattlake-load").getOrCreate()
     out = run_load(spark, args.landing, args.staging, args.warehouse, args.start, args.end,
                    args.as_of, rules=args.rules, entities=args.entities,
-                   previous_version=args.previous_version, keep_snapshots=args.keep_snapshots)
+                   previous_version=args.previous_version, keep_snapshots=args.keep_snapshots,
+                   check=args.check)
     failed = out["log"].where("status = 'FAILED'").select("file", "error").limit(20).collect()
     for r in failed:
         print(f"FAILED {r.file}: {r.error}", file=sys.stderr)
