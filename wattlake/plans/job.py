@@ -1,6 +1,6 @@
 """Batch entry point: one load from landing files to the published mart.
 
-    spark-submit wattlake/plans/job.py --landing s3://.../landing \\
+    spark-submit --py-files wattlake.zip run_load.py --landing s3://.../landing \\
         --rules s3://.../rules --staging s3://.../staging --warehouse s3://.../dwh \\
         --start 202010 --end 202101 --as-of 2021-01-02
 
