@@ -62,14 +62,18 @@ def read_units(spark: SparkSession, plan: DataFrame) -> dict[str, DataFrame]:
         groups.setdefault(sig, []).extend(r["paths"])
     frames: dict[str, DataFrame] = {}
     for sig, paths in groups.items():
-        schema = T.StructType([T.StructField(f"__c{i}", T.StringType(), True)
-                               for i in range(len(sig.columns))])
+        # Fields are positional; naming them after the header (when the names
+        # are usable) keeps the reader's header check quiet.
+        usable = (len(set(sig.columns)) == len(sig.columns)
+                  and all(c and "`" not in c for c in sig.columns))
+        fields = list(sig.columns) if usable else [f"__c{i}" for i in range(len(sig.columns))]
+        schema = T.StructType([T.StructField(f, T.StringType(), True) for f in fields])
         df = (spark.read.schema(schema).option("header", "true").option("sep", sig.delimiter)
               .option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
               .csv(paths))
         rename = dict(sig.renames)
         names = [rename.get(c, c) for c in sig.columns]
-        df = df.select(*[F.col(f"__c{i}").alias(n) for i, n in enumerate(names)],
+        df = df.select(*[F.col(f"`{f}`").alias(n) for f, n in zip(fields, names)],
                        F.regexp_extract(F.col("_metadata.file_path"), _UNIT_OF_PATH, 1)
                         .alias("file_name"))
         for f in sig.fills:
