@@ -93,3 +93,20 @@ def test_contract_revenue_worked_example(spark):
     for r in rows:
         assert (r.contract_year, r.total_contract_years, r.total_days_in_year) == (0, 1, 306)
         assert r.final_end == D(2021, 1, 1) and r.terminated_mid_year is True
+
+
+def test_published_change_report_line(spark, tmp_path):
+    """BASELINE: first/last 7682.82 / 1255.77 over 92 days -> a decline of 84 %."""
+    import glob
+
+    from wattlake.sources import sinks
+    days = [dt.date(2020, 10, 1) + dt.timedelta(days=i) for i in range(92)]
+    vals = {days[0]: "7682.82", days[1]: "7139.76", days[-1]: "1255.77"}
+    rows = [(d, Decimal(vals.get(d, "1000.00")), 1) for d in days]
+    series = spark.createDataFrame(rows, "createdat date, sum_revenue decimal(28,6), sum_consumption long")
+    sinks.write_report_csv(series, str(tmp_path / "r"))
+    lines = [ln for p in sorted(glob.glob(str(tmp_path / "r" / "part-*")))
+             for ln in open(p, encoding="utf-8").read().splitlines()]
+    assert lines[:3] == ["createdat;sum_revenue;;", "01.10.2020;7682,82;1255,77;84%",
+                         "02.10.2020;7139,76;;"]
+    assert lines[-1] == "31.12.2020;1255,77;;" and len(lines) == 93
