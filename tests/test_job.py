@@ -22,3 +22,17 @@ def test_run_load_publishes_every_table(spark, tmp_path):
     assert t["contracts"].count() == 0 and t["contract_price_enriched"].count() == 0  # no contract files
     back = spark.read.parquet(str(tmp_path / "dwh" / "price_periods" / "v=20210102_030405678"))
     assert back.where(F.col("snapshot_date") == F.lit(dt.date(2021, 1, 1))).count() == 15
+
+
+def test_failed_step_is_logged(spark, tmp_path):
+    import pytest
+    _write_landing(tmp_path / "landing")
+    _write_rules(tmp_path / "rules")
+    with pytest.raises(Exception):
+        run_load(spark, str(tmp_path / "landing"), str(tmp_path / "staging"), str(tmp_path / "dwh"),
+                 "202010", "202101", dt.date(2021, 1, 2), rules=str(tmp_path / "rules"),
+                 run_ts=dt.datetime(2021, 1, 2), check="bogus")
+    log = spark.read.parquet(str(tmp_path / "staging" / "_load_log"))
+    failed = log.where("status = 'FAILED' AND file = 'N/A'").collect()
+    assert len(failed) == 1 and failed[0].entity == "warehouse" and "check must be" in failed[0].error
+    assert log.where("status = 'SUCCESS'").count() == 8  # the landing step's rows stay

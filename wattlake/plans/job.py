@@ -34,18 +34,30 @@ def run_load(spark: SparkSession, landing: str, staging_root: str, warehouse: st
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     load_id = staging.new_load_id(run_ts)
     log_dir = f"{staging_root.rstrip('/')}/_load_log"
-    result = staging.run_landing(spark, landing, staging_root, load_id, entities=entities,
-                                 start=start, end=end, rules_dir=rules,
-                                 drafts_dir=f"{staging_root.rstrip('/')}/_drafts", log_dir=log_dir)
-    views = {e: staging.staging_view(spark, staging_root, e, load_id)
-             for e in ("products", "prices", "contracts")}
-    previous = None
-    if previous_version:
-        from .sql_views import read_published
-        previous = {k: v for k, v in read_published(spark, warehouse, previous_version).items()
-                    if k in ("products", "prices", "contracts")}
-    tables = warehouse_job.run(spark, views, warehouse, load_id, as_of, run_ts,
-                               previous=previous, keep_snapshots=keep_snapshots, check=check)
+    step = "landing"
+    try:
+        result = staging.run_landing(spark, landing, staging_root, load_id, entities=entities,
+                                     start=start, end=end, rules_dir=rules,
+                                     drafts_dir=f"{staging_root.rstrip('/')}/_drafts",
+                                     log_dir=log_dir)
+        step = "warehouse"
+        views = {e: staging.staging_view(spark, staging_root, e, load_id)
+                 for e in ("products", "prices", "contracts")}
+        previous = None
+        if previous_version:
+            from .sql_views import read_published
+            previous = {k: v for k, v in read_published(spark, warehouse, previous_version).items()
+                        if k in ("products", "prices", "contracts")}
+        tables = warehouse_job.run(spark, views, warehouse, load_id, as_of, run_ts,
+                                   previous=previous, keep_snapshots=keep_snapshots, check=check)
+    except Exception as exc:
+        # A failed step is logged like the per-file rows (file "N/A"), as the
+        # scheduler's failure callback does, then the job fails.
+        row = [(load_id, step, "N/A", "FAILED", 0, str(exc)[:2000])]
+        staging.append_log(spark.createDataFrame(
+            row, "load_id string, entity string, file string, status string, "
+                 "rows_loaded bigint, error string"), log_dir)
+        raise
     return {"load_id": load_id, "log": result.log, "tables": tables}
 
 
