@@ -1,11 +1,11 @@
 """DuckDB oracle SQL for the registered queries.
 
 Each query's SQL is a ``WITH`` chain over the pre-registered test tables.
-The CTEs below follow the warehouse's own SQL step by step (DISTINCT ON as
-``row_number() = 1``, correlated EXISTS, LATERAL unions, generate_series,
-two left joins plus a conflict rule), so the oracle is an independent
-formulation of what the Spark operators compute with aggregations, windows
-and decorrelated joins.  Tie-breaks are written out in full on both sides.
+The CTEs restate each table's definition in DuckDB's own terms (window
+ranks for "latest per key", generate_series for the yearly series, grouped
+picks, unnest + joins for breakpoints, integer arithmetic for roundings);
+they are checked against the goldens of FIXTURES through the queries, and
+tie-breaks are written out in full on both sides.
 
 Numbers: decimal results are compared as DOUBLE.  Half-up rounding of an
 exact quotient is done with integer arithmetic ``(2*a + b) // (2*b)`` so
@@ -187,26 +187,16 @@ FROM (SELECT product_id, pricecomponentid, price_id, price, valid_from,
 WHERE valid_from <= valid_until"""
 
 _P_PERIODS = """
-SELECT snapshot_date, product_id, base_pricecomponentid, working_pricecomponentid, base_id, working_id,
-       valid_from, valid_until, baseprice, workingprice
-FROM (
-  SELECT {as_of} AS snapshot_date, mp.product_id,
-         bp.pricecomponentid AS base_pricecomponentid, wp.pricecomponentid AS working_pricecomponentid,
-         bp.price_id AS base_id, wp.price_id AS working_id, mp.valid_from, mp.valid_until,
-         bp.price AS baseprice, wp.price AS workingprice,
-         row_number() OVER (PARTITION BY mp.product_id, mp.valid_from, mp.valid_until
-                            ORDER BY bp.price_id DESC NULLS LAST, wp.price_id DESC NULLS LAST) AS rn
-  FROM (SELECT DISTINCT product_id, period_start AS valid_from, period_end AS valid_until
-        FROM {pieces} WHERE pricecomponentid = 1
-        UNION
-        SELECT DISTINCT product_id, period_start, period_end
-        FROM {pieces} WHERE pricecomponentid = 2) mp
-  LEFT JOIN (SELECT * FROM {pieces} WHERE pricecomponentid = 1) bp
-    ON mp.product_id = bp.product_id AND mp.valid_from = bp.period_start AND mp.valid_until = bp.period_end
-  LEFT JOIN (SELECT * FROM {pieces} WHERE pricecomponentid = 2) wp
-    ON mp.product_id = wp.product_id AND mp.valid_from = wp.period_start AND mp.valid_until = wp.period_end
-) j
-WHERE rn = 1"""
+SELECT {as_of} AS snapshot_date, product_id,
+       CASE WHEN max(price_id) FILTER (WHERE pricecomponentid = 1) IS NOT NULL THEN 1 END AS base_pricecomponentid,
+       CASE WHEN max(price_id) FILTER (WHERE pricecomponentid = 2) IS NOT NULL THEN 2 END AS working_pricecomponentid,
+       max(price_id) FILTER (WHERE pricecomponentid = 1) AS base_id,
+       max(price_id) FILTER (WHERE pricecomponentid = 2) AS working_id,
+       period_start AS valid_from, period_end AS valid_until,
+       arg_max(price, price_id) FILTER (WHERE pricecomponentid = 1) AS baseprice,
+       arg_max(price, price_id) FILTER (WHERE pricecomponentid = 2) AS workingprice
+FROM {pieces}
+GROUP BY product_id, period_start, period_end"""
 
 CTE["pc_raw"] = _P_RAW.format(src="x_prices_clean")
 CTE["pc_hist"] = _P_HIST.format(raw="pc_raw")
@@ -219,31 +209,29 @@ CTE["px_pieces"] = _P_PIECES.format(hist="px_hist", as_of=AS_OF)
 CTE["px_periods"] = _P_PERIODS.format(pieces="px_pieces", as_of=AS_OF)
 
 # ------------------------------------------------------------------ mart chain
+CTE["ci_newest"] = """
+SELECT contract_id, product_id, max(snapshot_date) AS newest
+FROM c_hist WHERE status <> 'indelivery' GROUP BY contract_id, product_id"""
+
 CTE["ci"] = """
-SELECT DISTINCT contract_id, product_id AS productid, status,
-       coalesce(usagenet, usage) AS consumption, valid_from AS startdate,
-       CASE WHEN valid_until = DATE '9999-12-31'
-            THEN max(snapshot_date) OVER (PARTITION BY contract_id, product_id)
-            ELSE valid_until END AS enddate,
-       createdat
-FROM c_hist
-WHERE status <> 'indelivery'"""
+SELECT DISTINCT h.contract_id, h.product_id AS productid, h.status,
+       coalesce(h.usagenet, h.usage) AS consumption, h.valid_from AS startdate,
+       if(h.valid_until = DATE '9999-12-31', n.newest, h.valid_until) AS enddate, h.createdat
+FROM c_hist h JOIN ci_newest n ON h.contract_id = n.contract_id AND h.product_id = n.product_id
+WHERE h.status <> 'indelivery'"""
 
 CTE["pp_latest"] = """
 SELECT * FROM pc_periods WHERE snapshot_date = (SELECT max(snapshot_date) FROM pc_periods)"""
 
 CTE["c_breaks"] = """
-SELECT DISTINCT c.contract_id, c.productid, d.date_value
-FROM ci c,
-LATERAL (
-  SELECT date_value FROM (
-    SELECT c.startdate AS date_value
-    UNION SELECT c.createdat
-    UNION SELECT c.enddate
-    UNION SELECT valid_from FROM pp_latest WHERE product_id = c.productid
-    UNION SELECT valid_until FROM pp_latest WHERE product_id = c.productid
-  ) u WHERE date_value IS NOT NULL
-) d"""
+SELECT DISTINCT contract_id, productid, date_value FROM (
+  SELECT contract_id, productid, unnest([startdate, createdat, enddate]) AS date_value FROM ci
+  UNION ALL
+  SELECT p.contract_id, p.productid, unnest([b.valid_from, b.valid_until])
+  FROM (SELECT DISTINCT contract_id, productid FROM ci) p
+  JOIN pp_latest b ON b.product_id = p.productid
+) x
+WHERE date_value IS NOT NULL"""
 
 CTE["c_periods"] = """
 SELECT * FROM (
