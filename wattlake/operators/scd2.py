@@ -41,6 +41,7 @@ CONTRACT_COLUMNS = ["contract_sk", "contract_id", "product_id", "type", "energy"
                     "source_table", "is_current", "is_valid", "valid_from", "valid_until",
                     "inserted_at", "hash_value"]
 
+# The attributes hashed into a version's hash_value, in order.
 PRODUCT_HASHED = ["productcode", "productname", "energy", "consumptiontype", "deleted",
                   "releasedversion"]
 CONTRACT_HASHED = ["product_id", "type", "energy", "usage", "usagenet", "createdat", "startdate",
