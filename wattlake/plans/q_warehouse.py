@@ -14,7 +14,7 @@ from ..plans import reports
 from ..sources.adapters import x_contracts, x_prices_clean, x_products
 from .common import (AS_OF, NEWEST_EXTRACT, SPLIT_TABLE, clean_price_history,
                      clean_price_periods, comparable, contracts_history, mart, products_history,
-                     raw_price_history, raw_price_periods, register)
+                     published, raw_price_history, raw_price_periods, register)
 from .oracle import AS_OF as AS_OF_SQL
 from .oracle import CTE, _P_PERIODS
 
@@ -345,7 +345,7 @@ def q_full_load(spark: SparkSession, d: str) -> DataFrame:
     tables = build_tables(
         products=x_products(spark, d), prices=_clean_prices_feed(spark, d),
         contracts=x_contracts(spark, d), as_of=AS_OF, newest_extract=NEWEST_EXTRACT,
-        contract_tiebreak=["seq"])
+        contract_tiebreak=["seq"], materialize=published)
     return comparable(reports.revenue_by_created_product(tables["contract_price_enriched"]))
 
 

@@ -11,7 +11,7 @@ last written table.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,13 +25,18 @@ def build_tables(products: DataFrame | None, prices: DataFrame, contracts: DataF
                  history: dict[str, DataFrame] | None = None,
                  run_ts: _dt.datetime | None = None,
                  on_change: str = "close_only", pick: str = "longest",
-                 contract_tiebreak: Sequence[str] | None = None) -> dict[str, DataFrame]:
+                 contract_tiebreak: Sequence[str] | None = None,
+                 materialize: Callable[[DataFrame], DataFrame] | None = None
+                 ) -> dict[str, DataFrame]:
     """All warehouse tables for one load.
 
     ``history`` holds the previous products/prices/contracts tables for an
     incremental run; absent (the default, as coded) every history starts
     empty.  ``newest_extract`` fixes the price snapshot date; by default it
     is the newest extract date found in the prices history.
+    ``materialize`` (e.g. write-and-read-back) is applied to the price
+    periods, which several mart steps read: they then scan one table instead
+    of each recomputing the price pipeline.
     """
     history = history or {}
     out: dict[str, DataFrame] = {}
@@ -42,6 +47,8 @@ def build_tables(products: DataFrame | None, prices: DataFrame, contracts: DataF
                                            tiebreak=contract_tiebreak)
     pieces = intervals.price_period_split(out["prices"], max_date=newest_extract, pick=pick)
     out["price_periods"] = intervals.price_periods(pieces, run_ts)
+    if materialize is not None:
+        out["price_periods"] = materialize(out["price_periods"])
     out["contract_price_enriched"] = revenue.contract_revenue(
         out["contracts"], out["price_periods"], as_of, run_ts)
     return out
