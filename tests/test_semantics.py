@@ -1,6 +1,7 @@
 """Small semantic cases of FIXTURES §4 and the ledger of SURVEY §8."""
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -158,3 +159,28 @@ def test_suggestions_can_skip_expected_names(spark):
                for r in landing.suggest_columns(det, exclude_expected=True).collect()}
     assert as_coded["pricecomponent"] == "pricecomponentid"
     assert skipped["pricecomponent"] == "productcomponent"
+
+
+def test_aligned_periods_intersect_base_and_working(spark):
+    rows = [(1000, 1, 11, Decimal("9.00"), D(2020, 1, 1), D(2020, 6, 30), D(2020, 12, 31)),
+            (1000, 2, 12, Decimal("30.00"), D(2020, 3, 1), D(2020, 12, 31), D(2020, 12, 31))]
+    pieces = spark.createDataFrame(rows, "product_id int, pricecomponentid int, price_id long, "
+                                         "price decimal(38,10), period_start date, period_end date, "
+                                         "snapshot_date date")
+    got = sorted((r.valid_from, r.valid_until, r.base_id, r.working_id)
+                 for r in intervals.price_periods_aligned(pieces).collect())
+    assert got == [(D(2020, 1, 1), D(2020, 2, 29), 11, None),
+                   (D(2020, 3, 1), D(2020, 6, 30), 11, 12),
+                   (D(2020, 7, 1), D(2020, 12, 31), None, 12)]
+
+
+def test_overlapping_prices_keep_the_latest_start_then_end(spark):
+    rows = [(1000, D(2020, 1, 1), D(2020, 12, 31), Decimal("1"), Decimal("10")),
+            (1000, D(2020, 4, 1), D(2020, 6, 30), Decimal("2"), Decimal("20")),
+            (1000, D(2020, 4, 1), D(2020, 5, 31), Decimal("3"), Decimal("30"))]
+    dedup = spark.createDataFrame(rows, "product_id int, valid_from date, valid_until date, "
+                                        "baseprice decimal(38,10), workingprice decimal(38,10)")
+    segs = sorted((r.valid_from, r.valid_until, int(r.baseprice))
+                  for r in intervals.effective_prices(dedup).collect())
+    assert segs == [(D(2020, 1, 1), D(2020, 3, 31), 1), (D(2020, 4, 1), D(2020, 5, 31), 2),
+                    (D(2020, 6, 1), D(2020, 6, 30), 2), (D(2020, 7, 1), D(2020, 12, 31), 1)]
