@@ -184,3 +184,17 @@ def test_overlapping_prices_keep_the_latest_start_then_end(spark):
                   for r in intervals.effective_prices(dedup).collect())
     assert segs == [(D(2020, 1, 1), D(2020, 3, 31), 1), (D(2020, 4, 1), D(2020, 5, 31), 2),
                     (D(2020, 6, 1), D(2020, 6, 30), 2), (D(2020, 7, 1), D(2020, 12, 31), 1)]
+
+
+def test_touched_key_path_equals_the_whole_history_path(spark, monkeypatch):
+    early = price_staging(spark, {"202010", "202011", "202012"})
+    jan = price_staging(spark, {"202101"})
+    hist = scd2.scd2_prices(early)
+    cols = ["price_id", "modificationdate", "is_current", "valid_until", "price"]
+    touched = sorted(scd2.scd2_prices(jan, history=hist).select(cols).collect())
+    monkeypatch.setattr(scd2, "DEFAULT_MAX_ROWS", 0)  # keys never pass: whole-history path
+    assert scd2.split_touched(hist, jan.withColumnRenamed("id", "price_id"), "price_id",
+                              max_rows=0) is None
+    whole = sorted(scd2.scd2_prices(jan, history=hist).select(cols).collect())
+    assert touched == whole
+    assert len(touched) == 22 and sum(1 for r in touched if not r.is_current) == 4

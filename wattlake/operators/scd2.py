@@ -145,7 +145,7 @@ def stage_contracts(staging: DataFrame, tiebreak: Sequence[str] | None = None) -
 
 
 def split_touched(history: DataFrame, new_keys: DataFrame, key: str,
-                  max_rows: int = DEFAULT_MAX_ROWS) -> tuple[DataFrame, DataFrame] | None:
+                  max_rows: int | None = None) -> tuple[DataFrame, DataFrame] | None:
     """(history rows of keys in the new load, all other history rows).
 
     Only keys present in a load can change, so an incremental load needs to
@@ -155,7 +155,7 @@ def split_touched(history: DataFrame, new_keys: DataFrame, key: str,
     caller to process the whole history (one shuffle, no broadcast).
     """
     keys = new_keys.select(key).distinct()
-    if not rows_at_most(keys, max_rows):
+    if not rows_at_most(keys, DEFAULT_MAX_ROWS if max_rows is None else max_rows):
         return None
     k = F.broadcast(keys)
     return history.join(k, key, "left_semi"), history.join(k, key, "left_anti")
