@@ -51,3 +51,21 @@ def test_replayed_load_keeps_one_log(spark, tmp_path):
     log = spark.read.parquet(str(tmp_path / "log"))
     assert log.count() == 2
     assert staging.staging_view(spark, str(tmp_path / "staging"), "prices", "L1").count() == 14
+
+
+def test_stream_with_a_processing_time_trigger(spark, tmp_path):
+    _write_landing(tmp_path / "landing", months={"202010"})
+    _write_rules(tmp_path / "rules")
+    q = start_landing_stream(spark, str(tmp_path / "landing"), str(tmp_path / "staging"),
+                             str(tmp_path / "ckpt"), load_id_for=lambda b: f"P{b}",
+                             start="202010", end="202101", rules_dir=str(tmp_path / "rules"),
+                             log_dir=str(tmp_path / "log"), available_now=False,
+                             processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        _write_landing(tmp_path / "landing", months={"202011"})
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    log = spark.read.parquet(str(tmp_path / "log"))
+    assert log.count() == 4 and log.where("status = 'SUCCESS'").count() == 4
