@@ -14,7 +14,7 @@ from ..functions.lineage import extracted_at, load_id, snapshot_date
 from ..operators import dedup, filters, intervals, scd2
 from ..schema import OPEN_END, typed_projection
 from ..sources.adapters import x_contracts, x_files, x_prices, x_products
-from .common import (NEWEST_EXTRACT, SPLIT_TABLE, comparable, products_history,
+from .common import (NEWEST_EXTRACT, SPLIT_TABLE, comparable, products_history, published,
                      raw_price_history, register)
 
 BOM = "\ufeff"
@@ -297,7 +297,8 @@ SELECT product_id, period_start AS valid_from, period_end AS valid_until FROM px
 UNION
 SELECT product_id, period_start, period_end FROM px_pieces WHERE pricecomponentid = 2""")
 def q_union_distinct(spark: SparkSession, d: str) -> DataFrame:
-    pieces = intervals.price_period_split(raw_price_history(spark, d), max_date=NEWEST_EXTRACT)
+    pieces = published(intervals.price_period_split(raw_price_history(spark, d),
+                                                    max_date=NEWEST_EXTRACT))
     cols = [F.col("product_id"), F.col("period_start").alias("valid_from"),
             F.col("period_end").alias("valid_until")]
     base = pieces.where(F.col("pricecomponentid") == 1).select(*cols)

@@ -506,7 +506,8 @@ SELECT snapshot_date, product_id,
 FROM cover GROUP BY snapshot_date, product_id, valid_from, valid_until""")
 def q_price_periods_aligned(spark: SparkSession, d: str) -> DataFrame:
     """``align=True``: unaligned base and working pieces intersected (Q12)."""
-    pieces = intervals.price_period_split(raw_price_history(spark, d), max_date=NEWEST_EXTRACT)
+    pieces = published(intervals.price_period_split(raw_price_history(spark, d),
+                                                    max_date=NEWEST_EXTRACT))
     return comparable(intervals.price_periods_aligned(pieces))
 
 
