@@ -420,6 +420,14 @@ def q_scalar_case(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("enddate").isNull(), "open").otherwise("closed").alias("end_kind"))
 
 
+# H20 is SURVEY's "cond." group: the same CASE query under its group key.
+register("scalar_cond", """
+SELECT seq,
+       CASE status WHEN 'active' THEN 1 WHEN 'terminated' THEN 2 ELSE 0 END AS status_code,
+       CASE WHEN enddate IS NULL THEN 'open' ELSE 'closed' END AS end_kind
+FROM x_contracts""")(q_scalar_case)
+
+
 @register("scalar_similarity", """
 SELECT seq, cast(levenshtein(productname, energy) AS int) AS edit_distance FROM x_products""")
 def q_scalar_similarity(spark: SparkSession, d: str) -> DataFrame:
