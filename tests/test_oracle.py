@@ -11,7 +11,8 @@ import pytest
 import __spark_entry__ as se
 from conftest import SF_SMALL
 
-TABLES = ["part", "orders", "customer", "lineitem", "supplier", "nation", "region"]
+TABLES = ["part", "orders", "customer", "lineitem", "supplier", "nation", "region",
+          "documents", "pages", "benchmark", "labels", "conversations"]
 SQL = se.oracle_sql()
 
 
