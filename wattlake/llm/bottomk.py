@@ -33,9 +33,9 @@ def with_sketch(df: DataFrame, text: Column, name: str, k: int = K,
     hashed = df.withColumn("__w_words", F.transform(words, lambda w: F.xxhash64(w)))
     h = F.col("__w_words")
     n = F.size(h)
-    each = F.transform(F.sequence(F.lit(1), n - (shingle - 1)),
-                       lambda i: F.xxhash64(F.slice(h, i, F.lit(shingle))))
-    shingles = (F.when(n >= shingle, each).when(n > 0, F.array(F.xxhash64(h)))
+    # Reading single elements; slicing an array inside the lambda would copy all of it.
+    each = F.transform(h, lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, shingle)]))
+    shingles = (F.when(n >= shingle, F.slice(each, F.lit(1), n - (shingle - 1))).when(n > 0, F.array(F.xxhash64(h)))
                 .otherwise(F.array().cast("array<bigint>")))
     return hashed.withColumn(name, F.slice(F.sort_array(F.array_distinct(shingles)), 1, k)).drop("__w_words")
 
