@@ -45,16 +45,11 @@ def merged(a: Column, b: Column, k: int = K) -> Column:
     return F.slice(F.sort_array(F.array_union(a, b)), 1, k)
 
 
-def _shared(a: Column, b: Column, union: Column) -> Column:
-    last = F.element_at(union, -1)
-    return F.size(F.filter(F.array_intersect(a, b), lambda h: h <= last))
-
-
 def resemblance(a: Column, b: Column, k: int = K) -> Column:
     """Estimated Jaccard similarity of the shingle sets, 0 to 1."""
     union = merged(a, b, k)
     return (F.when(a == b, F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0))
-            .otherwise(_shared(a, b, union) / F.size(union)))
+            .otherwise(F.size(F.array_intersect(F.array_intersect(union, a), b)) / F.size(union)))
 
 
 def distinct_shingles(sketch: Column, k: int = K) -> Column:
