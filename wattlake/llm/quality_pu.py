@@ -31,9 +31,9 @@ from .labelled import held_out, sampled, training_rows
 
 TRAIN_ROWS = 12_000
 THRESHOLD = 0.3
-STEPS = 600
-RATE = 0.05
-L2 = 1e-3
+STEPS = 800
+RATE = 0.1
+L2 = 1e-4
 MARKS = "#$%&*|<>{}[]\\^~=_@+/"
 ENDS = ".!?"
 _LETTERS = re.compile(r"[^\W\d_]")
