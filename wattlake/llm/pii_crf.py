@@ -1,7 +1,8 @@
 """Personal data by a skip-chain conditional random field.
 
 Base patterns (e-mail, IP, card, phone) label a document's tokens.  Candidate
-tokens - white-space words with a digit or ``@`` - form a chain; tokens that
+tokens - white-space words with a digit or ``@``, or that are the name part of an
+address in the document - form a chain; tokens that
 repeat or resemble each other anywhere in the document are joined by skip
 edges.  Tokens under a base span are clamped to its label, the rest start near
 "outside" by what their shape has meant in the corpus, and loopy message
@@ -47,6 +48,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HINT = re.compile(r"[0-9@]")
+_WORD = re.compile(r"\S+")
 _DIGITS = re.compile(r"[0-9]+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 STRIP = ".,;:!?\"'()[]{}<>«»“”‘’…"
@@ -114,6 +116,20 @@ def tokens(text: str) -> list[tuple[int, int]]:
     return found
 
 
+def name_mentions(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Words that are the local part of one of the document's e-mail addresses."""
+    names = {text[a:b].partition("@")[0].lower() for a, b, kind in spans if kind == 0}
+    names = {n for n in names if len(n) >= MIN_KEY}
+    found = []
+    for m in _WORD.finditer(text) if names else ():
+        word = m[0].lstrip(STRIP)
+        start = m.end() - len(word)
+        word = word.rstrip(STRIP)
+        if word.lower() in names and not _HINT.search(word):
+            found.append((start, start + len(word)))
+    return found
+
+
 def shape(word: str) -> str:
     """Digit runs as 9s (up to five, then 9+), letter runs as one a."""
     digits = _DIGITS.sub(lambda m: "9" * len(m[0]) if len(m[0]) < 6 else "9+", word[:64])
@@ -178,13 +194,13 @@ class Potentials:
     """Counts of labels by token shape, and agreement weights of the edges (log-odds)."""
 
     shapes: dict[str, tuple] = field(default_factory=dict)
-    weights: dict[str, float] = field(default_factory=lambda: {"same": 5.0, "alike": 4.5, "c": 0.0})
+    weights: dict[str, float] = field(default_factory=lambda: {"same": 6.4, "alike": 5.7, "c": 0.0})
 
     def unary(self, word: str) -> np.ndarray:
         """Log-weights of a token that no base pattern took: outside grows with such tokens seen."""
         n = np.asarray(self.shapes.get(shape(word), (0,) * 5), dtype=float)
-        inside = 0.02 * (n[1:] + 0.25) / (n[1:].sum() + 1)
-        return np.log(np.concatenate([[min(n[0], 50) + 1], inside]))
+        inside = 0.03 * (n[1:] + 0.25) / (n[1:].sum() + 1)
+        return np.log(np.concatenate([[1 + math.log1p(n[0])], inside]))
 
 
 def potentials(counts: dict[str, int]) -> Potentials:
@@ -200,7 +216,7 @@ def potentials(counts: dict[str, int]) -> Potentials:
         return min(max(w, 0.0), top)
 
     return Potentials({k: tuple(v) for k, v in shapes.items()},
-                      {"same": weight("same", 300, 2, 8), "alike": weight("alike", 200, 2, 7),
+                      {"same": weight("same", 300, 0.5, 8), "alike": weight("alike", 150, 0.5, 7),
                        "c": weight("c", 1, 1, 1)})
 
 
@@ -241,7 +257,7 @@ def label(text: str | None, model: Potentials) -> tuple[list[tuple], list[tuple]
     spans = base_spans(text)
     if not spans:
         return [], []
-    found = tokens(text)
+    found = sorted(tokens(text) + name_mentions(text, spans))
     words = [text[a:b] for a, b in found]
     labels = token_labels(found, spans)
     skips = skip_edges(words)
@@ -305,6 +321,11 @@ def written(spans: Column) -> Column:
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def of_kind(kind: int):
+    """Predicate for ``filter`` over spans (of one argument: a second would be the index)."""
+    return lambda span: span["kind"] == kind
+
+
 def sorted_spans(spans: Column) -> Column:
     """By start, then kind as listed, then end."""
     moved = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"),

@@ -41,7 +41,7 @@ def op5_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii_crf.find(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+    counts = [F.size(F.filter("base", pii_crf.of_kind(k))).cast("long").alias(f"n_{name}")
               for k, name in enumerate(pii_crf.KINDS)]
     return found.select("doc_id", *counts,
                         F.sha2(pii_crf.written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
