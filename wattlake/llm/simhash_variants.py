@@ -103,7 +103,9 @@ def near_pairs(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     if max_bits >= 2 * len(SEGMENTS):
         raise ValueError(f"{len(SEGMENTS)} segments are complete up to {2 * len(SEGMENTS) - 1} bits")
     index = fps.select("fp", F.explode(variants(F.col("fp"))).alias("variant"))
-    a, b = index.alias("a"), index.alias("b")
+    # 64 rows per fingerprint: Spark sizes the sides without the explode and could
+    # broadcast one, so ask for the sorted join.
+    a, b = index.hint("merge").alias("a"), index.hint("merge").alias("b")
     xor = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
     return a.join(b, (F.col("a.variant") == F.col("b.variant")) & (F.col("a.fp") < F.col("b.fp"))
                   & (F.bit_count(xor) <= max_bits)
