@@ -19,6 +19,9 @@ ROW = "__w_row"
 HOT_KEYS = 256
 SPREAD = 1024
 
+# Rows of whole texts that a Python worker holds at a time.
+TEXT_BATCH_ROWS = 256
+
 # Words of the contracts: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -84,6 +87,21 @@ def lookup(rows: DataFrame, table: DataFrame, keys: list[str], weight: str,
     return both.select(*[c for c in rows.columns], *out)
 
 
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session's Arrow batches lowered to TEXT_BATCH_ROWS.
+
+    Whole texts go to Python workers, and Spark's default of 10,000 rows a
+    batch would make a worker's memory grow with the length of the texts.  The
+    setting is read when a plan runs, so it stays lowered for the session.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    now = int(conf.get(key, "10000"))
+    if not 0 < now <= TEXT_BATCH_ROWS:
+        conf.set(key, str(TEXT_BATCH_ROWS))
+    return df
+
+
 def pieces(n: int, each: int) -> int:
     """How many parts of about ``each`` rows ``n`` rows make."""
     return max(1, -(-int(n) // each))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col
+from .common import col, text_batches
 
 CHARS_PER_EDIT = 20
 BLOCK_CHARS = 400_000
@@ -161,7 +161,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, chars_per_edit: int = CH
     Offsets are those of the compared (lower-cased, single-spaced) text; start
     is exact when the distance is zero.
     """
-    slim = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
+    slim = text_batches(docs).select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
     parts = [slim.select("doc_id", F.explode(matches_column(F.col("text"), block, chars_per_edit)).alias("m"))
              .select("doc_id", "m.*") for block in blocks(benchmark, block_chars)]
     if not parts:
@@ -174,7 +174,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, chars_per_edit: int = CH
 def decontaminated(docs: DataFrame, benchmark: DataFrame, chars_per_edit: int = CHARS_PER_EDIT,
                    block_chars: int = BLOCK_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no benchmark item is found."""
-    out = docs
+    out = text_batches(docs)
     for block in blocks(benchmark, block_chars):
         out = out.where(F.size(matches_column(col(text_col), block, chars_per_edit)) == 0)
     return out

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col
+from .common import col, text_batches
 
 FOLDS = 5
 
@@ -37,7 +37,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, bound: int,
              .groupBy("doc_id", "fold").agg(F.min("label").alias("label")))
     n = known.count()
     chosen = known.where(sampled(F.col("doc_id"), bound, n, seed)) if n > bound else known
-    texts = docs.select(col(id_col).alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
+    texts = text_batches(docs).select(col(id_col).alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     # At most about ``bound`` ids: small enough to send to every task.
     return texts.join(F.broadcast(chosen), "doc_id")
 

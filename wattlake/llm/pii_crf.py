@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import col
 from .common import field as row_field
-from .common import packed
+from .common import packed, text_batches
 from .labelled import sampled
 
 # The kinds in contract order.
@@ -285,7 +285,7 @@ def fit(docs: DataFrame, bound: int = FIT_DOCS, id_col: str = "doc_id", text_col
     def seen(texts: pd.Series) -> pd.Series:
         return pd.Series([events(t) for t in texts], dtype=object)
 
-    rows = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text")).where(
+    rows = text_batches(docs).select(col(id_col).alias("doc_id"), col(text_col).alias("text")).where(
         sampled(F.col("doc_id"), bound, docs.count(), "crf"))
     counted = rows.select(F.explode(seen("text")).alias("event")).groupBy("event").agg(F.count("*").alias("n"))
     top = counted.orderBy(F.desc(~F.contains("event", F.lit("\t"))), F.desc("n"), "event").limit(SHAPES).collect()

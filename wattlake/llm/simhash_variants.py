@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, col, field, lookup, materialize, packed, unpacked
+from .common import ROW, col, field, lookup, materialize, packed, text_batches, unpacked
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -147,7 +147,7 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (signed long), component_id for every row of ``docs``."""
-    slim = materialize(docs.select(col(id_col).alias("doc_id"),
+    slim = materialize(text_batches(docs).select(col(id_col).alias("doc_id"),
                                    fingerprint_column(col(text_col), shingle).alias("fp")), "simhash")
     fps = materialize(slim.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")),
                       "fingerprints")
