@@ -35,4 +35,22 @@ def test_failed_step_is_logged(spark, tmp_path):
     log = spark.read.parquet(str(tmp_path / "staging" / "_load_log"))
     failed = log.where("status = 'FAILED' AND file = 'N/A'").collect()
     assert len(failed) == 1 and failed[0].entity == "warehouse" and "check must be" in failed[0].error
-    assert log.where("status = 'SUCCESS'").count() == 8  # the landing step's rows stay
+    done = log.where("status = 'SUCCESS'")
+    assert done.where("file <> 'N/A'").count() == 8  # the landing step's rows stay
+    assert [r.entity for r in done.where("file = 'N/A'").collect()] == ["landing"]
+
+
+def test_failed_file_or_unknown_version_stops_the_load(spark, tmp_path):
+    import pytest
+    from wattlake.plans.job import FailedFiles
+    _write_landing(tmp_path / "landing")
+    args = (spark, str(tmp_path / "landing"), str(tmp_path / "staging"), str(tmp_path / "dwh"),
+            "202010", "202101", dt.date(2021, 1, 2))
+    with pytest.raises(FailedFiles):  # drifted headers without confirmed rules
+        run_load(*args, run_ts=dt.datetime(2021, 1, 2))
+    assert not (tmp_path / "dwh").exists()
+    out = run_load(*args, run_ts=dt.datetime(2021, 1, 3), allow_partial=True)
+    assert out["log"].where("status = 'FAILED'").count() > 0 and (tmp_path / "dwh").exists()
+    _write_rules(tmp_path / "rules")
+    with pytest.raises(ValueError, match="no published"):
+        run_load(*args, run_ts=dt.datetime(2021, 1, 4), rules=str(tmp_path / "rules"), previous_version="typo")

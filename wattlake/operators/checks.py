@@ -52,7 +52,9 @@ class ConstraintViolation(RuntimeError):
 
 
 def assert_constraints(df: DataFrame, unique_key: Sequence[str], not_null: Sequence[str]) -> None:
-    """Raise when the report is non-empty (only a handful of rows is fetched)."""
-    sample = constraint_report(df, unique_key, not_null).limit(5).collect()
+    """Raise when the report is non-empty; the message has the total and a few rows."""
+    report = constraint_report(df, unique_key, not_null)
+    sample = report.limit(5).collect()
     if sample:
-        raise ConstraintViolation(f"constraint violations, first: {[r.asDict() for r in sample]}")
+        raise ConstraintViolation(f"{report.count()} constraint violations, among them: "
+                                  f"{[r.asDict() for r in sample]}")

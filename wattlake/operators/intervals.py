@@ -209,7 +209,7 @@ def price_dedup(periods: DataFrame) -> DataFrame:
                  F.max("workingprice").alias("workingprice")))
 
 
-def effective_prices(dedup: DataFrame) -> DataFrame:
+def effective_prices(dedup: DataFrame, yearly_pieces: bool = True) -> DataFrame:
     """Non-overlapping price segments with the overlap rule applied (Q19).
 
     Each product's timeline is cut at every period bound; a segment lies
@@ -217,7 +217,8 @@ def effective_prices(dedup: DataFrame) -> DataFrame:
     covering period with the latest valid_from, then valid_until - the
     row the mart keeps when several periods match one start.  Done on the
     catalogue-sized price side, so the contract side's range join matches
-    at most one row and needs no dedup.  Keeps ``__pf``/``__pu``, the chosen
+    at most one row and needs no dedup.  ``yearly_pieces``: no period crosses a
+    year's end, so the year is part of the join key.  Keeps ``__pf``/``__pu``, the chosen
     period's bounds.
     """
     cuts = (dedup.select("product_id", F.explode(F.array(
@@ -227,9 +228,11 @@ def effective_prices(dedup: DataFrame) -> DataFrame:
     segs = (cuts.withColumn("__next", F.lead("cut").over(w)).where(F.col("__next").isNotNull())
                 .select(F.col("product_id").alias("__sp"), F.col("cut").alias("seg_from"),
                         F.date_sub("__next", 1).alias("seg_until")))
-    cover = segs.join(dedup, (F.col("__sp") == F.col("product_id"))
-                      & F.col("seg_from").between(F.col("valid_from"), F.col("valid_until"))
-                      & (F.year("seg_from") == F.year("valid_from")))
+    covers = ((F.col("__sp") == F.col("product_id"))
+              & F.col("seg_from").between(F.col("valid_from"), F.col("valid_until")))
+    if yearly_pieces:
+        covers = covers & (F.year("seg_from") == F.year("valid_from"))
+    cover = segs.join(dedup, covers)
     best = (cover.groupBy("product_id", "seg_from", "seg_until")
                  .agg(F.max_by(F.struct("baseprice", "workingprice", "valid_from", "valid_until"),
                                F.struct("valid_from", "valid_until")).alias("b")))
@@ -255,7 +258,8 @@ def product_price_dates(periods: DataFrame) -> DataFrame:
 
 
 def contract_breakpoints(contract_input: DataFrame, periods: DataFrame,
-                         extra: Sequence[str] = (), small_prices: bool | None = None) -> DataFrame:
+                         extra: Sequence[str] = (), small_prices: bool | None = None,
+                         within: tuple[str, str] | None = None) -> DataFrame:
     """Distinct breakpoint dates per (contract, product).
 
     The correlated LATERAL union is decorrelated into one pass.  Each
@@ -265,6 +269,10 @@ def contract_breakpoints(contract_input: DataFrame, periods: DataFrame,
     (one row per product; broadcast when the price periods pass a bounded
     row count, which bounds the lookup too, else a shuffle join).  The union
     of the two arrays is exploded once per pair and is already distinct.
+
+    ``within`` names two of ``extra``: only dates from the first to the second
+    (null: open) are kept, before the explode.  Both bounds being breakpoints
+    of the contract themselves, the periods between them stay the same.
     """
     own = (contract_input
            .groupBy("contract_id", "productid", *extra)
@@ -276,6 +284,9 @@ def contract_breakpoints(contract_input: DataFrame, periods: DataFrame,
     x = own.join(lookup, "productid", "left")
     dates = F.array_union(F.col("__own"),
                           F.coalesce(F.col("price_dates"), F.array().cast("array<date>")))
+    if within is not None:
+        low, high = F.col(within[0]), F.col(within[1])
+        dates = F.filter(dates, lambda d: (d >= low) & (high.isNull() | (d <= high)))
     return (x.select("contract_id", "productid", *extra, F.explode(dates).alias("date_value"))
              .where(F.col("date_value").isNotNull()))
 

@@ -95,7 +95,8 @@ def contract_price_periods(ci: DataFrame, periods_table: DataFrame, as_of: _dt.d
     head = [f"__h_{c}" for c in _HEAD_FIELDS]
     ci_h = with_latest_version(ci).select(
         *ci.columns, *[F.col(f"__head.{c}").alias(f"__h_{c}") for c in _HEAD_FIELDS])
-    bp = contract_breakpoints(ci_h, periods_table, extra=head, small_prices=small)
+    bp = contract_breakpoints(ci_h, periods_table, extra=head, small_prices=small,
+                              within=("__h_startdate", "__h_enddate"))
     # The head's creation date is constant per contract; carrying it as a
     # window key lets report filters on createdat skip whole contracts early.
     periods = contract_periods(bp, extra=head, constant_per_contract=[F.col("__h_createdat")])
@@ -106,7 +107,7 @@ def contract_price_periods(ci: DataFrame, periods_table: DataFrame, as_of: _dt.d
                      & (F.col("period_start") < _date(as_of)))
               .select("contract_id", "productid", "period_start", "period_end",
                       *[F.col(f"__h_{c}").alias(c) for c in _HEAD_FIELDS]))
-    prices = effective_prices(price_dedup(periods_table)).drop("__pf", "__pu")
+    prices = effective_prices(price_dedup(periods_table), yearly_pieces).drop("__pf", "__pu")
     return range_join_prices(inside, prices, yearly_pieces=yearly_pieces, small_prices=small)
 
 

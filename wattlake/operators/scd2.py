@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from ..functions.hashing import row_hash, surrogate_key
 from ..functions.lineage import extracted_at, snapshot_date
 from ..schema import INVALID_STATUSES, NO_DATA, OPEN_END, USAGE_OUTLIER_BOUND, typed_projection
-from .dedup import latest_per_key
+from .dedup import latest_per_key, window_max
 from .filters import sentinel_map, validity_flag, within_bound
-from .joins import DEFAULT_MAX_ROWS, rows_at_most
+from .joins import DEFAULT_MAX_ROWS, maybe_broadcast, rows_at_most
 
 PRODUCT_COLUMNS = ["product_sk", "product_id", "productcode", "productname", "energy",
                    "consumptiontype", "deleted", "releasedversion", "valid_from", "valid_until",
@@ -67,12 +67,18 @@ def anti_join_new_rows(new: DataFrame, existing: DataFrame | None, keys: Sequenc
     return new.join(existing.select(*keys), on=list(keys), how="left_anti")
 
 
-def newest_flag(df: DataFrame, key: str, version: str, alias: str = "is_current") -> DataFrame:
+def newest_flag(df: DataFrame, key: str, version: str, alias: str = "is_current",
+                many_rows_per_key: bool = False) -> DataFrame:
     """``alias`` = no row of the same key has a larger ``version``.
 
     The two correlated EXISTS / NOT EXISTS updates collapse into one
-    comparison with the per-key maximum.
+    comparison with the per-key maximum.  (key, version) unique: a window, whose
+    groups the calendar bounds.  ``many_rows_per_key``: the maximum is a
+    partial aggregate joined back, so no key's rows meet in one task.
     """
+    if many_rows_per_key:
+        top = window_max(df, [key], version, "__newest")
+        return top.withColumn(alias, F.col(version) == F.col("__newest")).drop("__newest")
     return df.withColumn(alias, F.col(version) == F.max(version).over(Window.partitionBy(key)))
 
 
@@ -145,39 +151,39 @@ def stage_contracts(staging: DataFrame, tiebreak: Sequence[str] | None = None) -
 
 
 def split_touched(history: DataFrame, new_keys: DataFrame, key: str,
-                  max_rows: int | None = None) -> tuple[DataFrame, DataFrame] | None:
+                  max_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(history rows of keys in the new load, all other history rows).
 
     Only keys present in a load can change, so an incremental load needs to
-    reprocess those alone.  When the load's distinct keys pass a bounded row
-    count they are broadcast and the stored history is split by a semi and
-    an anti join without being shuffled; beyond the bound ``None`` tells the
-    caller to process the whole history (one shuffle, no broadcast).
+    reprocess those alone.  The stored history is split by a semi and an anti
+    join: with the load's distinct keys broadcast when their count allows it (the
+    history is not shuffled), else as shuffled joins with the same result.
     """
     keys = new_keys.select(key).distinct()
-    if not rows_at_most(keys, DEFAULT_MAX_ROWS if max_rows is None else max_rows):
-        return None
-    k = F.broadcast(keys)
+    small = rows_at_most(keys, DEFAULT_MAX_ROWS if max_rows is None else max_rows)
+    k = maybe_broadcast(keys, small)
     return history.join(k, key, "left_semi"), history.join(k, key, "left_anti")
 
 
 def scd2_contracts(staging: DataFrame, history: DataFrame | None = None,
                    run_ts: _dt.datetime | Column | None = None, recompute: bool = False,
-                   tiebreak: Sequence[str] | None = None) -> DataFrame:
+                   tiebreak: Sequence[str] | None = None,
+                   max_broadcast_rows: int | None = None) -> DataFrame:
     """Contracts history load.
 
     New (contract_id, modificationdate) versions are appended; every current
     version but the newest per contract is closed with the next version date
     minus one day.  ``is_valid`` is false for cancelled or terminated rows.
-    Incremental loads only reprocess the contracts present in the load.
+    Incremental loads only reprocess the contracts present in the load, except
+    with ``recompute``, which repairs every contract of the history.  The size
+    of the load chooses the join, never the scope.
     """
     staged = stage_contracts(staging, tiebreak)
     untouched = None
     if history is not None:
         history = history.select(*CONTRACT_COLUMNS)
-        parts = split_touched(history, staged, "contract_id")
-        if parts is not None:
-            history, untouched = parts
+        if not recompute:
+            history, untouched = split_touched(history, staged, "contract_id", max_broadcast_rows)
     new = anti_join_new_rows(staged, history, ["contract_id", "modificationdate"])
     inserted = new.select(
         surrogate_key("contract_id", "modificationdate").alias("contract_sk"),
@@ -224,9 +230,7 @@ def scd2_prices(staging: DataFrame, history: DataFrame | None = None,
     untouched = None
     if history is not None:
         history = history.select(*PRICE_COLUMNS)
-        parts = split_touched(history, staged, "price_id")
-        if parts is not None:
-            history, untouched = parts
+        history, untouched = split_touched(history, staged, "price_id")
     new = anti_join_new_rows(staged, history, ["price_id", "modificationdate"])
     inserted = new.select(
         surrogate_key("price_id", "modificationdate").alias("price_sk"),

@@ -28,8 +28,12 @@ def run_load(spark: SparkSession, landing: str, staging_root: str, warehouse: st
              start: str | None, end: str, as_of: _dt.date, rules: str | None = None,
              entities: str = "products,prices,contracts", run_ts: _dt.datetime | None = None,
              previous_version: str | None = None, keep_snapshots: bool = False,
-             check: str = "full") -> dict:
-    """Stage one load and publish every warehouse table built from it."""
+             check: str = "full", allow_partial: bool = False) -> dict:
+    """Stage one load and publish every warehouse table built from it.
+
+    A landing file that fails stops the load before anything is published,
+    unless ``allow_partial``; so does a ``previous_version`` without its tables.
+    """
     ensure_checkpoint_dir(spark)
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     load_id = staging.new_load_id(run_ts)
@@ -40,6 +44,10 @@ def run_load(spark: SparkSession, landing: str, staging_root: str, warehouse: st
                                      start=start, end=end, rules_dir=rules,
                                      drafts_dir=f"{staging_root.rstrip('/')}/_drafts",
                                      log_dir=log_dir)
+        failed = result.log.where("status = 'FAILED'").count()
+        if failed and not allow_partial:
+            raise FailedFiles(f"{failed} landing file(s) failed, see the load log of {load_id}")
+        _log_step(spark, log_dir, load_id, step)
         step = "warehouse"
         views = {e: staging.staging_view(spark, staging_root, e, load_id)
                  for e in ("products", "prices", "contracts")}
@@ -48,19 +56,31 @@ def run_load(spark: SparkSession, landing: str, staging_root: str, warehouse: st
             from .sql_views import read_published
             previous = {k: v for k, v in read_published(spark, warehouse, previous_version).items()
                         if k in ("products", "prices", "contracts")}
+            if not {"prices", "contracts"} <= set(previous):
+                raise ValueError(f"no published, checked tables of version {previous_version!r}")
         tables = warehouse_job.run(spark, views, warehouse, load_id, as_of, run_ts,
                                    previous=previous, keep_snapshots=keep_snapshots, check=check)
     except Exception as exc:
-        # A failed step is logged like the per-file rows (file "N/A"), as the
-        # scheduler's failure callback does, then the job fails.
-        row = [(load_id, step, "N/A", "FAILED", 0, str(exc)[:2000])]
-        staging.append_log(spark.createDataFrame(
-            row, "load_id string, entity string, file string, status string, "
-                 "rows_loaded bigint, error string"), log_dir)
+        # A failed step is logged like the per-file rows, then the job fails.
+        _log_step(spark, log_dir, load_id, step, str(exc))
         raise
+    _log_step(spark, log_dir, load_id, step)
     return {"load_id": load_id, "log": result.log, "tables": tables}
 
 
+class FailedFiles(RuntimeError):
+    """Landing files failed and the load may not be partial."""
+
+
+def _log_step(spark: SparkSession, log_dir: str, load_id: str, step: str,
+              error: str | None = None) -> None:
+    """Append a step's row (file "N/A") to the load log, with its whole error text."""
+    row = [(load_id, step, "N/A", "FAILED" if error is not None else "SUCCESS", 0, error)]
+    staging.append_log(spark.createDataFrame(
+        row, "load_id string, entity string, file string, status string, "
+             "rows_loaded bigint, error string"), log_dir)
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--landing", required=True)
@@ -76,15 +96,20 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--keep-snapshots", action="store_true")
     ap.add_argument("--check", default="full", choices=["full", "nulls", "none"],
                     help="constraint report on each published table")
+    ap.add_argument("--allow-partial", action="store_true",
+                    help="publish although landing files failed")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("wattlake-load").getOrCreate()
     out = run_load(spark, args.landing, args.staging, args.warehouse, args.start, args.end,
                    args.as_of, rules=args.rules, entities=args.entities,
                    previous_version=args.previous_version, keep_snapshots=args.keep_snapshots,
-                   check=args.check)
-    failed = out["log"].where("status = 'FAILED'").select("file", "error").limit(20).collect()
-    for r in failed:
+                   check=args.check, allow_partial=args.allow_partial)
+    failed = out["log"].where("status = 'FAILED'")
+    total = failed.count()
+    for r in failed.select("file", "error").limit(20).collect():
         print(f"FAILED {r.file}: {r.error}", file=sys.stderr)
+    if total:
+        print(f"{total} file(s) failed in all; the load log has every one", file=sys.stderr)
     print(f"load {out['load_id']} published")
     return 0
 

@@ -151,7 +151,8 @@ SELECT id, productid, modificationdate,
 FROM x_prices p""")
 def q_exists_newer(spark: SparkSession, d: str) -> DataFrame:
     p = x_prices(spark, d).select("id", "productid", "modificationdate")
-    flagged = scd2.newest_flag(p, "productid", "modificationdate", "is_newest")
+    flagged = scd2.newest_flag(p, "productid", "modificationdate", "is_newest",
+                               many_rows_per_key=True)
     return flagged.select("id", "productid", "modificationdate", (~F.col("is_newest")).alias("has_newer"))
 
 

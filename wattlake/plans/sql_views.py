@@ -7,8 +7,11 @@ plans the SQL exactly like the DataFrame reports in ``reports.py``.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.staging import path_is_missing
+
 TABLES = ("products", "prices", "contracts", "price_periods", "contract_price_enriched")
 
 # The four README questions, in Spark SQL.  Date parameters are typed
@@ -49,7 +52,7 @@ def read_published(spark: SparkSession, warehouse: str, version: str) -> dict[st
     """The checked tables of one published version (``warehouse_job.run``).
 
     A table folder without its ``_checked`` marker (a failed or interrupted
-    run) is not returned.
+    run) is not returned; any read error but a missing path is raised.
     """
     out = {}
     for name in TABLES:
@@ -57,8 +60,10 @@ def read_published(spark: SparkSession, warehouse: str, version: str) -> dict[st
         try:
             spark.read.json(f"{path}/_checked").first()
             out[name] = spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - not part of this run, or not checked
-            continue
+        except AnalysisException as e:
+            if not path_is_missing(e):
+                raise
+            continue  # not part of this run, or not checked
     return out
 
 

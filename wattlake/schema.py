@@ -82,12 +82,19 @@ NOT_NULL = {
 }
 
 
+# Cell texts that the usual CSV readers take as missing.
+MISSING_WORDS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+                 "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
 def typed_projection(df: DataFrame, entity: str, keep: tuple[str, ...] = ("source_table",),
                      missing_as_null: bool = False) -> DataFrame:
     """Cast every contract column; absent optional columns become typed nulls.
 
-    Text timestamps such as ``2020-08-27`` or ``2020-08-27 00:00:00`` are both
-    accepted for dates (the staging view casts through TIMESTAMP first).
+    Text dates are cast as a whole through a timestamp, so ``2020-08-27`` and
+    ``2020-08-27 00:00:00`` are dates and trailing garbage fails the cast.
+    Whole numbers may be written with a fraction (``3650.0``).  The usual words
+    for a missing value (MISSING_WORDS) are missing, as blanks are.
     A ``no_data`` fill in a non-text column fails the cast, as coded;
     ``missing_as_null=True`` (Q28) reads it as null instead.
     """
@@ -99,11 +106,16 @@ def typed_projection(df: DataFrame, entity: str, keep: tuple[str, ...] = ("sourc
             continue
         src = F.col(name)
         current = df.schema[name].dataType
-        text = F.nullif(F.trim(src), F.lit(""))  # blank landing cells are missing values
+        text = F.trim(src)  # blank landing cells are missing values
+        text = F.when(~text.isin(*MISSING_WORDS), text)
         if missing_as_null and not isinstance(dtype, T.StringType):
             text = F.when(text == NO_DATA, F.lit(None).cast("string")).otherwise(text)
         if isinstance(dtype, T.DateType) and isinstance(current, T.StringType):
-            cols.append(F.to_date(F.substring(text, 1, 10)).alias(name))
+            cols.append(text.cast("timestamp_ntz").cast("date").alias(name))
+        elif isinstance(current, T.StringType) and isinstance(dtype, T.IntegralType):
+            cols.append(F.round(text.cast("decimal(38,10)")).cast(dtype).alias(name))
+        elif isinstance(current, T.StringType) and isinstance(dtype, T.StringType):
+            cols.append(text.alias(name))
         elif isinstance(current, T.StringType) and not isinstance(dtype, T.StringType):
             cols.append(text.cast(dtype).alias(name))
         else:

@@ -81,16 +81,26 @@ def _to_pyarrow_uri(path: str) -> str:
 
 
 def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Read the first line of each file (at most 64 KiB), nothing more."""
+    """Read the first line of each file, however long; line breaks in quotes belong to it."""
     from pyarrow import fs as pafs
     for pdf in batches:
         heads = []
         for p in pdf["path"]:
             filesystem, inner = pafs.FileSystem.from_uri(_to_pyarrow_uri(p))
             with filesystem.open_input_stream(inner) as stream:
-                chunk = stream.read(65536)
-            line = chunk.split(b"\n", 1)[0].rstrip(b"\r")
-            heads.append(line.decode("utf-8", errors="replace"))
+                line, quoted, more = bytearray(), False, stream.read(65536)
+                while more:
+                    parts = more.split(b"\n")
+                    for k, part in enumerate(parts):
+                        line += part
+                        quoted ^= part.count(b'"') % 2 == 1
+                        if k < len(parts) - 1 and not quoted:
+                            more = None
+                            break
+                        if k < len(parts) - 1:
+                            line += b"\n"
+                    more = stream.read(65536) if more is not None else None
+            heads.append(bytes(line).rstrip(b"\r").decode("utf-8", errors="replace"))
         yield pdf.assign(header=heads)
 
 

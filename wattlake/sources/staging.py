@@ -14,6 +14,7 @@ import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +30,11 @@ def new_load_id(ts: _dt.datetime) -> str:
     return ts.strftime("%Y%m%d_%H%M%S") + f"{ts.microsecond // 1000:03d}"
 
 
+def path_is_missing(e: AnalysisException) -> bool:
+    """Whether a read failed because its path does not exist, and for nothing else."""
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
 def staging_table_name(unit: Column, load_id: str) -> Column:
     """``<unit without .csv>_staging_<load_id>``."""
     return F.concat(F.regexp_replace(unit, r"\.csv$", ""), F.lit(f"_staging_{load_id}"))
@@ -109,8 +115,10 @@ def staging_view(spark: SparkSession, root: str, entity: str, load_id: str,
     path = f"{root.rstrip('/')}/{entity}"
     try:
         raw = spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - no partition of this entity yet: empty typed load (Q31)
-        raw = spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if not path_is_missing(e):
+            raise
+        raw = spark.createDataFrame([], schema)  # nothing of this entity staged yet (Q31)
     raw = raw.where(F.col("load_id") == load_id)
     return typed_projection(raw, entity, missing_as_null=missing_as_null)
 
@@ -125,8 +133,10 @@ def load_log(plan: DataFrame, staging_root: str, spark: SparkSession, load_id: s
         path = f"{staging_root.rstrip('/')}/{entity}"
         try:
             df = spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - entity not staged in any load yet
-            continue
+        except AnalysisException as e:
+            if not path_is_missing(e):
+                raise
+            continue  # entity not staged in any load yet
         counts.append(df.where(F.col("load_id") == load_id)
                         .groupBy("source_table").agg(F.count(F.lit(1)).alias("rows_loaded")))
     p = plan.select("entity", F.col("file_name").alias("file"), "status", "error",
