@@ -1,64 +1,65 @@
-"""Hand-made copies of the sample snapshots (FIXTURES §1 and §4): four monthly
-product and price files, staged as text with their staging table names."""
+"""A small invented supplier: four monthly product and price snapshots, staged
+as text with their staging table names.
+
+Three tariffs with a base and a working price each.  The last snapshot ends
+the gas prices with the year, opens new ones (one of them after the snapshot)
+and renames every product; a trial product appears, then is marked deleted.
+"""
 
 from __future__ import annotations
 
 LOAD = "20250101_120000123"
 
-# (id, productid, pricecomponentid, productcomponent, price, unit, valid_from, valid_until, moddate)
-_PRICES_BASE = [
-    (1, 1000, 1, "baseprice", "8.99", "€/year", "2019-01-01", "2020-05-31", "2020-05-24"),
-    (2, 1000, 2, "workingprice", "29.8", "ct/kwh", "2019-01-01", "2020-05-31", "2020-05-24"),
-    (3, 1001, 1, "baseprice", "9.99", "€/year", "2019-01-01", "9999-12-31", "2018-12-23"),
-    (4, 1002, 1, "baseprice", "9.49", "€/year", "2019-01-01", "9999-12-31", "2018-12-23"),
-    (5, 1001, 2, "workingprice", "29.4", "ct/kwh", "2019-01-01", "2019-12-31", "2019-12-22"),
-    (6, 1002, 2, "workingprice", "28.9", "ct/kwh", "2019-01-01", "2019-12-31", "2019-12-22"),
-    (7, 2001, 1, "baseprice", "13.99", "€/year", "2019-01-01", "9999-12-31", "2018-12-23"),
-    (8, 2001, 2, "workingprice", "4.9", "ct/kwh", "2019-01-01", "9999-12-31", "2018-12-23"),
-    (9, 2002, 1, "baseprice", "13.99", "€/year", "2019-01-01", "9999-12-31", "2018-12-23"),
-    (10, 2002, 2, "workingprice", "5.2", "ct/kwh", "2019-01-01", "9999-12-31", "2018-12-23"),
-    (11, 1002, 2, "workingprice", "29.1", "€/year", "2020-01-01", "9999-12-31", "2019-12-22"),
-    (12, 1001, 2, "workingprice", "29.3", "ct/kwh", "2020-01-01", "9999-12-31", "2019-12-22"),
-    (13, 1000, 1, "baseprice", "9.79", "€/year", "2020-06-01", "9999-12-31", "2020-05-24"),
-    (14, 1000, 2, "workingprice", "29.9", "ct/kwh", "2020-06-01", "9999-12-31", "2020-05-24"),
-]
-_PRICES_JAN = [r for r in _PRICES_BASE if r[0] not in (7, 8, 9, 10)] + [
-    (7, 2001, 1, "baseprice", "13.99", "€/year", "2019-01-01", "2020-12-31", "2020-12-28"),
-    (8, 2001, 2, "workingprice", "4.9", "ct/kwh", "2019-01-01", "2020-12-31", "2020-12-28"),
-    (9, 2002, 1, "baseprice", "13.99", "€/year", "2019-01-01", "2020-12-31", "2020-12-28"),
-    (10, 2002, 2, "workingprice", "5.2", "ct/kwh", "2019-01-01", "2020-12-31", "2020-12-28"),
-    (15, 2001, 1, "baseprice", "14.29", "€/year", "2021-01-01", "9999-12-31", "2020-12-28"),
-    (16, 2001, 2, "workingprice", "5.15", "ct/kwh", "2021-01-01", "9999-12-31", "2020-12-28"),
-    (17, 2002, 1, "baseprice", "14.19", "€/year", "2021-01-01", "9999-12-31", "2020-12-28"),
-    (18, 2002, 2, "workingprice", "5.25", "ct/kwh", "2021-10-01", "9999-12-31", "2020-12-28"),
+MONTHS = ("202211", "202212", "202301", "202302")
+OPEN = "9999-12-31"
+COMPONENTS = {1: ("baseprice", "€/year"), 2: ("workingprice", "ct/kwh")}
+
+
+def _price(id, product, component, price, start, until, modified):
+    name, unit = COMPONENTS[component]
+    return (id, product, component, name, price, unit, start, until, modified)
+
+
+_POWER = [
+    _price(101, 410, 1, "7.2", "2018-01-01", "2020-09-30", "2020-09-12"),
+    _price(102, 410, 2, "26.5", "2018-01-01", "2020-09-30", "2020-09-12"),
+    _price(103, 410, 1, "8.4", "2020-10-01", OPEN, "2020-09-12"),
+    _price(104, 410, 2, "27.25", "2020-10-01", OPEN, "2020-09-12"),
+    _price(105, 420, 1, "6.6", "2018-01-01", OPEN, "2017-11-20"),
+    _price(106, 420, 2, "21.9", "2018-01-01", "2021-12-31", "2021-12-06"),
+    _price(107, 420, 2, "23.15", "2022-01-01", OPEN, "2021-12-06"),
 ]
-PRICE_FILES = {
-    "20201001220039": _PRICES_BASE, "20201101220039": _PRICES_BASE,
-    "20201201220101": _PRICES_BASE, "20210101220057": _PRICES_JAN,
-}
-
-# (id, productcode, productname, energy, consumptiontype, deleted, moddate)
-_P_OCT = [
-    (1000, "energy", "ÖkoStrom A", "electricity", "household_electricity", 0, "2020-08-27"),
-    (1001, "energy", "ÖkoStrom B", "electricity", "household_electricity", 0, "2020-02-05"),
-    (1002, "energy", "ÖkoStrom C", "electricity", "household_electricity", 0, "2020-06-07"),
-    (2001, "energy", "ÖkoGas A", "gas", "universal", 0, "2019-05-21"),
-    (2002, "energy", "ÖkoGas B", "gas", "universal", 0, "2020-06-04"),
+_GAS = [
+    _price(108, 530, 1, "11.0", "2018-01-01", OPEN, "2017-11-20"),
+    _price(109, 530, 2, "6.35", "2018-01-01", OPEN, "2017-11-20"),
 ]
-_P_NOV = [r if r[0] != 1002 else r[:6] + ("2020-01-01",) for r in _P_OCT] + [
-    (9001, "energy", "ÖkoTest A", "electricity", "household_electricity", 0, "2020-11-29")]
-_P_DEC = _P_NOV[:5] + [(9001, "energy", "ÖkoTest A", "electricity", "household_electricity", 1,
-                         "2020-12-02")]
-_P_JAN = [
-    (1000, "energy", "ÖkoStrom 1", "electricity", "household_electricity", 0, "2020-12-29"),
-    (1001, "energy", "ÖkoStrom 2", "electricity", "household_electricity", 0, "2020-12-29"),
-    (1002, "energy", "ÖkoStrom 3", "electricity", "household_electricity", 0, "2020-12-29"),
-    (2001, "energy", "ÖkoGas 1", "gas", "universal", 0, "2020-12-29"),
-    (2002, "energy", "ÖkoGas 2", "gas", "universal", 0, "2020-12-29"),
-    (9001, "energy", "ÖkoTest A", "electricity", "household_electricity", 1, "2020-12-02"),
+_GAS_RAISED = [
+    _price(108, 530, 1, "11.0", "2018-01-01", "2022-12-31", "2023-01-17"),
+    _price(109, 530, 2, "6.35", "2018-01-01", "2022-12-31", "2023-01-17"),
+    _price(110, 530, 1, "12.5", "2023-01-01", OPEN, "2023-01-17"),
+    _price(111, 530, 2, "7.05", "2023-03-01", OPEN, "2023-01-17"),
 ]
-PRODUCT_FILES = {"20201001220037": _P_OCT, "20201101220035": _P_NOV,
-                 "20201201220034": _P_DEC, "20210101220045": _P_JAN}
+PRICE_FILES = {f"{m}01061500": _POWER + (_GAS_RAISED if m == MONTHS[-1] else _GAS) for m in MONTHS}
+
+
+def _product(id, name, energy, modified, deleted=0):
+    return (id, "tariff", name, energy, "small_user", deleted, modified)
+
+
+def _products(night, trial):
+    return [_product(410, "Hafenstrom Fix", "electricity", "2022-02-03"),
+            _product(420, "Hafenstrom Nacht", "electricity", night),
+            _product(530, "Hafengas", "gas", "2021-07-09"), *trial]
+
+
+# The night tariff's date goes back in the second snapshot; the last renames all.
+_TRIAL_GONE = _product(7700, "Probetarif", "electricity", "2022-12-20", deleted=1)
+PRODUCT_FILES = dict(zip((f"{m}01061200" for m in MONTHS), (
+    _products("2022-08-15", []),
+    _products("2022-01-31", [_product(7700, "Probetarif", "electricity", "2022-11-30")]),
+    _products("2022-01-31", [_TRIAL_GONE]),
+    [_product(i, f"{n} 2023", e, "2023-01-25") for i, _, n, e, *_ in _products("", [])] + [_TRIAL_GONE])))
+RENAMED = [410, 420, 530]
 
 
 def price_staging(spark, months=None):

@@ -5,7 +5,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from samples import PRICE_FILES, PRODUCT_FILES, contract_staging
+from samples import MONTHS, PRICE_FILES, PRODUCT_FILES, contract_staging
 from wattlake.operators import intervals, scd2
 from wattlake.sources import staging
 
@@ -54,24 +54,24 @@ def test_reference_format_files_to_price_periods(spark, tmp_path):
     _write_landing(tmp_path / "landing")
     _write_rules(tmp_path / "rules")
     res = staging.run_landing(spark, str(tmp_path / "landing"), str(tmp_path / "staging"), LOAD,
-                              start="202010", end="202101", rules_dir=str(tmp_path / "rules"),
+                              start=MONTHS[0], end=MONTHS[3], rules_dir=str(tmp_path / "rules"),
                               log_dir=str(tmp_path / "log"))
     log = {r.file: (r.status, r.rows_loaded) for r in res.log.collect()}
     assert len(log) == 8 and all(s == "SUCCESS" for s, _ in log.values())
-    assert sorted(n for f, (_, n) in log.items() if f.endswith("_prices.csv")) == [14, 14, 14, 18]
-    assert sorted(n for f, (_, n) in log.items() if f.endswith("_products.csv")) == [5, 6, 6, 6]
+    assert sorted(n for f, (_, n) in log.items() if f.endswith("_prices.csv")) == [9, 9, 9, 11]
+    assert sorted(n for f, (_, n) in log.items() if f.endswith("_products.csv")) == [3, 4, 4, 4]
 
     prices = staging.staging_view(spark, str(tmp_path / "staging"), "prices", LOAD)
     products = staging.staging_view(spark, str(tmp_path / "staging"), "products", LOAD)
     assert prices.where(F.col("pricecomponent").isNull()).count() == 0
-    assert {r.productname for r in products.select("productname").collect()} >= {"ÖkoStrom A"}
+    assert {r.productname for r in products.select("productname").collect()} >= {"Hafenstrom Fix"}
 
     hist = scd2.scd2_prices(prices)
-    assert hist.count() == 22
+    assert hist.count() == 13
     periods = intervals.price_periods(intervals.price_period_split(hist)).collect()
-    assert len(periods) == 15 and {r.snapshot_date for r in periods} == {dt.date(2021, 1, 1)}
+    assert len(periods) == 18 and {r.snapshot_date for r in periods} == {dt.date(2023, 2, 1)}
     prod = scd2.scd2_products(products).collect()
-    assert len(prod) == 6 and all(r.releasedversion == -1 for r in prod)
+    assert len(prod) == 4 and all(r.releasedversion == -1 for r in prod)
 
 
 def test_hot_contract_with_a_third_of_all_copies(spark):
@@ -81,7 +81,7 @@ def test_hot_contract_with_a_third_of_all_copies(spark):
         cid = 1 if i % 3 == 0 else i
         day = dt.date(2020, 1, 1) + dt.timedelta(days=(i // 3) % 40)
         load = f"202{i % 2}0101220104_contracts_staging_{LOAD}"
-        rows.append(dict(id=cid, productid=1000, status="active", usage=10, usagenet=10,
+        rows.append(dict(id=cid, productid=410, status="active", usage=10, usagenet=10,
                          createdat="2020-01-01", startdate="2020-01-01",
                          modificationdate=day.isoformat(), source_table=load, type=str(i)))
     hist = scd2.scd2_contracts(contract_staging(spark, rows)).where("contract_id = 1").collect()

@@ -1,11 +1,11 @@
-"""Goldens of FIXTURES §4 on hand-made copies of the sample snapshots."""
+"""Goldens on the invented snapshots of samples.py, worked out by hand."""
 
 import datetime as dt
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import functions as F
 
-from samples import contract_staging, price_staging, product_staging
+from samples import LOAD, MONTHS, RENAMED, contract_staging, price_staging, product_staging
 from wattlake.operators import intervals, revenue, scd2
 
 D = dt.date
@@ -13,20 +13,19 @@ D = dt.date
 
 def test_prices_history_all_months(spark):
     h = scd2.scd2_prices(price_staging(spark)).collect()
-    assert len(h) == 22
+    assert len(h) == 13
     stale = sorted((r.price_id, r.modificationdate) for r in h if not r.is_current)
-    assert stale == [(i, D(2018, 12, 23)) for i in (7, 8, 9, 10)]
-    assert {r.extracted_at.date() for r in h} <= {D(2020, 10, 1), D(2020, 11, 1), D(2020, 12, 1),
-                                                  D(2021, 1, 1)}
+    assert stale == [(108, D(2017, 11, 20)), (109, D(2017, 11, 20))]
+    assert {r.extracted_at.date() for r in h} <= {D(int(m[:4]), int(m[4:]), 1) for m in MONTHS}
 
 
 def test_products_history_as_coded(spark):
     h = scd2.scd2_products(product_staging(spark)).collect()
-    assert len(h) == 6
+    assert len(h) == 4
     assert all(r.is_current and r.releasedversion == -1 for r in h)
     by_id = {r.product_id: r for r in h}
-    assert all(by_id[i].valid_from == D(2020, 12, 29) for i in (1000, 1001, 1002, 2001, 2002))
-    assert by_id[9001].valid_from == D(2020, 12, 2) and by_id[9001].deleted == 1
+    assert all(by_id[i].valid_from == D(2023, 1, 25) for i in RENAMED)
+    assert by_id[7700].valid_from == D(2022, 12, 20) and by_id[7700].deleted == 1
 
 
 def _periods(spark, pick="longest"):
@@ -34,65 +33,68 @@ def _periods(spark, pick="longest"):
     return intervals.price_periods(intervals.price_period_split(prices, pick=pick))
 
 
+def _years(product, first, last, base, working):
+    return {(product, D(y, 1, 1), D(y, 12, 31)): (base, working) for y in range(first, last + 1)}
+
+
 def test_price_periods_golden(spark):
     rows = {(r.product_id, r.valid_from, r.valid_until): (r.baseprice, r.workingprice, r.snapshot_date)
             for r in _periods(spark).collect()}
-    assert len(rows) == 15
-    assert {v[2] for v in rows.values()} == {D(2021, 1, 1)}
-    p = lambda x: Decimal(x).quantize(Decimal("1.0000000000"))
+    assert {v[2] for v in rows.values()} == {D(2023, 2, 1)}
     expected = {
-        (1000, D(2019, 1, 1), D(2019, 12, 31)): ("8.99", "29.8"),
-        (1000, D(2020, 1, 1), D(2020, 5, 31)): ("8.99", "29.8"),
-        (1000, D(2020, 6, 1), D(2020, 12, 31)): ("9.79", "29.9"),
-        (1001, D(2019, 1, 1), D(2019, 12, 31)): ("9.99", "29.4"),
-        (1001, D(2020, 1, 1), D(2020, 12, 31)): ("9.99", "29.3"),
-        (1001, D(2021, 1, 1), D(2021, 1, 1)): ("9.99", "29.3"),
-        (1002, D(2019, 1, 1), D(2019, 12, 31)): ("9.49", "28.9"),
-        (1002, D(2020, 1, 1), D(2020, 12, 31)): ("9.49", "29.1"),
-        (1002, D(2021, 1, 1), D(2021, 1, 1)): ("9.49", "29.1"),
-        (2001, D(2019, 1, 1), D(2019, 12, 31)): ("13.99", "4.9"),
-        (2001, D(2020, 1, 1), D(2020, 12, 31)): ("13.99", "4.9"),
-        (2001, D(2021, 1, 1), D(2021, 1, 1)): ("14.29", "5.15"),
-        (2002, D(2019, 1, 1), D(2019, 12, 31)): ("13.99", "5.2"),
-        (2002, D(2020, 1, 1), D(2020, 12, 31)): ("13.99", "5.2"),
-        (2002, D(2021, 1, 1), D(2021, 1, 1)): ("14.19", "5.2"),
+        **_years(410, 2018, 2019, "7.2", "26.5"),
+        (410, D(2020, 1, 1), D(2020, 9, 30)): ("7.2", "26.5"),
+        # A price that starts in October starts each of its years in October.
+        **{(410, D(y, 10, 1), D(y, 12, 31)): ("8.4", "27.25") for y in (2020, 2021, 2022)},
+        **_years(420, 2018, 2021, "6.6", "21.9"),
+        **_years(420, 2022, 2022, "6.6", "23.15"),
+        (420, D(2023, 1, 1), D(2023, 2, 1)): ("6.6", "23.15"),  # open end: the newest snapshot
+        **_years(530, 2018, 2022, "11", "6.35"),
+        # The longest version of working price 109 is the stale, open one.
+        (530, D(2023, 1, 1), D(2023, 2, 1)): ("12.5", "6.35"),
     }
-    for k, (b, w) in expected.items():
-        assert rows[k][0] == p(b) and rows[k][1] == p(w), k
+    assert {k: v[:2] for k, v in rows.items()} == {
+        k: (Decimal(b), Decimal(w)) for k, (b, w) in expected.items()}
 
 
 def test_price_periods_pick_current(spark):
     rows = {(r.product_id, r.valid_from): (r.baseprice, r.workingprice)
             for r in _periods(spark, pick="current").collect()}
-    assert len(rows) == 15
-    assert rows[(2001, D(2021, 1, 1))] == (Decimal("14.2900000000"), Decimal("5.1500000000"))
-    assert rows[(2002, D(2021, 1, 1))] == (Decimal("14.1900000000"), None)
+    assert len(rows) == 18
+    assert rows[(530, D(2022, 1, 1))] == (Decimal(11), Decimal("6.35"))
+    assert rows[(530, D(2023, 1, 1))] == (Decimal("12.5"), None)
 
 
 def test_contract_revenue_worked_example(spark):
     staging = contract_staging(spark, [dict(
-        id=1, productid=1000, status="active", usage=3650, usagenet=3650, createdat="2020-03-01",
+        id=1, productid=410, status="active", usage=3650, usagenet=3650, createdat="2020-03-01",
         startdate="2020-03-01", modificationdate="2020-03-01", type="household",
-        source_table="20210101220104_contracts_staging_20250101_120000123")])
+        source_table=f"20230201220104_contracts_staging_{LOAD}")])
     hist = scd2.scd2_contracts(staging)
-    mart = revenue.contract_revenue(hist, _periods(spark), as_of=D(2021, 6, 1))
+    mart = revenue.contract_revenue(hist, _periods(spark), as_of=D(2023, 6, 1))
     rows = sorted(mart.collect(), key=lambda r: r.period_start)
-    got = [(r.period_start, r.period_end, r.days_in_period, str(r.period_share), str(r.base_cost),
-            str(r.variable_cost), str(r.weighted_consumption), str(r.consumption_share),
-            str(r.revenue), str(r.baseprice_total_due)) for r in rows]
-    assert got == [
-        (D(2020, 3, 1), D(2020, 5, 31), 91, "0.297386", "2.911405", "271.180000", "910.000000",
-         "0.249315", "274.091405", "8.99"),
-        (D(2020, 5, 31), D(2020, 6, 1), 1, "0.003268", "0.031993", "2.980000", "10.000000",
-         "0.002740", "3.011993", "8.99"),
-        (D(2020, 6, 1), D(2020, 12, 31), 213, "0.696078", "6.814608", "636.870000", "2130.000000",
-         "0.583562", "643.684608", "9.79"),
-        (D(2020, 12, 31), D(2021, 1, 1), 1, "0.003268", "0.031993", "2.990000", "10.000000",
-         "0.002740", "3.021993", "9.79"),
-    ]
-    for r in rows:
-        assert (r.contract_year, r.total_contract_years, r.total_days_in_year) == (0, 1, 306)
-        assert r.final_end == D(2021, 1, 1) and r.terminated_mid_year is True
+    # Cut points: starts and ends of 410's periods, then the newest snapshot.
+    cuts = [D(2020, 3, 1), D(2020, 9, 30), D(2020, 10, 1), D(2020, 12, 31), D(2021, 10, 1), D(2021, 12, 31),
+            D(2022, 10, 1), D(2022, 12, 31), D(2023, 2, 1)]
+    assert [(r.period_start, r.period_end) for r in rows] == list(zip(cuts, cuts[1:]))
+    year = [0, 0, 0, 0, 1, 1, 2, 2]  # contract years of the period starts
+    assert [r.contract_year for r in rows] == year
+    days = [(b - a).days for a, b in zip(cuts, cuts[1:])]
+    of_year = [sum(d for d, y in zip(days, year) if y == k) for k in year]
+
+    def six(x):
+        return str(x.quantize(Decimal("0.000001"), ROUND_HALF_UP))
+    for k, (r, d, total) in enumerate(zip(rows, days, of_year)):
+        working = Decimal("26.5") if k < 2 else Decimal("27.25")
+        base = Decimal("8.4") * d / total  # the year's highest base price, by its share of the year's days
+        variable = working / 100 * 3650 * d / 365
+        got = (r.days_in_period, str(r.period_share), str(r.base_cost), str(r.variable_cost),
+               str(r.weighted_consumption), str(r.consumption_share), str(r.revenue))
+        assert got == (d, six(Decimal(d) / total), six(base), six(variable), six(Decimal(10 * d)),
+                       six(Decimal(d) / 365), six(base + variable)), k
+        assert (r.total_contract_years, r.total_days_in_year) == (3, total)
+        assert r.final_end == D(2023, 2, 1) and r.terminated_mid_year is True
+    assert [str(r.baseprice_total_due) for r in rows] == ["21.60"] * 2 + ["25.20"] * 6  # three years' base price
 
 
 def test_published_change_report_line(spark, tmp_path):

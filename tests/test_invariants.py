@@ -41,14 +41,14 @@ def test_mart_with_a_hot_contract_and_a_hot_product(spark):
         hot = i % 3 == 0
         cid = 1 if hot else 100 + i
         day = dt.date(2020, 1, 1) + dt.timedelta(days=(i * 7) % 360)
-        rows.append(dict(id=cid, productid=1000 if i % 10 else 1001, status="active",
+        rows.append(dict(id=cid, productid=410 if i % 10 else 420, status="active",
                          usage=100 + i % 50, usagenet=None, createdat="2020-01-01",
                          startdate=(dt.date(2020, 1, 1) + dt.timedelta(days=i % 30)).isoformat(),
                          modificationdate=day.isoformat(), type="t",
-                         source_table=f"2021010{1 + i % 3}220104_contracts_staging_x"))
+                         source_table=f"2023020{1 + i % 3}220104_contracts_staging_x"))
     hist = scd2.scd2_contracts(contract_staging(spark, rows))
     periods = intervals.price_periods(intervals.price_period_split(scd2.scd2_prices(price_staging(spark))))
-    mart = revenue.contract_revenue(hist, periods, dt.date(2021, 6, 1)).persist()
+    mart = revenue.contract_revenue(hist, periods, dt.date(2023, 6, 1)).persist()
     n = mart.count()
     assert n > 0
     assert mart.select("contract_id", "productid", "period_start").distinct().count() == n

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from samples import contract_staging, price_staging
+from samples import MONTHS, contract_staging, price_staging
 from wattlake.plans import warehouse_job
 from wattlake.schema import typed_projection
 
@@ -22,17 +22,17 @@ def test_no_data_in_a_number_column(spark):
 def test_keep_snapshots_keeps_earlier_runs(spark, tmp_path):
     base = str(tmp_path / "wh")
     contracts = contract_staging(spark, [dict(
-        id=1, productid=1000, status="active", usage=10, usagenet=10, createdat="2020-03-01",
+        id=1, productid=410, status="active", usage=10, usagenet=10, createdat="2020-03-01",
         startdate="2020-03-01", modificationdate="2020-03-01",
-        source_table="20210101220104_contracts_staging_20250101_120000123")])
+        source_table="20230201220104_contracts_staging_20250101_120000123")])
     ts = dt.datetime(2026, 1, 1)
-    for months, as_of in (({"202010", "202011", "202012"}, dt.date(2021, 1, 15)),
-                          (None, dt.date(2021, 6, 1))):
+    for months, as_of in ((set(MONTHS[:3]), dt.date(2023, 1, 20)),
+                          (None, dt.date(2023, 6, 1))):
         warehouse_job.run(spark, {"prices": price_staging(spark, months), "contracts": contracts},
                           base, "v1", as_of, ts, keep_snapshots=True)
     pp = spark.read.parquet(f"{base}/price_periods/v=all")
     assert sorted(r[0] for r in pp.select("snapshot_date").distinct().collect()) == [
-        dt.date(2020, 12, 1), dt.date(2021, 1, 1)]
+        dt.date(2023, 1, 1), dt.date(2023, 2, 1)]
     mart = spark.read.parquet(f"{base}/contract_price_enriched/v=all")
     assert mart.select("as_of_date").distinct().count() == 2
 

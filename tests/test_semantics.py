@@ -5,13 +5,13 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from samples import contract_staging, price_staging, product_staging
+from samples import MONTHS, RENAMED, contract_staging, price_staging, product_staging
 from wattlake.functions.hashing import row_hash
 from wattlake.operators import intervals, revenue, scd2
 from wattlake.sources import staging
 
 D = dt.date
-SRC = "20210101220104_contracts_staging_20250101_120000123"
+SRC = "20230201220104_contracts_staging_20250101_120000123"
 
 
 def _split(spark, start, until, **kw):
@@ -39,28 +39,28 @@ def test_empty_and_reversed_intervals_yield_nothing(spark):
 
 def test_price_from_the_future_has_no_period(spark):
     pieces = intervals.price_period_split(scd2.scd2_prices(price_staging(spark)))
-    assert pieces.where(F.col("price_id") == 18).count() == 0
+    assert pieces.where(F.col("price_id") == 111).count() == 0
 
 
 def test_product_changed_then_reloaded(spark):
-    first = scd2.scd2_products(product_staging(spark, {"202010", "202011", "202012"}))
-    jan = product_staging(spark, {"202101"})
+    first = scd2.scd2_products(product_staging(spark, set(MONTHS[:3])))
+    jan = product_staging(spark, {MONTHS[3]})
     second = scd2.scd2_products(jan, history=first).persist()
     rows = {(r.product_id, r.valid_from): r for r in second.collect()}
     closed = [r for r in rows.values() if not r.is_current]
-    assert sorted(r.product_id for r in closed) == [1000, 1001, 1002, 2001, 2002]
-    assert all(r.valid_until == D(2020, 12, 28) for r in closed)
-    assert not any(r.valid_from == D(2020, 12, 29) for r in rows.values())  # not opened yet
+    assert sorted(r.product_id for r in closed) == RENAMED
+    assert all(r.valid_until == D(2023, 1, 24) for r in closed)
+    assert not any(r.valid_from == D(2023, 1, 25) for r in rows.values())  # not opened yet
     third = scd2.scd2_products(jan, history=second).collect()
-    opened = [r for r in third if r.valid_from == D(2020, 12, 29)]
-    assert sorted(r.product_id for r in opened) == [1000, 1001, 1002, 2001, 2002]
+    opened = [r for r in third if r.valid_from == D(2023, 1, 25)]
+    assert sorted(r.product_id for r in opened) == RENAMED
     assert all(r.is_current for r in opened)
     both = scd2.scd2_products(jan, history=first, on_change="close_and_open").collect()
-    assert len([r for r in both if r.is_current]) == 6
+    assert len([r for r in both if r.is_current]) == 4
 
 
 def _contract(mod, **kw):
-    base = dict(id=7, productid=1000, status="active", usage=100, usagenet=100,
+    base = dict(id=7, productid=410, status="active", usage=100, usagenet=100,
                 createdat="2020-01-01", startdate="2020-01-01", modificationdate=mod,
                 source_table=SRC)
     base.update(kw)
@@ -91,7 +91,7 @@ def _one_contract_mart(spark, prices, **kw):
     st = contract_staging(spark, [_contract("2020-03-01", createdat="2020-03-01",
                                             startdate="2020-03-01", **kw)])
     periods = intervals.price_periods(intervals.price_period_split(scd2.scd2_prices(prices)))
-    return revenue.contract_revenue(scd2.scd2_contracts(st), periods, as_of=D(2021, 6, 1)).collect()
+    return revenue.contract_revenue(scd2.scd2_contracts(st), periods, as_of=D(2023, 6, 1)).collect()
 
 
 def test_zero_consumption_gives_null_share(spark):
@@ -101,10 +101,10 @@ def test_zero_consumption_gives_null_share(spark):
 
 def test_missing_base_price_nulls_revenue_missing_working_counts_zero(spark):
     p = price_staging(spark)
-    no_base = p.where(~((F.col("productid") == "1000") & (F.col("pricecomponentid") == "1")))
+    no_base = p.where(~((F.col("productid") == "410") & (F.col("pricecomponentid") == "1")))
     rows = _one_contract_mart(spark, no_base)
     assert rows and all(r.base_cost is None and r.revenue is None for r in rows)
-    no_work = p.where(~((F.col("productid") == "1000") & (F.col("pricecomponentid") == "2")))
+    no_work = p.where(~((F.col("productid") == "410") & (F.col("pricecomponentid") == "2")))
     rows = _one_contract_mart(spark, no_work)
     assert rows and all(r.variable_cost == 0 and r.revenue == r.base_cost for r in rows)
 
@@ -187,12 +187,12 @@ def test_overlapping_prices_keep_the_latest_start_then_end(spark):
 
 
 def test_touched_key_path_equals_the_whole_history_path(spark, monkeypatch):
-    early = price_staging(spark, {"202010", "202011", "202012"})
-    jan = price_staging(spark, {"202101"})
+    early = price_staging(spark, set(MONTHS[:3]))
+    jan = price_staging(spark, {MONTHS[3]})
     hist = scd2.scd2_prices(early)
     cols = ["price_id", "modificationdate", "is_current", "valid_until", "price"]
     touched = sorted(scd2.scd2_prices(jan, history=hist).select(cols).collect())
     monkeypatch.setattr(scd2, "DEFAULT_MAX_ROWS", 0)  # no broadcast: shuffled joins, same scope
     whole = sorted(scd2.scd2_prices(jan, history=hist).select(cols).collect())
     assert touched == whole
-    assert len(touched) == 22 and sum(1 for r in touched if not r.is_current) == 4
+    assert len(touched) == 13 and sum(1 for r in touched if not r.is_current) == 2
