@@ -5,8 +5,8 @@ single file or a folder of part files carrying that name (what Spark
 writers produce).  Everything about a unit - delimiter, column names,
 missing columns, suggestions, saved rules - is computed as DataFrame rows,
 one per unit or per (unit, column), with Spark's higher-order functions.
-Only the first bytes of each file are read for the header; the data itself
-is read once, by ``read_units``, in parallel over all files.
+Only the first line of each file is read for the header; the data itself
+is read by ``staging.check_rows`` and ``staging.read_units``.
 """
 
 from __future__ import annotations
@@ -72,21 +72,24 @@ def select_files(df: DataFrame, entities: str | Sequence[str], start: str | None
 
 # ------------------------------------------------------------------ headers
 
-def _to_pyarrow_uri(path: str) -> str:
-    if path.startswith("file:") and not path.startswith("file://"):
-        return "file://" + path[len("file:"):]
-    if path.startswith("s3a://"):
-        return "s3://" + path[len("s3a://"):]
-    return path
+def _file_system(path: str):
+    """pyarrow's file system of a Spark path, and the path inside it."""
+    from urllib.parse import quote, urlsplit
+
+    from pyarrow import fs as pafs
+    scheme = urlsplit(path).scheme
+    if scheme in ("", "file"):
+        return pafs.LocalFileSystem(), "/" + path.split(":", 1)[-1].lstrip("/")
+    head, inner = path.split("://", 1)
+    return pafs.FileSystem.from_uri({"s3a": "s3"}.get(head, head) + "://" + quote(inner, safe="/:@"))
 
 
 def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Read the first line of each file, however long; line breaks in quotes belong to it."""
-    from pyarrow import fs as pafs
     for pdf in batches:
         heads = []
         for p in pdf["path"]:
-            filesystem, inner = pafs.FileSystem.from_uri(_to_pyarrow_uri(p))
+            filesystem, inner = _file_system(p)
             with filesystem.open_input_stream(inner) as stream:
                 line, quoted, more = bytearray(), False, stream.read(65536)
                 while more:
@@ -129,12 +132,12 @@ def expected_names(entity: str | Column) -> Column:
 
 
 def unit_headers(files: DataFrame) -> DataFrame:
-    """One row per landing unit: name, entity, header line, physical paths."""
+    """One row per landing unit: name, entity, header line, number of files."""
     heads = read_headers(files.select("path", "file_name", "entity"))
     return (heads.groupBy("file_name", "entity")
                  .agg(F.min("header").alias("header"),
                       F.countDistinct("header").alias("n_headers"),
-                      F.sort_array(F.collect_list("path")).alias("paths")))
+                      F.count("path").alias("n_files")))
 
 
 # ------------------------------------------------------------------ A3-A5 delimiter, missing
@@ -344,7 +347,7 @@ def reconcile(units: DataFrame, rules: DataFrame | None,
     Units with saved rules use the saved delimiter and rules (no new
     detection; rules without a delimiter fail).  New units get a detected
     delimiter and a draft rule set; they pass only if nothing is missing.
-    Returns (plan, drafts): plan has file_name, entity, paths, header,
+    Returns (plan, drafts): plan has file_name, entity, n_files, header,
     delimiter, columns, renames, fills, still_missing, status, error.
     """
     empty_rules = "array<struct<target:string,suggested:string,user_submitted:int,pass_as_null:int>>"
@@ -395,10 +398,21 @@ def reconcile(units: DataFrame, rules: DataFrame | None,
 
     plan = known.unionByName(new_plan)
     bad_header = F.col("n_headers") > 1 if "n_headers" in units.columns else F.lit(False)
-    status = F.when(bad_header | (F.size("still_missing") > 0), F.lit("FAILED")).otherwise("SUCCESS")
+    def lower_renamed(n: Column) -> Column:
+        hit = F.try_element_at(F.filter("renames", lambda r: r.source == n).target, F.lit(-1))
+        return F.lower(F.coalesce(hit, n))
+    # Column names compare without case; neighbours in sorted order show repeats.
+    names = F.array_sort(F.concat(F.transform("columns", lower_renamed), F.transform("fills", F.lower)))
+    before = F.concat(F.array(F.lit("")), names)
+    repeated = F.array_distinct(F.filter(F.zip_with(names, before, lambda n, m: F.when(n == m, n)),
+                                         lambda n: n != ""))
+    plan = plan.withColumn("__repeated", repeated)
+    twice = F.size("__repeated") > 0
+    status = F.when(bad_header | twice | (F.size("still_missing") > 0), F.lit("FAILED")).otherwise("SUCCESS")
     error = (F.when(bad_header, F.lit("part files disagree on the header"))
+              .when(twice, F.concat(F.lit("repeated column names: "), F.array_join("__repeated", ",")))
               .when(F.size("still_missing") > 0,
                     F.concat_ws("; ", F.col("__err"),
                                 F.concat(F.lit("missing: "),
                                          F.array_join(F.array_sort("still_missing"), ",")))))
-    return plan.withColumn("status", status).withColumn("error", error).drop("__err"), drafts
+    return plan.withColumn("status", status).withColumn("error", error).drop("__err", "__repeated"), drafts

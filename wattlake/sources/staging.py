@@ -19,11 +19,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import maybe_broadcast, rows_at_most
 from ..schema import EXPECTED_COLUMNS, NO_DATA, typed_projection
+from ..session import scratch_path
 from . import landing
 
-_UNIT_OF_PATH = r"(?:^|/)(?:[A-Za-z_]+=)?(\d{14}_[A-Za-z0-9]+\.csv)(?:/[^/]*)?$"
-
 
 def new_load_id(ts: _dt.datetime) -> str:
     """``yyyyMMdd_HHmmssSSS`` from the job's start time (UTC)."""
@@ -40,59 +40,139 @@ def staging_table_name(unit: Column, load_id: str) -> Column:
     return F.concat(F.regexp_replace(unit, r"\.csv$", ""), F.lit(f"_staging_{load_id}"))
 
 
-@dataclass(frozen=True)
-class _Signature:
-    entity: str
-    delimiter: str
-    columns: tuple[str, ...]
-    renames: tuple[tuple[str, str], ...]
-    fills: tuple[str, ...]
+def _unit_of_file() -> Column:
+    return F.regexp_extract(F.col("_metadata.file_path"), landing._UNIT, 1)
+
+
+def _layouts(plan: DataFrame) -> DataFrame:
+    """How each passing unit's cells are named: one row per unit."""
+    def renamed(n: Column) -> Column:
+        hits = F.filter("renames", lambda r: r.source == n)
+        return F.when(F.size(hits) > 0, F.element_at(hits, -1).target).otherwise(n)
+    return plan.where(F.col("status") == "SUCCESS").select(
+        F.col("file_name").alias("__unit"), "entity", "delimiter", F.size("columns").alias("width"),
+        F.transform("columns", renamed).alias("names"), "fills")
 
 
-def read_units(spark: SparkSession, plan: DataFrame) -> dict[str, DataFrame]:
-    """Read every passing unit as text columns, reconciled.
+def _untidy_units(spark: SparkSession, root: str, layouts: DataFrame) -> DataFrame:
+    """Units that cannot be read line by line: some line holds a quote outside
+    a plain quoted cell (a cell may span lines) or more cells than the header.
 
-    Units sharing delimiter, header and rules are one read (the usual case
-    is one read per entity).  Only that per-unit metadata reaches the
-    driver, to build the reads; rows never do.  Columns are all strings;
-    the header names are trimmed and BOM-free; confirmed renames applied;
-    pass-as-null columns hold ``no_data``.  Returns one frame per entity
-    with a ``file_name`` column.
+    One pass over the text.  What is left of a line once its quoted cells are
+    taken out has no quotes and at most ``width - 1`` delimiters in every other
+    unit, so those need no further check.
+    """
+    sep = F.concat(F.lit("\\Q"), F.col("delimiter"), F.lit("\\E"))
+    quoted = F.concat(F.lit("(^|"), sep, F.lit(')"[^"]*+(?:""[^"]*+)*+"(?='), sep, F.lit("|\\z)"))
+    small = layouts.select("__unit", "delimiter", "width")
+    lines = (spark.read.option("recursiveFileLookup", "true").text(root)
+             .select(_unit_of_file().alias("__unit"), F.regexp_replace("value", landing.BOM, "").alias("value")))
+    rows = lines.join(maybe_broadcast(small, rows_at_most(small)), "__unit")
+    rest = rows.select("__unit", "delimiter", "width",
+                       F.regexp_replace("value", quoted, F.lit("$1")).alias("rest"))
+    spare = F.length("rest") - F.length(F.replace("rest", F.col("delimiter"), F.lit("")))
+    untidy = F.contains("rest", F.lit('"')) | (spare > (F.col("width") - 1) * F.length("delimiter"))
+    return rest.where(untidy).select("__unit").distinct()
+
+
+def _scan(spark: SparkSession, root: str, entity: str, delimiter: str, width: int, first: str, last: str,
+          whole_records: bool) -> DataFrame:
+    """(__unit, __cells, __record) of an entity's units in a range of names.
+
+    Files outside the range are pruned from the listing.  With
+    ``whole_records`` quoted cells may hold line breaks, and ``__record`` has
+    the raw text of rows whose cell count is not ``width``.
+    """
+    fields = [f"__c{i}" for i in range(width)] + (["__record"] if whole_records else [])
+    raw = (spark.read.schema(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
+           .option("recursiveFileLookup", "true").option("header", "true").option("sep", delimiter)
+           .option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
+           .option("maxColumns", max(20480, 2 * width)).option("multiLine", whole_records)
+           .option("columnNameOfCorruptRecord", "__record").option("columnPruning", False).csv(root))
+    unit = _unit_of_file()
+    return raw.where(unit.between(first, last) & unit.endswith(f"_{entity}.csv")).select(
+        unit.alias("__unit"), F.array(*[F.col(f"__c{i}") for i in range(width)]).alias("__cells"),
+        (F.col("__record") if whole_records else F.lit(None).cast("string")).alias("__record"))
+
+
+def _scans(spark: SparkSession, root: str, layouts: DataFrame):
+    """One scan per entity and delimiter, and one more per width for untidy units."""
+    width = F.when(F.col("untidy"), F.col("width"))
+    kinds = (layouts.groupBy("entity", "delimiter", "untidy", width.alias("exact"))
+             .agg(F.max("width").alias("width"), F.min("__unit").alias("first"), F.max("__unit").alias("last"))
+             .orderBy("entity", "delimiter", "untidy", "width").collect())
+    for k in kinds:
+        rows = _scan(spark, root, k["entity"], k["delimiter"], k["width"], k["first"], k["last"], k["untidy"])
+        mine = layouts.where((F.col("entity") == k["entity"]) & (F.col("delimiter") == k["delimiter"])
+                             & (F.col("untidy") == k["untidy"]))
+        yield k, rows, mine.where(F.col("width") == k["width"]) if k["untidy"] else mine
+
+
+def check_rows(spark: SparkSession, root: str, plan: DataFrame) -> DataFrame:
+    """The plan with ``untidy``; units with rows longer than their header FAIL.
+
+    Such rows would lose cells silently.  Shorter rows are read with nulls.
     """
-    meta = (plan.where(F.col("status") == "SUCCESS")
-                .select("entity", "delimiter", "columns", "renames", "fills", "paths").collect())
-    groups: dict[_Signature, list[str]] = {}
-    for r in meta:
-        sig = _Signature(r["entity"], r["delimiter"], tuple(r["columns"]),
-                         tuple((x["source"], x["target"]) for x in r["renames"]), tuple(r["fills"]))
-        groups.setdefault(sig, []).extend(r["paths"])
+    layouts = _layouts(plan)
+    untidy = _untidy_units(spark, root, layouts).persist()
+    marked = layouts.join(untidy.withColumn("untidy", F.lit(True)), "__unit")
+    counts = []
+    for k, rows, mine in _scans(spark, root, marked):
+        last = F.element_at("__cells", k["width"])
+        more = F.size(landing.split_header("__record", k["delimiter"])) > k["width"]
+        too_long = F.col("__record").isNotNull() & (last.isNotNull() | more)
+        counts.append(rows.join(maybe_broadcast(mine, rows_at_most(mine)).select("__unit"), "__unit")
+                      .where(too_long).groupBy("__unit").agg(F.count("__record").alias("__long")))
+    long = spark.createDataFrame([], "__unit string, __long bigint")
+    for c in counts:
+        long = long.unionByName(c)
+    out = (plan.join(untidy.withColumn("untidy", F.lit(True)), plan["file_name"] == F.col("__unit"), "left")
+           .drop("__unit").join(long, plan["file_name"] == F.col("__unit"), "left").drop("__unit"))
+    failed = F.col("__long") > 0
+    error = F.concat(F.col("__long").cast("string"), F.lit(" row(s) with more cells than the header"))
+    return (out.withColumn("untidy", F.coalesce("untidy", F.lit(False)))
+               .withColumn("status", F.when(failed, F.lit("FAILED")).otherwise(F.col("status")))
+               .withColumn("error", F.when(failed, error).otherwise(F.col("error"))).drop("__long"))
+
+
+def read_units(spark: SparkSession, root: str, plan: DataFrame) -> dict[str, DataFrame]:
+    """Read every passing unit of a checked plan as text columns, reconciled.
+
+    Cells are read by position and named by joining each row's unit with its
+    layout, so the number of reads does not grow with the number of headers or
+    files; only the distinct column names reach the driver.  Renames are
+    applied, pass-as-null columns hold ``no_data``, columns that a unit lacks
+    are null.  Returns one frame per entity with a ``__unit`` column; a unit is
+    read whole, all its files together.
+    """
+    layouts = _layouts(plan).join(plan.select(F.col("file_name").alias("__unit"), "untidy"), "__unit").persist()
+    found = (layouts.select("entity", F.explode(F.concat("names", "fills")).alias("name"))
+             .where(F.col("name") != "").groupBy("entity", F.lower("name").alias("key"))
+             .agg(F.sort_array(F.collect_set("name")).alias("spelled")).collect())
     frames: dict[str, DataFrame] = {}
-    for sig, paths in groups.items():
-        # Fields are positional; naming them after the header (when the names
-        # are usable) keeps the reader's header check quiet.
-        usable = (len(set(sig.columns)) == len(sig.columns)
-                  and all(c and "`" not in c for c in sig.columns))
-        fields = list(sig.columns) if usable else [f"__c{i}" for i in range(len(sig.columns))]
-        schema = T.StructType([T.StructField(f, T.StringType(), True) for f in fields])
-        df = (spark.read.schema(schema).option("header", "true").option("sep", sig.delimiter)
-              .option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
-              .csv(paths))
-        rename = dict(sig.renames)
-        names = [rename.get(c, c) for c in sig.columns]
-        df = df.select(*[F.col(f"`{f}`").alias(n) for f, n in zip(fields, names)],
-                       F.regexp_extract(F.col("_metadata.file_path"), _UNIT_OF_PATH, 1)
-                        .alias("file_name"))
-        for f in sig.fills:
-            df = df.withColumn(f, F.lit(NO_DATA))
-        prev = frames.get(sig.entity)
-        frames[sig.entity] = df if prev is None else prev.unionByName(df, allowMissingColumns=True)
+    for k, rows, mine in _scans(spark, root, layouts):
+        expected = EXPECTED_COLUMNS[k["entity"]]
+        outs = []
+        for r in sorted((r for r in found if r["entity"] == k["entity"]), key=lambda r: r["key"]):
+            name = next((n for n in r["spelled"] if n in expected), r["spelled"][0])
+            outs.append((name, r["key"]))
+        lower = F.transform("names", lambda n: F.lower(n))
+        where = mine.select("__unit", "fills", *[F.array_position(lower, key).alias(f"__at{i}")
+                                                 for i, (_, key) in enumerate(outs)])
+        at = rows.join(maybe_broadcast(where, rows_at_most(where)), "__unit")
+        df = at.select("__unit", *[
+            F.when(F.col(f"__at{i}") > 0, F.get("__cells", (F.col(f"__at{i}") - 1).cast("int")))
+             .when(F.array_contains("fills", name), F.lit(NO_DATA)).alias(name)
+            for i, (name, _) in enumerate(outs)])
+        prev = frames.get(k["entity"])
+        frames[k["entity"]] = df if prev is None else prev.unionByName(df)
     return frames
 
 
 def stage(units: DataFrame, load_id: str) -> DataFrame:
     """Attach lineage: ``source_table`` and ``load_id`` (A10)."""
-    return (units.withColumn("source_table", staging_table_name(F.col("file_name"), load_id))
-                 .withColumn("load_id", F.lit(load_id)).drop("file_name"))
+    return (units.withColumn("source_table", staging_table_name(F.col("__unit"), load_id))
+                 .withColumn("load_id", F.lit(load_id)).drop("__unit"))
 
 
 def write_staging(staged: DataFrame, root: str, entity: str) -> None:
@@ -159,13 +239,25 @@ def append_log(log: DataFrame, path: str) -> None:
     log.write.mode("append").partitionBy("load_id").parquet(path)
 
 
-def write_log(log: DataFrame, path: str) -> None:
+def write_log(log: DataFrame, path: str, keep_others: bool = False) -> None:
     """Record one load's log rows (A11), replacing that load's partition only.
 
     A load id names one run over a fixed set of files, so a replayed run (a
     stream batch retried after a failure, a job restarted) leaves exactly one
-    set of rows; other loads' rows are untouched.
+    set of rows; other loads' rows are untouched.  ``keep_others`` keeps the
+    rows of the same load's other files: a run that repeats some units.
     """
+    if keep_others:
+        spark = log.sparkSession
+        now = scratch_path(spark, "log")
+        log.write.parquet(now)
+        again = spark.read.schema(log.schema).parquet(now)
+        old = spark.read.schema(log.schema).parquet(path).join(again.select("load_id").distinct(),
+                                                               "load_id", "left_semi")
+        both = scratch_path(spark, "log")
+        (old.join(again.select("load_id", "file"), ["load_id", "file"], "left_anti")
+            .unionByName(again).write.parquet(both))
+        log = spark.read.schema(log.schema).parquet(both)
     (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("load_id").parquet(path))
 
@@ -188,13 +280,15 @@ def run_landing(spark: SparkSession, landing_root: str, staging_root: str, load_
                 entities: str | Sequence[str] = "products,prices,contracts",
                 start: str = "000000", end: str = "999999", rules_dir: str | None = None,
                 drafts_dir: str | None = None, log_dir: str | None = None,
-                method: str = "difflib", files: DataFrame | None = None) -> LandingResult:
-    """List, reconcile, read, stage and log one load (A1-A13 end to end).
+                method: str = "difflib", files: DataFrame | None = None,
+                repeat: bool = False) -> LandingResult:
+    """List, reconcile, check, read, stage and log one load (A1-A13 end to end).
 
     Entities are reconciled per unit from the file name (the unit's own
     entity), so a comma-separated entity list still checks every file.
     Failed units are logged, not raised; drafts for new drift are written
-    to ``drafts_dir`` for confirmation.
+    to ``drafts_dir`` for confirmation.  ``files`` (a listing) restricts the
+    load to its units; ``repeat`` runs some units of an earlier load again.
     """
     listed = files if files is not None else landing.list_landing(spark, landing_root)
     chosen = landing.select_files(listed, entities, start, end)
@@ -202,12 +296,45 @@ def run_landing(spark: SparkSession, landing_root: str, staging_root: str, load_
     rules = landing.read_rules(spark, rules_dir) if rules_dir else None
     plan, drafts = landing.reconcile(units, rules, method=method)
     plan = plan.persist()
+    plan = check_rows(spark, landing_root, plan).persist()
     if drafts_dir:
         landing.write_rules(drafts, drafts_dir)
-    for entity, rows in read_units(spark, plan).items():
+    for entity, rows in read_units(spark, landing_root, plan).items():
         write_staging(stage(rows, load_id), staging_root, entity)
     log = load_log(plan, staging_root, spark, load_id)
     if log_dir:
-        write_log(log, log_dir)
+        write_log(log, log_dir, keep_others=repeat)
     return LandingResult(plan=plan, drafts=drafts, log=log, units=units)
 
+
+
+def failed_units(spark: SparkSession, log_dir: str) -> DataFrame:
+    """(load_id, file): units that a load failed and no load has staged since."""
+    try:
+        log = spark.read.parquet(log_dir).where("file <> 'N/A'")
+    except AnalysisException as e:
+        if not path_is_missing(e):
+            raise
+        return spark.createDataFrame([], "load_id string, file string")
+    done = log.where("status = 'SUCCESS'").select("file").distinct()
+    return (log.where("status = 'FAILED'").groupBy("file").agg(F.max("load_id").alias("load_id"))
+               .join(done, "file", "left_anti").select(F.col("load_id").cast("string").alias("load_id"), "file"))
+
+
+def retry_failed(spark: SparkSession, landing_root: str, staging_root: str, log_dir: str, **options) -> int:
+    """Run failed units again, each under the load that failed it; how many were tried.
+
+    Rules may have been confirmed since.  ``options`` are those of
+    :func:`run_landing`; the other units' log rows of these loads stay.
+    """
+    path = scratch_path(spark, "failed-units")
+    failed_units(spark, log_dir).write.parquet(path)
+    pending = spark.read.schema("load_id string, file string").parquet(path)
+    tried = 0
+    for load in pending.groupBy("load_id").agg(F.count("file").alias("n")).orderBy("load_id").collect():
+        mine = pending.where(F.col("load_id") == load["load_id"]).select(F.col("file").alias("file_name"))
+        files = landing.list_landing(spark, landing_root).join(mine, "file_name", "left_semi")
+        run_landing(spark, landing_root, staging_root, load["load_id"], log_dir=log_dir, files=files,
+                    repeat=True, **options).release()
+        tried += load["n"]
+    return tried

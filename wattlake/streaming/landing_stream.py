@@ -30,20 +30,30 @@ def start_landing_stream(spark: SparkSession, landing_root: str, staging_root: s
                          rules_dir: str | None = None, drafts_dir: str | None = None,
                          log_dir: str | None = None, available_now: bool = True,
                          processing_time: str | None = None) -> StreamingQuery:
-    """Start the stream; ``load_id_for(batch_id)`` names each micro-batch's load."""
+    """Start the stream; ``load_id_for(batch_id)`` names each micro-batch's load.
+
+    A batch stages the units of its files whole, with files that came earlier.
+    Given a log, units that failed are tried again under their own load when
+    the stream starts and after every batch, until they are staged.
+    """
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
              .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
              .load(landing_root).select("path", "length", "modificationTime"))
+    options = dict(entities=entities, start=start, end=end, rules_dir=rules_dir, drafts_dir=drafts_dir)
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        unit = F.regexp_extract("path", landing._UNIT, 1)
-        listed = batch.withColumn("file_name", unit).where(F.col("file_name") != "")
-        result = staging.run_landing(batch.sparkSession, landing_root, staging_root,
-                                     load_id_for(batch_id), entities=entities, start=start,
-                                     end=end, rules_dir=rules_dir, drafts_dir=drafts_dir,
-                                     log_dir=log_dir, files=listed)
+        session = batch.sparkSession
+        named = batch.select(F.regexp_extract("path", landing._UNIT, 1).alias("file_name"))
+        listed = landing.list_landing(session, landing_root).join(
+            named.where("file_name <> ''").distinct(), "file_name", "left_semi")
+        result = staging.run_landing(session, landing_root, staging_root, load_id_for(batch_id),
+                                     log_dir=log_dir, files=listed, **options)
         result.release()  # a long-running stream must not accumulate cached batches
+        if log_dir:
+            staging.retry_failed(session, landing_root, staging_root, log_dir, **options)
 
+    if log_dir:
+        staging.retry_failed(spark, landing_root, staging_root, log_dir, **options)
     writer = files.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
