@@ -119,19 +119,21 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large and small stars: each round replaces the links of every
     node by links to the smallest neighbour, until nothing changes.  The links
     then form one star around each component's smallest node.  No node's
-    neighbours are ever gathered; a hub's rows split like any skewed join.
+    neighbours are ever gathered: they meet their minimum by :func:`lookup`,
+    weighted by degree, so a hub's links spread over all tasks.
     """
     current = materialize(edges.select("a", "b"), "links")
     before = None
     while True:
         both = current.select("a", "b").union(current.select(F.col("b"), F.col("a")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = (both.where("b > a").join(low, "a")
+        low = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"),
+                                                F.count("*").alias("n")), "nearest")
+        large = (lookup(both.where("b > a"), low, ["a"], "n", F.col("b"))
                  .select(F.col("b").alias("u"), F.col("m").alias("v")).where("u != v"))
         down = large.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")).distinct()
         down = materialize(down, "large-star")
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = (down.join(least, "a").select(F.col("b").alias("u"), F.col("m").alias("v")).where("u != v")
+        least = materialize(down.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), "least")
+        small = (lookup(down, least, ["a"], "n", F.col("b")).select(F.col("b").alias("u"), F.col("m").alias("v")).where("u != v")
                  .union(least.select(F.col("a").alias("u"), F.col("m").alias("v"))))
         small = small.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")).distinct()
         current = materialize(small, "small-star")
@@ -154,8 +156,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     roots = materialize(components(near_pairs(fps, max_bits)), "roots")
     rooted = fps.join(roots, fps["fp"] == roots["node"], "left").select(
         "fp", "rep", "n", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = materialize(rooted.join(smallest, "root").select("fp", "n", "component_id"), "components")
+    smallest = materialize(rooted.groupBy("root").agg(F.min("rep").alias("component_id"),
+                                                      F.count("*").alias("members")), "smallest")
+    named = materialize(lookup(rooted, smallest, ["root"], "members", F.col("fp"))
+                        .select("fp", "n", "component_id"), "components")
     return lookup(slim, named, ["fp"], "n", F.col("doc_id"))
 
 
