@@ -73,7 +73,7 @@ def test_messy_rows(spark):
 
 @pytest.mark.parametrize("seed", range(3))
 def test_random_sources(spark, seed, monkeypatch):
-    monkeypatch.setattr(M, "ROWS_PER_RANGE", 7)
+    monkeypatch.setattr(M, "ranges", lambda n_rows: -(-n_rows // 7))
     rng = random.Random(seed)
     names = ["a", "b", "", "Z", None, "é", "hot"]
     rows = [(i if rng.random() < 0.9 else 5, "w " * rng.randrange(0, 30), "hot" if rng.random() < 0.4 else rng.choice(names))

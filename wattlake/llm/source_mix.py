@@ -17,17 +17,18 @@ down.  DataFrame operations only.
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, WORD, col, field, lookup, materialize, packed, pieces
+from .common import ROW, WORD, col, field, lookup, materialize, packed
 
 WEIGHTS = (5, 2, 1)
 FACTOR = 1.5
 CAP = 2.0
 KEY_SEED = "mix"
 KEY_BITS = 60
-ROWS_PER_RANGE = 8192
 # One row per source is broadcast up to this count of sources.
 FEW_SOURCES = 10_000
 
@@ -72,13 +73,19 @@ def targets(sizes: DataFrame, factor: float = FACTOR, weights: tuple = WEIGHTS,
                F.col("__cap")).otherwise(F.col("__final") * F.col("__weight")).cast("double").alias("target"))
 
 
+def ranges(n_rows: int) -> int:
+    """Ranges of the key space: as many as rows in one, so that a source's prefix
+    sums and the rows of its cut range both grow with the input's square root only."""
+    return isqrt(n_rows) + 1
+
+
 def cuts(slim: DataFrame, n_rows: int, factor: float = FACTOR, weights: tuple = WEIGHTS,
          cap: float = CAP) -> DataFrame:
     """One row per source: its size, target, whole epochs and where the last epoch is cut.
 
     ``slim`` has doc_id, src, no_src, size, key.
     """
-    step = -(-(1 << KEY_BITS) // pieces(n_rows, ROWS_PER_RANGE))
+    step = -(-(1 << KEY_BITS) // ranges(n_rows))
     slim = slim.withColumn("part", F.expr(f"key div {step}"))
     per_part = materialize(slim.groupBy("src", "no_src", "part").agg(
         F.sum("size").alias("words"), F.count("*").alias("n")), "mix-ranges")
