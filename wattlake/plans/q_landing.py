@@ -108,12 +108,23 @@ def q_missing_columns(spark: SparkSession, d: str) -> DataFrame:
     return landing.missing_columns(landing.detect_delimiter(units))
 
 
-@register("suggest_columns", note="difflib ratio has no DuckDB equivalent; checked against "
-          "the standard library in tests/test_landing.py")
+@register("suggest_columns", """
+SELECT u.file_name, v.target, v.suggested, v.score FROM l_units u
+JOIN (VALUES ('contracts', '20010401', 'filingdatecancellation', 'fillingdatecancellation', 0.977778::DOUBLE),
+             ('contracts', '20010801', 'city', NULL, NULL),
+             ('products', NULL, 'productcode', 'productname', 0.727273),
+             ('prices', NULL, 'pricecomponent', 'pricecomponentid', 0.933333),
+             ('prices', NULL, 'unit', NULL, NULL)) v(e, mm, target, suggested, score)
+  ON u.entity = v.e AND (v.mm IS NULL OR v.mm = u.m)""")
 def q_suggest_columns(spark: SparkSession, d: str) -> DataFrame:
-    """Closest actual column for every missing one, ratio >= 0.6."""
+    """Closest actual column for every missing one, ratio >= 0.6.
+
+    The oracle states the standard library's ratios of the fixture's headers;
+    tests/test_landing.py compares the scoring itself with that library.
+    """
     units = _plan(spark, d).select("file_name", "entity", "header")
-    return landing.suggest_columns(landing.detect_delimiter(units))
+    found = landing.suggest_columns(landing.detect_delimiter(units))
+    return found.withColumn("score", F.round("score", 6))
 
 
 @register("suggest_columns_edit", """
@@ -181,7 +192,13 @@ def q_matchings_read(spark: SparkSession, d: str) -> DataFrame:
     return landing.read_rules(spark, paths.rules)
 
 
-@register("matchings_write", note="draft suggestions come from difflib; rows-only")
+@register("matchings_write", """
+SELECT u.file_name, u.delimiter, v.target, v.suggested, v.user_submitted, v.pass_as_null
+FROM l_expect u
+LEFT JOIN (VALUES ('products', '20010501', 'productcode', 'productname', 0, 0))
+     v(e, mm, target, suggested, user_submitted, pass_as_null) ON u.entity = v.e AND u.m = v.mm
+WHERE (u.entity = 'contracts' AND u.m IN ('20010501', '20010601', '20010701'))
+   OR (u.entity = 'products' AND u.m = '20010501')""")
 def q_matchings_write(spark: SparkSession, d: str) -> DataFrame:
     """Drafts written for new units, read back in the saved-file format."""
     paths, _ = landed(spark, d)

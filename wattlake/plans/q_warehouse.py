@@ -529,9 +529,19 @@ def q_average_revenue_by_created(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("new_contracts_in_month", f"""
-SELECT {_HIST_COLS} FROM c_hist
+SELECT {_HIST_COLS} FROM (
+  SELECT * REPLACE (CASE WHEN contract_id % 2 = 0
+                         THEN cast(createdat + to_years(cast(year(snapshot_date) - year(createdat) AS INTEGER)) AS date)
+                         ELSE createdat END AS createdat) FROM c_hist) h
 WHERE month(snapshot_date - INTERVAL 1 MONTH) = month(createdat)
   AND year(snapshot_date - INTERVAL 1 MONTH) = year(createdat)""")
 def q_new_contracts_in_month(spark: SparkSession, d: str) -> DataFrame:
-    """Year-aware variant of new_contracts (Q24)."""
-    return comparable(reports.new_contracts_in_month(contracts_history(spark, d)))
+    """Year-aware variant of new_contracts (Q24).
+
+    The feed's contracts are all older than its snapshots, so every second one
+    moves to its snapshot's year; the others show that the year counts.
+    """
+    years = F.year("snapshot_date") - F.year("createdat")
+    moved = contracts_history(spark, d).withColumn("createdat", F.when(
+        F.col("contract_id") % 2 == 0, F.add_months("createdat", years * 12)).otherwise(F.col("createdat")))
+    return comparable(reports.new_contracts_in_month(moved))
