@@ -40,6 +40,13 @@ def staging_table_name(unit: Column, load_id: str) -> Column:
     return F.concat(F.regexp_replace(unit, r"\.csv$", ""), F.lit(f"_staging_{load_id}"))
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """One row per unit, written once: what reads it later plans a plain scan."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _unit_of_file() -> Column:
     return F.regexp_extract(F.col("_metadata.file_path"), landing._UNIT, 1)
 
@@ -51,10 +58,10 @@ def _layouts(plan: DataFrame) -> DataFrame:
         return F.when(F.size(hits) > 0, F.element_at(hits, -1).target).otherwise(n)
     return plan.where(F.col("status") == "SUCCESS").select(
         F.col("file_name").alias("__unit"), "entity", "delimiter", F.size("columns").alias("width"),
-        F.transform("columns", renamed).alias("names"), "fills")
+        F.transform("columns", renamed).alias("names"), "fills", *[c for c in plan.columns if c == "untidy"])
 
 
-def _untidy_units(spark: SparkSession, root: str, layouts: DataFrame) -> DataFrame:
+def _untidy_units(spark: SparkSession, root: str, layouts: DataFrame, few: bool) -> DataFrame:
     """Units that cannot be read line by line: some line holds a quote outside
     a plain quoted cell (a cell may span lines) or more cells than the header.
 
@@ -67,7 +74,7 @@ def _untidy_units(spark: SparkSession, root: str, layouts: DataFrame) -> DataFra
     small = layouts.select("__unit", "delimiter", "width")
     lines = (spark.read.option("recursiveFileLookup", "true").text(root)
              .select(_unit_of_file().alias("__unit"), F.regexp_replace("value", landing.BOM, "").alias("value")))
-    rows = lines.join(maybe_broadcast(small, rows_at_most(small)), "__unit")
+    rows = lines.join(maybe_broadcast(small, few), "__unit")
     rest = rows.select("__unit", "delimiter", "width",
                        F.regexp_replace("value", quoted, F.lit("$1")).alias("rest"))
     spare = F.length("rest") - F.length(F.replace("rest", F.col("delimiter"), F.lit("")))
@@ -114,14 +121,15 @@ def check_rows(spark: SparkSession, root: str, plan: DataFrame) -> DataFrame:
     Such rows would lose cells silently.  Shorter rows are read with nulls.
     """
     layouts = _layouts(plan)
-    untidy = _untidy_units(spark, root, layouts).persist()
+    few = rows_at_most(layouts)
+    untidy = _written(_untidy_units(spark, root, layouts, few), "untidy-units")
     marked = layouts.join(untidy.withColumn("untidy", F.lit(True)), "__unit")
     counts = []
     for k, rows, mine in _scans(spark, root, marked):
         last = F.element_at("__cells", k["width"])
         more = F.size(landing.split_header("__record", k["delimiter"])) > k["width"]
         too_long = F.col("__record").isNotNull() & (last.isNotNull() | more)
-        counts.append(rows.join(maybe_broadcast(mine, rows_at_most(mine)).select("__unit"), "__unit")
+        counts.append(rows.join(maybe_broadcast(mine.select("__unit"), few), "__unit")
                       .where(too_long).groupBy("__unit").agg(F.count("__record").alias("__long")))
     long = spark.createDataFrame([], "__unit string, __long bigint")
     for c in counts:
@@ -145,7 +153,8 @@ def read_units(spark: SparkSession, root: str, plan: DataFrame) -> dict[str, Dat
     are null.  Returns one frame per entity with a ``__unit`` column; a unit is
     read whole, all its files together.
     """
-    layouts = _layouts(plan).join(plan.select(F.col("file_name").alias("__unit"), "untidy"), "__unit").persist()
+    layouts = _layouts(plan).withColumn("lower", F.transform("names", F.lower))
+    few = rows_at_most(layouts)
     found = (layouts.select("entity", F.explode(F.concat("names", "fills")).alias("name"))
              .where(F.col("name") != "").groupBy("entity", F.lower("name").alias("key"))
              .agg(F.sort_array(F.collect_set("name")).alias("spelled")).collect())
@@ -156,10 +165,9 @@ def read_units(spark: SparkSession, root: str, plan: DataFrame) -> dict[str, Dat
         for r in sorted((r for r in found if r["entity"] == k["entity"]), key=lambda r: r["key"]):
             name = next((n for n in r["spelled"] if n in expected), r["spelled"][0])
             outs.append((name, r["key"]))
-        lower = F.transform("names", lambda n: F.lower(n))
-        where = mine.select("__unit", "fills", *[F.array_position(lower, key).alias(f"__at{i}")
+        where = mine.select("__unit", "fills", *[F.array_position("lower", key).alias(f"__at{i}")
                                                  for i, (_, key) in enumerate(outs)])
-        at = rows.join(maybe_broadcast(where, rows_at_most(where)), "__unit")
+        at = rows.join(maybe_broadcast(where, few), "__unit")
         df = at.select("__unit", *[
             F.when(F.col(f"__at{i}") > 0, F.get("__cells", (F.col(f"__at{i}") - 1).cast("int")))
              .when(F.array_contains("fills", name), F.lit(NO_DATA)).alias(name)
@@ -295,8 +303,8 @@ def run_landing(spark: SparkSession, landing_root: str, staging_root: str, load_
     units = landing.unit_headers(chosen).persist()
     rules = landing.read_rules(spark, rules_dir) if rules_dir else None
     plan, drafts = landing.reconcile(units, rules, method=method)
-    plan = plan.persist()
-    plan = check_rows(spark, landing_root, plan).persist()
+    plan = _written(plan, "plan")
+    plan = _written(check_rows(spark, landing_root, plan), "checked-plan")
     if drafts_dir:
         landing.write_rules(drafts, drafts_dir)
     for entity, rows in read_units(spark, landing_root, plan).items():
