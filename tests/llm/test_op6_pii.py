@@ -96,3 +96,30 @@ def test_redacted_keeps_columns(spark):
     assert [x["doc_id"] for x in out.collect() if x["text"] not in texts] == [6]
     assert P.redacted(empty(spark)).count() == 0 and P.find(empty(spark)).count() == 0
     assert df.where(F.col("text").isNull()).count() == 2
+
+
+def test_field_is_the_same_on_the_table_ten_times_over(spark):
+    # Phones with their number repeated, some of them without a pattern, and names of addresses.
+    rows = [f"Call +1 (555) 555-{i:04d}, that is +1 (555) 555-{i:04d}." for i in range(150)]
+    rows += [f"Part 777-{i:04d} is out." for i in range(3)]
+    planted = [f"Call +1 (555) 556-{i:04d} now. Later 556-{i:04d} rang." for i in range(12)]
+    planted += [f"Write jane.roe{'abcdefgh'[i]}@mail.example.com and ask jane.roe{'abcdefgh'[i]} again." for i in range(8)]
+    found = []
+    for times in (1, 10):
+        texts = (rows + planted) * times
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        spans = {texts[r["doc_id"]]: (len(r["base"]), len(r["spans"])) for r in P.find(df).collect()}
+        assert {spans[t] for t in planted} == {(1, 2)}
+        found.append(spans)
+    assert found[0] == found[1]
+
+
+def test_rates_not_counts_and_missed_mentions_are_no_evidence():
+    text = "Call +1 (555) 555-1234 now. Later 555-1234 rang. Part 777-1234."
+    found = P.events(text)
+    assert "same0" not in found and sum(e.startswith("u0") for e in found) == 1
+    counts = {"same0": 1, "same1": 75, "alike1": 9, "u0\t7/2-": 2, "u4\t7/2-": 150, "c1": 3, "c0": 2}
+    many = P.potentials({k: 1000 * n for k, n in counts.items()})
+    assert many.weights == P.potentials(counts).weights
+    assert np.allclose(many.unary("555-1234"), P.potentials(counts).unary("555-1234"))
+    assert P.shape("9" * 100) == P.shape("9" * 1000) and P.shape("a" * 70 + "1") != P.shape("a" * 70)

@@ -10,8 +10,11 @@ passing lets repeated or similar tokens agree: a second mention that its
 pattern misses (a number without its ``+``, an address without its domain) takes
 its entity's label.  Base spans always stay; the method only adds.
 
-The potentials are estimated from counts over a bounded sample of documents
-(``FIT_DOCS``) that the base patterns label; labelling covers every whole text.
+The potentials are rates over all documents, as the base patterns label them, so
+a table and the same table many times over have the same field.  How often two
+mentions agree is counted where base patterns took both; a token that they left
+out beside a labelled mention is what the field has to decide and counts neither
+as a disagreement nor as outside.  Labelling covers every whole text.
 Null texts are empty and have no spans.  Offsets are code points, end
 exclusive.
 """
@@ -20,6 +23,8 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import accumulate, islice, takewhile
 
@@ -31,12 +36,13 @@ from pyspark.sql import functions as F
 from .common import col
 from .common import field as row_field
 from .common import packed, text_batches
-from .labelled import sampled
 
 # The kinds in contract order.
 KINDS = ("email", "ip", "card", "phone")
-FIT_DOCS = 20_000
-SHAPES = 2000
+# Share of a rate that stays with its prior, however many cases are counted.
+PRIOR = 0.25
+# How often a mention is one that its base pattern misses.
+MISSED = 0.03
 ROUNDS = 20
 DAMPING = 0.5
 MIN_KEY = 6
@@ -51,6 +57,8 @@ _HINT = re.compile(r"[0-9@]")
 _WORD = re.compile(r"\S+")
 _DIGITS = re.compile(r"[0-9]+")
 _LETTERS = re.compile(r"[^\W\d_]+")
+_OTHER = re.compile(r"[^\w.+()@-]|_")
+MARKS = "@.-+("
 STRIP = ".,;:!?\"'()[]{}<>«»“”‘’…"
 
 
@@ -131,9 +139,11 @@ def name_mentions(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[in
 
 
 def shape(word: str) -> str:
-    """Digit runs as 9s (up to five, then 9+), letter runs as one a."""
-    digits = _DIGITS.sub(lambda m: "9" * len(m[0]) if len(m[0]) < 6 else "9+", word[:64])
-    return _LETTERS.sub("a", digits)
+    """Digits, digit groups, letters and marks of the whole word; some ten thousand values at most."""
+    groups = _DIGITS.findall(word)
+    marks = "".join(m for m in MARKS if m in word) + ("x" if _OTHER.search(word) else "")
+    letters = "a" if _LETTERS.search(word) else ""
+    return f"{min(sum(map(len, groups)), 20)}/{min(len(groups), 5)}{letters}{marks}"
 
 
 def keys(word: str) -> list[tuple[str, str]]:
@@ -182,10 +192,12 @@ def events(text: str | None) -> list[str]:
         return []
     labels = token_labels(found, base_spans(text))
     words = [text[a:b] for a, b in found]
-    out = [f"u{y}\t{shape(w)}" for w, y in zip(words, labels)]
-    out += [f"{kind}{int(labels[a] == labels[b])}" for a, b, kind in skip_edges(words) if labels[a] or labels[b]]
+    skips = skip_edges(words)
+    open_ = {i for a, b, _ in skips for i, j in ((a, b), (b, a)) if labels[j] and not labels[i]}
+    out = [f"u{y}\t{shape(w)}" for i, (w, y) in enumerate(zip(words, labels)) if i not in open_]
+    out += [f"{kind}{int(labels[a] == labels[b])}" for a, b, kind in skips if labels[a] and labels[b]]
     out += [f"c{int(labels[i] == labels[i + 1])}" for i in range(len(found) - 1)
-            if found[i + 1][0] - found[i][1] == 1 and (labels[i] or labels[i + 1])]
+            if found[i + 1][0] - found[i][1] == 1 and (labels[i] or labels[i + 1]) and not {i, i + 1} & open_]
     return out
 
 
@@ -197,27 +209,30 @@ class Potentials:
     weights: dict[str, float] = field(default_factory=lambda: {"same": 6.4, "alike": 5.7, "c": 0.0})
 
     def unary(self, word: str) -> np.ndarray:
-        """Log-weights of a token that no base pattern took: outside grows with such tokens seen."""
+        """Log-weights of a token that no base pattern took, by shares of its shape's tokens."""
         n = np.asarray(self.shapes.get(shape(word), (0,) * 5), dtype=float)
-        inside = 0.03 * (n[1:] + 0.25) / (n[1:].sum() + 1)
-        return np.log(np.concatenate([[1 + math.log1p(n[0])], inside]))
+        taken = n[1:].sum()
+        kinds = PRIOR / len(KINDS) + (1 - PRIOR) * (n[1:] / taken if taken else np.full(len(KINDS), 1 / len(KINDS)))
+        return np.log(np.concatenate([[1 + n[0] / max(n.sum(), 1)], MISSED * kinds]))
 
 
 def potentials(counts: dict[str, int]) -> Potentials:
-    """From counted events; pseudo-counts stand for what mentions of one thing usually do."""
+    """From counted events; each rate keeps a fixed share of what mentions of one thing usually do."""
     shapes: dict[str, list] = {}
     for event, n in counts.items():
         head, _, what = event.partition("\t")
         if what:
             shapes.setdefault(what, [0] * 5)[int(head[1:])] += n
 
-    def weight(kind: str, agree: float, differ: float, top: float) -> float:
-        w = math.log((counts.get(f"{kind}1", 0) + agree) / (counts.get(f"{kind}0", 0) + differ))
-        return min(max(w, 0.0), top)
+    def weight(kind: str, differ: float, top: float) -> float:
+        yes, no = counts.get(f"{kind}1", 0), counts.get(f"{kind}0", 0)
+        if yes + no:
+            differ = PRIOR * differ + (1 - PRIOR) * no / (yes + no)
+        return min(max(math.log((1 - differ) / differ), 0.0), top)
 
     return Potentials({k: tuple(v) for k, v in shapes.items()},
-                      {"same": weight("same", 300, 0.5, 8), "alike": weight("alike", 150, 0.5, 7),
-                       "c": weight("c", 1, 1, 1)})
+                      {"same": weight("same", 1 / 601, 8), "alike": weight("alike", 1 / 301, 7),
+                       "c": weight("c", 1 / 2, 1)})
 
 
 def propagate(unary: np.ndarray, edges: list[tuple[int, int, float]], rounds: int = ROUNDS) -> np.ndarray:
@@ -279,17 +294,15 @@ def label(text: str | None, model: Potentials) -> tuple[list[tuple], list[tuple]
     return spans, added
 
 
-def fit(docs: DataFrame, bound: int = FIT_DOCS, id_col: str = "doc_id", text_col: str = "text") -> Potentials:
-    """Potentials from about ``bound`` documents; the ``SHAPES`` commonest shapes are kept."""
-    @F.pandas_udf("array<string>")
-    def seen(texts: pd.Series) -> pd.Series:
-        return pd.Series([events(t) for t in texts], dtype=object)
+def fit(docs: DataFrame, text_col: str = "text") -> Potentials:
+    """Potentials from the counts of all documents; shapes have few values whatever the table's size."""
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            n = Counter(e for text in batch["text"] for e in events(text))
+            yield pd.DataFrame({"event": pd.Series(list(n), dtype=object), "n": pd.Series(list(n.values()), dtype="int64")})
 
-    rows = text_batches(docs).select(col(id_col).alias("doc_id"), col(text_col).alias("text")).where(
-        sampled(F.col("doc_id"), bound, docs.count(), "crf"))
-    counted = rows.select(F.explode(seen("text")).alias("event")).groupBy("event").agg(F.count("*").alias("n"))
-    top = counted.orderBy(F.desc(~F.contains("event", F.lit("\t"))), F.desc("n"), "event").limit(SHAPES).collect()
-    return potentials({r["event"]: r["n"] for r in top})
+    seen = text_batches(docs).select(col(text_col).alias("text")).mapInPandas(counted, "event string, n long")
+    return potentials({r["event"]: r["n"] for r in seen.groupBy("event").agg(F.sum("n").alias("n")).collect()})
 
 
 def _flat(spans: list[tuple]) -> list[int]:
@@ -333,9 +346,9 @@ def sorted_spans(spans: Column) -> Column:
     return F.array_sort(moved)
 
 
-def find(docs: DataFrame, bound: int = FIT_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id with ``base`` and ``spans`` (base and added), sorted arrays of structs."""
-    model = fit(docs, bound, id_col, text_col)
+    model = fit(docs, text_col)
     rows = docs.select(col(id_col).alias("doc_id"), spans_column(col(text_col), model).alias("s"))
     rows = rows.withColumn("b", as_structs(F.col("s.base"))).withColumn("a", as_structs(F.col("s.added")))
     return rows.select("doc_id", sorted_spans(F.col("b")).alias("base"),
@@ -357,10 +370,9 @@ def redact(text: str | None, model: Potentials) -> str | None:
     return "".join(out) + text[done:]
 
 
-def redacted(docs: DataFrame, bound: int = FIT_DOCS, id_col: str = "doc_id", text_col: str = "text",
-             length_col: str = "n_chars") -> DataFrame:
+def redacted(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """``docs`` with personal data replaced in the text, and the length column brought up to date."""
-    model = fit(docs, bound, id_col, text_col)
+    model = fit(docs, text_col)
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
