@@ -1,4 +1,5 @@
 import random
+import re
 
 from llm_fixtures import same_rows
 from wattlake.llm import quote_threads as Q
@@ -72,3 +73,88 @@ def test_messy_rows(spark):
     assert len(got) == len(rows)
     assert {r["turn"]: r["parent_turn"] for r in got if r["parent_turn"] is not None} == {3: 0, 4: 0}
     assert run(spark, []).count() == 0
+
+
+def parents(spark, texts):
+    got = run(spark, [(1, t, "u", text) for t, text in enumerate(texts)]).collect()
+    return {r["turn"]: r["parent_turn"] for r in got if r["parent_turn"] is not None}
+
+
+def test_parts_of_longer_messages_link(spark):
+    assert parents(spark, ["a\nb\n\nc\nd", "> a\n> b\nanswer"]) == {1: 0}
+    assert parents(spark, ["a\nb\n\nc\nd\ne", "> c\n> d\nanswer", "> d e\nx"]) == {1: 0, 2: 0}
+    assert parents(spark, ["a\nb\n\nc\nd", "> c\n> d\n>\n> nobody\nanswer"]) == {1: 0}
+    # Adjacent lines beat the same lines said apart, and the whole passage beats both.
+    assert parents(spark, ["x\na\nb\ny", "a", "b", "> a\n> b\nanswer"]) == {3: 0}
+    assert parents(spark, ["a\nb", "x\na\nb", "> a\n> b\n> z\nanswer"]) == {2: 1}
+    # Lines that are known singly vote, and lines never join over a blank one.
+    assert parents(spark, ["a\nz", "b\ny", "b\nq\na", "> a\n> b\nanswer"]) == {3: 2}
+    assert parents(spark, ["a\n\nb", "ab", "> a b c\nanswer"]) == {}
+
+
+def test_deeper_levels_link_where_no_level_one_is_known(spark):
+    texts = ["question\nmore", "> question\n> more\nanswer", ">> question\n>> more\nthanks",
+             ">> question\n> answer\nwell", ">>> question\n>> answer\n> nobody\nso"]
+    assert parents(spark, texts) == {1: 0, 2: 0, 3: 1, 4: 1}
+
+
+def brute_part(texts):
+    """Parents by the rules for whole passages, paragraphs, adjacent lines and lines."""
+    def runs(text):
+        out = []
+        for line in text.split("\n"):
+            marks = re.match(r"(?:[ \t]*>)*", line)[0]
+            level = marks.count(">")
+            line = " ".join(line[len(marks):].lower().split())
+            if not out or out[-1][0] != level:
+                out.append((level, []))
+            out[-1][1].append(line)
+        return [(n, [p.split("\n") for p in re.sub(r"\n\n+", "\n\n", "\n".join(x).strip("\n")).split("\n\n")])
+                for n, x in out if any(x)]
+
+    def text_of(paragraphs):
+        return " ".join(" ".join(p) for p in paragraphs)
+
+    def pairs(p):
+        return {f"{a} {b}" for a, b in zip(p, p[1:])}
+
+    said, out = [], {}
+    for t, text in enumerate(texts):
+        own = [r for n, r in runs(text) if n == 0]
+        latest = lambda x: max((u for u in range(t) if x in said[u]), default=None)  # noqa: E731,B023
+        votes = {}
+        for level, quoted in {(n, text_of(r)): (n, r) for n, r in runs(text) if n}.values():
+            whole = latest(text_of(quoted))
+            found = [whole] if whole is not None else []
+            for p in {" ".join(p): p for p in quoted}.values() if whole is None else ():
+                for keys in ({" ".join(p)}, pairs(p), set(p)):
+                    hits = [u for u in map(latest, keys) if u is not None]
+                    if hits:
+                        found.append(max(hits, key=lambda u: (hits.count(u), u)))  # noqa: B023
+                        break
+            for u in found:
+                votes[level, u] = votes.get((level, u), 0) + 1
+        if votes:
+            out[t] = max(votes, key=lambda v: (-v[0], votes[v], v[1]))[1]
+        said.append({text_of([p for r in own for p in r])} | {text_of(r) for r in own}
+                    | {x for r in own for p in r for x in {" ".join(p)} | pairs(p) | set(p)})
+    return out
+
+
+def test_random_partial_quotes_equal_brute_force(spark):
+    rng = random.Random(5)
+    texts = []
+    for t in range(120):
+        lines = []
+        for _ in range(rng.randrange(3)):
+            marks = rng.choice(["> ", "> ", ">> ", "> > > "])
+            source = (texts[rng.randrange(t)] if t else "w0\nw1").split("\n")
+            at = rng.randrange(len(source))
+            part = [x.lstrip("> ") for x in source[at:at + rng.randrange(1, 5)]]
+            lines += [marks + x for x in part + rng.choice([[], [], ["", f"w{rng.randrange(12)}"]])]
+            lines += rng.choice([[], ["ok"], [""]])
+        lines += [rng.choice(["", f"w{rng.randrange(12)}", f"w{rng.randrange(12)}", f"W{rng.randrange(12)}  x"])
+                  for _ in range(rng.randrange(1, 7))]
+        texts.append("\n".join(lines))
+    want = brute_part(texts)
+    assert parents(spark, texts) == want and len(want) > 40

@@ -1,12 +1,17 @@
 """Chat formatting by quotation linking.
 
 A line's quote level is its number of leading ``>``; a run of lines of one level
-is a passage.  Passages are normalised (lower case, white space as one space)
-and hashed.  A passage quoted at level one links its message to the latest
-earlier message of the conversation whose own (level zero) text contains it as
-a passage or as a whole; a message with several quotes answers the one with
-most matching passages, the latest on ties.  Deeper quotes are what the quoted
-message itself quoted and link nothing, but are parsed and removed like all.
+is a passage, its parts between blank lines are its paragraphs.  All are
+normalised (lower case, white space as one space) and hashed.  A message can be
+quoted whole, by a run of its own (level zero) lines, by a paragraph, by two
+adjacent lines or by a line.  A quoted passage is answered by the latest earlier
+message of the conversation that has all of it; if none has, each of its
+paragraphs is looked up for itself, and a paragraph that none has goes to the
+message with most of its adjacent lines, or else with most of its lines, the
+latest on ties.  A message with several quotes answers the one with most
+matching passages, the latest on ties.  Quotes at level one count first; those
+of the next level count where none of the levels before is known, and lead to
+the message that wrote them.
 
 A message that quotes nothing known starts a thread; threads are the trees of
 quote links.  The result has one row per message, in reply order: threads by
@@ -28,6 +33,8 @@ from pyspark.sql import functions as F
 from .common import col, materialize
 
 TURNS_PER_RANGE = 1024
+# What a quotation is found by, the finest first.
+LINE, PAIR, PARAGRAPH, WHOLE = range(4)
 MARK = r"^(?:[\x20\t]*>)+"
 
 
@@ -46,10 +53,12 @@ def normalised(text: Column) -> Column:
 
 def parsed(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
            text: str = "text") -> DataFrame:
-    """Messages with their own text and their passages (level, hash), empty ones left out.
+    """Messages with their own text, the hashes of what they say and their quoted passages.
 
-    Passages are runs of lines of one level; joining the lines with a mark at
-    each change of level and splitting there finds them without a loop.
+    A quoted passage has its level, its hash and ``asked``: (unit, grain, hash)
+    of the whole, of its paragraphs, pairs of adjacent lines and lines, finer
+    ones only where they differ from the coarser.  Joining the lines with a mark
+    at each change of level and splitting there finds passages without a loop.
     """
     rows = turns.select(col(conv).alias("conv_id"), col(turn).cast("long").alias("turn"), col(role).alias("role"),
                         F.coalesce(col(text), F.lit("")).alias("text"))
@@ -67,19 +76,52 @@ def parsed(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: st
         stop = F.coalesce(F.get(F.col("starts"), k + 1), F.size("lines"))
         part = F.slice(F.col("lines"), first + 1, stop - first)
         return F.struct(F.get(F.col("lines"), first)["level"].alias("level"),
-                        normalised(F.array_join(F.transform(part, lambda x: x["line"]), " ")).alias("passage"))
+                        F.array_join(F.transform(part, lambda x: normalised(x["line"])), "\n").alias("lines"))
 
-    rows = rows.withColumn("runs", F.filter(F.transform(run_no, passage), lambda p: p["passage"] != ""))
+    rows = rows.withColumn("runs", F.transform(run_no, passage))
+    # Paragraphs are split at blank lines; a run without any is empty.
+    rows = rows.withColumn("runs", F.filter(F.transform("runs", lambda p: F.struct(
+        p["level"].alias("level"), F.filter(F.split(p["lines"], r"\n{2,}|^\n|\n$"), lambda x: x != "").alias("parts"))),
+        lambda p: F.size(p["parts"]) > 0))
     quotes = F.transform(F.filter(F.col("runs"), lambda p: p["level"] > 0), lambda p: F.struct(
-        p["level"].alias("level"), F.xxhash64(p["passage"]).alias("hash")))
-    # A message can be quoted whole or passage by passage (also line by line).
-    lines = F.transform(own, lambda x: normalised(x["line"]))
-    said = F.array_union(F.transform(F.filter(F.col("runs"), lambda p: p["level"] == 0), lambda p: p["passage"]),
-                         F.array_append(F.filter(lines, lambda x: x != ""), normalised(F.col("clean"))))
+        p["level"].alias("level"), F.xxhash64(_flat(F.array_join(p["parts"], "\n"))).alias("hash"),
+        _asked(p["parts"]).alias("asked")))
+    said = F.flatten(F.transform(F.filter(F.col("runs"), lambda p: p["level"] == 0), lambda p: F.concat(
+        F.array(_flat(F.array_join(p["parts"], "\n"))), F.flatten(F.transform(p["parts"], lambda x: F.concat(
+            F.array(_flat(x)), _pairs(x), F.split(x, "\n")))))))
+    said = F.array_append(said, normalised(F.col("clean")))
     own_hashes = F.array_distinct(F.transform(F.filter(said, lambda x: x != ""), lambda x: F.xxhash64(x)))
     return rows.select("conv_id", "turn", "role", "text", "clean", quotes.alias("quotes"), own_hashes.alias("said"))
 
 
+def _flat(paragraph: Column) -> Column:
+    return F.translate(paragraph, "\n", " ")
+
+
+def _pairs(paragraph: Column) -> Column:
+    """Every two adjacent lines of a paragraph, as one text."""
+    lines = F.split(paragraph, "\n")
+    return F.zip_with(F.slice(lines, F.lit(1), F.size(lines) - 1), F.slice(lines, F.lit(2), F.size(lines)),
+                      lambda a, b: F.concat_ws(" ", a, b))
+
+
+def _asked(parts: Column) -> Column:
+    """array<struct<unit, grain, hash>> of a quoted passage: what it can be found by."""
+    def as_keys(unit: Column, grain: int, texts: Column) -> Column:
+        return F.transform(texts, lambda x: F.struct(unit.alias("unit"), F.lit(grain).alias("grain"),
+                                                     F.xxhash64(x).alias("hash")))
+
+    def of_paragraph(x: Column) -> Column:
+        unit, lines = F.xxhash64(_flat(x)), F.split(x, "\n")
+        none = F.slice(lines, F.lit(1), F.lit(0))
+        return F.concat(as_keys(unit, PARAGRAPH, F.array(_flat(x))),
+                        as_keys(unit, PAIR, F.when(F.size(lines) > 2, _pairs(x)).otherwise(none)),
+                        as_keys(unit, LINE, F.when(F.size(lines) > 1, lines).otherwise(none)))
+
+    whole = as_keys(F.lit(0).cast("long"), WHOLE, F.array(_flat(F.array_join(parts, "\n"))))
+    return F.array_distinct(F.concat(whole, F.flatten(F.transform(parts, of_paragraph))))
+
+
 def links(messages: DataFrame, turns_per_range: int = TURNS_PER_RANGE) -> DataFrame:
     """(conv_id, turn, parent_turn, n_links): the message that each quoting message answers.
 
@@ -90,13 +132,15 @@ def links(messages: DataFrame, turns_per_range: int = TURNS_PER_RANGE) -> DataFr
     """
     base = messages.where("conv_id is not null and turn is not null")
     said = base.select("conv_id", "turn", F.explode("said").alias("hash")).distinct().withColumn("said", F.lit(True))
-    level_one = F.filter(F.col("quotes"), lambda q: q["level"] == 1)
-    asked = (base.select("conv_id", "turn", F.explode(level_one).alias("q"))
-             .select("conv_id", "turn", F.col("q.hash").alias("hash")).distinct().withColumn("said", F.lit(False)))
+    asked = (base.select("conv_id", "turn", F.explode("quotes").alias("q"))
+             .select("conv_id", "turn", F.col("q.level").alias("level"), F.col("q.hash").alias("passage"),
+                     F.explode("q.asked").alias("a"))
+             .select("conv_id", "turn", "level", "passage", "a.unit", "a.grain", "a.hash")
+             .distinct().withColumn("said", F.lit(False)))
     # Only what is quoted somewhere in the conversation matters.
     wanted = asked.select("conv_id", "hash").distinct()
     said = said.join(wanted, ["conv_id", "hash"], "left_semi")
-    events = said.unionByName(asked).withColumn("part", F.floor(F.col("turn") / turns_per_range).cast("long"))
+    events = said.unionByName(asked, allowMissingColumns=True).withColumn("part", F.floor(F.col("turn") / turns_per_range).cast("long"))
     events = materialize(events, "quote-events")
     said_turn = F.when(F.col("said"), F.col("turn"))
     per_part = events.groupBy("conv_id", "hash", "part").agg(F.max(said_turn).alias("latest"))
@@ -106,10 +150,19 @@ def links(messages: DataFrame, turns_per_range: int = TURNS_PER_RANGE) -> DataFr
         Window.unboundedPreceding, -1)
     asof = (events.withColumn("near", F.max(said_turn).over(inside)).where("not said")
             .join(carried, ["conv_id", "hash", "part"])
-            .select("conv_id", "turn", F.coalesce("near", "carried").alias("parent_turn")).where(
-                "parent_turn is not null"))
-    counted = asof.groupBy("conv_id", "turn", "parent_turn").agg(F.count("*").alias("n_links"))
-    best = counted.groupBy("conv_id", "turn").agg(F.max(F.struct("n_links", "parent_turn")).alias("best"))
+            .withColumn("parent_turn", F.coalesce("near", "carried")).where("parent_turn is not null"))
+    # One answer for each unit (a passage or one of its paragraphs), by the coarsest that is known.
+    message, passage = ["conv_id", "turn"], ["level", "passage"]
+    found = asof.groupBy(*message, *passage, "unit", "grain", "parent_turn").agg(F.count("*").alias("n"))
+    units = found.groupBy(*message, *passage, "unit").agg(F.max(F.struct("grain", "n", "parent_turn")).alias("a"))
+    # A passage known as a whole leaves its paragraphs out.
+    whole = F.max(F.when(F.col("a.grain") == WHOLE, F.col("a.parent_turn")))
+    answers = units.groupBy(*message, *passage).agg(whole.alias("whole"), F.collect_list("a.parent_turn").alias("parts"))
+    answers = answers.select(*message, "level", F.explode(F.when(F.col("whole").isNotNull(), F.array("whole")).otherwise(
+        F.col("parts"))).alias("parent_turn"))
+    counted = answers.groupBy(*message, "level", "parent_turn").agg(F.count("*").alias("n_links"))
+    best = counted.groupBy(*message).agg(
+        F.max(F.struct((-F.col("level")).alias("level"), "n_links", "parent_turn")).alias("best"))
     return best.select("conv_id", "turn", "best.parent_turn", "best.n_links")
 
 
