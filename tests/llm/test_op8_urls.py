@@ -64,3 +64,41 @@ def test_counts_are_whole(spark):
 
 def test_empty(spark):
     assert judge(spark, []) == {}
+
+
+def test_production_rules_judge_a_table_and_its_tenfold_alike(spark):
+    # /es/ and /fr/ are blocked by rule; /en/ has the same kind of pages and no label, /docs/ has other ones.
+    def urls(n):
+        out = []
+        for i in range(n):
+            out += [f"http://{h}.net/{s}/{i}" + (".html" if i % 2 else "") for h in "ab" for s in ("es", "fr", "en")]
+            out += [f"http://a.net/docs/p{chr(97 + i % 26)}x{i}/{i}", f"http://c.net/en/{i}", f"http://d.com/en/{i}"]
+        return out
+    seen = []
+    for table in (urls(30), urls(30) * 10, urls(300)):
+        got = judge(spark, table).values()
+        seen.append({(r["host"], r["path"].split("/")[1], r["rule"], r["verdict"]) for r in got})
+        assert {r["template"] for r in got if r["host"] == "b.net"} == {"b.net/(en|es|fr)/{n}", "b.net/(en|es|fr)/{n}.html"}
+    assert seen[0] == seen[1] == seen[2]
+    verdicts = {(h, s): v for h, s, _, v in seen[0]}
+    assert verdicts == {**{(f"{h}.net", s): "block" for h in "ab" for s in ("es", "fr", "en")},
+                        ("a.net", "docs"): "allow", ("c.net", "en"): "allow", ("d.com", "en"): "allow"}
+
+
+def test_levels_go_as_deep_as_the_paths(spark):
+    deep = "1/x/y/z/w/v"
+    urls = [f"http://h.org/{deep}/{s}/page-{i}.html" for s in ("bad", "good") for i in range(60)]
+    rules = [("block", "h.org", f"/{deep}/bad/page-{d}") for d in range(1, 6)] + [
+        ("allow", "h.org", f"/{deep}/good/page-{d}") for d in range(1, 6)]
+    got = judge(spark, urls, rules=rules).values()
+    assert {r["template"] for r in got} == {f"h.org/{{n}}/x/y/z/w/v/{s}/{{s}}.html" for s in ("bad", "good")}
+    assert {(r["path"].split("/")[7], r["verdict"]) for r in got} == {("bad", "block"), ("good", "allow")}
+
+
+def test_unlabelled_branch_joins_only_labelled_ones_that_agree():
+    def branch(to, block, allow, **nexts):
+        return {"to": to, "block": block, "allow": allow, "nexts": [{"next": k, "n": n} for k, n in nexts.items()]}
+    bad, good, same = branch("bad", 9, 0, s=90, n=10), branch("good", 0, 9, s=91, n=9), branch("u", 0, 0, s=88, n=12)
+    assert dict(U.merged([bad, same])) == {"bad": "(bad|u)", "u": "(bad|u)"}
+    assert U.merged([bad, good, same]) == [] and U.merged([bad, branch("u", 0, 0, n=50)]) == []
+    assert dict(U.merged([same, branch("v", 0, 0, s=9, n=1)])) == {"u": "(u|v)", "v": "(u|v)"}
