@@ -113,3 +113,13 @@ def test_keep_one(spark):
     assert [r["text"] for r in rows if r["doc_id"] is None] == ["no id here at all my friend"]
     assert all(r["size"] == "x" for r in rows)
     assert S.keep_one(empty(spark)).count() == 0 and S.near_duplicates(empty(spark)).count() == 0
+
+
+def test_keep_one_keeps_a_row_of_every_component(spark):
+    a, b, c = ("alpha beta gamma delta epsilon zeta eta theta", "one two three four five six seven eight nine",
+               "red green blue cyan magenta yellow black white")
+    assert S.keep_one(spark.createDataFrame([(3, a), (3, b)], "doc_id long, text string")).count() == 2
+    rows = [(1, a), (2, a), (2, b), (None, c), (None, c), (5, b), (2, b)]
+    for table in (rows, rows[::-1]):
+        got = S.keep_one(spark.createDataFrame(table, "doc_id long, text string")).collect()
+        assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, [(1, a), (2, b), (None, c)]))

@@ -149,8 +149,14 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (signed long), component_id for every row of ``docs``."""
-    slim = materialize(text_batches(docs).select(col(id_col).alias("doc_id"),
-                                   fingerprint_column(col(text_col), shingle).alias("fp")), "simhash")
+    return _rooted(docs, shingle, max_bits, id_col, text_col).select("doc_id", "fp", "component_id")
+
+
+def _rooted(docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, hash of the text, fp, root fingerprint and component_id for every row."""
+    slim = materialize(text_batches(docs).select(
+        col(id_col).alias("doc_id"), F.xxhash64(col(text_col)).alias("text_hash"),
+        fingerprint_column(col(text_col), shingle).alias("fp")), "simhash")
     fps = materialize(slim.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")),
                       "fingerprints")
     roots = materialize(components(near_pairs(fps, max_bits)), "roots")
@@ -159,24 +165,27 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     smallest = materialize(rooted.groupBy("root").agg(F.min("rep").alias("component_id"),
                                                       F.count("*").alias("members")), "smallest")
     named = materialize(lookup(rooted, smallest, ["root"], "members", F.col("fp"))
-                        .select("fp", "n", "component_id"), "components")
+                        .select("fp", "n", "root", "component_id"), "components")
     return lookup(slim, named, ["fp"], "n", F.col("doc_id"))
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without near-duplicates: of each component the row with its smallest doc_id.
+    """``docs`` without near-duplicates: one row of each component, one with its smallest doc_id.
 
-    Of rows that repeat that doc_id one stays.  Rows without a doc_id stay only
-    if their whole component has none (then all of them).
+    The row is found by doc_id and text, so rows that share a doc_id stand for
+    their own components.  A component without any doc_id keeps one row too.
     """
-    found = near_duplicates(docs, shingle, max_bits, id_col, text_col)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    nameless = found.where("component_id is null").select("fp").distinct()
-    rows = packed(docs).withColumn("__w_id", field(id_col))
-    once = Window.partitionBy("__w_id").orderBy(F.xxhash64(field(text_col)))
-    named = (rows.where("__w_id is not null").join(kept, F.col("__w_id") == kept["doc_id"], "left_semi")
-             .withColumn("__w_n", F.row_number().over(once)).where("__w_n = 1").drop("__w_n"))
-    rest = (rows.where("__w_id is null").withColumn("__w_fp", fingerprint_column(field(text_col), shingle))
-            .join(nameless, F.col("__w_fp") == nameless["fp"], "left_semi").select(ROW, "__w_id"))
+    found = _rooted(docs, shingle, max_bits, id_col, text_col)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
+        F.min("doc_id").alias("kept_id"), F.min("text_hash").alias("kept_hash"))
+    kept = materialize(kept.select("kept_id", "kept_hash"), "kept")
+    rows = packed(docs).withColumn("__w_id", field(id_col)).withColumn("__w_hash", F.xxhash64(field(text_col)))
+    once = Window.partitionBy("__w_id", "__w_hash").orderBy("__w_hash")
+    same = F.col("__w_hash") == F.col("kept_hash")
+    named = (rows.where("__w_id is not null")
+             .join(kept.where("kept_id is not null"), (F.col("__w_id") == F.col("kept_id")) & same, "left_semi")
+             .withColumn("__w_n", F.row_number().over(once)).where("__w_n = 1").select(ROW))
+    rest = (rows.where("__w_id is null").withColumn("__w_n", F.row_number().over(once)).where("__w_n = 1")
+            .join(kept.where("kept_id is null"), same, "left_semi").select(ROW))
     return unpacked(named.union(rest), docs.columns)
