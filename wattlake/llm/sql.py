@@ -1,5 +1,34 @@
 """DuckDB SQL of the operators that SQL can express."""
 
+
+def orchard_sql(k: int = 8, dims: int = 64, rounds: int = 10, scale: int = 1024, seed: int = 3) -> str:
+    """Integer k-means by comparing every vector with every centroid, one pair of tables a round."""
+    parts = [f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rn, vec_id,
+    list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = {dims}
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims})""", f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id) NULLS LAST, v) - 1 AS c, v AS p
+  FROM kept ORDER BY c LIMIT {k})"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (
+  SELECT rn, unnest(min(struct_pack(d := d, c := c))) FROM (
+    SELECT rn, c, list_sum(list_transform(range(1, {dims + 1}), lambda i: (v[i] - p[i]) * (v[i] - p[i])))::BIGINT AS d
+    FROM kept CROSS JOIN c{r}) GROUP BY rn)""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c{r}.c, coalesce(m.p, c{r}.p) AS p FROM c{r} LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n)::HUGEINT // n ORDER BY i)::BIGINT[] AS p FROM (
+      SELECT c, i, sum(v[i])::HUGEINT AS s, count(*)::HUGEINT AS n
+      FROM kept JOIN a{r} USING (rn) CROSS JOIN range(1, {dims + 1}) t(i) GROUP BY c, i) GROUP BY c) m
+  ON c{r}.c = m.c)""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, a{rounds}.c::INTEGER AS cluster, d AS distance,
+  (sum(d) OVER (PARTITION BY a{rounds}.c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(p, ',')) AS centroid_sha256
+FROM a{rounds} JOIN kept USING (rn) JOIN c{rounds} ON a{rounds}.c = c{rounds}.c"""
+
+
 SQL = {
     "op1_warc_merge": r"""
 WITH p AS (
@@ -53,4 +82,5 @@ SELECT doc_id, source, size, source_size, target,
   (epochs * size + CASE WHEN after <= rest THEN size
      WHEN after - size * ties < rest THEN (rest - (after - size * ties)) // ties ELSE 0 END)::BIGINT AS taken
 FROM x""",
+    "op11_orchard": orchard_sql(),
 }
