@@ -83,4 +83,43 @@ SELECT doc_id, source, size, source_size, target,
      WHEN after - size * ties < rest THEN (rest - (after - size * ties)) // ties ELSE 0 END)::BIGINT AS taken
 FROM x""",
     "op11_orchard": orchard_sql(),
+    "op13_spelling": r"""
+WITH t AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id,
+    translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+              'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+r AS (SELECT id, run, count(*) AS n FROM t GROUP BY ALL),
+b AS (
+  SELECT id, run, n, flatten(list_transform(range(octet_length(encode(id || ':' || run))),
+    lambda i: list_transform(range(8), lambda j:
+      (('0x' || substr(hex(encode(id || ':' || run)), 2 * i + 1, 2))::INTEGER >> j::INTEGER) & 1)))::BIGINT[] AS bits
+  FROM r),
+h AS (
+  SELECT id, run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, bits), lambda c, x:
+    xor(c >> 1, (xor(c, x) & 1) * 3988292384)), 4294967295) AS h FROM b),
+w AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+    ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM h GROUP BY word HAVING length(word) >= 6 AND sum(n) >= 5),
+c AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+d AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM c),
+p AS (
+  SELECT a.word, b.word AS near, b.n AS m FROM d a JOIN d b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM d a JOIN w b ON a.cut = b.word
+  UNION SELECT b.word, a.word, a.n FROM d a JOIN w b ON a.cut = b.word),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY word ORDER BY m DESC, encode(near)) AS k,
+    count(*) OVER (PARTITION BY word) AS n_near FROM p),
+f AS (
+  SELECT w.word, CASE WHEN m >= 5 * n THEN near END AS form, n, coalesce(n_near, 0)::BIGINT AS n_near,
+    CASE WHEN m >= 5 * n THEN m END::BIGINT AS form_n
+  FROM w LEFT JOIN o ON w.word = o.word AND k = 1),
+e AS (
+  WITH RECURSIVE u AS (
+    SELECT word, word AS root FROM f
+    UNION ALL SELECT u.word, f.form FROM u JOIN f ON u.root = f.word WHERE f.form IS NOT NULL)
+  SELECT u.word, u.root FROM u JOIN f ON u.root = f.word WHERE f.form IS NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN e ON f.word = e.word""",
 }
