@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bottomk, decontam, orchard, pii_crf, quality_pu, quote_threads, simhash_variants, source_mix,
+from . import (bottomk, decontam, main_text, orchard, pii_crf, quality_pu, quote_threads, simhash_variants, source_mix,
                spelling, toxicity_gbt, url_templates, warc_merge)
 from .sql import SQL
 
@@ -75,12 +75,17 @@ def op11_orchard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orchard.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = main_text.main_texts(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"), drop_every=spelling.DROP_EVERY)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_warc_merge, op2_simhash_variants, op3_toxicity_gbt, op4_source_mix, op5_quality_pu, op6_pii_crf,
-    op7_quote_threads, op8_url_templates, op9_bottomk, op10_decontam, op11_orchard, op13_spelling)}
+    op7_quote_threads, op8_url_templates, op9_bottomk, op10_decontam, op11_orchard, op12_main_text, op13_spelling)}
 
 __all__ = ["QUERIES", "SQL"]
