@@ -64,7 +64,7 @@ def run(spark, docs, **options):
     return [tuple(r) for r in M.variants(df, **options).collect()]
 
 
-# Words a key may hold: few keys levels, all levels, all levels and blocks of one word.
+# Words a key may hold: a few levels, more, all levels and blocks of one word.
 @pytest.mark.parametrize("shard_words", [50_000, 12, 1])
 def test_equals_brute_force(spark, shard_words):
     docs = corpus(1)
@@ -106,5 +106,5 @@ def test_every_near_pair_is_reached_once():
                 own = [(w, 1) for w in found if M.vector(w)[:depth] == key]
                 if own:
                     for leaf, same in M.leaves(M.trie(own, depth), M.vector(a)[depth:], spent):
-                        met.update(frozenset((a, b)) for b, _ in leaf if (not same or a < b) and M.one_edit(a, b))
+                        met.update(frozenset((a, b)) for b, _ in leaf.candidates(a) if (not same or a < b) and M.one_edit(a, b))
         assert set(met) == want and set(met.values()) == {1}

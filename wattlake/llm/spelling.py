@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, materialize, text_batches
+from .common import col, materialize, pieces, text_batches
 
 # Fixed by the contract: letters of a run, the letter dropped from rare runs, word and form bounds.
 RUN = "[A-Za-zÀ-ÿ]"
@@ -44,8 +44,12 @@ DROP_EVERY = 199
 MIN_CHARS, MIN_COUNT, FORM_RATIO = 6, 5, 5
 
 GROUPS = 12
-SHARD = 50_000
+SHARD = 25_000
 DEPTHS = (3, 4, 5, 6, 8, 10, GROUPS)
+# Words whose searches make a task.
+TASK_WORDS = 8_000
+# Words of a leaf from which on it is indexed by halves.
+LARGE_LEAF = 8
 # Distinct words a counting task holds before it passes them on.
 HELD = 300_000
 
@@ -153,6 +157,34 @@ def one_edit(a: str, b: str) -> bool:
     return a[at + (len(a) == len(b)):] == b[at + 1:]
 
 
+class Leaf:
+    """Words with the same counts, (word, n) each."""
+
+    __slots__ = ("halves", "words")
+
+    def __init__(self) -> None:
+        self.words: list[tuple[str, int]] = []
+        self.halves: dict[int, tuple[dict, dict]] = {}
+
+    def candidates(self, word: str) -> list[tuple[str, int]]:
+        """All that can be one edit from ``word``: in a large leaf, those that share its first or last half.
+
+        An edit lies in one half of the shorter word, so the other half is alike.
+        """
+        half = min(len(word), len(self.words[0][0])) // 2
+        if len(self.words) < LARGE_LEAF or not half:
+            return self.words
+        if half not in self.halves:
+            heads, tails = {}, {}
+            for item in self.words:
+                heads.setdefault(item[0][:half], []).append(item)
+                tails.setdefault(item[0][-half:], []).append(item)
+            self.halves[half] = heads, tails
+        heads, tails = self.halves[half]
+        head = word[:half]
+        return heads.get(head, []) + [x for x in tails.get(word[-half:], ()) if x[0][:half] != head]
+
+
 def trie(own: list[tuple[str, int]], depth: int) -> dict:
     """Nested counts of the levels from ``depth`` on (one level of 0 if none is left); a leaf lists its words."""
     root: dict = {}
@@ -160,11 +192,11 @@ def trie(own: list[tuple[str, int]], depth: int) -> dict:
         node, counts = root, vector(item[0])[depth:] or [0]
         for c in counts[:-1]:
             node = node.setdefault(c, {})
-        node.setdefault(counts[-1], []).append(item)
+        node.setdefault(counts[-1], Leaf()).words.append(item)
     return root
 
 
-def leaves(root: dict, counts: list[int], spent: int) -> Iterator[tuple[list, bool]]:
+def leaves(root: dict, counts: list[int], spent: int) -> Iterator[tuple[Leaf, bool]]:
     """Leaves in reach of ``counts``, and whether nothing was spent on the way."""
     counts = counts or [0]
     last = len(counts) - 1
@@ -206,7 +238,7 @@ def search(depth: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
             for word, n, spent in rows:
                 if spent >= 0:
                     for leaf, same in leaves(root, vector(word)[depth:], spent):
-                        for other, m in leaf:
+                        for other, m in leaf.candidates(word):
                             if (not same or word < other) and one_edit(word, other):
                                 note(word, other, m)
                                 note(other, word, n)
@@ -227,13 +259,17 @@ def near_words(found: DataFrame, shard_words: int = SHARD) -> DataFrame:
     each = vectors.groupBy("v").agg(F.count("*").alias("c"))
     sizes = each.select("c", F.explode(F.array(*[F.struct(F.lit(d).alias("depth"), _shard(d).alias("shard"))
                                                  for d in DEPTHS])).alias("s")).groupBy("s").agg(F.sum("c").alias("c"))
-    most = {r["depth"]: r["c"] for r in sizes.groupBy("s.depth").agg(F.max("c").alias("c")).collect()}
+    most, total = {}, 0
+    for r in sizes.groupBy("s.depth").agg(F.max("c").alias("c"), F.sum("c").alias("total")).collect():
+        most[r["depth"]], total = r["c"], r["total"]
     depth = next((d for d in DEPTHS if most.get(d, 0) <= shard_words), GROUPS)
     rows = vectors.mapInPandas(routed(depth), "shard string, word string, n long, spent int")
     keys = ["shard"]
     if most.get(depth, 0) > shard_words:
         rows, keys = blocks(rows, vectors, shard_words), ["shard", "block", "turn"]
-    parts = rows.groupBy(*keys).applyInPandas(search(depth), "word string, n_near long, best_n long, best string")
+    # A search costs more than its bytes tell, so the number of tasks follows the words.
+    dealt = rows.repartition(pieces(total, TASK_WORDS), *keys)
+    parts = dealt.groupBy(*keys).applyInPandas(search(depth), "word string, n_near long, best_n long, best string")
     return (parts.groupBy("word").agg(F.sum("n_near").alias("n_near"),
                                       F.min(F.struct((-F.col("best_n")).alias("less"), "best")).alias("b"))
             .select("word", "n_near", (-F.col("b.less")).alias("best_n"), F.col("b.best").alias("best")))
