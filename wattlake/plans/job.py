@@ -43,7 +43,7 @@ def run_load(spark: SparkSession, landing: str, staging_root: str, warehouse: st
         result = staging.run_landing(spark, landing, staging_root, load_id, entities=entities,
                                      start=start, end=end, rules_dir=rules,
                                      drafts_dir=f"{staging_root.rstrip('/')}/_drafts",
-                                     log_dir=log_dir)
+                                     log_dir=log_dir, index_dir=f"{staging_root.rstrip('/')}/_files")
         failed = result.log.where("status = 'FAILED'").count()
         if failed and not allow_partial:
             raise FailedFiles(f"{failed} landing file(s) failed, see the load log of {load_id}")

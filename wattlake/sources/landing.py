@@ -84,32 +84,42 @@ def _file_system(path: str):
     return pafs.FileSystem.from_uri({"s3a": "s3"}.get(head, head) + "://" + quote(inner, safe="/:@"))
 
 
+def _first_line(path: str) -> str:
+    """The first line of a file, however long; line breaks in quotes belong to it."""
+    filesystem, inner = _file_system(path)
+    with filesystem.open_input_stream(inner) as stream:
+        line, quoted, more = bytearray(), False, stream.read(65536)
+        while more:
+            parts = more.split(b"\n")
+            for k, part in enumerate(parts):
+                line += part
+                quoted ^= part.count(b'"') % 2 == 1
+                if k < len(parts) - 1 and not quoted:
+                    more = None
+                    break
+                if k < len(parts) - 1:
+                    line += b"\n"
+            more = stream.read(65536) if more is not None else None
+    return bytes(line).rstrip(b"\r").decode("utf-8", errors="replace")
+
+
 def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Read the first line of each file, however long; line breaks in quotes belong to it."""
     for pdf in batches:
-        heads = []
+        heads, errors = [], []
         for p in pdf["path"]:
-            filesystem, inner = _file_system(p)
-            with filesystem.open_input_stream(inner) as stream:
-                line, quoted, more = bytearray(), False, stream.read(65536)
-                while more:
-                    parts = more.split(b"\n")
-                    for k, part in enumerate(parts):
-                        line += part
-                        quoted ^= part.count(b'"') % 2 == 1
-                        if k < len(parts) - 1 and not quoted:
-                            more = None
-                            break
-                        if k < len(parts) - 1:
-                            line += b"\n"
-                    more = stream.read(65536) if more is not None else None
-            heads.append(bytes(line).rstrip(b"\r").decode("utf-8", errors="replace"))
-        yield pdf.assign(header=heads)
+            try:
+                head, error = _first_line(p), None
+            except OSError as e:  # a file that cannot be read fails its own unit only
+                head, error = None, f"cannot be read: {e}"
+            heads.append(head)
+            errors.append(error)
+        yield pdf.assign(header=heads, read_error=errors)
 
 
 def read_headers(files: DataFrame) -> DataFrame:
-    """Add ``header`` (the raw first line) to a frame of physical files."""
-    schema = T.StructType(list(files.schema.fields) + [T.StructField("header", T.StringType())])
+    """Add ``header`` (the raw first line) and ``read_error`` to a frame of physical files."""
+    schema = T.StructType([*files.schema.fields, T.StructField("header", T.StringType()),
+                           T.StructField("read_error", T.StringType())])
     return files.mapInPandas(_first_lines, schema=schema)
 
 
@@ -132,12 +142,12 @@ def expected_names(entity: str | Column) -> Column:
 
 
 def unit_headers(files: DataFrame) -> DataFrame:
-    """One row per landing unit: name, entity, header line, number of files."""
+    """One row per landing unit: name, entity, header line, number of files, read error if any."""
     heads = read_headers(files.select("path", "file_name", "entity"))
     return (heads.groupBy("file_name", "entity")
                  .agg(F.min("header").alias("header"),
                       F.countDistinct("header").alias("n_headers"),
-                      F.count("path").alias("n_files")))
+                      F.count("path").alias("n_files"), F.min("read_error").alias("read_error")))
 
 
 # ------------------------------------------------------------------ A3-A5 delimiter, missing

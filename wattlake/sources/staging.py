@@ -11,8 +11,10 @@ replacing the per-table UNION ALL view.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +24,8 @@ from pyspark.sql import types as T
 from ..operators.joins import maybe_broadcast, rows_at_most
 from ..schema import EXPECTED_COLUMNS, NO_DATA, typed_projection
 from ..session import scratch_path
-from . import landing
+from . import csv_records, landing, landing_index
+from .landing_index import path_is_missing
 
 
 def new_load_id(ts: _dt.datetime) -> str:
@@ -30,11 +33,6 @@ def new_load_id(ts: _dt.datetime) -> str:
     return ts.strftime("%Y%m%d_%H%M%S") + f"{ts.microsecond // 1000:03d}"
 
 
-def path_is_missing(e: AnalysisException) -> bool:
-    """Whether a read failed because its path does not exist, and for nothing else."""
-    return e.getCondition() == "PATH_NOT_FOUND"
-
-
 def staging_table_name(unit: Column, load_id: str) -> Column:
     """``<unit without .csv>_staging_<load_id>``."""
     return F.concat(F.regexp_replace(unit, r"\.csv$", ""), F.lit(f"_staging_{load_id}"))
@@ -61,89 +59,140 @@ def _layouts(plan: DataFrame) -> DataFrame:
         F.transform("columns", renamed).alias("names"), "fills", *[c for c in plan.columns if c == "untidy"])
 
 
-def _untidy_units(spark: SparkSession, root: str, layouts: DataFrame, few: bool) -> DataFrame:
-    """Units that cannot be read line by line: some line holds a quote outside
-    a plain quoted cell (a cell may span lines) or more cells than the header.
+def _own_files(files: DataFrame, layouts: DataFrame) -> DataFrame:
+    """The listed files of the units in ``layouts``."""
+    return files.join(layouts.select(F.col("__unit").alias("file_name")), "file_name", "left_semi")
+
+
+def _as_paths(paths: Iterable[str]) -> list[str]:
+    """Paths as the readers take them, characters of path patterns escaped.
+
+    One string per file of the load, as Spark's own file index holds them.
+    """
+    return sorted(re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths)
+
+
+def _text(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines of these files, split at line feeds only; a file that breaks off gives the lines before."""
+    return (spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n")
+            .option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").text(paths))
+
+
+def _line_report(spark: SparkSession, files: DataFrame, layouts: DataFrame, few: bool) -> DataFrame:
+    """(__unit, untidy, __whole): one pass over the text of the units' own files.
 
-    One pass over the text.  What is left of a line once its quoted cells are
-    taken out has no quotes and at most ``width - 1`` delimiters in every other
-    unit, so those need no further check.
+    ``untidy`` units cannot be read line by line: some line holds a quote
+    outside a plain quoted cell (a cell may span lines) or more cells than the
+    header.  What is left of a line once its quoted cells are taken out has no
+    quotes and at most ``width - 1`` delimiters in every other unit, so those
+    need no further check.  ``__whole`` counts the files of which every byte
+    was read (a byte order mark is not part of a line, nor is a last line feed
+    that is not there).
     """
     sep = F.concat(F.lit("\\Q"), F.col("delimiter"), F.lit("\\E"))
     quoted = F.concat(F.lit("(^|"), sep, F.lit(')"[^"]*+(?:""[^"]*+)*+"(?='), sep, F.lit("|\\z)"))
     small = layouts.select("__unit", "delimiter", "width")
-    lines = (spark.read.option("recursiveFileLookup", "true").text(root)
-             .select(_unit_of_file().alias("__unit"), F.regexp_replace("value", landing.BOM, "").alias("value")))
+    paths = _as_paths(r["path"] for r in _own_files(files, layouts).select("path").collect())
+    lines = _text(spark, paths).select(
+        _unit_of_file().alias("__unit"), F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_size").alias("__size"), "value")
     rows = lines.join(maybe_broadcast(small, few), "__unit")
-    rest = rows.select("__unit", "delimiter", "width",
-                       F.regexp_replace("value", quoted, F.lit("$1")).alias("rest"))
+    plain = F.regexp_replace(F.regexp_replace("value", landing.BOM, ""), "\r\\z", "")
+    rest = rows.select("__unit", "__file", "__size", "delimiter", "width", F.octet_length("value").alias("__bytes"),
+                       F.regexp_replace(plain, quoted, F.lit("$1")).alias("rest"))
     spare = F.length("rest") - F.length(F.replace("rest", F.col("delimiter"), F.lit("")))
-    untidy = F.contains("rest", F.lit('"')) | (spare > (F.col("width") - 1) * F.length("delimiter"))
-    return rest.where(untidy).select("__unit").distinct()
+    untidy = (F.contains("rest", F.lit('"')) | F.contains("rest", F.lit("\r"))
+              | (spare > (F.col("width") - 1) * F.length("delimiter")))
+    per_file = rest.groupBy("__unit", "__file").agg(
+        F.max(untidy).alias("untidy"), F.max("__size").alias("__size"), F.sum(F.col("__bytes") + 1).alias("__read"))
+    whole = F.col("__read").between(F.col("__size") - 3, F.col("__size") + 1)
+    return per_file.groupBy("__unit").agg(F.max("untidy").alias("untidy"), F.count_if(whole).alias("__whole"))
 
 
-def _scan(spark: SparkSession, root: str, entity: str, delimiter: str, width: int, first: str, last: str,
-          whole_records: bool) -> DataFrame:
-    """(__unit, __cells, __record) of an entity's units in a range of names.
-
-    Files outside the range are pruned from the listing.  With
-    ``whole_records`` quoted cells may hold line breaks, and ``__record`` has
-    the raw text of rows whose cell count is not ``width``.
-    """
-    fields = [f"__c{i}" for i in range(width)] + (["__record"] if whole_records else [])
+def _scan(spark: SparkSession, paths: list[str], delimiter: str, width: int) -> DataFrame:
+    """(__unit, __cells) of files that can be read line by line."""
+    fields = [f"__c{i}" for i in range(width)]
     raw = (spark.read.schema(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
            .option("recursiveFileLookup", "true").option("header", "true").option("sep", delimiter)
            .option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
-           .option("maxColumns", max(20480, 2 * width)).option("multiLine", whole_records)
-           .option("columnNameOfCorruptRecord", "__record").option("columnPruning", False).csv(root))
-    unit = _unit_of_file()
-    return raw.where(unit.between(first, last) & unit.endswith(f"_{entity}.csv")).select(
-        unit.alias("__unit"), F.array(*[F.col(f"__c{i}") for i in range(width)]).alias("__cells"),
-        (F.col("__record") if whole_records else F.lit(None).cast("string")).alias("__record"))
-
-
-def _scans(spark: SparkSession, root: str, layouts: DataFrame):
-    """One scan per entity and delimiter, and one more per width for untidy units."""
-    width = F.when(F.col("untidy"), F.col("width"))
-    kinds = (layouts.groupBy("entity", "delimiter", "untidy", width.alias("exact"))
-             .agg(F.max("width").alias("width"), F.min("__unit").alias("first"), F.max("__unit").alias("last"))
-             .orderBy("entity", "delimiter", "untidy", "width").collect())
-    for k in kinds:
-        rows = _scan(spark, root, k["entity"], k["delimiter"], k["width"], k["first"], k["last"], k["untidy"])
-        mine = layouts.where((F.col("entity") == k["entity"]) & (F.col("delimiter") == k["delimiter"])
-                             & (F.col("untidy") == k["untidy"]))
-        yield k, rows, mine.where(F.col("width") == k["width"]) if k["untidy"] else mine
+           .option("maxColumns", max(20480, 2 * width)).csv(paths))
+    return raw.select(_unit_of_file().alias("__unit"), F.array(*fields).alias("__cells"))
 
 
-def check_rows(spark: SparkSession, root: str, plan: DataFrame) -> DataFrame:
-    """The plan with ``untidy``; units with rows longer than their header FAIL.
+def _scan_records(spark: SparkSession, paths: list[str], delimiter: str, width: int) -> DataFrame:
+    """(__unit, __cells, __record, __closed) of files whose quoted cells may hold line breaks.
 
-    Such rows would lose cells silently.  Shorter rows are read with nulls.
+    Read by blocks like any other (:mod:`csv_records`).  ``__record`` has the
+    text of records whose cell count is not ``width``; ``__closed`` is false in
+    a file that ends inside a quoted cell.
+    """
+    lines = csv_records.placed(_text(spark, paths)).withColumn("__delimiter", F.lit(delimiter)).withColumn(
+        "__unit", F.regexp_extract("__file", landing._UNIT, 1))
+    fields = [f"__c{i}" for i in range(width)]
+    schema = ", ".join(f"`{f}` string" for f in [*fields, "__record"])
+    parsed = F.from_csv(F.col("__record"), schema, {
+        "sep": delimiter, "quote": '"', "escape": '"', "maxColumns": str(max(20480, 2 * width)),
+        "columnNameOfCorruptRecord": "__record"})
+    rows = csv_records.records(lines).where((F.trim("__record") != "") | ~F.col("__closed"))
+    return rows.withColumn("__p", parsed).select(
+        "__unit", F.array(*[F.col(f"__p.{f}") for f in fields]).alias("__cells"),
+        F.col("__p.__record").alias("__record"), "__closed")
+
+
+def _scans(spark: SparkSession, files: DataFrame, layouts: DataFrame):
+    """One scan per entity and delimiter, and one more per width for untidy units."""
+    def kind(row) -> tuple:
+        return row["entity"], row["delimiter"], row["untidy"], row["width"] if row["untidy"] else 0
+    found = (files.select("path", F.col("file_name").alias("__unit"))
+             .join(layouts.select("__unit", "entity", "delimiter", "untidy", "width"), "__unit").collect())
+    for (entity, delimiter, untidy, exact), own in groupby(sorted(found, key=kind), key=kind):
+        own = list(own)
+        width = max(r["width"] for r in own)
+        rows = (_scan_records if untidy else _scan)(spark, _as_paths(r["path"] for r in own), delimiter, width)
+        mine = layouts.where((F.col("entity") == entity) & (F.col("delimiter") == delimiter)
+                             & (F.col("untidy") == untidy))
+        yield entity, delimiter, width, rows, mine.where(F.col("width") == exact) if untidy else mine
+
+
+def check_rows(spark: SparkSession, files: DataFrame, plan: DataFrame) -> DataFrame:
+    """The plan with ``untidy``; units that would lose cells FAIL.
+
+    Such are files that cannot be read to their end, rows longer than their
+    header, and files that end inside a quoted cell.  Shorter rows are read
+    with nulls.  Only files of ``files`` are opened.
     """
     layouts = _layouts(plan)
     few = rows_at_most(layouts)
-    untidy = _written(_untidy_units(spark, root, layouts, few), "untidy-units")
-    marked = layouts.join(untidy.withColumn("untidy", F.lit(True)), "__unit")
-    counts = []
-    for k, rows, mine in _scans(spark, root, marked):
-        last = F.element_at("__cells", k["width"])
-        more = F.size(landing.split_header("__record", k["delimiter"])) > k["width"]
-        too_long = F.col("__record").isNotNull() & (last.isNotNull() | more)
-        counts.append(rows.join(maybe_broadcast(mine.select("__unit"), few), "__unit")
-                      .where(too_long).groupBy("__unit").agg(F.count("__record").alias("__long")))
-    long = spark.createDataFrame([], "__unit string, __long bigint")
-    for c in counts:
-        long = long.unionByName(c)
-    out = (plan.join(untidy.withColumn("untidy", F.lit(True)), plan["file_name"] == F.col("__unit"), "left")
-           .drop("__unit").join(long, plan["file_name"] == F.col("__unit"), "left").drop("__unit"))
-    failed = F.col("__long") > 0
-    error = F.concat(F.col("__long").cast("string"), F.lit(" row(s) with more cells than the header"))
-    return (out.withColumn("untidy", F.coalesce("untidy", F.lit(False)))
-               .withColumn("status", F.when(failed, F.lit("FAILED")).otherwise(F.col("status")))
-               .withColumn("error", F.when(failed, error).otherwise(F.col("error"))).drop("__long"))
-
-
-def read_units(spark: SparkSession, root: str, plan: DataFrame) -> dict[str, DataFrame]:
+    if layouts.isEmpty():
+        return plan.withColumn("untidy", F.lit(False))
+    wanted = _own_files(files, layouts).groupBy(F.col("file_name").alias("__unit")).agg(
+        F.count_if(F.col("length") > 3).alias("__files"))
+    report = _written(wanted.join(_line_report(spark, files, layouts, few), "__unit", "left").select(
+        "__unit", F.coalesce("untidy", F.lit(False)).alias("untidy"), "__files",
+        F.coalesce("__whole", F.lit(0)).alias("__whole")), "line-report")
+    broken = F.col("__whole") < F.col("__files")
+    marked = layouts.join(report.where(~broken).select("__unit", "untidy"), "__unit")
+    counts = spark.createDataFrame([], "__unit string, __long bigint, __open boolean")
+    for _, delimiter, width, rows, _ in _scans(spark, files, marked.where("untidy")):
+        last = F.element_at("__cells", width)
+        more = F.size(landing.split_header("__record", delimiter)) > width
+        too_long = F.col("__record").isNotNull() & (last.isNotNull() | more) & F.col("__closed")
+        counts = counts.unionByName(rows.groupBy("__unit").agg(
+            F.count_if(too_long).alias("__long"), (~F.min("__closed")).alias("__open")))
+    out = (plan.join(report, plan["file_name"] == F.col("__unit"), "left").drop("__unit")
+           .join(counts, plan["file_name"] == F.col("__unit"), "left").drop("__unit"))
+    error = (F.when(broken, F.concat((F.col("__files") - F.col("__whole")).cast("string"),
+                                     F.lit(" file(s) cannot be read to their end")))
+              .when(F.col("__open"), F.lit("a quoted cell does not end"))
+              .when(F.col("__long") > 0, F.concat(F.col("__long").cast("string"),
+                                                  F.lit(" row(s) with more cells than the header"))))
+    return (out.withColumn("__found", error).withColumn("untidy", F.coalesce("untidy", F.lit(False)))
+               .withColumn("status", F.when(F.col("__found").isNotNull(), F.lit("FAILED")).otherwise(F.col("status")))
+               .withColumn("error", F.coalesce("__found", "error"))
+               .drop("__found", "__long", "__open", "__files", "__whole"))
+
+
+def read_units(spark: SparkSession, files: DataFrame, plan: DataFrame) -> dict[str, DataFrame]:
     """Read every passing unit of a checked plan as text columns, reconciled.
 
     Cells are read by position and named by joining each row's unit with its
@@ -159,10 +208,10 @@ def read_units(spark: SparkSession, root: str, plan: DataFrame) -> dict[str, Dat
              .where(F.col("name") != "").groupBy("entity", F.lower("name").alias("key"))
              .agg(F.sort_array(F.collect_set("name")).alias("spelled")).collect())
     frames: dict[str, DataFrame] = {}
-    for k, rows, mine in _scans(spark, root, layouts):
-        expected = EXPECTED_COLUMNS[k["entity"]]
+    for entity, _, _, rows, mine in _scans(spark, files, layouts):
+        expected = EXPECTED_COLUMNS[entity]
         outs = []
-        for r in sorted((r for r in found if r["entity"] == k["entity"]), key=lambda r: r["key"]):
+        for r in sorted((r for r in found if r["entity"] == entity), key=lambda r: r["key"]):
             name = next((n for n in r["spelled"] if n in expected), r["spelled"][0])
             outs.append((name, r["key"]))
         where = mine.select("__unit", "fills", *[F.array_position("lower", key).alias(f"__at{i}")
@@ -172,8 +221,8 @@ def read_units(spark: SparkSession, root: str, plan: DataFrame) -> dict[str, Dat
             F.when(F.col(f"__at{i}") > 0, F.get("__cells", (F.col(f"__at{i}") - 1).cast("int")))
              .when(F.array_contains("fills", name), F.lit(NO_DATA)).alias(name)
             for i, (name, _) in enumerate(outs)])
-        prev = frames.get(k["entity"])
-        frames[k["entity"]] = df if prev is None else prev.unionByName(df)
+        prev = frames.get(entity)
+        frames[entity] = df if prev is None else prev.unionByName(df)
     return frames
 
 
@@ -289,7 +338,7 @@ def run_landing(spark: SparkSession, landing_root: str, staging_root: str, load_
                 start: str = "000000", end: str = "999999", rules_dir: str | None = None,
                 drafts_dir: str | None = None, log_dir: str | None = None,
                 method: str = "difflib", files: DataFrame | None = None,
-                repeat: bool = False) -> LandingResult:
+                repeat: bool = False, index_dir: str | None = None, only_new: bool = False) -> LandingResult:
     """List, reconcile, check, read, stage and log one load (A1-A13 end to end).
 
     Entities are reconciled per unit from the file name (the unit's own
@@ -297,21 +346,34 @@ def run_landing(spark: SparkSession, landing_root: str, staging_root: str, load_
     Failed units are logged, not raised; drafts for new drift are written
     to ``drafts_dir`` for confirmation.  ``files`` (a listing) restricts the
     load to its units; ``repeat`` runs some units of an earlier load again.
+    With an index (``index_dir``) the files are remembered, and ``only_new``
+    leaves out units whose files it knows unchanged.
+
+    No file outside the load is opened, and one that cannot be read fails its
+    own unit only.
     """
     listed = files if files is not None else landing.list_landing(spark, landing_root)
     chosen = landing.select_files(listed, entities, start, end)
+    if index_dir and only_new:
+        chosen = landing_index.new_units(chosen, index_dir)
+    chosen = _written(chosen, "files")
     units = landing.unit_headers(chosen).persist()
     rules = landing.read_rules(spark, rules_dir) if rules_dir else None
-    plan, drafts = landing.reconcile(units, rules, method=method)
-    plan = _written(plan, "plan")
-    plan = _written(check_rows(spark, landing_root, plan), "checked-plan")
+    plan, drafts = landing.reconcile(units.where("read_error is null").drop("read_error"), rules, method=method)
+    unread = units.where("read_error is not null").select(
+        "file_name", "entity", "n_files", F.lit("FAILED").alias("status"), F.col("read_error").alias("error"))
+    plan = _written(plan.unionByName(unread, allowMissingColumns=True), "plan")
+    plan = _written(check_rows(spark, chosen, plan), "checked-plan")
     if drafts_dir:
         landing.write_rules(drafts, drafts_dir)
-    for entity, rows in read_units(spark, landing_root, plan).items():
+    for entity, rows in read_units(spark, chosen, plan).items():
         write_staging(stage(rows, load_id), staging_root, entity)
     log = load_log(plan, staging_root, spark, load_id)
     if log_dir:
         write_log(log, log_dir, keep_others=repeat)
+    if index_dir:
+        landing_index.remember(chosen, index_dir, load_id)
+        landing_index.settle(log, index_dir, load_id)
     return LandingResult(plan=plan, drafts=drafts, log=log, units=units)
 
 
@@ -329,20 +391,29 @@ def failed_units(spark: SparkSession, log_dir: str) -> DataFrame:
                .join(done, "file", "left_anti").select(F.col("load_id").cast("string").alias("load_id"), "file"))
 
 
-def retry_failed(spark: SparkSession, landing_root: str, staging_root: str, log_dir: str, **options) -> int:
+def retry_failed(spark: SparkSession, landing_root: str, staging_root: str, log_dir: str,
+                 index_dir: str | None = None, **options) -> int:
     """Run failed units again, each under the load that failed it; how many were tried.
 
     Rules may have been confirmed since.  ``options`` are those of
-    :func:`run_landing`; the other units' log rows of these loads stay.
+    :func:`run_landing`; the other units' log rows of these loads stay.  With
+    an index, the units and their files come from it; else from the log and a
+    listing of the landing folder.
     """
     path = scratch_path(spark, "failed-units")
-    failed_units(spark, log_dir).write.parquet(path)
+    waiting = landing_index.pending(spark, index_dir) if index_dir else failed_units(spark, log_dir)
+    waiting.write.parquet(path)
     pending = spark.read.schema("load_id string, file string").parquet(path)
     tried = 0
     for load in pending.groupBy("load_id").agg(F.count("file").alias("n")).orderBy("load_id").collect():
         mine = pending.where(F.col("load_id") == load["load_id"]).select(F.col("file").alias("file_name"))
-        files = landing.list_landing(spark, landing_root).join(mine, "file_name", "left_semi")
+        if index_dir:
+            months = [r[0] for r in mine.select(F.substring("file_name", 1, 6)).distinct().collect()]
+            listed = landing_index.known_files(spark, index_dir, months)
+        else:
+            listed = landing.list_landing(spark, landing_root)
+        files = listed.join(mine, "file_name", "left_semi")
         run_landing(spark, landing_root, staging_root, load["load_id"], log_dir=log_dir, files=files,
-                    repeat=True, **options).release()
+                    repeat=True, index_dir=index_dir, **options).release()
         tried += load["n"]
     return tried

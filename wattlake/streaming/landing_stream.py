@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources import landing, staging
+from ..sources import landing, landing_index, staging
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -29,23 +29,28 @@ def start_landing_stream(spark: SparkSession, landing_root: str, staging_root: s
                          start: str = "000000", end: str = "999999",
                          rules_dir: str | None = None, drafts_dir: str | None = None,
                          log_dir: str | None = None, available_now: bool = True,
-                         processing_time: str | None = None) -> StreamingQuery:
+                         processing_time: str | None = None, index_dir: str | None = None) -> StreamingQuery:
     """Start the stream; ``load_id_for(batch_id)`` names each micro-batch's load.
 
-    A batch stages the units of its files whole, with files that came earlier.
-    Given a log, units that failed are tried again under their own load when
-    the stream starts and after every batch, until they are staged.
+    A batch stages the units of its files whole, with files that came earlier:
+    those the landing index knows (``index_dir``, by default beside the
+    checkpoint).  A batch reads its own files and the index of their months,
+    neither the landing folder's listing nor its other files.  Given a log,
+    units that failed are tried again under their own load when the stream
+    starts and after every batch, until they are staged.
     """
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
              .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
              .load(landing_root).select("path", "length", "modificationTime"))
-    options = dict(entities=entities, start=start, end=end, rules_dir=rules_dir, drafts_dir=drafts_dir)
+    index_dir = index_dir or f"{checkpoint.rstrip('/')}-files"
+    options = dict(entities=entities, start=start, end=end, rules_dir=rules_dir, drafts_dir=drafts_dir,
+                   index_dir=index_dir)
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        named = batch.select(F.regexp_extract("path", landing._UNIT, 1).alias("file_name"))
-        listed = landing.list_landing(session, landing_root).join(
-            named.where("file_name <> ''").distinct(), "file_name", "left_semi")
+        named = batch.withColumn("file_name", F.regexp_extract("path", landing._UNIT, 1)).where(
+            (F.col("file_name") != "") & ~F.col("path").rlike(r"/(_|\.)[^/]*$"))
+        listed = landing_index.with_earlier_files(named, index_dir)
         result = staging.run_landing(session, landing_root, staging_root, load_id_for(batch_id),
                                      log_dir=log_dir, files=listed, **options)
         result.release()  # a long-running stream must not accumulate cached batches
