@@ -28,6 +28,7 @@ from ..functions.dates import year_end, yearly_step
 from ..schema import BASE_COMPONENT, WORKING_COMPONENT
 from .dedup import latest_per_key
 from .joins import maybe_broadcast, rows_at_most
+from .sweep import swept
 
 
 def _date_value(d: _dt.date | Column | None) -> Column | None:
@@ -149,45 +150,34 @@ def price_periods(pieces: DataFrame, run_ts: _dt.datetime | Column | None = None
         ts.cast("timestamp_ntz").alias("inserted_at"))
 
 
-def price_periods_aligned(pieces: DataFrame,
-                          run_ts: _dt.datetime | Column | None = None) -> DataFrame:
+def price_periods_aligned(pieces: DataFrame, run_ts: _dt.datetime | Column | None = None,
+                          yearly_pieces: bool = False) -> DataFrame:
     """``align=True`` (Q12): base and working pieces intersected.
 
     Per product the bounds of all pieces cut the timeline into elementary
     segments [b_i, b_{i+1} - 1]; each segment covered by any piece gets the
-    base and the working price valid on its first day (largest price_id if
-    several).  Works on the catalogue-sized price side only.
+    base and the working price valid on it (largest price_id if several).  One
+    sweep over each product's distinct pieces, each year by itself with
+    ``yearly_pieces`` (no piece crosses a year's end).  Works on the
+    catalogue-sized price side only.
     """
     ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
-    cuts = (pieces.select("snapshot_date", "product_id",
-                          F.explode(F.array(F.col("period_start"),
-                                            F.date_add("period_end", 1))).alias("cut"))
-                  .distinct())
-    w = Window.partitionBy("snapshot_date", "product_id").orderBy("cut")
-    segs = (cuts.withColumn("__next", F.lead("cut").over(w))
-                .where(F.col("__next").isNotNull())
-                .select("snapshot_date", "product_id", F.col("cut").alias("valid_from"),
-                        F.date_sub("__next", 1).alias("valid_until")))
-    p = pieces.select(F.col("snapshot_date").alias("__s"), F.col("product_id").alias("__p"),
-                      "pricecomponentid", "price_id", "price", "period_start", "period_end")
-    cover = segs.join(p, (F.col("__s") == F.col("snapshot_date")) & (F.col("__p") == F.col("product_id"))
-                      & F.col("valid_from").between(F.col("period_start"), F.col("period_end")))
     comp = F.col("pricecomponentid")
-
-    def best(component: int) -> Column:
-        hit = comp == component
-        row = F.struct(F.col("price_id").alias("id"), comp.alias("cid"), F.col("price").alias("p"))
-        return F.max_by(F.when(hit, row), F.when(hit, F.col("price_id")))
-
-    g = (cover.groupBy("snapshot_date", "product_id", "valid_from", "valid_until")
-              .agg(best(BASE_COMPONENT).alias("__b"), best(WORKING_COMPONENT).alias("__w")))
+    best = (pieces.where(comp.isin(BASE_COMPONENT, WORKING_COMPONENT))
+            .groupBy("snapshot_date", "product_id", "pricecomponentid", "period_start", "period_end")
+            .agg(F.max("price_id").alias("price_id"), F.max_by("price", "price_id").alias("price")))
+    keys = {"snapshot_date": F.col("snapshot_date"), "product_id": F.col("product_id")}
+    if yearly_pieces:
+        keys["year"] = F.year("period_start")
+    g = swept(best, keys, "period_start", "period_end", [F.col("price_id")],
+              ["price_id", "pricecomponentid", "price"], channel=(comp == WORKING_COMPONENT).cast("int"), channels=2)
     return g.select(
         "snapshot_date", F.col("product_id").cast("int").alias("product_id"),
-        F.col("__b.cid").alias("base_pricecomponentid"),
-        F.col("__w.cid").alias("working_pricecomponentid"),
-        F.col("__b.id").alias("base_id"), F.col("__w.id").alias("working_id"),
-        "valid_from", "valid_until",
-        F.col("__b.p").alias("baseprice"), F.col("__w.p").alias("workingprice"),
+        F.col("pricecomponentid_0").alias("base_pricecomponentid"),
+        F.col("pricecomponentid_1").alias("working_pricecomponentid"),
+        F.col("price_id_0").alias("base_id"), F.col("price_id_1").alias("working_id"),
+        F.col("seg_from").alias("valid_from"), F.col("seg_until").alias("valid_until"),
+        F.col("price_0").alias("baseprice"), F.col("price_1").alias("workingprice"),
         ts.cast("timestamp_ntz").alias("inserted_at"))
 
 
@@ -215,32 +205,24 @@ def effective_prices(dedup: DataFrame, yearly_pieces: bool = True) -> DataFrame:
     Each product's timeline is cut at every period bound; a segment lies
     wholly inside or outside each period, and takes the prices of the
     covering period with the latest valid_from, then valid_until - the
-    row the mart keeps when several periods match one start.  Done on the
-    catalogue-sized price side, so the contract side's range join matches
-    at most one row and needs no dedup.  ``yearly_pieces``: no period crosses a
-    year's end, so the year is part of the join key.  Keeps ``__pf``/``__pu``, the chosen
-    period's bounds.
+    row the mart keeps when several periods match one start.  One sweep on the
+    catalogue-sized price side (:mod:`sweep`), so the contract side's range
+    join matches at most one row and needs no dedup.  ``yearly_pieces``: no
+    period crosses a year's end, so each year is swept by itself.  Keeps
+    ``__pf``/``__pu``, the chosen period's bounds, and ``__open``, the number of
+    periods that cover the segment.  ``dedup`` has one row per product and bounds.
     """
-    cuts = (dedup.select("product_id", F.explode(F.array(
-                F.col("valid_from"), F.date_add("valid_until", 1))).alias("cut"))
-                 .distinct())
-    w = Window.partitionBy("product_id").orderBy("cut")
-    segs = (cuts.withColumn("__next", F.lead("cut").over(w)).where(F.col("__next").isNotNull())
-                .select(F.col("product_id").alias("__sp"), F.col("cut").alias("seg_from"),
-                        F.date_sub("__next", 1).alias("seg_until")))
-    covers = ((F.col("__sp") == F.col("product_id"))
-              & F.col("seg_from").between(F.col("valid_from"), F.col("valid_until")))
+    keys = {"product_id": F.col("product_id")}
     if yearly_pieces:
-        covers = covers & (F.year("seg_from") == F.year("valid_from"))
-    cover = segs.join(dedup, covers)
-    best = (cover.groupBy("product_id", "seg_from", "seg_until")
-                 .agg(F.max_by(F.struct("baseprice", "workingprice", "valid_from", "valid_until"),
-                               F.struct("valid_from", "valid_until")).alias("b")))
+        keys["year"] = F.year("valid_from")
+    best = swept(dedup, keys, "valid_from", "valid_until", [F.unix_date("valid_from"), F.unix_date("valid_until")],
+                 ["baseprice", "workingprice", "valid_from", "valid_until"])
     return best.select("product_id", F.col("seg_from").alias("valid_from"),
                        F.col("seg_until").alias("valid_until"),
-                       F.col("b.baseprice").alias("baseprice"),
-                       F.col("b.workingprice").alias("workingprice"),
-                       F.col("b.valid_from").alias("__pf"), F.col("b.valid_until").alias("__pu"))
+                       F.col("baseprice_0").alias("baseprice"),
+                       F.col("workingprice_0").alias("workingprice"),
+                       F.col("valid_from_0").alias("__pf"), F.col("valid_until_0").alias("__pu"),
+                       F.col("n_open").alias("__open"))
 
 
 def product_price_dates(periods: DataFrame) -> DataFrame:
@@ -313,7 +295,8 @@ def contract_periods(breakpoints: DataFrame, extra: Sequence[str] = (),
 
 
 def range_join_prices(periods: DataFrame, prices: DataFrame, yearly_pieces: bool = True,
-                      start_col: str = "period_start", small_prices: bool | None = None) -> DataFrame:
+                      start_col: str = "period_start", small_prices: bool | None = None,
+                      strict: bool = False) -> DataFrame:
     """Left join each period to the price valid at its start.
 
     ``product = product AND start BETWEEN valid_from AND valid_until``.  With
@@ -321,9 +304,19 @@ def range_join_prices(periods: DataFrame, prices: DataFrame, yearly_pieces: bool
     valid_from, which holds for pieces from :func:`split_yearly` and turns the
     range into an equi key plus a small residual.  With non-overlapping
     prices (:func:`effective_prices`) each period matches at most one row.
+    ``strict`` fails the job where a start lies in several of the periods that
+    such a segment (its ``__open``) stands for: they would be rows of one key.
     """
+    base = F.col("baseprice")
+    if strict:
+        clash = F.concat(F.lit("several price periods of product "), F.col("product_id").cast("string"),
+                         F.lit(" cover "), F.col("valid_from").cast("string"),
+                         F.lit(": the key (contract_id, productid, period_start) is not unique"))
+        broken = F.when(F.col("__open") > 1, clash)
+    else:
+        broken = F.lit(None).cast("string")
     p = prices.select(F.col("product_id").alias("__pid"), F.col("valid_from").alias("__vf"),
-                      F.col("valid_until").alias("__vu"), "baseprice", "workingprice")
+                      F.col("valid_until").alias("__vu"), base, "workingprice", broken.alias("__clash"))
     cond = ((F.col("productid") == F.col("__pid"))
             & F.col(start_col).between(F.col("__vf"), F.col("__vu")))
     if yearly_pieces:
@@ -332,4 +325,7 @@ def range_join_prices(periods: DataFrame, prices: DataFrame, yearly_pieces: bool
         cond = cond & (F.col("__sy") == F.col("__py"))
     small = rows_at_most(prices) if small_prices is None else small_prices
     joined = periods.join(maybe_broadcast(p, small), cond, "left")
-    return joined.drop("__pid", "__py", "__sy", "__vf", "__vu")
+    if strict:
+        joined = joined.withColumn("baseprice", F.when(F.col("__clash").isNotNull(), F.raise_error(
+            F.col("__clash")).cast(joined.schema["baseprice"].dataType)).otherwise(F.col("baseprice")))
+    return joined.drop("__clash", "__pid", "__py", "__sy", "__vf", "__vu")

@@ -79,15 +79,19 @@ def with_latest_version(ci: DataFrame, alias: str = "__head") -> DataFrame:
 
 
 def contract_price_periods(ci: DataFrame, periods_table: DataFrame, as_of: _dt.date | Column,
-                           yearly_pieces: bool = True) -> DataFrame:
+                           yearly_pieces: bool = True, overlap: str = "latest") -> DataFrame:
     """Periods inside the newest version of each contract, priced at their
     start (I9, C3, C6, B14).
 
     One linear chain on the contract distribution: latest version attached
     by window, breakpoints exploded (own dates + the product's price dates),
     distinct, lead, filter, range join to the (small) price side, whose
-    overlaps were resolved beforehand so each period gets at most one price.
+    overlaps were resolved beforehand so each period gets at most one price:
+    the latest (``overlap="latest"``), or the job fails where a period has
+    several (``"error"``: the table's unique key as it stands, Q19).
     """
+    if overlap not in ("latest", "error"):
+        raise ValueError(f"overlap must be 'latest' or 'error', not {overlap!r}")
     # One bounded count of the price periods bounds both price-side lookups
     # (one row per product; at most two segments per period), so both are
     # broadcast behind this single check or both stay shuffle joins.
@@ -108,7 +112,8 @@ def contract_price_periods(ci: DataFrame, periods_table: DataFrame, as_of: _dt.d
               .select("contract_id", "productid", "period_start", "period_end",
                       *[F.col(f"__h_{c}").alias(c) for c in _HEAD_FIELDS]))
     prices = effective_prices(price_dedup(periods_table), yearly_pieces).drop("__pf", "__pu")
-    return range_join_prices(inside, prices, yearly_pieces=yearly_pieces, small_prices=small)
+    return range_join_prices(inside, prices, yearly_pieces=yearly_pieces, small_prices=small,
+                             strict=overlap == "error")
 
 
 def prorate(cpp: DataFrame, as_of: _dt.date | Column,
@@ -167,8 +172,8 @@ def prorate(cpp: DataFrame, as_of: _dt.date | Column,
 
 def contract_revenue(history: DataFrame, periods_table: DataFrame, as_of: _dt.date | Column,
                      run_ts: _dt.datetime | Column | None = None,
-                     yearly_pieces: bool = True) -> DataFrame:
+                     yearly_pieces: bool = True, overlap: str = "latest") -> DataFrame:
     """History + price periods -> ``contract_price_enriched``."""
     ci = contract_input(history)
-    cpp = contract_price_periods(ci, periods_table, as_of, yearly_pieces=yearly_pieces)
+    cpp = contract_price_periods(ci, periods_table, as_of, yearly_pieces=yearly_pieces, overlap=overlap)
     return prorate(cpp, as_of, run_ts)

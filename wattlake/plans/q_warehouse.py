@@ -514,7 +514,7 @@ def q_price_periods_aligned(spark: SparkSession, d: str) -> DataFrame:
     """``align=True``: unaligned base and working pieces intersected (Q12)."""
     pieces = published(intervals.price_period_split(raw_price_history(spark, d),
                                                     max_date=NEWEST_EXTRACT))
-    return comparable(intervals.price_periods_aligned(pieces))
+    return comparable(intervals.price_periods_aligned(pieces, yearly_pieces=True))
 
 
 @register("average_revenue_by_created", f"""
