@@ -13,6 +13,7 @@ from ..functions.hashing import row_hash
 from ..functions.lineage import extracted_at, load_id, snapshot_date
 from ..operators import dedup, filters, intervals, scd2
 from ..schema import OPEN_END, typed_projection
+from ..sources import staging
 from ..sources.adapters import x_contracts, x_files, x_prices, x_products
 from .common import (NEWEST_EXTRACT, SPLIT_TABLE, comparable, products_history, published,
                      raw_price_history, register)
@@ -48,6 +49,40 @@ def q_typed_cast(spark: SparkSession, d: str) -> DataFrame:
                         F.col("seq").cast("bigint").alias("seq"))
 
 
+# A feed of text cells, some of which do not fit: words, fractions of no number, days that are none.
+_BAD_CELLS = {
+    "usage": ("seq % 11 = 0", "concat(usage, ' kWh')"), "startdate": ("seq % 13 = 0", "concat(startdate, ' soon')"),
+    "productid": ("seq % 17 = 0", "concat('P', productid)"), "usagenet": ("seq % 19 = 0", "concat(usagenet, '.0')")}
+
+
+@register("typed_cast_quarantine", """
+WITH bad AS (
+  SELECT seq, usagenet, CASE WHEN seq % 11 = 0 THEN usage::VARCHAR || ' kWh' ELSE usage::VARCHAR END AS usage,
+         CASE WHEN seq % 13 = 0 THEN startdate::VARCHAR || ' soon' ELSE startdate::VARCHAR END AS startdate,
+         CASE WHEN seq % 17 = 0 THEN 'P' || productid::VARCHAR ELSE productid::VARCHAR END AS productid
+  FROM x_contracts),
+cells AS (
+  SELECT seq, 'usage' AS c, usage AS text, 'not a int' AS reason FROM bad WHERE usage LIKE '% kWh'
+  UNION ALL SELECT seq, 'startdate', startdate, 'not a date' FROM bad WHERE startdate LIKE '% soon'
+  UNION ALL SELECT seq, 'productid', productid, 'not a int' FROM bad WHERE productid LIKE 'P%')
+SELECT seq, c AS "column", text, reason FROM cells
+UNION ALL
+SELECT seq, 'typed', coalesce(usage, '-') || ' ' || coalesce(usagenet::VARCHAR, '-') || ' ' || coalesce(startdate, '-'),
+       'fits'
+FROM bad WHERE seq NOT IN (SELECT seq FROM cells)""")
+def q_typed_cast_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that fit, typed, and every cell that does not, with its text (B2 with a quarantine)."""
+    feed = x_contracts(spark, d)
+    text = feed.select(*[F.col(c).cast("string").alias(c) for c in feed.columns])
+    for name, (rows, cell) in _BAD_CELLS.items():
+        text = text.withColumn(name, F.expr(f"CASE WHEN {rows} THEN {cell} ELSE {name} END"))
+    typed, rejects = staging.split_rejects(text, "contracts", "quarantine", keep=("seq",))
+    fits = typed.select(F.col("seq").cast("bigint").alias("seq"), F.lit("typed").alias("column"), F.concat_ws(
+        " ", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("usage", "usagenet", "startdate")])
+        .alias("text"), F.lit("fits").alias("reason"))
+    return fits.unionByName(rejects.withColumn("seq", F.col("seq").cast("bigint")))
+
+
 @register("sentinel_map", """
 SELECT seq, releasedversion AS raw_version,
        cast(CASE WHEN releasedversion = 'no_data' THEN -1 ELSE cast(releasedversion AS int) END AS bigint)

@@ -102,29 +102,35 @@ def run(spark: SparkSession, staging: dict[str, DataFrame], warehouse: str, vers
         as_of: _dt.date, run_ts: _dt.datetime, previous: dict[str, DataFrame] | None = None,
         newest_extract: _dt.date | None = None, check: bool | str = True,
         contract_tiebreak: Sequence[str] | None = None,
-        keep_snapshots: bool = False) -> dict[str, DataFrame]:
+        keep_snapshots: bool = False, on_change: str = "close_only", pick: str = "longest", drift: bool = True,
+        calendar_year: bool = False, align: bool = False, overlap: str = "latest") -> dict[str, DataFrame]:
     """Build and publish every table; each stage reads its inputs back from storage.
 
     ``keep_snapshots=True`` (Q32) keeps earlier snapshots of price periods and
     the mart: both are partitioned by snapshot date and only the current
     snapshot's partition is replaced (the mart by its as-of date).
+    ``on_change`` (Q2), ``pick`` (Q8), ``drift`` and ``calendar_year`` (Q9),
+    ``align`` (Q12) and ``overlap`` (Q19) are those of the operators; by default
+    the rules are kept as coded.
     """
     previous = previous or {}
     out: dict[str, DataFrame] = {}
     if "products" in staging:
         out["products"] = publish(scd2.scd2_products(staging["products"], previous.get("products"),
-                                                     run_ts), warehouse, "products", version, check)
+                                                     run_ts, on_change), warehouse, "products", version, check)
     out["prices"] = publish(scd2.scd2_prices(staging["prices"], previous.get("prices"), run_ts),
                             warehouse, "prices", version, check)
     out["contracts"] = publish(scd2.scd2_contracts(staging["contracts"], previous.get("contracts"),
                                                    run_ts, tiebreak=contract_tiebreak),
                                warehouse, "contracts", version, check)
-    pieces = intervals.price_period_split(out["prices"], max_date=newest_extract)
+    pieces = intervals.price_period_split(out["prices"], max_date=newest_extract, pick=pick, drift=drift,
+                                          calendar_year=calendar_year)
+    periods = (intervals.price_periods_aligned(pieces, run_ts, yearly_pieces=True) if align
+               else intervals.price_periods(pieces, run_ts))
     by_snapshot = ["snapshot_date"] if keep_snapshots else None
-    out["price_periods"] = publish(intervals.price_periods(pieces, run_ts), warehouse,
-                                   "price_periods", "all" if keep_snapshots else version, check,
+    out["price_periods"] = publish(periods, warehouse, "price_periods", "all" if keep_snapshots else version, check,
                                    partition_by=by_snapshot)
-    mart = revenue.contract_revenue(out["contracts"], out["price_periods"], as_of, run_ts)
+    mart = revenue.contract_revenue(out["contracts"], out["price_periods"], as_of, run_ts, overlap=overlap)
     if keep_snapshots:
         mart = mart.withColumn("as_of_date", F.lit(as_of))
     out["contract_price_enriched"] = publish(

@@ -87,8 +87,32 @@ MISSING_WORDS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "
                  "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
+def _typed(src: Column, current: T.DataType, dtype: T.DataType, missing_as_null: bool, lenient: bool
+           ) -> tuple[Column, Column | None]:
+    """A column cast to its contract type, and the text it was cast from (None if it was no text).
+
+    ``lenient`` gives null where the text does not fit instead of failing.
+    """
+    def to(c: Column, t: T.DataType | str) -> Column:
+        return c.try_cast(t) if lenient else c.cast(t)
+
+    if not isinstance(current, T.StringType):
+        return to(src, dtype), None
+    text = F.trim(src)  # blank landing cells are missing values
+    text = F.when(~text.isin(*MISSING_WORDS), text)
+    if missing_as_null and not isinstance(dtype, T.StringType):
+        text = F.when(text == NO_DATA, F.lit(None).cast("string")).otherwise(text)
+    if isinstance(dtype, T.StringType):
+        return text, text
+    if isinstance(dtype, T.DateType):
+        return to(to(text, "timestamp_ntz"), "date"), text
+    if isinstance(dtype, T.IntegralType):
+        return to(F.round(to(text, "decimal(38,10)")), dtype), text
+    return to(text, dtype), text
+
+
 def typed_projection(df: DataFrame, entity: str, keep: tuple[str, ...] = ("source_table",),
-                     missing_as_null: bool = False) -> DataFrame:
+                     missing_as_null: bool = False, rejects: str | None = None) -> DataFrame:
     """Cast every contract column; absent optional columns become typed nulls.
 
     Text dates are cast as a whole through a timestamp, so ``2020-08-27`` and
@@ -97,30 +121,27 @@ def typed_projection(df: DataFrame, entity: str, keep: tuple[str, ...] = ("sourc
     for a missing value (MISSING_WORDS) are missing, as blanks are.
     A ``no_data`` fill in a non-text column fails the cast, as coded;
     ``missing_as_null=True`` (Q28) reads it as null instead.
+
+    ``rejects`` names a further column, an array of (column, text, reason) of
+    the cells that do not fit; such cells are null then and nothing fails.
     """
     present = set(df.columns)
     cols: list[Column] = []
+    bad: list[Column] = []
     for name, dtype in STAGING_TYPES[entity]:
         if name not in present:
             cols.append(F.lit(None).cast(dtype).alias(name))
             continue
-        src = F.col(name)
-        current = df.schema[name].dataType
-        text = F.trim(src)  # blank landing cells are missing values
-        text = F.when(~text.isin(*MISSING_WORDS), text)
-        if missing_as_null and not isinstance(dtype, T.StringType):
-            text = F.when(text == NO_DATA, F.lit(None).cast("string")).otherwise(text)
-        if isinstance(dtype, T.DateType) and isinstance(current, T.StringType):
-            cols.append(text.cast("timestamp_ntz").cast("date").alias(name))
-        elif isinstance(current, T.StringType) and isinstance(dtype, T.IntegralType):
-            cols.append(F.round(text.cast("decimal(38,10)")).cast(dtype).alias(name))
-        elif isinstance(current, T.StringType) and isinstance(dtype, T.StringType):
-            cols.append(text.alias(name))
-        elif isinstance(current, T.StringType) and not isinstance(dtype, T.StringType):
-            cols.append(text.cast(dtype).alias(name))
-        else:
-            cols.append(src.cast(dtype).alias(name))
+        value, text = _typed(F.col(name), df.schema[name].dataType, dtype, missing_as_null, rejects is not None)
+        cols.append(value.alias(name))
+        if text is not None and not isinstance(dtype, T.StringType):
+            bad.append(F.when(text.isNotNull() & value.isNull(), F.struct(
+                F.lit(name).alias("column"), F.col(name).alias("text"),
+                F.lit(f"not a {dtype.simpleString()}").alias("reason"))))
     for extra in keep:
         if extra in present:
             cols.append(F.col(extra))
+    if rejects is not None:
+        found = F.array_compact(F.array(*bad)) if bad else F.array()
+        cols.append(found.cast("array<struct<column:string,text:string,reason:string>>").alias(rejects))
     return df.select(*cols)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.joins import maybe_broadcast, rows_at_most
-from ..schema import EXPECTED_COLUMNS, NO_DATA, typed_projection
+from ..schema import EXPECTED_COLUMNS, NO_DATA, STAGING_TYPES, typed_projection
 from ..session import scratch_path
 from . import csv_records, landing, landing_index
 from .landing_index import path_is_missing
@@ -239,9 +239,8 @@ def write_staging(staged: DataFrame, root: str, entity: str) -> None:
            .partitionBy("load_id", "source_table").parquet(f"{root.rstrip('/')}/{entity}"))
 
 
-def staging_view(spark: SparkSession, root: str, entity: str, load_id: str,
-                 missing_as_null: bool = False) -> DataFrame:
-    """Typed rows of one load (A13): a pruned read of the load's partitions.
+def _staged(spark: SparkSession, root: str, entity: str, load_id: str) -> DataFrame:
+    """Text rows of one load: a pruned read of the load's partitions.
 
     The schema is given (contract columns as text), so extra columns of
     individual files do not matter and no schema merge is needed.
@@ -256,8 +255,57 @@ def staging_view(spark: SparkSession, root: str, entity: str, load_id: str,
         if not path_is_missing(e):
             raise
         raw = spark.createDataFrame([], schema)  # nothing of this entity staged yet (Q31)
-    raw = raw.where(F.col("load_id") == load_id)
-    return typed_projection(raw, entity, missing_as_null=missing_as_null)
+    return raw.where(F.col("load_id") == load_id)
+
+
+def staging_view(spark: SparkSession, root: str, entity: str, load_id: str,
+                 missing_as_null: bool = False) -> DataFrame:
+    """Typed rows of one load (A13); a cell that does not fit its type fails the read."""
+    return typed_projection(_staged(spark, root, entity, load_id), entity, missing_as_null=missing_as_null)
+
+
+def split_rejects(raw: DataFrame, entity: str, name: str, missing_as_null: bool = False,
+                  keep: tuple[str, ...] = ("source_table",)) -> tuple[DataFrame, DataFrame]:
+    """(typed rows, rejects) of text rows: one pass, written once, two outputs.
+
+    A row with a cell that does not fit its type is in neither the typed rows
+    nor the pass's failure: ``rejects`` has a row for each such cell (kept
+    columns, column, text, reason).
+    """
+    spark = raw.sparkSession
+    typed = typed_projection(raw, entity, keep=keep, missing_as_null=missing_as_null, rejects="__rejects")
+    path = scratch_path(spark, name)
+    marked = typed.withColumn("__good", F.size("__rejects") == 0)
+    marked.write.partitionBy("__good").parquet(path)
+    back = spark.read.schema(marked.schema).parquet(path)
+    kept = [c for c in typed.columns if c not in {n for n, _ in STAGING_TYPES[entity]} and c != "__rejects"]
+    rejects = (back.where(~F.col("__good")).select(*kept, F.explode("__rejects").alias("r"))
+               .select(*kept, "r.column", "r.text", "r.reason"))
+    return back.where("__good").drop("__rejects", "__good"), rejects
+
+
+def quarantined_view(spark: SparkSession, root: str, entity: str, load_id: str, log_dir: str | None = None,
+                     missing_as_null: bool = False) -> DataFrame:
+    """Typed rows of one load without those that do not fit; they are kept aside.
+
+    Rejects go to ``<root>/_rejects/<entity>``, by load (a rerun replaces its
+    own), and the load log gets a row per staged file with rejects: status
+    REJECTED, the rows kept aside, and the columns they fail in.
+    """
+    raw = _staged(spark, root, entity, load_id).withColumn("__row", F.monotonically_increasing_id())
+    typed, rejects = split_rejects(raw, entity, f"typed-{entity}", missing_as_null, ("source_table", "__row"))
+    path = f"{root.rstrip('/')}/_rejects/{entity}"
+    (rejects.withColumn("load_id", F.lit(load_id)).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(path))
+    if log_dir:
+        unit = F.concat(F.regexp_replace("source_table", f"_staging_{re.escape(load_id)}$", ""), F.lit(".csv"))
+        by_column = (rejects.groupBy("source_table", "column").agg(F.count("*").alias("n")).groupBy("source_table")
+                     .agg(F.array_join(F.array_sort(F.collect_list(F.concat("column", F.lit(": "), "n"))), ", ").alias("c")))
+        counted = rejects.groupBy("source_table").agg(F.count_distinct("__row").alias("n")).join(by_column, "source_table")
+        append_log(counted.select(F.lit(load_id).alias("load_id"), F.lit(entity).alias("entity"), unit.alias("file"),
+                                  F.lit("REJECTED").alias("status"), F.col("n").cast("bigint").alias("rows_loaded"),
+                                  F.concat(F.lit("cells that do not fit: "), "c").alias("error")), log_dir)
+    return typed.drop("__row")
 
 
 def load_log(plan: DataFrame, staging_root: str, spark: SparkSession, load_id: str) -> DataFrame:
