@@ -15,6 +15,7 @@ from ..sources.adapters import x_contracts, x_files, x_prices_clean, x_products
 from ..streaming.landing_stream import start_landing_stream
 from . import warehouse_job
 from .common import AS_OF, NEWEST_EXTRACT, comparable, mart, register
+from .drift_catalog import confirmed_rules, drifted_units
 from .landing_fixture import LOAD_ID, landed
 from .oracle import CTE
 
@@ -82,30 +83,23 @@ def q_landing_listing(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("detect_delimiter", """
-SELECT file_name, entity, delimiter, n_missing FROM l_expect""")
+SELECT file_name, entity, delimiter, len(missing)::INTEGER AS n_missing FROM d_detected""")
 def q_detect_delimiter(spark: SparkSession, d: str) -> DataFrame:
     """Fewest-missing delimiter per unit, ``;`` first on ties (A3)."""
-    units = _plan(spark, d).select("file_name", "entity", "header")
-    det = landing.detect_delimiter(units)
+    det = landing.detect_delimiter(drifted_units(spark, d))
     return det.select("file_name", "entity", "delimiter", F.size("missing").alias("n_missing"))
 
 
 @register("detect_delimiter_width", """
-SELECT file_name, delimiter FROM l_expect""")
+SELECT file_name, CASE WHEN len(by_semi) > len(by_comma) THEN ';' ELSE ',' END AS delimiter FROM d_cells""")
 def q_detect_delimiter_width(spark: SparkSession, d: str) -> DataFrame:
-    units = _plan(spark, d).select("file_name", "entity", "header")
-    return landing.detect_delimiter_width(units).select("file_name", "delimiter")
+    return landing.detect_delimiter_width(drifted_units(spark, d)).select("file_name", "delimiter")
 
 
 @register("missing_columns", """
-SELECT u.file_name, u.entity, v.missing_column FROM l_units u
-JOIN (VALUES ('contracts', '20010401', 'filingdatecancellation'), ('contracts', '20010801', 'city'),
-             ('products', NULL, 'productcode'), ('prices', NULL, 'pricecomponent'),
-             ('prices', NULL, 'unit')) v(e, mm, missing_column)
-  ON u.entity = v.e AND (v.mm IS NULL OR v.mm = u.m)""")
+SELECT file_name, entity, unnest(missing) AS missing_column FROM d_detected""")
 def q_missing_columns(spark: SparkSession, d: str) -> DataFrame:
-    units = _plan(spark, d).select("file_name", "entity", "header")
-    return landing.missing_columns(landing.detect_delimiter(units))
+    return landing.missing_columns(landing.detect_delimiter(drifted_units(spark, d)))
 
 
 @register("suggest_columns", """
@@ -127,44 +121,17 @@ def q_suggest_columns(spark: SparkSession, d: str) -> DataFrame:
     return found.withColumn("score", F.round("score", 6))
 
 
-@register("suggest_columns_edit", """
-SELECT m.file_name, m.target, b.suggested, b.score
-FROM (SELECT file_name, missing_column AS target FROM (
-        SELECT u.file_name, v.missing_column FROM l_units u
-        JOIN (VALUES ('contracts', '20010401', 'filingdatecancellation'), ('contracts', '20010801', 'city'),
-                     ('products', NULL, 'productcode'), ('prices', NULL, 'pricecomponent'),
-                     ('prices', NULL, 'unit')) v(e, mm, missing_column)
-          ON u.entity = v.e AND (v.mm IS NULL OR v.mm = u.m)) x) m
-LEFT JOIN (
-  SELECT file_name, target, arg_max(candidate, (score, candidate)) AS suggested, max(score) AS score
-  FROM (SELECT c.file_name, c.target, c.candidate,
-               1.0 - levenshtein(c.candidate, c.target) / greatest(length(c.candidate), length(c.target)) AS score
-        FROM (SELECT u.file_name, t.target, unnest(k.cols) AS candidate
-              FROM l_units u
-              JOIN (VALUES ('contracts', '20010401', 'filingdatecancellation'), ('contracts', '20010801', 'city'),
-                           ('products', NULL, 'productcode'), ('prices', NULL, 'pricecomponent'),
-                           ('prices', NULL, 'unit')) t(e, mm, target)
-                ON u.entity = t.e AND (t.mm IS NULL OR t.mm = u.m)
-              JOIN (VALUES
-                ('contracts', '20010401', ['id','type','energy','usage','usagenet','createdat','startdate','enddate','fillingdatecancellation','cancellationreason','city','status','productid','modificationdate']),
-                ('contracts', '20010801', ['id','type','energy','usage','usagenet','createdat','startdate','enddate','filingdatecancellation','cancellationreason','status','productid','modificationdate']),
-                ('products', NULL, ['id','productname','energy','consumptiontype','deleted','releasedversion','modificationdate']),
-                ('prices', NULL, ['id','productid','pricecomponentid','productcomponent','price','valid_from','valid_until','modificationdate'])
-              ) k(e, mm, cols) ON u.entity = k.e AND (k.mm IS NULL OR k.mm = u.m)) c) s
-  WHERE score >= 0.6
-  GROUP BY file_name, target) b
-ON m.file_name = b.file_name AND m.target = b.target""")
+@register("suggest_columns_edit", "SELECT * FROM d_suggested")
 def q_suggest_columns_edit(spark: SparkSession, d: str) -> DataFrame:
     """Suggestions scored by edit distance: the SQL-checkable variant."""
-    units = _plan(spark, d).select("file_name", "entity", "header")
-    return landing.suggest_columns(landing.detect_delimiter(units), method="levenshtein")
+    return landing.suggest_columns(landing.detect_delimiter(drifted_units(spark, d)), method="levenshtein")
 
 
 @register("apply_matchings", """
-SELECT file_name, status, renames, fills, still_missing FROM l_expect""")
+SELECT file_name, status, renames, fills, array_to_string(list_sort(still), ',') AS still_missing FROM d_plan""")
 def q_apply_matchings(spark: SparkSession, d: str) -> DataFrame:
     """Confirmed renames, no_data fills and the pass/fail decision per unit."""
-    p = _plan(spark, d)
+    p, _ = landing.reconcile(drifted_units(spark, d), confirmed_rules(spark, d), method="levenshtein")
     return p.select(
         "file_name", "status",
         F.array_join(F.transform("renames", lambda r: F.concat(r.source, F.lit(">"), r.target)), ",")
@@ -173,36 +140,25 @@ def q_apply_matchings(spark: SparkSession, d: str) -> DataFrame:
         F.array_join(F.array_sort("still_missing"), ",").alias("still_missing"))
 
 
-@register("matchings_read", """
-SELECT u.file_name, v.delimiter, v.target, v.suggested, v.user_submitted, v.pass_as_null
-FROM l_units u
-JOIN (VALUES ('contracts', '20010401', ';', 'filingdatecancellation', 'fillingdatecancellation', 1, 0),
-             ('contracts', '20010801', ';', 'city', NULL, 0, 1),
-             ('products', '20010401', ';', 'productcode', NULL, 0, 1),
-             ('products', '20010601', ';', 'productcode', 'product_code', 1, 0),
-             ('products', '20010701', NULL, 'productcode', NULL, 0, 1),
-             ('products', '20010801', ',', 'productcode', NULL, 0, 1),
-             ('prices', '20010801', ',', 'pricecomponent', 'productcomponent', 1, 0),
-             ('prices', '20010801', ',', 'unit', NULL, 0, 1))
-     v(e, mm, delimiter, target, suggested, user_submitted, pass_as_null)
-  ON u.entity = v.e AND u.m = v.mm""")
+@register("matchings_read", "SELECT * FROM d_rules")
 def q_matchings_read(spark: SparkSession, d: str) -> DataFrame:
-    """Saved rules -> rules table."""
-    paths, _ = landed(spark, d)
-    return landing.read_rules(spark, paths.rules)
+    """Saved rules, written in the saved-file format -> rules table."""
+    path = scratch_path(spark, "rules")
+    landing.write_rules(confirmed_rules(spark, d), path)
+    return landing.read_rules(spark, path)
 
 
 @register("matchings_write", """
-SELECT u.file_name, u.delimiter, v.target, v.suggested, v.user_submitted, v.pass_as_null
-FROM l_expect u
-LEFT JOIN (VALUES ('products', '20010501', 'productcode', 'productname', 0, 0))
-     v(e, mm, target, suggested, user_submitted, pass_as_null) ON u.entity = v.e AND u.m = v.mm
-WHERE (u.entity = 'contracts' AND u.m IN ('20010501', '20010601', '20010701'))
-   OR (u.entity = 'products' AND u.m = '20010501')""")
+SELECT t.file_name, t.delimiter, s.target, s.suggested, CASE WHEN s.target IS NOT NULL THEN 0 END::INTEGER AS user_submitted,
+       CASE WHEN s.target IS NOT NULL THEN 0 END::INTEGER AS pass_as_null
+FROM d_detected t LEFT JOIN d_suggested s ON t.file_name = s.file_name
+WHERE t.file_name NOT IN (SELECT file_name FROM d_rules)""")
 def q_matchings_write(spark: SparkSession, d: str) -> DataFrame:
     """Drafts written for new units, read back in the saved-file format."""
-    paths, _ = landed(spark, d)
-    return landing.read_rules(spark, paths.drafts)
+    _, drafts = landing.reconcile(drifted_units(spark, d), confirmed_rules(spark, d), method="levenshtein")
+    path = scratch_path(spark, "drafts")
+    landing.write_rules(drafts, path)
+    return landing.read_rules(spark, path)
 
 
 _CONTRACT_VIEW = f"""
