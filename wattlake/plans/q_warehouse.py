@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lineage import extracted_at, snapshot_date
-from ..operators import checks, intervals, revenue, scd2
+from ..operators import checks, dense_keys, intervals, revenue, scd2
 from ..plans import reports
+from ..session import scratch_path
 from ..sources.adapters import x_contracts, x_prices_clean, x_products
 from .common import (QUERIES, SQL, AS_OF, NEWEST_EXTRACT, SPLIT_TABLE, clean_price_history,
                      clean_price_periods, comparable, contracts_history, mart, products_history,
@@ -464,6 +465,26 @@ def q_surrogate_key(spark: SparkSession, d: str) -> DataFrame:
                  F.countDistinct("contract_sk").alias("n_keys"))
 
 
+@register("surrogate_key_dense", """
+WITH k AS (SELECT id, modificationdate, min(CASE WHEN modificationdate < DATE '1997-01-01' THEN 1 ELSE 2 END) AS load
+           FROM x_contracts GROUP BY ALL),
+n AS (SELECT load, count(*) AS n_keys FROM k GROUP BY load)
+SELECT a.load::INTEGER AS load, a.n_keys, 1 + coalesce(sum(b.n_keys), 0)::BIGINT AS first_sk,
+       (a.n_keys + coalesce(sum(b.n_keys), 0))::BIGINT AS last_sk, a.n_keys AS distinct_sk
+FROM n a LEFT JOIN n b ON b.load < a.load GROUP BY a.load, a.n_keys""")
+def q_surrogate_key_dense(spark: SparkSession, d: str) -> DataFrame:
+    """Gap-free keys of contract versions over two loads; the second repeats the first's rows."""
+    feed = x_contracts(spark, d)
+    path, keys = scratch_path(spark, "dense-keys"), ["id", "modificationdate"]
+    early = feed.where(F.col("modificationdate") < "1997-01-01")
+    one = dense_keys.assign(early, keys, path, "1").withColumn("load", F.lit(1))
+    both = dense_keys.assign(feed, keys, path, "2")
+    two = both.join(one.select("sk"), "sk", "left_anti").withColumn("load", F.lit(2))
+    return one.unionByName(two).groupBy("load").agg(
+        F.count("*").alias("n_keys"), F.min("sk").alias("first_sk"), F.max("sk").alias("last_sk"),
+        F.count_distinct("sk").alias("distinct_sk"))
+
+
 @register("column_defaults", """
 SELECT is_current, count(*) AS n_rows,
        cast(sum(CASE WHEN valid_until = DATE '9999-12-31' THEN 1 ELSE 0 END) AS bigint) AS n_open_end,
