@@ -12,7 +12,7 @@ import __spark_entry__ as se
 from conftest import SF_SMALL
 
 TABLES = ["part", "orders", "customer", "lineitem", "supplier", "nation", "region",
-          "documents", "pages", "benchmark", "labels", "conversations"]
+          "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 SQL = se.oracle_sql()
 
 
