@@ -283,15 +283,27 @@ def contract_periods(breakpoints: DataFrame, extra: Sequence[str] = (),
     expressions that are functions of the contract (e.g. its newest
     version's creation date).
     """
+    kept, _ = _successive(breakpoints, extra, constant_per_contract)
+    return kept
+
+
+def removed_periods(breakpoints: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """The intervals that :func:`contract_periods` deletes: open-ended or of no length."""
+    _, removed = _successive(breakpoints, extra)
+    return removed
+
+
+def _successive(breakpoints: DataFrame, extra: Sequence[str], constant_per_contract: Sequence[Column] = ()
+                ) -> tuple[DataFrame, DataFrame]:
+    """Breakpoints paired with the next one of their contract: intervals kept, and the others."""
     # Columns constant within a contract may join the partition key: the
     # groups stay the same, and filters on them can be pushed below the lead.
     w = (Window.partitionBy(F.col("contract_id"), *constant_per_contract)
          .orderBy("date_value", "productid"))
-    return (breakpoints
-            .select("contract_id", "productid", *extra, F.col("date_value").alias("period_start"),
-                    F.lead("date_value").over(w).alias("period_end"))
-            .where(F.col("period_end").isNotNull()
-                   & (F.col("period_start") != F.col("period_end"))))
+    pairs = breakpoints.select("contract_id", "productid", *extra, F.col("date_value").alias("period_start"),
+                               F.lead("date_value").over(w).alias("period_end"))
+    keep = F.col("period_end").isNotNull() & (F.col("period_start") != F.col("period_end"))
+    return pairs.where(keep), pairs.where(~keep)
 
 
 def range_join_prices(periods: DataFrame, prices: DataFrame, yearly_pieces: bool = True,

@@ -12,12 +12,12 @@ from ..functions.lineage import extracted_at, snapshot_date
 from ..operators import checks, dense_keys, intervals, revenue, scd2
 from ..plans import reports
 from ..session import scratch_path
-from ..sources.adapters import x_contracts, x_prices_clean, x_products
+from ..sources.adapters import x_contracts, x_prices, x_prices_clean, x_products
 from .common import (QUERIES, SQL, AS_OF, NEWEST_EXTRACT, SPLIT_TABLE, clean_price_history,
                      clean_price_periods, comparable, contracts_history, mart, products_history,
                      published, raw_price_history, raw_price_periods, register)
 from .oracle import AS_OF as AS_OF_SQL
-from .oracle import CTE, _P_PERIODS
+from .oracle import _P_HIST, _P_PERIODS, _P_PIECES, _P_RAW, CTE
 
 # Each product's copies all sit in one monthly file of the feed, so the
 # product merge splits by modification date: versions dated before 1998 are
@@ -162,6 +162,22 @@ def q_lateral_series(spark: SparkSession, d: str) -> DataFrame:
                                                    max_date=NEWEST_EXTRACT))
 
 
+CTE["pd_raw"] = _P_RAW.format(src="x_prices").replace(
+    "cast(NULL AS varchar) AS source_table",
+    "strftime(valid_from + cast(365 + id % 30 AS int), '%Y%m%d') || '220039_prices_staging_20260101_220057123' AS source_table")
+CTE["pd_hist"] = _P_HIST.format(raw="pd_raw")
+CTE["pd_pieces"] = _P_PIECES.format(
+    hist="pd_hist", as_of="(SELECT max(cast(strptime(substr(source_table, 1, 14), '%Y%m%d%H%M%S') AS date)) FROM pd_hist)")
+
+
+@register("price_period_split_newest", f"SELECT {_PIECE_COLS} FROM pd_pieces")
+def q_price_period_split_newest(spark: SparkSession, d: str) -> DataFrame:
+    """The same with the snapshot date from the data: the newest extraction of the price history."""
+    day = F.date_format(F.date_add("valid_from", (F.lit(365) + F.col("id") % 30).cast("int")), "yyyyMMdd")
+    feed = x_prices(spark, d).withColumn("source_table", F.concat(day, F.lit("220039_prices_staging_20260101_220057123")))
+    return comparable(intervals.price_period_split(published(scd2.scd2_prices(feed))))
+
+
 _PERIOD_COLS = ("snapshot_date, product_id, base_pricecomponentid, working_pricecomponentid, base_id, "
                 "working_id, valid_from, valid_until, cast(baseprice AS double) AS baseprice, "
                 "cast(workingprice AS double) AS workingprice")
@@ -231,6 +247,18 @@ def q_delete_where(spark: SparkSession, d: str) -> DataFrame:
     return intervals.contract_periods(intervals.contract_breakpoints(ci, clean_price_periods(spark, d)))
 
 
+@register("delete_where_removed", """
+SELECT * FROM (
+  SELECT contract_id, productid, date_value AS period_start,
+         lead(date_value) OVER (PARTITION BY contract_id ORDER BY date_value, productid) AS period_end
+  FROM c_breaks) t
+WHERE period_end IS NULL OR period_start = period_end""")
+def q_delete_where_removed(spark: SparkSession, d: str) -> DataFrame:
+    """The rows that the delete takes away."""
+    ci = revenue.contract_input(contracts_history(spark, d))
+    return intervals.removed_periods(intervals.contract_breakpoints(ci, clean_price_periods(spark, d)))
+
+
 @register("contract_price_periods", """
 SELECT contract_id, productid, period_start, period_end, status, consumption, startdate, enddate,
        createdat, cast(baseprice AS double) AS baseprice, cast(workingprice AS double) AS workingprice
