@@ -7,9 +7,9 @@ Scale notes
   not with contracts.  Lookups built from it are broadcast only after a
   bounded row count of the price periods; beyond the bound the same
   equi-joins run as shuffle joins.
-* Price pieces never cross 31 December, so the range join also matches on
-  the year of the period start: an equi key that keeps the residual small
-  when the price side is shuffled instead of broadcast.
+* Price pieces never cross 31 December, so the broadcast range join also
+  matches on the year of the period start; beyond the bound the join is by
+  product and month, with hot months of a product split into shares.
 * Overlapping price periods are resolved on the price side
   (:func:`effective_prices`), so each contract period meets at most one.
 * Windows on contracts run on rows unique per (contract, product, date):
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import year_end, yearly_step
 from ..schema import BASE_COMPONENT, WORKING_COMPONENT
+from ..session import written
 from .dedup import latest_per_key
 from .joins import maybe_broadcast, rows_at_most
 from .sweep import swept
@@ -306,6 +307,64 @@ def _successive(breakpoints: DataFrame, extra: Sequence[str], constant_per_contr
     return pairs.where(keep), pairs.where(~keep)
 
 
+# A (product, month) with more than 1/HOT_BINS of the starts is split into shares of that size.
+HOT_BINS = 256
+
+
+def _binned(periods: DataFrame, start_col: str) -> tuple[DataFrame, DataFrame, tuple]:
+    """``periods`` written with the month of the start, its hot months, and (rows, first and last month).
+
+    ``hot`` has (product, month, shares) of each that holds more than 1/HOT_BINS of the starts.
+    """
+    periods = written(periods.withColumn("__bin", F.trunc(start_col, "MM")), "range-join")
+    total, first, last = periods.agg(F.count(F.lit(1)), F.min("__bin"), F.max("__bin")).first()
+    share = max(1, -(-total // HOT_BINS))
+    n = periods.groupBy("productid", "__bin").agg(F.count(F.lit(1)).alias("__n"))
+    hot = (n.where((F.col("__n") > share) & F.col("productid").isNotNull() & F.col("__bin").isNotNull())
+           .select(F.col("productid").alias("__hp"), F.col("__bin").alias("__hb"),
+                   F.ceil(F.col("__n") / share).cast("int").alias("__shares")))
+    return periods, hot, (total, first, last)
+
+
+def _split_starts(periods: DataFrame, hot: DataFrame) -> DataFrame:
+    """``periods`` with their join keys ``__jp`` and ``__share`` beside ``__bin``."""
+    spread = F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in periods.columns])
+    alone = F.col("productid").isNull() | F.col("__bin").isNull()
+    left = (periods.join(F.broadcast(hot), (F.col("productid") == F.col("__hp")) & (F.col("__bin") == F.col("__hb")), "left")
+            .withColumn("__share", F.when(alone, F.pmod(spread, F.lit(HOT_BINS)))
+                        .otherwise(F.pmod(spread, F.coalesce("__shares", F.lit(1)))).cast("int"))
+            .drop("__hp", "__hb", "__shares"))
+    # Starts that match nothing get keys of their own, so they do not meet in one task.
+    return left.withColumn("__jp", F.when(alone, F.concat(F.lit("-"), F.col("__share").cast("string")))
+                           .otherwise(F.col("productid").cast("string")))
+
+
+def _binned_join(periods: DataFrame, p: DataFrame, cond: Column, start_col: str) -> DataFrame:
+    """Left range join by shuffle: equal product and month, then the range itself.
+
+    A price is repeated for every month it covers that has starts.  The starts of
+    each (product, month) are counted in two phases; one with more than
+    1/HOT_BINS of all (fewer than HOT_BINS of them, broadcast whatever the size of
+    the table) is cut into shares of about that many rows, and its prices are
+    repeated for every share.  So no task holds a hot product, nor 1 January of it.
+    ``periods`` is written once, as the counts and the join both read it; starts
+    without a product or date match nothing and are spread likewise.
+    """
+    periods, hot, (total, first, last) = _binned(periods, start_col)
+    left = _split_starts(periods, hot)
+    low = F.greatest(F.trunc("__vf", "MM"), F.lit(first).cast("date"))
+    high = F.least(F.trunc("__vu", "MM"), F.lit(last).cast("date"))
+    months = F.sequence("__low", "__high", F.expr("interval 1 month"))
+    right = (p.where(F.lit(total > 0) & (F.col("__vf") <= F.col("__vu")))
+             .withColumns({"__low": low, "__high": high}).where(F.col("__low") <= F.col("__high"))
+             .withColumn("__pb", F.explode(months)).drop("__low", "__high")
+             .join(F.broadcast(hot), (F.col("__pid") == F.col("__hp")) & (F.col("__pb") == F.col("__hb")), "left")
+             .withColumn("__ps", F.explode(F.sequence(F.lit(0), F.coalesce("__shares", F.lit(1)) - 1)))
+             .drop("__hp", "__hb", "__shares").withColumn("__pj", F.col("__pid").cast("string")))
+    on = ((F.col("__jp") == F.col("__pj")) & (F.col("__bin") == F.col("__pb")) & (F.col("__share") == F.col("__ps")))
+    return left.join(right, on & cond, "left").drop("__jp", "__bin", "__share", "__pj", "__pb", "__ps")
+
+
 def range_join_prices(periods: DataFrame, prices: DataFrame, yearly_pieces: bool = True,
                       start_col: str = "period_start", small_prices: bool | None = None,
                       strict: bool = False) -> DataFrame:
@@ -314,7 +373,8 @@ def range_join_prices(periods: DataFrame, prices: DataFrame, yearly_pieces: bool
     ``product = product AND start BETWEEN valid_from AND valid_until``.  With
     ``yearly_pieces`` the year of the start must equal the year of
     valid_from, which holds for pieces from :func:`split_yearly` and turns the
-    range into an equi key plus a small residual.  With non-overlapping
+    range into an equi key plus a small residual.  Prices beyond the bound are
+    joined by month, hot months of a product in shares (:func:`_binned_join`).  With non-overlapping
     prices (:func:`effective_prices`) each period matches at most one row.
     ``strict`` fails the job where a start lies in several of the periods that
     such a segment (its ``__open``) stands for: they would be rows of one key.
@@ -331,12 +391,15 @@ def range_join_prices(periods: DataFrame, prices: DataFrame, yearly_pieces: bool
                       F.col("valid_until").alias("__vu"), base, "workingprice", broken.alias("__clash"))
     cond = ((F.col("productid") == F.col("__pid"))
             & F.col(start_col).between(F.col("__vf"), F.col("__vu")))
-    if yearly_pieces:
-        p = p.withColumn("__py", F.year("__vf"))
-        periods = periods.withColumn("__sy", F.year(start_col))
-        cond = cond & (F.col("__sy") == F.col("__py"))
     small = rows_at_most(prices) if small_prices is None else small_prices
-    joined = periods.join(maybe_broadcast(p, small), cond, "left")
+    if not small:
+        joined = _binned_join(periods, p, cond, start_col)
+    else:
+        if yearly_pieces:
+            p = p.withColumn("__py", F.year("__vf"))
+            periods = periods.withColumn("__sy", F.year(start_col))
+            cond = cond & (F.col("__sy") == F.col("__py"))
+        joined = periods.join(F.broadcast(p), cond, "left")
     if strict:
         joined = joined.withColumn("baseprice", F.when(F.col("__clash").isNotNull(), F.raise_error(
             F.col("__clash")).cast(joined.schema["baseprice"].dataType)).otherwise(F.col("baseprice")))

@@ -79,7 +79,8 @@ def with_latest_version(ci: DataFrame, alias: str = "__head") -> DataFrame:
 
 
 def contract_price_periods(ci: DataFrame, periods_table: DataFrame, as_of: _dt.date | Column,
-                           yearly_pieces: bool = True, overlap: str = "latest") -> DataFrame:
+                           yearly_pieces: bool = True, overlap: str = "latest",
+                           small_prices: bool | None = None) -> DataFrame:
     """Periods inside the newest version of each contract, priced at their
     start (I9, C3, C6, B14).
 
@@ -89,13 +90,15 @@ def contract_price_periods(ci: DataFrame, periods_table: DataFrame, as_of: _dt.d
     overlaps were resolved beforehand so each period gets at most one price:
     the latest (``overlap="latest"``), or the job fails where a period has
     several (``"error"``: the table's unique key as it stands, Q19).
+    ``small_prices`` states whether the price side may be broadcast; by default
+    it is counted.
     """
     if overlap not in ("latest", "error"):
         raise ValueError(f"overlap must be 'latest' or 'error', not {overlap!r}")
     # One bounded count of the price periods bounds both price-side lookups
     # (one row per product; at most two segments per period), so both are
     # broadcast behind this single check or both stay shuffle joins.
-    small = rows_at_most(periods_table, DEFAULT_MAX_ROWS // 2)
+    small = rows_at_most(periods_table, DEFAULT_MAX_ROWS // 2) if small_prices is None else small_prices
     head = [f"__h_{c}" for c in _HEAD_FIELDS]
     ci_h = with_latest_version(ci).select(
         *ci.columns, *[F.col(f"__head.{c}").alias(f"__h_{c}") for c in _HEAD_FIELDS])

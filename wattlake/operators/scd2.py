@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import row_hash, surrogate_key
 from ..functions.lineage import extracted_at, snapshot_date
 from ..schema import INVALID_STATUSES, NO_DATA, OPEN_END, USAGE_OUTLIER_BOUND, typed_projection
+from ..session import written
 from .dedup import latest_per_key, window_max
 from .filters import sentinel_map, validity_flag, within_bound
 from .joins import DEFAULT_MAX_ROWS, maybe_broadcast, rows_at_most
@@ -67,7 +68,7 @@ def anti_join_new_rows(new: DataFrame, existing: DataFrame | None, keys: Sequenc
     return new.join(existing.select(*keys), on=list(keys), how="left_anti")
 
 
-def newest_flag(df: DataFrame, key: str, version: str, alias: str = "is_current",
+def newest_flag(df: DataFrame, key: str | Sequence[str], version: str, alias: str = "is_current",
                 many_rows_per_key: bool = False) -> DataFrame:
     """``alias`` = no row of the same key has a larger ``version``.
 
@@ -77,12 +78,12 @@ def newest_flag(df: DataFrame, key: str, version: str, alias: str = "is_current"
     partial aggregate joined back, so no key's rows meet in one task.
     """
     if many_rows_per_key:
-        top = window_max(df, [key], version, "__newest")
+        top = window_max(df, [key] if isinstance(key, str) else list(key), version, "__newest")
         return top.withColumn(alias, F.col(version) == F.col("__newest")).drop("__newest")
     return df.withColumn(alias, F.col(version) == F.max(version).over(Window.partitionBy(key)))
 
 
-def close_superseded(df: DataFrame, key: str, version: str, current_col: str = "is_current",
+def close_superseded(df: DataFrame, key: str | Sequence[str], version: str, current_col: str = "is_current",
                      until_col: str = "valid_until", recompute: bool = False) -> DataFrame:
     """Close every current version except the newest one per key.
 
@@ -150,6 +151,20 @@ def stage_contracts(staging: DataFrame, tiebreak: Sequence[str] | None = None) -
     return latest_per_key(s, ["contract_id", "modificationdate"], order).drop(*extra)
 
 
+def contract_versions(new: DataFrame, run_ts: _dt.datetime | Column | None = None) -> DataFrame:
+    """Staged contract rows as open versions."""
+    return new.select(
+        surrogate_key("contract_id", "modificationdate").alias("contract_sk"),
+        *[c for c in CONTRACT_COLUMNS if c in new.columns and c != "hash_value"],
+        F.lit(True).alias("is_current"),
+        validity_flag("status", INVALID_STATUSES).alias("is_valid"),
+        F.col("modificationdate").alias("valid_from"),
+        F.lit(OPEN_END).alias("valid_until"),
+        _ts(run_ts).alias("inserted_at"),
+        "hash_value",
+    ).select(*CONTRACT_COLUMNS)
+
+
 def split_touched(history: DataFrame, new_keys: DataFrame, key: str,
                   max_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(history rows of keys in the new load, all other history rows).
@@ -176,25 +191,18 @@ def scd2_contracts(staging: DataFrame, history: DataFrame | None = None,
     minus one day.  ``is_valid`` is false for cancelled or terminated rows.
     Incremental loads only reprocess the contracts present in the load, except
     with ``recompute``, which repairs every contract of the history.  The size
-    of the load chooses the join, never the scope.
+    of the load chooses the join, never the scope.  With a history, the staged
+    rows are written once: its keys, the split and the new rows all read them.
     """
     staged = stage_contracts(staging, tiebreak)
     untouched = None
     if history is not None:
+        staged = written(staged, "staged-contracts")
         history = history.select(*CONTRACT_COLUMNS)
         if not recompute:
             history, untouched = split_touched(history, staged, "contract_id", max_broadcast_rows)
     new = anti_join_new_rows(staged, history, ["contract_id", "modificationdate"])
-    inserted = new.select(
-        surrogate_key("contract_id", "modificationdate").alias("contract_sk"),
-        *[c for c in CONTRACT_COLUMNS if c in new.columns and c != "hash_value"],
-        F.lit(True).alias("is_current"),
-        validity_flag("status", INVALID_STATUSES).alias("is_valid"),
-        F.col("modificationdate").alias("valid_from"),
-        F.lit(OPEN_END).alias("valid_until"),
-        _ts(run_ts).alias("inserted_at"),
-        "hash_value",
-    ).select(*CONTRACT_COLUMNS)
+    inserted = contract_versions(new, run_ts)
     rows = inserted if history is None else history.unionByName(inserted)
     out = close_superseded(rows, "contract_id", "modificationdate", recompute=recompute) \
         .select(*CONTRACT_COLUMNS)
@@ -219,6 +227,15 @@ def stage_prices(staging: DataFrame, tiebreak: Sequence[str] | None = None) -> D
     return one.withColumn("extracted_at", extracted_at("source_table"))
 
 
+def price_versions(new: DataFrame, run_ts: _dt.datetime | Column | None = None) -> DataFrame:
+    """Staged price rows as versions, flagged current until compared."""
+    return new.select(
+        surrogate_key("price_id", "modificationdate").alias("price_sk"),
+        "price_id", "product_id", "pricecomponentid", "pricecomponent", "price", "unit",
+        "valid_from", "valid_until", "modificationdate", F.lit(True).alias("is_current"),
+        "extracted_at", "source_table", _ts(run_ts).alias("inserted_at"))
+
+
 def scd2_prices(staging: DataFrame, history: DataFrame | None = None,
                 run_ts: _dt.datetime | Column | None = None,
                 tiebreak: Sequence[str] | None = None) -> DataFrame:
@@ -229,14 +246,11 @@ def scd2_prices(staging: DataFrame, history: DataFrame | None = None,
     staged = stage_prices(staging, tiebreak)
     untouched = None
     if history is not None:
+        staged = written(staged, "staged-prices")
         history = history.select(*PRICE_COLUMNS)
         history, untouched = split_touched(history, staged, "price_id")
     new = anti_join_new_rows(staged, history, ["price_id", "modificationdate"])
-    inserted = new.select(
-        surrogate_key("price_id", "modificationdate").alias("price_sk"),
-        "price_id", "product_id", "pricecomponentid", "pricecomponent", "price", "unit",
-        "valid_from", "valid_until", "modificationdate", F.lit(True).alias("is_current"),
-        "extracted_at", "source_table", _ts(run_ts).alias("inserted_at"))
+    inserted = price_versions(new, run_ts)
     rows = inserted if history is None else history.unionByName(inserted)
     out = newest_flag(rows, "price_id", "modificationdate").select(*PRICE_COLUMNS)
     return out if untouched is None else untouched.unionByName(out)
@@ -270,6 +284,10 @@ def scd2_products(staging: DataFrame, history: DataFrame | None = None,
     no current row is inserted unless (product_id, valid_from) exists.
     ``on_change="close_only"`` is the as-coded behaviour (the changed
     version arrives on the next load); ``"close_and_open"`` inserts it now.
+
+    One pass: stored and staged rows meet in one shuffle by product, where each
+    row gets its action (keep, close, insert, skip).  A product's rows are its
+    versions and at most one staged row, bounded by the calendar.
     """
     if on_change not in ("close_only", "close_and_open"):
         raise ValueError(f"on_change must be close_only or close_and_open, not {on_change!r}")
@@ -287,24 +305,26 @@ def scd2_products(staging: DataFrame, history: DataFrame | None = None,
     if history is None:
         return as_rows(src).select(*PRODUCT_COLUMNS)
 
-    hist = history.select(*PRODUCT_COLUMNS)
-    current = hist.where("is_current").select("product_id", F.col("hash_value").alias("__tgt_hash"))
-    matched = src.join(current, "product_id", "left")
-    changed = matched.where(F.col("__tgt_hash").isNotNull()
-                            & (F.col("__tgt_hash") != F.col("hash_value")))
-    closes = changed.select("product_id",
-                            F.date_sub("modificationdate", 1).alias("__close_until"))
-    closed_hist = (hist.join(closes, "product_id", "left")
-                   .withColumn("__hit", F.col("is_current") & F.col("__close_until").isNotNull())
-                   .withColumn("valid_until", F.when(F.col("__hit"), F.col("__close_until"))
-                               .otherwise(F.col("valid_until")))
-                   .withColumn("is_current", F.when(F.col("__hit"), F.lit(False))
-                               .otherwise(F.col("is_current")))
-                   .select(*PRODUCT_COLUMNS))
-    candidates = matched.where(F.col("__tgt_hash").isNull())
+    rows = (history.select(*PRODUCT_COLUMNS, F.lit(False).alias("__staged"))
+            .unionByName(as_rows(src).select(*PRODUCT_COLUMNS, F.lit(True).alias("__staged"))))
+    staged, stored = F.col("__staged"), ~F.col("__staged")
+    product = Window.partitionBy("product_id")
+    rows = (rows
+            .withColumn("__new", F.max(F.when(staged, F.struct("hash_value", "modificationdate"))).over(product))
+            .withColumn("__current", F.max(F.when(stored & F.col("is_current"), F.col("hash_value"))).over(product))
+            .withColumn("__exists", F.max(stored).over(Window.partitionBy("product_id", "valid_from"))))
+    # A null product or date matches nothing.
+    no_key = F.col("product_id").isNull()
+    opens = no_key | F.col("__current").isNull()
     if on_change == "close_and_open":
-        candidates = candidates.unionByName(changed)
-    existing = hist.select("product_id", F.col("valid_from").alias("modificationdate"))
-    inserts = anti_join_new_rows(candidates.drop("__tgt_hash"), existing,
-                                 ["product_id", "modificationdate"])
-    return closed_hist.unionByName(as_rows(inserts).select(*PRODUCT_COLUMNS))
+        opens = opens | (F.col("__current") != F.col("hash_value"))
+    inserts = opens & (no_key | F.col("valid_from").isNull() | ~F.col("__exists"))
+    closes = (~no_key & F.col("is_current") & (F.col("__new.hash_value") != F.col("hash_value")))
+    action = (F.when(staged, F.when(inserts, F.lit("insert")).otherwise(F.lit("skip")))
+              .otherwise(F.when(closes, F.lit("close")).otherwise(F.lit("keep"))))
+    hit = F.col("__action") == "close"
+    return (rows.withColumn("__action", action).where("__action <> 'skip'")
+            .withColumn("valid_until", F.when(hit, F.date_sub(F.col("__new.modificationdate"), 1))
+                        .otherwise(F.col("valid_until")))
+            .withColumn("is_current", F.when(hit, F.lit(False)).otherwise(F.col("is_current")))
+            .select(*PRODUCT_COLUMNS))

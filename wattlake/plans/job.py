@@ -68,7 +68,8 @@ def run_load(spark: SparkSession, landing: str, staging_root: str, warehouse: st
             if not {"prices", "contracts"} <= set(previous):
                 raise ValueError(f"no published, checked tables of version {previous_version!r}")
         tables = warehouse_job.run(spark, views, warehouse, load_id, as_of, run_ts,
-                                   previous=previous, keep_snapshots=keep_snapshots, check=check, **rules_kept)
+                                   previous=previous, keep_snapshots=keep_snapshots, check=check,
+                                   previous_version=previous_version, **rules_kept)
     except Exception as exc:
         # A failed step is logged like the per-file rows, then the job fails.
         _log_step(spark, log_dir, load_id, step, str(exc))
@@ -119,6 +120,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--align", action="store_true", help="intersect base and working price periods")
     ap.add_argument("--overlap", default="latest", choices=["latest", "error"],
                     help="several price periods for one contract period: the latest, or fail")
+    ap.add_argument("--parts", action="store_true",
+                    help="store prices and contracts as current and closed parts: a load writes what it changes")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("wattlake-load").getOrCreate()
     out = run_load(spark, args.landing, args.staging, args.warehouse, args.start, args.end,
@@ -127,7 +130,7 @@ def main(argv: list[str] | None = None) -> int:
                    check=args.check, allow_partial=args.allow_partial, quarantine=args.quarantine,
                    missing_as_null=args.missing_as_null, only_new=args.only_new, on_change=args.on_change,
                    pick=args.pick, drift=not args.no_drift, calendar_year=args.calendar_year, align=args.align,
-                   overlap=args.overlap)
+                   overlap=args.overlap, parts=args.parts)
     failed = out["log"].where("status = 'FAILED'")
     total = failed.count()
     for r in failed.select("file", "error").limit(20).collect():

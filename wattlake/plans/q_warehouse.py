@@ -12,6 +12,7 @@ from ..functions.lineage import extracted_at, snapshot_date
 from ..operators import checks, dense_keys, intervals, revenue, scd2
 from ..plans import reports
 from ..session import scratch_path
+from ..sources import history_parts
 from ..sources.adapters import x_contracts, x_prices, x_prices_clean, x_products
 from .common import (QUERIES, SQL, AS_OF, NEWEST_EXTRACT, SPLIT_TABLE, clean_price_history,
                      clean_price_periods, comparable, contracts_history, mart, products_history,
@@ -85,10 +86,22 @@ FROM (
 def q_update_from(spark: SparkSession, d: str) -> DataFrame:
     """Incremental contracts load: June history + July/August load (C11, Q23)."""
     feed = x_contracts(spark, d)
-    base = scd2.scd2_contracts(_early(feed), tiebreak=["seq"])
+    base = published(scd2.scd2_contracts(_early(feed), tiebreak=["seq"]))
     return comparable(scd2.scd2_contracts(_late(feed), history=base, tiebreak=["seq"]))
 
 
+SQL["update_from_parts"] = SQL["update_from"]
+
+
+@register("update_from_parts")
+def q_update_from_parts(spark: SparkSession, d: str) -> DataFrame:
+    """The incremental contracts load on a history stored as current and closed parts (C11)."""
+    feed, base = x_contracts(spark, d), scratch_path(spark, "contracts-parts")
+    history_parts.apply_load(_early(feed), history_parts.CONTRACTS, base, "early", tiebreak=["seq"], buckets=32)
+    return comparable(history_parts.apply_load(_late(feed), history_parts.CONTRACTS, base, "late", previous="early",
+                                               tiebreak=["seq"]))
+
+
 @register("scd2_prices", """
 SELECT price_id, product_id, pricecomponentid, pricecomponent, cast(price AS double) AS price, unit,
        valid_from, valid_until, modificationdate, is_current,
@@ -286,6 +299,18 @@ def q_left_range_join(spark: SparkSession, d: str) -> DataFrame:
                                  "baseprice", "workingprice"))
 
 
+SQL["left_range_join_binned"] = SQL["left_range_join"]
+
+
+@register("left_range_join_binned")
+def q_left_range_join_binned(spark: SparkSession, d: str) -> DataFrame:
+    """The same join as a shuffle by product and month, for prices too many to broadcast."""
+    ci = revenue.contract_input(contracts_history(spark, d))
+    cpp = revenue.contract_price_periods(ci, raw_price_periods(spark, d), AS_OF, small_prices=False)
+    return comparable(cpp.select("contract_id", "productid", "period_start", "period_end",
+                                 "baseprice", "workingprice"))
+
+
 _MART_COLS = ("contract_id, productid, period_start, period_end, status, consumption, startdate, enddate, "
               "createdat, baseprice, workingprice, days_in_period, days_since_start, contract_year, "
               "total_contract_years, final_end, terminated_mid_year, total_days_in_year, period_share, "

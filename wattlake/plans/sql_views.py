@@ -11,8 +11,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import history_parts
 from ..sources.staging import path_is_missing
 from . import reports
+from .warehouse_job import parts_folder
 
 TABLES = ("products", "prices", "contracts", "price_periods", "contract_price_enriched")
 
@@ -42,10 +44,17 @@ def read_published(spark: SparkSession, warehouse: str, version: str) -> dict[st
     """The checked tables of one published version (``warehouse_job.run``).
 
     A table folder without its ``_checked`` marker (a failed or interrupted
-    run) is not returned; any read error but a missing path is raised.
+    run) is not returned; any read error but a missing path is raised.  Histories
+    stored in parts are read as of that version.
     """
     out = {}
+    for name in ("prices", "contracts"):
+        base = parts_folder(warehouse, name)
+        if history_parts.read_manifest(spark, base, version) is not None:
+            out[name] = history_parts.read_table(spark, base, version)
     for name in TABLES:
+        if name in out:
+            continue
         path = f"{warehouse.rstrip('/')}/{name}/v={version}"
         try:
             spark.read.json(f"{path}/_checked").first()
