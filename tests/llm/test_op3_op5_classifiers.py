@@ -80,14 +80,38 @@ def test_keep_good_takes_effect(data):
     assert kept == {i for i, p in scores.items() if p}
 
 
-def test_non_negative_risk_reaches_the_prior():
+def test_non_negative_risk_reaches_the_prior(spark):
     rng = np.random.default_rng(0)
     d = len(Q.FEATURES)
-    pos, neg = rng.normal(1, 1, (2000, d)), rng.normal(-1, 1, (2000, d))
-    unlabelled = np.vstack([rng.normal(1, 1, (1400, d)), neg[:600]])
-    model = Q.fit(pos, unlabelled, 0.7)
+    pos, neg = rng.normal(6, 1, (1400, d)), rng.normal(4, 1, (600, d))
+    rows = [(x.tolist(), i < 500) for i, x in enumerate([*pos, *neg])]
+    model = Q.fit(spark.createDataFrame(rows, "x array<double>, trusted boolean").repartition(3), 0.7)
+    unlabelled = np.vstack([pos, neg])
     assert (model.score(pos) > 0.5).mean() > 0.95 and (model.score(neg) < 0.5).mean() > 0.95
     assert abs((model.score(unlabelled) > 0.5).mean() - 0.7) < 0.05
+    df = spark.createDataFrame([(x.tolist(),) for x in unlabelled[:50]], "x array<double>")
+    assert np.allclose([r[0] for r in df.select(model.score_of(F.col("x"))).collect()], model.score(unlabelled[:50]))
+
+
+def test_scales_are_quantiles_of_all_rows(spark):
+    rng = np.random.default_rng(1)
+    x = rng.gamma(2.0, 0.3, (3000, len(Q.FEATURES)))
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "x array<double>")
+    middle, spread = Q.scales(df.repartition(5))
+    assert np.allclose(middle, np.median(x, axis=0), rtol=0.03)
+    wide = (np.percentile(x, 90, axis=0) - np.percentile(x, 10, axis=0)) / 2.56
+    assert np.allclose(spread, np.maximum(wide, 0.25 * x.std(axis=0) + 1e-3), rtol=0.05)
+    again = Q.scales(df.repartition(2))
+    assert (again[0] == middle).all() and (again[1] == spread).all()
+
+
+def test_many_null_ids_and_repeated_rows_fit_alike(data, spark):
+    docs, marks, _ = data
+    mixed = docs.withColumn("doc_id", F.when(F.col("doc_id") % 10 < 3, F.lit(None)).otherwise(F.col("doc_id")))
+    mixed = mixed.union(mixed.where("doc_id % 10 = 4"))
+    runs = [sorted(((r["doc_id"] or -1, r["score"]) for r in Q.classify(mixed.repartition(n), marks).collect()))
+            for n in (2, 7)]
+    assert len(runs[0]) == mixed.count() and np.allclose([s for _, s in runs[0]], [s for _, s in runs[1]], atol=1e-6)
 
 
 def test_lexicon_learns_whole_words_and_beginnings(spark):

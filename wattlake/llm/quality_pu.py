@@ -5,11 +5,14 @@ model on dense text features; the loss is the non-negative unbiased risk
 
     prior * E_pos[l(+)] + max(0, E_unl[l(-)] - prior * E_pos[l(-)])
 
-minimised by gradient steps (where the bracket turns negative, its gradient is
-reversed, as the method prescribes).  Labels 0 enter nothing but the estimate
-of the class prior: the smoothed share of positives among labelled training
-rows.  Fitting uses at most ``TRAIN_ROWS`` positives and as many unlabelled
-rows; scoring covers every whole text.
+minimised by damped Newton steps (where the bracket turns negative, the step
+reverses its gradient, as the method prescribes).  Labels 0 enter nothing but
+the estimate of the class prior: the smoothed share of positives among labelled
+training rows.  ``TRAIN_ROWS`` bounds the labelled ids used as trusted
+positives.  The unlabelled side is every row outside the held-out fold: its
+scales are quantiles of whole histograms, its risk, gradient and curvature sums
+over all rows, taken by Spark once a round from the written features; only
+those sums reach the driver.
 
 A null or empty text has the feature vector of no characters and gets that
 vector's score.
@@ -19,21 +22,30 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col
-from .labelled import held_out, sampled, training_rows
+from .common import ROW, col, field, materialize, packed, text_batches, unpacked
+from .labelled import fold, held_out, sampled
 
 TRAIN_ROWS = 12_000
 THRESHOLD = 0.3
-STEPS = 800
+ROUNDS = 12
 RATE = 0.1
 L2 = 1e-4
+# Few trusted rows weigh less against small weights: this many rows' worth of penalty.
+PRIOR_ROWS = 3.0
+LARGEST_STEP = 2.0
+SETTLED = 1e-5
+# Histogram bins of a feature: 64 for each e-fold of 1 + 1000 x.
+BIN_UNIT = 1000.0
+BINS_PER_FOLD = 64
 MARKS = "#$%&*|<>{}[]\\^~=_@+/"
 ENDS = ".!?"
 _LETTERS = re.compile(r"[^\W\d_]")
@@ -86,42 +98,107 @@ class PuModel:
     def score(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.design(x) @ self.weight + self.bias, -30, 30)))
 
-
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS) -> PuModel:
-    """Minimise the non-negative PU risk by Adam over all rows at once; deterministic."""
-    if not len(positive) or not len(unlabelled):
-        d = len(FEATURES)
-        odds = np.log(prior / (1 - prior))
-        return PuModel(np.zeros(d), np.ones(d), np.zeros(2 * d), float(odds), prior)
-    middle = np.median(unlabelled, axis=0)
-    spread = np.percentile(unlabelled, 90, axis=0) - np.percentile(unlabelled, 10, axis=0)
-    spread = np.maximum(spread / 2.56, 0.25 * unlabelled.std(axis=0) + 1e-3)
-    model = PuModel(middle, spread, np.zeros(0), 0.0, prior)
-    p, u = model.design(positive), model.design(unlabelled)
-    theta = np.zeros(p.shape[1] + 1)
+    def score_of(self, x: Column) -> Column:
+        """The score of a features column, as a Spark expression."""
+        f = F.lit(self.bias)
+        d = len(self.mean)
+        for i in range(d):
+            z = F.greatest(F.least((F.get(x, F.lit(i)) - float(self.mean[i])) / float(self.scale[i]), F.lit(6.0)),
+                           F.lit(-6.0))
+            f = f + z * float(self.weight[i]) + z * z / 6 * float(self.weight[d + i])
+        return 1 / (1 + F.exp(-F.greatest(F.least(f, F.lit(30.0)), F.lit(-30.0))))
+
+
+def _vectors(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
+
+
+def _bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(feature, bin, rows) of each batch."""
+    for batch in batches:
+        if batch.num_rows:
+            bins = np.floor(np.log1p(np.maximum(_vectors(batch), 0) * BIN_UNIT) * BINS_PER_FOLD).astype(np.int64)
+            for i in range(bins.shape[1]):
+                values, rows = np.unique(bins[:, i], return_counts=True)
+                yield pa.RecordBatch.from_pydict({"feature": pa.array([i] * len(values), pa.int32()),
+                                                  "bin": pa.array(values, pa.int64()), "n": pa.array(rows, pa.int64())})
+
+
+def scales(features: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Median and spread of every feature, from the histograms of all rows.
+
+    Bins are counted as whole numbers, so the result does not depend on the order
+    of rows; there are as many as a feature has orders of magnitude, not rows.
+    """
+    found = (features.select("x").mapInArrow(_bins, "feature int, bin long, n long")
+             .groupBy("feature", "bin").agg(F.sum("n").alias("n")).orderBy("feature", "bin").toPandas())
+    middle, spread = np.zeros(len(FEATURES)), np.ones(len(FEATURES))
+    for i, own in found.groupby("feature"):
+        value = np.expm1((own["bin"].to_numpy() + 0.5 * (own["bin"].to_numpy() > 0)) / BINS_PER_FOLD) / BIN_UNIT
+        n = own["n"].to_numpy()
+        share = np.cumsum(n) / n.sum()
+        low, mid, high = (value[np.searchsorted(share, q)] for q in (0.1, 0.5, 0.9))
+        deviation = np.sqrt(np.average((value - np.average(value, weights=n)) ** 2, weights=n))
+        middle[i], spread[i] = mid, max((high - low) / 2.56, 0.25 * deviation + 1e-3)
+    return middle, spread
+
+
+def _risk_sums(model: PuModel) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sums over a task's rows for one round: one (place, value) row per number."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        d = 2 * len(FEATURES) + 1
+        total = np.zeros(5 + 3 * d + d * d)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.hstack([model.design(_vectors(batch)), np.ones((batch.num_rows, 1))])
+            trusted = batch.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
+            f = np.clip(x @ np.append(model.weight, model.bias), -30, 30)
+            s, soft = 1 / (1 + np.exp(-f)), np.logaddexp(0, f)
+            total += np.concatenate([
+                [len(f), trusted.sum(), soft.sum(), soft[trusted].sum(), (soft - f)[trusted].sum()],
+                x.T @ s, x[trusted].T @ s[trusted], x[trusted].sum(axis=0), ((x * (s * (1 - s))[:, None]).T @ x).ravel()])
+        yield pa.RecordBatch.from_pydict({"place": pa.array(range(len(total)), pa.int32()),
+                                          "value": pa.array(total, pa.float64())})
+    return run
+
+
+def fit(rows: DataFrame, prior: float, rounds: int = ROUNDS) -> PuModel:
+    """Minimise the non-negative PU risk over ``rows`` (x, trusted): all of them unlabelled, some trusted too.
+
+    Weights are rounded after every round, so the order in which partial sums
+    arrive does not show; the weights of smallest risk are kept.
+    """
+    d = 2 * len(FEATURES) + 1
+    theta = np.zeros(d)
     theta[-1] = np.log(prior / (1 - prior))
-    first, second = np.zeros_like(theta), np.zeros_like(theta)
-
-    def forward(x: np.ndarray) -> np.ndarray:
-        return np.clip(x @ theta[:-1] + theta[-1], -30, 30)
-
-    def gradient(x: np.ndarray, slope: np.ndarray) -> np.ndarray:
-        return np.append(x.T @ slope, slope.sum()) / len(x)
-
-    for t in range(1, steps + 1):
-        fp, fu = forward(p), forward(u)
-        sp, su = 1 / (1 + np.exp(-fp)), 1 / (1 + np.exp(-fu))
-        negative_risk = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-        grad_negative = gradient(u, su) - prior * gradient(p, sp)
-        if negative_risk >= 0:
-            grad = prior * gradient(p, sp - 1) + grad_negative
+    middle, spread = scales(rows)
+    best, smallest = None, np.inf
+    for _ in range(rounds):
+        model = PuModel(middle, spread, theta[:-1], float(theta[-1]), prior)
+        sums = (rows.select("x", "trusted").mapInArrow(_risk_sums(model), "place int, value double")
+                .groupBy("place").agg(F.sum("value").alias("value")).orderBy("place").toPandas()["value"].to_numpy())
+        if not len(sums) or not sums[0] or not sums[1]:
+            return model  # nothing to learn from: the prior is every row's score
+        n, n_p = sums[0], sums[1]
+        grad_u, grad_p, mean_p = (sums[5 + i * d:5 + (i + 1) * d] / m for i, m in enumerate((n, n_p, n_p)))
+        l2 = L2 + PRIOR_ROWS / n_p
+        curve = sums[5 + 3 * d:].reshape(d, d) / n + np.diag(np.append(np.full(d - 1, l2), 1e-9))
+        penalty = np.append(l2 * theta[:-1], 0.0)
+        negative = sums[2] / n - prior * sums[3] / n_p
+        risk = prior * sums[4] / n_p + max(0.0, negative) + 0.5 * l2 * float(theta[:-1] @ theta[:-1])
+        if risk < smallest - 1e-9:
+            best, smallest = model, risk
+        grad_negative = grad_u - prior * grad_p
+        if negative >= 0:
+            step = np.linalg.solve(curve, prior * (grad_p - mean_p) + grad_negative + penalty)
         else:
-            grad = -grad_negative
-        grad[:-1] += L2 * theta[:-1]
-        first = 0.9 * first + 0.1 * grad
-        second = 0.999 * second + 0.001 * grad * grad
-        theta -= RATE * (first / (1 - 0.9 ** t)) / (np.sqrt(second / (1 - 0.999 ** t)) + 1e-8)
-    return PuModel(middle, spread, theta[:-1], float(theta[-1]), prior)
+            step = RATE * np.linalg.solve(curve, -grad_negative + penalty)
+        size = np.abs(step).max()
+        if size < SETTLED:
+            break
+        theta = np.round(theta - step * min(1.0, LARGEST_STEP / size), 9)
+    return best
 
 
 def features_column(text: Column) -> Column:
@@ -131,47 +208,35 @@ def features_column(text: Column) -> Column:
     return dense(text)
 
 
-def score_column(text: Column, model: PuModel) -> Column:
-    @F.pandas_udf("double")
-    def quality(texts: pd.Series) -> pd.Series:
-        x = np.array([features(t) for t in texts], dtype=float).reshape(-1, len(FEATURES))
-        return pd.Series(model.score(x))
-    return quality(text)
-
-
-def _matrix(df: DataFrame, bound: int) -> np.ndarray:
-    """Feature rows of a bounded sample, on the driver, in a fixed order."""
-    rows = df.select(features_column(F.col("text")).alias("x")).limit(bound).toPandas()["x"]
-    x = np.array([np.asarray(v, dtype=float) for v in rows], dtype=float).reshape(-1, len(FEATURES))
-    return x[np.lexsort(x.T[::-1])] if len(x) else x
-
-
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int = TRAIN_ROWS,
-          id_col: str = "doc_id", text_col: str = "text") -> PuModel:
-    known = training_rows(docs, labels, label, 4 * bound, "pu-known", id_col, text_col)
-    shares = (labels.where(~held_out(col("doc_id"))).where(col(label).isin(0, 1))
-              .agg(F.count("*"), F.sum(col(label))).first())
-    prior = ((shares[1] or 0) + 1) / (shares[0] + 2)
-    trusted = known.where("label = 1")
-    n_trusted = round(prior * min(4 * bound, shares[0])) or 1
-    trusted = trusted.where(sampled(F.col("doc_id"), bound, n_trusted, "pu-positive"))
-    plain = docs.select(col(id_col).alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
-    unlabelled = plain.where(~held_out(F.col("doc_id"))).where(
-        sampled(F.col("doc_id"), bound, docs.count(), "pu-unlabelled"))
-    return fit(_matrix(trusted, 2 * bound), _matrix(unlabelled, 2 * bound), prior)
+def train(features: DataFrame, labels: DataFrame, label: str = "quality", bound: int = TRAIN_ROWS) -> PuModel:
+    """The model of written (doc_id, x) rows; at most about ``bound`` labelled ids are trusted positives."""
+    known = (labels.select(col("doc_id").alias("doc_id"), col(label).cast("int").alias("label"))
+             .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & (fold(F.col("doc_id")) != 0))
+             .groupBy("doc_id").agg(F.min("label").alias("label")))
+    n, positive = known.agg(F.count(F.lit(1)), F.sum("label")).first()
+    prior = ((positive or 0) + 1) / (n + 2)
+    # At most about ``bound`` ids: small enough to send to every task.
+    trusted = (known.where("label = 1").where(sampled(F.col("doc_id"), bound, positive or 0, "pu-positive"))
+               .select("doc_id", F.lit(True).alias("__w_trusted")))
+    rows = (features.where(~held_out(F.col("doc_id"))).join(F.broadcast(trusted), "doc_id", "left")
+            .select("x", F.coalesce("__w_trusted", F.lit(False)).alias("trusted")))
+    return fit(rows, prior)
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int = TRAIN_ROWS,
              threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``."""
-    model = train(docs, labels, label, bound, id_col, text_col)
-    scored = docs.select(col(id_col).alias("doc_id"), score_column(col(text_col), model).alias("score"))
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
-                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+    x = materialize(text_batches(docs).select(col(id_col).alias("doc_id"), features_column(col(text_col)).alias("x")),
+                    "pu-features")
+    score = train(x, labels, label, bound).score_of(F.col("x"))
+    return x.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score")).withColumn(
+        "predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int = TRAIN_ROWS,
               threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject."""
-    model = train(docs, labels, label, bound, id_col, text_col)
-    return docs.where(score_column(col(text_col), model) >= threshold)
+    """The rows of ``docs`` that the classifier does not reject, their features computed once beside them."""
+    rows = materialize(packed(text_batches(docs)).withColumn("doc_id", field(id_col)).withColumn(
+        "x", features_column(field(text_col))), "pu-rows")
+    model = train(rows.select("doc_id", "x"), labels, label, bound)
+    return unpacked(rows.where(model.score_of(F.col("x")) >= threshold).select(ROW), docs.columns)
