@@ -99,3 +99,26 @@ def test_likeness_by_definition(spark):
     for r in rows:
         assert r["near_edited"] == pytest.approx(near(r["text"], r["edited"]))
         assert r["near_next"] == pytest.approx(near(r["text"], r["next_text"]))
+
+
+def test_rows_without_id_and_repeated_ids_are_dealt_like_others(spark, monkeypatch):
+    monkeypatch.setattr(B, "ROWS_PER_RANGE", 4)
+    rng = random.Random(3)
+    rows = [(None, " ".join(rng.choice("aé☃𝄞xyz") * rng.randrange(1, 5) for _ in range(12))) for _ in range(60)]
+    rows += [(None, None), (None, "same"), (None, "same")] + [(rng.randrange(40), f"text {i}" * 3) for i in range(60)]
+    rows += [(7, f"hot {i % 5} of one id") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = B.fingerprints(df).select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256)).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, brute(rows)))
+
+
+def test_ranges_follow_the_rows_and_have_a_task_each(spark, monkeypatch):
+    monkeypatch.setattr(B, "ROWS_PER_RANGE", 10)
+    rows = [(i * i, f"text {i}") for i in range(400)] + [(None, f"{i:03d} without id") for i in range(200)]
+    found = B.with_next(spark.createDataFrame(rows, "doc_id long, text string"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # The texts move once, by the number of their range; the window reuses that.
+    assert plan.count("REPARTITION_BY_NUM") == 1 and "hashpartitioning(part" not in plan.split("Window", 1)[1].split(
+        "REPARTITION_BY_NUM")[0]
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 600 and len(sizes) >= 50 and max(sizes) <= 20

@@ -17,12 +17,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, col, pieces
+from .common import SPACE, col, materialize, pieces
 
 K = 128
 SHINGLE_WORDS = 5
 ROWS_PER_RANGE = 4096
-MAX_RANGES = 4096
 _SPAN = 2.0 ** 64
 
 
@@ -95,38 +94,77 @@ def merge_groups(df: DataFrame, group: list[str], sketch: str, k: int = K, salts
                                                 F.coalesce(found[sketch], empty["__w_none"]).alias(sketch))
 
 
+def _sort_number(text: Column) -> Column:
+    """The first seven bytes of the text as a number that sorts as the texts do."""
+    return F.conv(F.rpad(F.substring(F.hex(F.encode(F.substring(text, 1, 7), "UTF-8")), 1, 14), 14, "0"),
+                  16, 10).cast("double")
+
+
+def _cuts(keys: DataFrame) -> DataFrame:
+    """One row per kind of id (null or not): its range starts, ascending, in blocks.
+
+    A start is the key of some row: keys are doubles, as quantiles are, so ids
+    beyond 2^53 may share one.  There is one for about every
+    ``ROWS_PER_RANGE`` rows, in ``blocks`` of about the square root of their
+    number, so that a search reads two short arrays.
+    """
+    found = []
+    for no_id in (True, False):
+        rows = keys.where(F.col("no_id") == no_id)
+        n = pieces(rows.count(), ROWS_PER_RANGE)
+        # One string instead of n expressions.
+        marks = F.split(F.lit(",".join(str(i / n) for i in range(n))), ",").cast("array<double>")
+        starts = rows.agg(F.percentile_approx("key", marks, F.lit(min(2 ** 31 - 1, 20 * n + 10_000))).alias("q"),
+                          F.min("key").alias("first"))
+        starts = starts.where("first is not null").select(F.array_sort(F.array_distinct(
+            F.concat(F.array("first"), "q"))).alias("starts"))
+        width = F.ceil(F.sqrt(F.size("starts"))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), ((F.size("starts") - 1) / width).cast("int")),
+                             lambda i: F.slice("starts", i * width + 1, width))
+        found.append(starts.select(F.lit(no_id).alias("no_id"), F.size("starts").alias("ranges"),
+                                   width.alias("width"), blocks.alias("blocks")))
+    return materialize(found[0].union(found[1]), "sketch-ranges")
+
+
 def with_next(docs: DataFrame, k: int = K) -> DataFrame:
     """(doc_id, text) rows with ``sketch``, and the text and sketch of the next document.
 
     Next in ascending (doc_id, text), nulls first; after the last comes the
-    first.  Documents are dealt into ranges of doc_id (quantiles of all ids) and
-    sorted within them: the texts move once.  The first document of each range,
-    one per range, is what the last one of the range before it needs.
+    first.  Documents are dealt into ranges of doc_id, those without one into
+    ranges of their text's first bytes; the number of ranges follows the rows.
+    Each range is a task of its own and is sorted there: the texts move once.
+    Behind its rows stands a copy of the next range's first row.  Rows with
+    one doc_id, and rows without one whose texts begin alike, share a range,
+    which is sorted on disk where it is large.
     """
-    docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
-    n = pieces(docs.count(), ROWS_PER_RANGE)
-    n = min(n, MAX_RANGES)
-    cuts = []
-    if n > 1:
-        marks = [i / n for i in range(1, n)]
-        cuts = docs.agg(F.percentile_approx("doc_id", marks, 20 * n)).first()[0] or []
-    cuts = sorted(set(cuts))
-    bound = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    dealt = docs.withColumn("part", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(
-        F.size(F.filter(bound, lambda c: c <= F.col("doc_id")))))
-    low = dealt.groupBy("part").agg(F.min("doc_id").alias("low"))
-    heads = (dealt.join(F.broadcast(low), "part").where(F.col("doc_id").eqNullSafe(F.col("low")))
-             .groupBy("part").agg(F.min("text").alias("head")))
-    round_ = Window.orderBy("part")
-    heads = heads.select("part", F.coalesce(F.lead("head").over(round_), F.first("head").over(
-        round_.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after"))
-    heads = with_sketch(heads, F.col("after"), "after_sketch", k)
-    rows = with_sketch(dealt.repartition("part"), F.col("text"), "sketch", k)
-    order = Window.partitionBy("part").orderBy("doc_id", "text")
-    rows = (rows.withColumn("__w_next", F.lead(F.struct("text", "sketch")).over(order))
-            .join(F.broadcast(heads), "part", "left"))
-    return rows.select("doc_id", "text", "sketch", F.coalesce("__w_next.text", "after").alias("next_text"),
-                       F.coalesce("__w_next.sketch", "after_sketch").alias("next_sketch"))
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    no_id = F.col("doc_id").isNull()
+    keyed = docs.withColumn("no_id", no_id).withColumn(
+        "key", F.when(no_id, _sort_number(F.col("text"))).otherwise(F.col("doc_id").cast("double")))
+    cuts = _cuts(keyed.select("no_id", "key"))
+    ranges = {r["no_id"]: r["ranges"] for r in cuts.select("no_id", "ranges").collect()}
+    before, n = ranges.get(True, 0), sum(ranges.values())
+
+    # Two rows at most: the starts of either kind.
+    dealt = keyed.join(F.broadcast(cuts), "no_id")
+    block = F.size(F.filter(F.transform("blocks", lambda b: F.get(b, F.lit(0))), lambda c: c <= F.col("key"))) - 1
+    dealt = dealt.withColumn("block", block)
+    inside = F.get("blocks", F.col("block"))
+    dealt = dealt.withColumn("at", F.size(F.filter(inside, lambda c: c <= F.col("key"))) - 1)
+    part = F.when(F.col("no_id"), F.lit(0)).otherwise(F.lit(before)) + F.col("block") * F.col("width") + F.col("at")
+    dealt = dealt.select("doc_id", "text", part.cast("int").alias("part"),
+                         (F.get(inside, F.col("at")) == F.col("key")).alias("first"))
+
+    # Every range has rows: its start is one's key.
+    heads = dealt.where("first").groupBy("part").agg(F.min(F.struct("doc_id", "text")).alias("head"))
+    heads = heads.select("head.doc_id", "head.text", F.pmod(F.col("part") - 1, F.lit(max(1, n))).alias("part"),
+                         F.lit(True).alias("behind"))
+    rows = dealt.select("doc_id", "text", "part", F.lit(False).alias("behind")).union(heads)
+    rows = with_sketch(rows.repartitionById(max(1, n), F.col("part")), F.col("text"), "sketch", k)
+    order = Window.partitionBy("part").orderBy("behind", "doc_id", "text")
+    rows = rows.withColumn("__w_next", F.lead(F.struct("text", "sketch")).over(order)).where("not behind")
+    return rows.select("doc_id", "text", "sketch", F.col("__w_next.text").alias("next_text"),
+                       F.col("__w_next.sketch").alias("next_sketch"))
 
 
 def edited_text(text: Column, n: Column, following: Column) -> Column:
