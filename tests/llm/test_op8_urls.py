@@ -102,3 +102,62 @@ def test_unlabelled_branch_joins_only_labelled_ones_that_agree():
     assert dict(U.merged([bad, same])) == {"bad": "(bad|u)", "u": "(bad|u)"}
     assert U.merged([bad, good, same]) == [] and U.merged([bad, branch("u", 0, 0, n=50)]) == []
     assert dict(U.merged([same, branch("v", 0, 0, s=9, n=1)])) == {"u": "(u|v)", "v": "(u|v)"}
+
+
+def test_long_shared_paths_take_few_rounds(spark, monkeypatch):
+    rounds = []
+    descend = U._descend
+    monkeypatch.setattr(U, "_descend", lambda tree: rounds.append(1) or descend(tree))
+    deep = "y/" * 5000
+    loops = ["http://t.org/" + "/".join(["a"] * n) for n in range(1, 120)]
+    urls = [f"http://x.org/{deep}p{i}.html" for i in range(2)] + loops
+    got = judge(spark, urls)
+    assert len(rounds) <= 3
+    assert {got[i]["template"] for i in range(2)} == {f"x.org/{deep}{{s}}.html"}
+    # Every beginning of the loop is its own template; the longest is alone behind the others.
+    assert [got[i]["template"] for i in range(2, 120)] == ["t.org/" + "/".join(["a"] * n) for n in range(1, 119)]
+    assert got[120]["template"] == "t.org/" + "a/" * 118 + "{s}"
+
+
+def by_levels(paths, min_share=U.MIN_SHARE):
+    """Templates of one host's distinct paths without labels and likeness, one level at a time."""
+    def is_class(s):
+        return s == "" or re.fullmatch(r"\{(n|hex|s)\}(\.[A-Za-z][A-Za-z0-9]{0,4})?", s)
+
+    def wild(s):
+        return s if is_class(s) else "{s}"
+
+    out = {}
+
+    def go(node, rows):
+        if len(rows) == 1:
+            path, segs = rows[0]
+            out[path] = "/".join([node, *map(wild, segs)])
+            return
+        children = {}
+        for path, segs in rows:
+            alike = sum(s[0] == segs[0] for _, s in rows)
+            literal = not is_class(segs[0]) and alike > 1 and alike >= len(rows) * min_share
+            children.setdefault(node + "/" + (segs[0] if literal else wild(segs[0])), []).append((path, segs[1:]))
+        for child, found in children.items():
+            for path, segs in found:
+                if not segs:
+                    out[path] = child
+            found = [r for r in found if r[1]]
+            if found:
+                go(child, found)
+    go("h.org", [(p, p[1:].split("/")) for p in paths])
+    return out
+
+
+def test_tree_by_definition(spark, monkeypatch):
+    monkeypatch.setattr(U, "merged", lambda branches: [])
+    import random
+    rng = random.Random(5)
+    paths = {"/" + "/".join(rng.choice(["u", "v", "w", "word" + rng.choice("abcdefghij"), ""])
+                            for _ in range(rng.randrange(1, 7))) for _ in range(150)}
+    paths |= {"/s/s/s/s", "/s/s/s/s/s/s", "/s/s", "/r/q/q/1", "/r/q/q/2/x", "/"}
+    paths = {"/" + "/".join("{n}" if x.isdigit() else x for x in p[1:].split("/")) for p in paths}
+    urls = spark.createDataFrame([("h.org", p, None) for p in paths], "host string, path string, label string")
+    got = {r["gpath"]: r["template"] for r in U.templates(urls).collect()}
+    assert got == {p[1:]: t for p, t in by_levels(sorted(paths)).items()}

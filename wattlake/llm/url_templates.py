@@ -17,8 +17,11 @@ smoothed towards its host's (itself smoothed towards all hosts'), reaches
 
 Shares and labels are counted in distinct paths, so a table and its copies have
 the same tree.  All of it is joins and counts over one row per distinct (host,
-generalised path).  Levels end where no two paths share a node: a path alone in
-its node gets its remaining segments at once.  A null URL or one without ``://``
+generalised path).  As in a radix tree, a run of levels where a node has one
+child only is a single step, so the rounds follow the branchings on a path and
+not its depth: long shared paths, loops and their every beginning take as many
+rounds as short ones.  A path alone in its node gets its remaining segments at
+once.  A null URL or one without ``://``
 has empty host and path and is allowed.
 """
 
@@ -123,9 +126,25 @@ def merged(branches: list) -> list[tuple[str, str]]:
     return [(to, "(" + "|".join(sorted(g[2])) + ")") for g in groups if len(g[2]) > 1 for to in g[2]]
 
 
-def _generalise(tree: DataFrame, d: int, min_share: float) -> DataFrame:
-    """Level ``d``: literal or wildcard per segment, then similar literal siblings merged."""
-    tree = tree.withColumn("seg", F.get("segs", F.lit(d)))
+def _descend(tree: DataFrame) -> DataFrame:
+    """Takes at once the levels that all of a node's paths that go so far share, if two or more do."""
+    levels = tree.select("node", F.posexplode("segs").alias("level", "seg")).groupBy("node", "level").agg(
+        F.min("seg").alias("low"), F.max("seg").alias("high"), F.count("*").alias("rows"))
+    levels = levels.withColumn("parts", (F.col("low") != F.col("high")) | (F.col("rows") == 1))
+    shared = levels.groupBy("node").agg(
+        F.coalesce(F.min(F.when(F.col("parts"), F.col("level"))), F.max("level") + 1).alias("shared"),
+        F.max("rows").alias("rows"))
+    shared = materialize(shared.where("shared > 0"), "url-shared")
+    tree = lookup(tree, shared, ["node"], "rows", F.xxhash64("node", "segs"))
+    steps = F.least(F.coalesce("shared", F.lit(0)), F.size("segs"))
+    tree = tree.withColumn("node", F.concat_ws("/", "node", F.when(steps > 0, F.array_join(
+        F.slice("segs", F.lit(1), steps), "/"))))
+    return tree.withColumn("segs", F.slice("segs", steps + 1, F.size("segs"))).drop("shared")
+
+
+def _generalise(tree: DataFrame, min_share: float) -> DataFrame:
+    """The next level: literal or wildcard per segment, then similar literal siblings merged."""
+    tree = tree.withColumn("seg", F.get("segs", F.lit(0)))
     per = tree.groupBy("node", "seg").agg(F.sum("paths").alias("paths"), F.count("*").alias("rows"))
     per = materialize(per, "url-level")
     totals = per.groupBy("node").agg(F.sum("paths").alias("all"), F.sum("rows").alias("rows"))
@@ -139,7 +158,7 @@ def _generalise(tree: DataFrame, d: int, min_share: float) -> DataFrame:
 
     # What follows each literal, and its labels; a node has 1 / min_share literals at most.
     siblings = tree.where("literal and not alone")
-    after = (siblings.withColumn("next", _class(F.get("segs", F.lit(d + 1))))
+    after = (siblings.withColumn("next", _class(F.get("segs", F.lit(1))))
              .groupBy("node", "to", "next").agg(F.sum("paths").alias("n"), F.sum("block").alias("block"),
                                                 F.sum("allow").alias("allow")))
     looks = after.groupBy("node", "to").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"),
@@ -151,12 +170,12 @@ def _generalise(tree: DataFrame, d: int, min_share: float) -> DataFrame:
     pairs = materialize(pairs.select("node", "b.to", "b.branch").join(rows, ["node", "to"]), "url-branches")
     tree = lookup(tree, pairs, ["node", "to"], "rows", F.xxhash64("node", "seg"))
     # A path alone in its node has nothing to be compared with further down.
-    rest = F.transform(F.slice("segs", F.lit(d + 1), F.size("segs")),
-                       lambda x: F.when(F.col("paths") > 1, x).otherwise(_class(x)))
+    rest = F.transform("segs", lambda x: F.when(F.col("paths") > 1, x).otherwise(_class(x)))
     step = F.when(F.col("alone"), F.array_join(rest, "/")).when(
         F.col("literal"), F.coalesce("branch", "to")).otherwise(F.col("to"))
     return tree.withColumn("node", F.concat_ws("/", "node", step)).withColumn(
-        "ended", F.col("alone") | (F.size("segs") <= d + 1)).drop("seg", "to", "literal", "alone", "branch")
+        "ended", F.col("alone") | (F.size("segs") <= 1)).withColumn(
+        "segs", F.slice("segs", F.lit(2), F.size("segs"))).drop("seg", "to", "literal", "alone", "branch")
 
 
 def templates(urls: DataFrame, min_share: float = MIN_SHARE, smoothing: float = SMOOTHING,
@@ -171,13 +190,15 @@ def templates(urls: DataFrame, min_share: float = MIN_SHARE, smoothing: float =
         F.count_if(F.col("label") == "allow").alias("allow"))
     base = materialize(base, "url-paths")
     tree = base.withColumn("segs", F.split("gpath", "/")).withColumn("node", F.col("host"))
-    ended, d = [], 0
-    while d == 0 or tree.limit(1).count():
-        level = materialize(_generalise(tree, d, min_share), "url-levels")
+    ended = []
+    while not ended or tree.limit(1).count():
+        tree = materialize(_descend(tree), "url-descended")
+        ended.append(tree.where("size(segs) = 0"))
+        level = materialize(_generalise(tree.where("size(segs) > 0"), min_share), "url-levels")
         ended.append(level.where("ended").drop("ended"))
-        tree, d = level.where("not ended").drop("ended"), d + 1
+        tree = level.where("not ended").drop("ended")
     # The node names the template: host, then its levels.
-    tree = materialize(reduce(DataFrame.union, ended).withColumnRenamed("node", "template").drop("segs"), "url-templates")
+    tree = materialize(reduce(DataFrame.unionByName, ended).withColumnRenamed("node", "template").drop("segs"), "url-templates")
     total = base.agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"))
     overall = total.select(((F.col("block") + 1) / (F.col("block") + F.col("allow") + 2)).alias("overall"))
     hosts = base.groupBy("host").agg(F.sum("block").alias("hb"), F.sum("allow").alias("ha"))
